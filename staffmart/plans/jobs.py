@@ -129,33 +129,49 @@ def type_customers(df: DataFrame) -> DataFrame:
     )
 
 
+def shape_customers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(typed customer rows, rejected raw rows as JSON with a reason).
+
+    Realign shifted rows, then drop what is not a customer row: the tail half
+    of a broken line (first cell empty or a position code), its head half
+    (no responsible position), and rows that could not be realigned.
+    """
+    fixed = repair.realign(raw, E.CUSTOMERS_COLUMNS, [f"_c{i}" for i in range(7, 12)],
+                           CUSTOMER_VALIDATORS)
+    usable = (~filters.is_fragment("Cliente") & F.col("Cargo Responsável").isNotNull()
+              & (F.col(repair.STATUS_COLUMN) != F.lit(repair.UNREPAIRED)))
+    rejected = (fixed.filter(~usable)
+                .select(F.to_json(F.struct(*E.CUSTOMERS_COLUMNS)).alias("row"),
+                        F.lit("not a customer row").alias(quality.FAILED_COLUMN)))
+    return type_customers(fixed.filter(usable)), rejected
+
+
+def gate_customers(typed: DataFrame, rejected: DataFrame) -> tuple[list[dict], DataFrame, DataFrame]:
+    """(collected report, passing rows, all rejected rows)."""
+    rows = quality.collect_report(quality.quality_report(typed, CUSTOMER_RULES))
+    passing, failing = quality.split_quarantine(typed, CUSTOMER_RULES)
+    failed_json = failing.select(F.to_json(F.struct(*typed.columns)).alias("row"),
+                                 F.col(quality.FAILED_COLUMN))
+    return rows, passing, rejected.unionByName(failed_json)
+
+
 def silver_customers(spark: SparkSession, src: str, out: str, run_ts: str | None = None,
                      quarantine: str | None = None, strict: bool = True) -> JobResult:
     """Realign, drop the halves of broken lines, type, gate, write by month.
 
-    Rows that are not customers (fragments of broken lines, rows that cannot
-    be realigned) and rows failing a row rule go to ``quarantine``. With
-    ``strict`` the job raises after writing the quarantine when any rule
-    failed, like a stop-the-line gate; otherwise it writes the passing rows.
+    Rows that are not customers and rows failing a row rule go to
+    ``quarantine``. With ``strict`` the job raises after writing the
+    quarantine when any rule failed, like a stop-the-line gate; otherwise it
+    writes the passing rows.
     """
     run_ts = run_ts or run_timestamp()
     raw = read_delimited(spark, src, E.CUSTOMERS_SEP, E.CUSTOMERS_COLUMNS,
                          overflow=E.CUSTOMERS_OVERFLOW)
-    fixed = repair.realign(raw, E.CUSTOMERS_COLUMNS, [f"_c{i}" for i in range(7, 12)],
-                           CUSTOMER_VALIDATORS)
-    usable = (~filters.is_fragment("Cliente") & F.col("Cargo Responsável").isNotNull()
-              & (F.col(repair.STATUS_COLUMN) != F.lit(repair.UNREPAIRED)))
-    typed = type_customers(fixed.filter(usable)).persist(StorageLevel.MEMORY_AND_DISK)
+    typed, rejected = shape_customers(raw)
+    typed = typed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        report = quality.quality_report(typed, CUSTOMER_RULES)
-        rows = quality.collect_report(report)
-        passing, failing = quality.split_quarantine(typed, CUSTOMER_RULES)
-        rejected = (fixed.filter(~usable)
-                    .select(F.to_json(F.struct(*E.CUSTOMERS_COLUMNS)).alias("row"),
-                            F.lit("not a customer row").alias(quality.FAILED_COLUMN))
-                    .unionByName(failing.select(F.to_json(F.struct(*typed.columns)).alias("row"),
-                                                F.col(quality.FAILED_COLUMN))))
-        n_bad = _write_quarantine(rejected, quarantine, run_ts)
+        rows, passing, all_rejected = gate_customers(typed, rejected)
+        n_bad = _write_quarantine(all_rejected, quarantine, run_ts)
         if strict:
             quality.assert_quality(rows)
         write_by_month(passing, "contract_start_date", out, run_ts)
@@ -175,8 +191,8 @@ def employee_rules(as_of: date | str) -> list[quality.Rule]:
         quality.not_null("cpf"),
         quality.unique("cpf"),
         quality.unique("hr_id"),
-        quality.between("birth_date", F.lit(E.EARLIEST_BIRTH).cast("date"),
-                        F.lit(str(as_of)).cast("date")),
+        quality.between("birth_date", date.fromisoformat(E.EARLIEST_BIRTH),
+                        date.fromisoformat(str(as_of))),
         quality.between("base_salary", 0, None),
         quality.matches("taxes", E.TAXES_PATTERN),
     ]

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -304,8 +305,7 @@ def people_rules() -> list[quality.Rule]:
         quality.not_null("cpf"),
         quality.unique("cpf"),
         quality.unique("hr_id"),
-        quality.between("birth_date", F.lit("1900-01-01").cast("date"),
-                        F.lit(AS_OF).cast("date")),
+        quality.between("birth_date", date(1900, 1, 1), date.fromisoformat(AS_OF)),
         quality.between("base_salary", 0, None),
         quality.matches("taxes", r"^\d+\.?\d*$"),
         quality.in_set("importance_level", [1, 2, 3, 4]),

@@ -1,0 +1,3 @@
+from staffmart.streaming.incremental import ENTITIES, ingest
+
+__all__ = ["ENTITIES", "ingest"]
