@@ -146,13 +146,12 @@ def shape_customers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return type_customers(fixed.filter(usable)), rejected
 
 
-def gate_customers(typed: DataFrame, rejected: DataFrame) -> tuple[list[dict], DataFrame, DataFrame]:
-    """(collected report, passing rows, all rejected rows)."""
-    rows = quality.collect_report(quality.quality_report(typed, CUSTOMER_RULES))
+def quarantine_customers(typed: DataFrame, rejected: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows passing every customer rule, all rejected rows as JSON + reason)."""
     passing, failing = quality.split_quarantine(typed, CUSTOMER_RULES)
     failed_json = failing.select(F.to_json(F.struct(*typed.columns)).alias("row"),
                                  F.col(quality.FAILED_COLUMN))
-    return rows, passing, rejected.unionByName(failed_json)
+    return passing, rejected.unionByName(failed_json)
 
 
 def silver_customers(spark: SparkSession, src: str, out: str, run_ts: str | None = None,
@@ -170,7 +169,8 @@ def silver_customers(spark: SparkSession, src: str, out: str, run_ts: str | None
     typed, rejected = shape_customers(raw)
     typed = typed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows, passing, all_rejected = gate_customers(typed, rejected)
+        rows = quality.collect_report(quality.quality_report(typed, CUSTOMER_RULES))
+        passing, all_rejected = quarantine_customers(typed, rejected)
         n_bad = _write_quarantine(all_rejected, quarantine, run_ts)
         if strict:
             quality.assert_quality(rows)

@@ -18,11 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from staffmart.operators import quality
-from staffmart.plans import entities as E
-from staffmart.plans.jobs import gate_customers, shape_customers, shape_positions
+from staffmart.operators import quality, repair
 from staffmart.operators import shape as shape_ops
-from staffmart.operators import repair
+from staffmart.plans import entities as E
+from staffmart.plans.jobs import quarantine_customers, shape_customers, shape_positions
 from staffmart.sources.delimited import overflow_names, string_schema
 from staffmart.sources.sinks import stamp, with_month_columns
 
@@ -48,7 +47,7 @@ def _append_batch(df: DataFrame, path: str, batch_id: int, partition_cols: list[
 def customers_batch(out: str, quarantine: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         typed, rejected = shape_customers(batch)
-        _, passing, all_rejected = gate_customers(typed, rejected)
+        passing, all_rejected = quarantine_customers(typed, rejected)
         _append_batch(stamp(all_rejected), quarantine, batch_id, [])
         dated = with_month_columns(stamp(passing), "contract_start_date")
         _append_batch(dated, out, batch_id,

@@ -28,6 +28,7 @@ def spark():
 def write_lines(directory, name: str, lines: list[str], bom: bool = True,
                 crlf: bool = True) -> str:
     """Write a raw text file the way the HR exports come: BOM and CRLF."""
+    os.makedirs(str(directory), exist_ok=True)
     path = os.path.join(str(directory), name)
     text = ("\r\n" if crlf else "\n").join(lines) + ("\r\n" if crlf else "\n")
     with open(path, "w", encoding="utf-8") as f:
