@@ -94,18 +94,19 @@ def realign(df: DataFrame, columns: Sequence[str], overflow: Sequence[str] = (),
         gap = F.when(ok, F.lit(j)) if gap is None else gap.when(ok, F.lit(j))
     gap = gap.otherwise(F.lit(None).cast("int"))
 
-    repairable = shifted & ~two_gaps & gap.isNotNull()
+    gap_col = "__gap"
+    repairable = shifted & ~two_gaps & F.col(gap_col).isNotNull()
     status = (F.when(~shifted, F.lit(CLEAN))
               .when(repairable, F.lit(REPAIRED))
               .otherwise(F.lit(UNREPAIRED)))
 
-    gap_col = "__gap"
     fixed = {}
     for i, c in enumerate(cols):
         moved = F.when(F.col(gap_col) <= F.lit(i), cells[i + 1]).otherwise(cells[i])
         fixed[c] = F.when(F.col(status_column) == F.lit(REPAIRED), moved).otherwise(cells[i])
     return (df
-            .withColumns({gap_col: gap, status_column: status})
+            .withColumn(gap_col, gap)
+            .withColumn(status_column, status)
             .withColumns(fixed)
             .drop(gap_col, *overflow))
 

@@ -32,7 +32,7 @@ from staffmart.functions.temporal import (
 )
 from staffmart.functions.text import correct, is_code, strip_leading, title_case
 from staffmart.operators import filters, marts, privacy, quality, repair, shape
-from staffmart.plans.jobs import build_mart
+from staffmart.plans.jobs import MART_SPECS, build_mart
 from staffmart.session import scratch_path
 from staffmart.sources import (
     read_delimited,
@@ -71,34 +71,42 @@ def region_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["n_nationkey", "state", "region"])
 
 
-def tenure_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tenure_fact(spark: SparkSession, sf_dir: str, with_part: bool = True) -> DataFrame:
     """One row per line item: the spell, its level, area, age and generation.
 
-    lineitem ⟕ orders is a fact-to-fact join (sort-merge on the order key,
-    adaptive skew handling splits a hot key); part is left to the planner's
-    size checks (broadcast when small, sort-merge beyond).
+    lineitem ⟕ orders is a fact-to-fact join (sort-merge on the order key
+    once orders outgrows the broadcast threshold; adaptive skew handling
+    splits a hot key). part is joined only when area or age is needed, and
+    its strategy is left to the planner's size checks.
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linestatus",
                                                   "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                                    "o_orderpriority")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
     fact = marts.lookup(li, orders, "l_orderkey", "o_orderkey")
-    fact = marts.lookup(fact, part, "l_partkey", "p_partkey")
+    if with_part:
+        part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
+        fact = marts.lookup(fact, part, "l_partkey", "p_partkey")
+        area, age = F.col("p_type"), F.col("p_size")
+    else:
+        area, age = F.lit(None).cast("string"), F.lit(None).cast("int")
     end = F.when(F.col("l_linestatus") == F.lit("O"), F.lit(None)).otherwise(F.col("l_shipdate"))
     return fact.select(
         F.col("o_custkey"),
         F.col("o_orderpriority").alias("level_description"),
-        F.col("p_type").alias("area"),
+        area.alias("area"),
         tenure_days(F.col("o_orderdate").cast("date"), end.cast("date"), AS_OF)
         .alias("time_on_job"),
-        F.col("p_size").alias("person_age"),
+        age.alias("person_age"),
     ).withColumn("generation", generation("person_age"))
 
 
 def _gold(name: str) -> Query:
+    by = MART_SPECS[name][1]
+    with_part = "area" in by or "generation" in by
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build_mart(tenure_fact(spark, sf_dir), name)
+        return build_mart(tenure_fact(spark, sf_dir, with_part), name)
     return run
 
 
