@@ -81,18 +81,21 @@ def realign(df: DataFrame, columns: Sequence[str], overflow: Sequence[str] = (),
         two_gaps = F.lit(False)
 
     # keep[i] / take[i]: column i accepts its own cell / its right neighbour's.
-    keep = [_accepts(validators.get(c), cells[i]) for i, c in enumerate(cols)]
-    take = [_accepts(validators.get(c), cells[i + 1]) for i, c in enumerate(cols)]
+    # Evaluated only for shifted rows, once each (own columns, not inlined).
+    flags = {}
+    for i, c in enumerate(cols):
+        flags[f"__keep{i}"] = F.when(shifted, _accepts(validators.get(c), cells[i]))
+        flags[f"__take{i}"] = F.when(shifted, _accepts(validators.get(c), cells[i + 1]))
 
     gap = None
     for j in range(n):
         ok = cells[j].isNull()
         for i in range(j):
-            ok = ok & keep[i]
+            ok = ok & F.col(f"__keep{i}")
         for i in range(j, n):
-            ok = ok & take[i]
+            ok = ok & F.col(f"__take{i}")
         gap = F.when(ok, F.lit(j)) if gap is None else gap.when(ok, F.lit(j))
-    gap = gap.otherwise(F.lit(None).cast("int"))
+    gap = F.when(shifted, gap.otherwise(F.lit(None).cast("int")))
 
     gap_col = "__gap"
     repairable = shifted & ~two_gaps & F.col(gap_col).isNotNull()
@@ -105,10 +108,11 @@ def realign(df: DataFrame, columns: Sequence[str], overflow: Sequence[str] = (),
         moved = F.when(F.col(gap_col) <= F.lit(i), cells[i + 1]).otherwise(cells[i])
         fixed[c] = F.when(F.col(status_column) == F.lit(REPAIRED), moved).otherwise(cells[i])
     return (df
+            .withColumns(flags)
             .withColumn(gap_col, gap)
             .withColumn(status_column, status)
             .withColumns(fixed)
-            .drop(gap_col, *overflow))
+            .drop(gap_col, *flags, *overflow))
 
 
 def fill_from_right(df: DataFrame, chain: Sequence[str]) -> DataFrame:
