@@ -55,6 +55,15 @@ def mean_years(df: DataFrame, by: Sequence[str], days_column: str,
     return df.groupBy(*by).agg(mean.alias(alias))
 
 
+def mean_years_from_sums(df: DataFrame, by: Sequence[str], days_sum: str, days_count: str,
+                         alias: str = MEAN_YEARS) -> DataFrame:
+    """``mean_years`` over rows that already carry partial sums and counts of
+    days (e.g. pre-aggregated per join key before a large join)."""
+    n = F.sum(F.col(days_count))
+    mean = F.when(n > 0, F.sum(F.col(days_sum)).cast("double") / (n * F.lit(DAYS_PER_YEAR)))
+    return df.groupBy(*by).agg(mean.alias(alias))
+
+
 def ranked(df: DataFrame, metric: str) -> DataFrame:
     """Largest first (NULL last)."""
     return df.orderBy(F.col(metric).desc_nulls_last())
