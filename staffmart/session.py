@@ -55,6 +55,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="staffmart-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
