@@ -37,9 +37,6 @@ from staffmart.sources import (
     write_table,
 )
 
-QUARANTINE_SUFFIX = "_quarantine"
-
-
 @dataclass
 class JobResult:
     silver: DataFrame

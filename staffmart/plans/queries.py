@@ -20,9 +20,9 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from staffmart.functions.bands import GENERATION_BANDS, UNKNOWN, generation
-from staffmart.functions.casting import is_digits
 from staffmart.functions.temporal import (
     EXCEL_EPOCH,
     age_in_full_years,
@@ -30,7 +30,7 @@ from staffmart.functions.temporal import (
     parse_day_first,
     tenure_days,
 )
-from staffmart.functions.text import correct, is_code, strip_leading, title_case
+from staffmart.functions.text import correct, strip_leading, title_case
 from staffmart.operators import filters, marts, privacy, quality, repair, shape
 from staffmart.plans.jobs import MART_SPECS, build_mart
 from staffmart.session import scratch_path
@@ -181,9 +181,11 @@ def excel_serial_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = (F.when(key_mod("o_orderkey", 13) == 0, F.lit("n/a"))
             .when(key_mod("o_orderkey", 11) == 0, F.concat(serial, F.lit(".75")))
             .otherwise(serial))
-    return (table(spark, sf_dir, "orders")
-            .select("o_orderkey", text.alias("serial_text"))
-            .withColumn("hire_date", excel_serial_to_date("serial_text")))
+    out = (table(spark, sf_dir, "orders")
+           .select("o_orderkey", text.alias("serial_text"))
+           .withColumn("hire_date", excel_serial_to_date("serial_text")))
+    quality.assert_column_types(out, {"hire_date": T.DateType()})
+    return out
 
 
 def parse_br_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
