@@ -97,7 +97,7 @@ CUSTOMER_VALIDATORS = {
     "Quantidade de Serviços": lambda c: c.rlike(r"^\d+$"),
     "Cargo Responsável": lambda c: is_code(c),
     "CEP": lambda c: is_digits(c, 5),
-    "Data Início Contrato": lambda c: c.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"),
+    "Data Início Contrato": lambda c: c.rlike(r"^\d{2}/\d{2}/\d{4}$"),
     "Nivel de Importancia": lambda c: c.rlike(r"^\d+$"),
 }
 
@@ -126,15 +126,19 @@ def type_customers(df: DataFrame) -> DataFrame:
     )
 
 
-def shape_customers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def realign_customers(raw: DataFrame) -> DataFrame:
+    return repair.realign(raw, E.CUSTOMERS_COLUMNS,
+                          [f"_c{i}" for i in range(7, 7 + E.CUSTOMERS_OVERFLOW)],
+                          CUSTOMER_VALIDATORS)
+
+
+def split_customers(fixed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(typed customer rows, rejected raw rows as JSON with a reason).
 
-    Realign shifted rows, then drop what is not a customer row: the tail half
-    of a broken line (first cell empty or a position code), its head half
-    (no responsible position), and rows that could not be realigned.
+    Drops what is not a customer row: the tail half of a broken line (first
+    cell empty or a position code), its head half (no responsible position),
+    and rows that could not be realigned.
     """
-    fixed = repair.realign(raw, E.CUSTOMERS_COLUMNS, [f"_c{i}" for i in range(7, 12)],
-                           CUSTOMER_VALIDATORS)
     usable = (~filters.is_fragment("Cliente") & F.col("Cargo Responsável").isNotNull()
               & (F.col(repair.STATUS_COLUMN) != F.lit(repair.UNREPAIRED)))
     rejected = (fixed.filter(~usable)
@@ -143,6 +147,11 @@ def shape_customers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return type_customers(fixed.filter(usable)), rejected
 
 
+def shape_customers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Realign shifted rows, then split customers from rejected rows."""
+    return split_customers(realign_customers(raw))
+
+
 def quarantine_customers(typed: DataFrame, rejected: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows passing every customer rule, all rejected rows as JSON + reason)."""
     passing, failing = quality.split_quarantine(typed, CUSTOMER_RULES)
@@ -163,8 +172,10 @@ def silver_customers(spark: SparkSession, src: str, out: str, run_ts: str | None
     run_ts = run_ts or run_timestamp()
     raw = read_delimited(spark, src, E.CUSTOMERS_SEP, E.CUSTOMERS_COLUMNS,
                          overflow=E.CUSTOMERS_OVERFLOW)
-    typed, rejected = shape_customers(raw)
-    typed = typed.persist(StorageLevel.MEMORY_AND_DISK)
+    # One cache after the realignment feeds the report, the quarantine and
+    # the write: the raw file is parsed and realigned once.
+    fixed = realign_customers(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    typed, rejected = split_customers(fixed)
     try:
         rows = quality.collect_report(quality.quality_report(typed, CUSTOMER_RULES))
         passing, all_rejected = quarantine_customers(typed, rejected)
@@ -173,7 +184,7 @@ def silver_customers(spark: SparkSession, src: str, out: str, run_ts: str | None
             quality.assert_quality(rows)
         write_by_month(passing, "contract_start_date", out, run_ts)
     finally:
-        typed.unpersist()
+        fixed.unpersist()
     return JobResult(read_table(spark, out), rows, n_bad)
 
 
