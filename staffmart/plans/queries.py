@@ -237,6 +237,29 @@ def realign_shifted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed.withColumnRenamed(repair.STATUS_COLUMN, "realign_status")
 
 
+def silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer silver path end to end on the whole customer table.
+
+    Shifted rows are written as ';' text with a real extra empty cell, read
+    back with an explicit string schema plus one overflow column, realigned,
+    typed, gated (rows failing a rule would be split off), written as a
+    stamped table and read back.
+    """
+    raw_path = scratch_path(spark, "customer_csv")
+    (shifted_customers(spark, sf_dir).write.mode("overwrite")
+     .option("sep", ";").option("header", True).csv(raw_path))
+    raw = read_delimited(spark, raw_path, ";", CUSTOMER_TEXT, overflow=1)
+    fixed = repair.realign(raw, CUSTOMER_TEXT, ["_c5"], CUSTOMER_TEXT_VALIDATORS)
+    typed = shape.to_typed(fixed, {"c_custkey": "bigint", "c_nationkey": "int",
+                                   "c_acctbal": "double"})
+    rules = [quality.not_null(c) for c in CUSTOMER_TEXT] + [quality.in_set(
+        repair.STATUS_COLUMN, [repair.CLEAN, repair.REPAIRED])]
+    passing, _ = quality.split_quarantine(typed, rules)
+    silver_path = scratch_path(spark, "customer_silver")
+    write_table(passing.drop(repair.STATUS_COLUMN), silver_path)
+    return read_table(spark, silver_path, drop_stamp=True).select(*CUSTOMER_TEXT)
+
+
 # Fixed values for the planted misspellings of ``clean_labels``.
 SEGMENT_CORRECTIONS = {"FURNTIURE": "FURNITURE", "MACHNIERY": "MACHINERY"}
 
@@ -462,6 +485,7 @@ QUERIES: dict[str, Query] = {
     "excel_serial_dates": excel_serial_dates,
     "parse_br_dates": parse_br_dates,
     "realign_shifted": realign_shifted,
+    "silver_roundtrip": silver_roundtrip,
     "clean_labels": clean_labels,
     "fill_if_null_chain": fill_if_null_chain,
     "header_split_source": header_split_source,
@@ -628,6 +652,8 @@ FROM t""",
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment,
        CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS realign_status
 FROM customer""",
+    "silver_roundtrip": """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
     "clean_labels": "SELECT c_custkey, c_mktsegment FROM customer",
     "fill_if_null_chain": _chain_sql(),
     "header_split_source": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
