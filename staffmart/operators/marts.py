@@ -41,9 +41,17 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None =
 
 
 def headcount(df: DataFrame, by: Sequence[str], id_column: str,
-              alias: str = HEADCOUNT) -> DataFrame:
-    """Distinct non-null ids per group (a NULL group key is its own group)."""
-    return df.groupBy(*by).agg(F.count_distinct(F.col(id_column)).alias(alias))
+              alias: str = HEADCOUNT, approx_rsd: float | None = None) -> DataFrame:
+    """Distinct non-null ids per group (a NULL group key is its own group).
+
+    Exact by default (partial distinct per (group, id), then count). With
+    ``approx_rsd`` a HyperLogLog++ sketch per group is merged instead: no
+    shuffle of the ids, fixed memory per group, relative error ``approx_rsd``.
+    """
+    ids = F.col(id_column)
+    if approx_rsd is not None:
+        return df.groupBy(*by).agg(F.approx_count_distinct(ids, approx_rsd).alias(alias))
+    return df.groupBy(*by).agg(F.count_distinct(ids).alias(alias))
 
 
 def mean_years(df: DataFrame, by: Sequence[str], days_column: str,

@@ -47,3 +47,13 @@ def test_lookup_and_marts(spark):
     assert means["Diretor"] == (730 + 365 + 100) / (3 * 365.25) and means[None] is None
     top = marts.ranked(marts.headcount(x, ["region"], "cpf_encrypted"), marts.HEADCOUNT).first()
     assert top["region"] == "Sudeste"
+
+
+def test_approximate_headcount_is_close(spark):
+    df = spark.range(20_000).selectExpr("id % 3 AS g", "id AS person")
+    exact = {r["g"]: r["total_employees"] for r in marts.headcount(df, ["g"], "person").collect()}
+    approx = {r["g"]: r["total_employees"] for r in
+              marts.headcount(df, ["g"], "person", approx_rsd=0.01).collect()}
+    assert set(exact) == set(approx)
+    for g, n in exact.items():
+        assert abs(approx[g] - n) <= 0.05 * n

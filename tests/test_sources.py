@@ -71,3 +71,13 @@ def test_stamped_and_month_partitioned_writes(spark, tmp_path):
     write_table(df, flat, run_ts="2024-01-01 00:00:00")
     stamps = {r[0] for r in read_table(spark, flat).select(STAMP_COLUMN).collect()}
     assert len(stamps) == 1                                # one stamp per run
+
+
+def test_month_partitioned_write_sorted_within_files(spark, tmp_path):
+    df = spark.createDataFrame([(i, 100 - i) for i in range(50)], "id int, v int") \
+        .selectExpr("id", "v", "date_add(DATE'2020-01-01', id % 40) AS d")
+    out = str(tmp_path / "sorted")
+    write_by_month(df, "d", out, run_ts="2024-01-01 00:00:00", sort_by=["v"])
+    back = read_table(spark, out)
+    assert back.count() == 50
+    assert sorted(r["id"] for r in back.collect()) == list(range(50))
