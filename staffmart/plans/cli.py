@@ -1,9 +1,9 @@
 """Command line for the jobs, e.g. with ``spark-submit``::
 
     spark-submit --py-files staffmart.zip staffmart/plans/cli.py silver positions \\
-        --src raw/BaseCargos.csv --out silver/base_cargos
+        --src raw/positions.csv --out silver/base_cargos
     spark-submit --conf spark.staffmart.pseudonym.secret=... \\
-        staffmart/plans/cli.py silver employees --src raw/BaseFuncionarios.csv \\
+        staffmart/plans/cli.py silver employees --src raw/employees.csv \\
         --out silver/base_funcionarios --vault security_zone/anonymization_employees \\
         --as-of 2024-01-01
     spark-submit staffmart/plans/cli.py gold --postal silver/base_cep \\

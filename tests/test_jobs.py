@@ -70,7 +70,7 @@ def employee_file(tmp_path, people):
             "ID de Pessoal": "P", "ID da area": "A",
         }
         lines.append("|".join(x for n in names for x in (values[n], ""))[:-1])
-    return write_lines(tmp_path, "BaseFuncionarios.csv", lines)
+    return write_lines(tmp_path, "employees.csv", lines)
 
 
 CLEAN_PEOPLE = [
@@ -86,7 +86,7 @@ CLEAN_PEOPLE = [
 
 
 def test_positions_job(spark, tmp_path):
-    src = write_lines(tmp_path, "BaseCargos.csv", POSITIONS)
+    src = write_lines(tmp_path, "positions.csv", POSITIONS)
     res = jobs.silver_positions(spark, src, str(tmp_path / "base_cargos"),
                                 quarantine=str(tmp_path / "q"))
     rows = {r["level"]: r for r in res.silver.collect()}
@@ -100,7 +100,7 @@ def test_positions_job(spark, tmp_path):
 
 
 def test_postal_job_drops_header_row(spark, tmp_path):
-    src = write_lines(tmp_path, "BaseCEP.csv", POSTAL)
+    src = write_lines(tmp_path, "postal.csv", POSTAL)
     res = jobs.silver_postal(spark, src, str(tmp_path / "base_cep"))
     rows = sorted((r["cep"], r["state"], r["region"]) for r in res.silver.collect())
     assert rows == [("20125535", "Mato Grosso", "Centro - Oeste"),
@@ -109,7 +109,7 @@ def test_postal_job_drops_header_row(spark, tmp_path):
 
 
 def test_customers_job(spark, tmp_path):
-    src = write_lines(tmp_path, "BaseClientes.csv", CUSTOMERS)
+    src = write_lines(tmp_path, "customers.csv", CUSTOMERS)
     res = jobs.silver_customers(spark, src, str(tmp_path / "base_clientes"),
                                 quarantine=str(tmp_path / "q"))
     rows = {r["customer"]: r for r in res.silver.collect()}
@@ -129,7 +129,7 @@ def test_customers_job(spark, tmp_path):
 
 def test_customers_gate_stops_the_line(spark, tmp_path):
     bad = CUSTOMERS + ["Souza Santos;126000;12;FIIV;882467283;08/04/2019;7;;;;;"]
-    src = write_lines(tmp_path, "BaseClientes.csv", bad)
+    src = write_lines(tmp_path, "customers.csv", bad)
     with pytest.raises(quality.QualityError, match="in_set"):
         jobs.silver_customers(spark, src, str(tmp_path / "out"), quarantine=str(tmp_path / "q"))
     res = jobs.silver_customers(spark, src, str(tmp_path / "out2"),
@@ -184,7 +184,7 @@ def test_employees_gate(spark, tmp_path):
 
 
 def test_levels_job(spark, tmp_path):
-    src = write_lines(tmp_path, "BaseNivel.csv", [
+    src = write_lines(tmp_path, "levels.csv", [
         "Nível%Descrição Nível%Tempo no Nível%Outro",
         "JA%Estagiário%1%x", "DB%Analista%3%x", "ID%Gerente%5%x", "ZZ%Presidente%9%x",
         "JE%Diretor%8%x",
@@ -205,7 +205,7 @@ def test_pq_job_with_repeated_headers(spark, tmp_path):
     values[names.index("Data de Contratacao")] = serial(dt.date(2021, 3, 15))
     values[names.index("Data de Demissao")] = ""
     values[17], values[43], values[51] = "OPV", "Diretor", "JE"
-    src = write_lines(tmp_path, "BasePQ.csv", [";".join(names), ";".join(values)])
+    src = write_lines(tmp_path, "partner_staff.csv", [";".join(names), ";".join(values)])
     res = jobs.silver_pq(spark, src, str(tmp_path / "basepq"), str(tmp_path / "vault"), SECRET)
     r = res.silver.first()
     assert (r["responsible_position"], r["level_description"], r["level"]) == ("OPV", "Diretor", "JE")
