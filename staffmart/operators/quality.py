@@ -136,33 +136,57 @@ def assert_quality(rows: list[dict]) -> list[dict]:
     return rows
 
 
-def failed_rules(rules: Sequence[Rule]) -> Column:
-    """Comma-separated labels of the row rules a row breaks ('' if none)."""
-    return F.concat_ws(",", *[F.when(r.fails(), F.lit(r.label)) for r in rules if r.is_row_rule])
+def _flag(i: int) -> str:
+    return f"__fail{i}"
 
 
-def split_quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
-    """(passing rows, failing rows + ``_failed_rules``).
+def label_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """``df`` plus one failure flag per rule and ``_failed_rules``.
 
-    Uniqueness offenders are found with a per-key count joined back on the
-    key; adaptive skew-join handling splits a hot key's side.
+    Row rules are plain projections. Each uniqueness rule adds one
+    ``groupBy(key).count()`` (partial aggregation first) whose duplicate keys
+    are joined back on the key; adaptive skew-join handling splits a hot
+    key's side. Labels list row rules first, then uniqueness rules.
     """
-    labelled = df.withColumn(FAILED_COLUMN, failed_rules(rules))
-    for r in rules:
+    out = df
+    for i, r in enumerate(rules):
         if r.is_row_rule:
+            out = out.withColumn(_flag(i), r.fails())
             continue
-        dup_flag = f"__dup_{r.column}"
         dups = (df.where(F.col(r.column).isNotNull())
                 .groupBy(r.column).agg(F.count(F.lit(1)).alias("__n"))
                 .where(F.col("__n") > 1)
-                .select(F.col(r.column), F.lit(True).alias(dup_flag)))
-        labelled = (labelled.join(dups, on=r.column, how="left")
-                    .withColumn(FAILED_COLUMN, F.concat_ws(
-                        ",", F.nullif(F.col(FAILED_COLUMN), F.lit("")),
-                        F.when(F.col(dup_flag), F.lit(r.label))))
-                    .drop(dup_flag))
+                .select(F.col(r.column), F.lit(True).alias(_flag(i))))
+        out = (out.join(dups, on=r.column, how="left")
+               .withColumn(_flag(i), F.coalesce(F.col(_flag(i)), F.lit(False))))
+    order = ([i for i, r in enumerate(rules) if r.is_row_rule]
+             + [i for i, r in enumerate(rules) if not r.is_row_rule])
+    return out.withColumn(FAILED_COLUMN, F.concat_ws(
+        ",", *[F.when(F.col(_flag(i)), F.lit(rules[i].label)) for i in order]))
+
+
+def report_from_labels(labelled: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """The quality report from ``label_rows`` output, in one aggregate."""
+    aggs = []
+    for i, r in enumerate(rules):
+        aggs.append(F.count_if(r.evaluated()).alias(f"e{i}"))
+        aggs.append(F.count_if(F.col(_flag(i))).alias(f"u{i}"))
+    rows = F.array(*[_report_row(r, F.col(f"e{i}"), F.col(f"u{i}")) for i, r in enumerate(rules)])
+    return (labelled.agg(*aggs).select(F.inline(rows))
+            .withColumn("success", F.col("unexpected") == F.lit(0)))
+
+
+def split_labelled(labelled: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
+    """(passing rows, failing rows + ``_failed_rules``) from ``label_rows``."""
+    flags = [_flag(i) for i in range(len(rules))]
     bad = F.col(FAILED_COLUMN) != F.lit("")
-    return labelled.filter(~bad).drop(FAILED_COLUMN), labelled.filter(bad)
+    return (labelled.filter(~bad).drop(FAILED_COLUMN, *flags),
+            labelled.filter(bad).drop(*flags))
+
+
+def split_quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
+    """(passing rows, failing rows + ``_failed_rules``)."""
+    return split_labelled(label_rows(df, rules), rules)
 
 
 def assert_column_types(df: DataFrame, expected: dict[str, T.DataType]) -> None:

@@ -155,9 +155,11 @@ def shape_customers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 def quarantine_customers(typed: DataFrame, rejected: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows passing every customer rule, all rejected rows as JSON + reason)."""
     passing, failing = quality.split_quarantine(typed, CUSTOMER_RULES)
-    failed_json = failing.select(F.to_json(F.struct(*typed.columns)).alias("row"),
-                                 F.col(quality.FAILED_COLUMN))
-    return passing, rejected.unionByName(failed_json)
+    return passing, rejected.unionByName(_failed_as_json(failing, typed.columns))
+
+
+def _failed_as_json(failing: DataFrame, columns: list[str]) -> DataFrame:
+    return failing.select(F.to_json(F.struct(*columns)).alias("row"), F.col(quality.FAILED_COLUMN))
 
 
 def silver_customers(spark: SparkSession, src: str, out: str, run_ts: str | None = None,
@@ -177,8 +179,10 @@ def silver_customers(spark: SparkSession, src: str, out: str, run_ts: str | None
     fixed = realign_customers(raw).persist(StorageLevel.MEMORY_AND_DISK)
     typed, rejected = split_customers(fixed)
     try:
-        rows = quality.collect_report(quality.quality_report(typed, CUSTOMER_RULES))
-        passing, all_rejected = quarantine_customers(typed, rejected)
+        labelled = quality.label_rows(typed, CUSTOMER_RULES)
+        rows = quality.collect_report(quality.report_from_labels(labelled, CUSTOMER_RULES))
+        passing, failing = quality.split_labelled(labelled, CUSTOMER_RULES)
+        all_rejected = rejected.unionByName(_failed_as_json(failing, typed.columns))
         n_bad = _write_quarantine(all_rejected, quarantine, run_ts)
         if strict:
             quality.assert_quality(rows)
@@ -236,10 +240,14 @@ def silver_employees(spark: SparkSession, src: str, out: str, vault_out: str,
     run_ts = run_ts or run_timestamp()
     raw = read_delimited(spark, src, E.EMPLOYEES_SEP)
     staged = shape_employees(raw, as_of).persist(StorageLevel.MEMORY_AND_DISK)
+    rules = employee_rules(as_of)
+    # One labelled frame (one shuffle per uniqueness rule) feeds the report,
+    # the quarantine and the silver write.
+    labelled = quality.label_rows(staged, rules).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rules = employee_rules(as_of)
-        rows = quality.collect_report(quality.quality_report(staged, rules))
-        passing, failing = quality.split_quarantine(staged, rules)
+        rows = quality.collect_report(quality.report_from_labels(labelled, rules))
+        staged.unpersist()
+        passing, failing = quality.split_labelled(labelled, rules)
         if quarantine is not None:
             bad = privacy.pseudonymize(failing, E.TOKENS, secret).drop(*E.CLEAR_COLUMNS)
             n_bad = _write_quarantine(bad, quarantine, run_ts)
@@ -251,6 +259,7 @@ def silver_employees(spark: SparkSession, src: str, out: str, vault_out: str,
         public = _protect(typed, secret, vault_out, run_ts)
         write_by_month(public, "hire_date", out, run_ts)
     finally:
+        labelled.unpersist()
         staged.unpersist()
     return JobResult(read_table(spark, out), rows, n_bad)
 

@@ -71,3 +71,12 @@ def test_schema_assertion_needs_no_job(spark):
         quality.assert_column_types(df, {"d": T.DateType()})
     quality.assert_column_types(df.select(F.col("d").try_cast("date").alias("d")),
                                 {"d": T.DateType()})
+
+
+def test_report_from_labels_equals_one_pass_report(people):
+    def as_set(df):
+        return {(r["rule"], r["column_name"], r["evaluated"], r["unexpected"], r["success"])
+                for r in df.collect()}
+    labelled = quality.label_rows(people, RULES)
+    assert as_set(quality.report_from_labels(labelled, RULES)) == \
+        as_set(quality.quality_report(people, RULES))
