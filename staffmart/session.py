@@ -1,9 +1,10 @@
 """Session construction and the shared scratch area.
 
-On a cluster the session is built by ``spark-submit``; ``get_session`` only
-fills in settings that are still unset. Intermediate tables go under the
-shared folder named by ``spark.checkpoint.dir``; a private folder is created
-only when that setting is absent (local runs and tests).
+``get_session`` only fills in settings that were not given explicitly or by
+the submit; partition counts and memory defaults apply to local masters
+only. Intermediate tables go under the shared folder named by
+``spark.checkpoint.dir``; a private folder is created only when that setting
+is absent on a local master (tests, local runs).
 """
 
 from __future__ import annotations
@@ -14,30 +15,49 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Defaults for a local run; a cluster submit overrides every one of them.
-LOCAL_DEFAULTS = {
+# Settings applied to every session unless given explicitly (here or by the
+# submit): adaptive execution with skew handling, UTC session clock. The UI
+# is off unless asked for.
+SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+}
+STATIC_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+}
+# Only for local masters (tests, bench): partitions sized to the cores and a
+# driver heap for single-JVM runs. A cluster keeps its own values.
+LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
+}
+LOCAL_STATIC_DEFAULTS = {
     "spark.driver.memory": "8g",
 }
 
 
 def get_session(app: str = "staffmart", master: str | None = None,
                 conf: dict[str, str] | None = None) -> SparkSession:
+    explicit = dict(conf or {})
     builder = SparkSession.builder.appName(app)
+    static = dict(STATIC_DEFAULTS)
     if master:
         builder = builder.master(master)
-    settings = dict(LOCAL_DEFAULTS)
-    settings.update(conf or {})
-    for key, value in settings.items():
+        if master.startswith("local"):
+            static.update(LOCAL_STATIC_DEFAULTS)
+    for key, value in {**static, **explicit}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    submitted = spark.sparkContext.getConf()
+    runtime = dict(SESSION_DEFAULTS)
+    if spark.sparkContext.master.startswith("local"):
+        runtime.update(LOCAL_DEFAULTS)
+    for key, value in runtime.items():
+        if key not in explicit and not submitted.contains(key):
+            spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
