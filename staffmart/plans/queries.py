@@ -32,7 +32,7 @@ from staffmart.functions.temporal import (
 )
 from staffmart.functions.text import correct, strip_leading, title_case
 from staffmart.operators import filters, marts, privacy, quality, repair, shape
-from staffmart.plans.jobs import MART_SPECS, build_mart
+from staffmart.plans.jobs import MART_SPECS, build_mart, gold
 from staffmart.session import scratch_path
 from staffmart.sources import (
     read_delimited,
@@ -166,6 +166,64 @@ def generation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
                         marts.HEADCOUNT)
 
 
+GOLD_LONG = ["mart", "region", "level_description", "generation", "area",
+             marts.HEADCOUNT, marts.MEAN_YEARS]
+
+
+def gold_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold job itself (``jobs.gold``) on silver tables derived from the
+    driver tables, its five written marts returned as one long table.
+
+    Silver employees: one row per line item (token of the ordering customer,
+    the customer's nation as postal code, the part as position, part size as
+    age, spell from order date to ship date), written month-partitioned by
+    hire date. Silver postal: nation ⟕ region. Silver positions: part.
+    """
+    spells = marts.lookup(
+        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linestatus",
+                                                "l_shipdate"),
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"),
+        "l_orderkey", "o_orderkey")
+    spells = marts.lookup(spells, table(spark, sf_dir, "part").select("p_partkey", "p_size"),
+                          "l_partkey", "p_partkey")
+    # People are tokenised on their own table (one hash per person, not per
+    # spell) and the token joins the spells with the person's postal code.
+    people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    people = privacy.pseudonymize(people, {"c_custkey": "cpf_encrypted"}, SECRET)
+    spells = marts.lookup(spells, people, "o_custkey", "c_custkey")
+    end = F.when(F.col("l_linestatus") == F.lit("O"), F.lit(None)).otherwise(F.col("l_shipdate"))
+    hire = F.col("o_orderdate").cast("date")
+    employees = spells.select(
+        "cpf_encrypted", F.col("c_nationkey").cast("string").alias("cep"),
+        F.col("l_partkey").cast("string").alias("position"), hire.alias("hire_date"),
+        tenure_days(hire, end.cast("date"), AS_OF).alias("time_on_job"),
+        F.col("p_size").alias("person_age"))
+    postal = region_dimension(spark, sf_dir).select(
+        F.col("n_nationkey").cast("string").alias("cep"), "state", "region")
+    none = F.lit(None).cast("string")
+    positions = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("level"),
+        F.col("p_brand").alias("level_description"), F.col("p_type").alias("area"),
+        none.alias("cod_area"), none.alias("cod_level"), none.alias("quadro"),
+        none.alias("bonus"))
+    paths = {n: scratch_path(spark, f"silver_{n}") for n in ("employees", "postal", "positions")}
+    write_by_month(employees, "hire_date", paths["employees"])
+    write_table(postal, paths["postal"])
+    write_table(positions, paths["positions"])
+    out = gold(spark, paths["postal"], paths["employees"], paths["positions"],
+               scratch_path(spark, "golden"))
+    long = None
+    for name, mart in out.items():
+        cols = [F.lit(name).alias("mart")]
+        for c in GOLD_LONG[1:]:
+            dtype = "bigint" if c == marts.HEADCOUNT else "double" if c == marts.MEAN_YEARS \
+                else "string"
+            cols.append((F.col(c) if c in mart.columns else F.lit(None)).cast(dtype).alias(c))
+        part = mart.select(*cols)
+        long = part if long is None else long.unionByName(part)
+    return long
+
+
 # ------------------------------------------------------------ date functions
 
 def generation_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -488,6 +546,7 @@ QUERIES: dict[str, Query] = {
     "tenure_by_generation_level": _gold("generation_average_time_on_job"),
     "tenure_by_generation_area": _gold("area_generation_average_time_on_job"),
     "generation_region": generation_region,
+    "gold_job": gold_job,
     "generation_bands": generation_bands,
     "age_full_years": age_full_years,
     "excel_serial_dates": excel_serial_dates,
@@ -710,3 +769,40 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS D
 FROM orders""",
 }
 ORACLE_SQL["stamped_mart"] = ORACLE_SQL["region_headcount"]
+
+
+def _gold_job_sql() -> str:
+    def mart(name, keys, measure):
+        cols = []
+        for c in ("region", "level_description", "generation", "area"):
+            cols.append(c if c in keys else f"CAST(NULL AS VARCHAR) AS {c}")
+        if measure == "headcount":
+            m = ("count(DISTINCT cpf_encrypted) AS total_employees, "
+                 "CAST(NULL AS DOUBLE) AS average_time_on_job_in_years")
+        else:
+            m = f"CAST(NULL AS BIGINT) AS total_employees, {_MEAN}"
+        return (f"SELECT '{name}' AS mart, {', '.join(cols)}, {m} FROM fact "
+                f"GROUP BY {', '.join(keys)}")
+    parts = [mart(n, by, measure) for n, (measure, by) in MART_SPECS.items()]
+    return f"""WITH emp AS (
+  SELECT sha256('{SECRET}' || CAST(c.c_custkey AS VARCHAR)) AS cpf_encrypted,
+         CAST(c.c_nationkey AS VARCHAR) AS cep, CAST(l.l_partkey AS VARCHAR) AS position,
+         date_diff('day', CAST(o.o_orderdate AS DATE),
+                   COALESCE(CAST(CASE WHEN l.l_linestatus = 'O' THEN NULL ELSE l.l_shipdate END
+                                 AS DATE), DATE '{AS_OF}')) AS time_on_job,
+         p.p_size AS person_age
+  FROM lineitem l
+  LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN part p ON l.l_partkey = p.p_partkey
+  LEFT JOIN customer c ON o.o_custkey = c.c_custkey),
+postal AS (SELECT DISTINCT CAST(n_nationkey AS VARCHAR) AS cep, state, region FROM {_REGION_DIM}),
+pos AS (SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS level, p_brand AS level_description,
+               p_type AS area FROM part),
+fact AS (
+  SELECT e.cpf_encrypted, e.time_on_job, postal.region, pos.level_description, pos.area,
+         {_generation_sql('e.person_age')} AS generation
+  FROM emp e LEFT JOIN postal ON e.cep = postal.cep LEFT JOIN pos ON e.position = pos.level)
+""" + "\nUNION ALL\n".join(parts)
+
+
+ORACLE_SQL["gold_job"] = _gold_job_sql()
