@@ -66,18 +66,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
     Reads ``spark.checkpoint.dir`` (or a directory already set on the
-    context); only when neither exists does it create a private one, which is
-    what happens in tests on a single machine.
+    context); only when neither exists on a local master does it create a
+    private one, which is what happens in tests on a single machine. Works
+    with classic and Spark Connect sessions (no context on the latter).
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no context
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="staffmart-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
