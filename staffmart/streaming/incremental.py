@@ -14,6 +14,7 @@ scheduled-run replacement); ``trigger="<n> seconds"`` keeps polling.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,7 +22,12 @@ from pyspark.sql.streaming import StreamingQuery
 from staffmart.operators import quality, repair
 from staffmart.operators import shape as shape_ops
 from staffmart.plans import entities as E
-from staffmart.plans.jobs import quarantine_customers, shape_customers, shape_positions
+from staffmart.plans.jobs import (
+    quarantine_customers,
+    realign_customers,
+    shape_positions,
+    split_customers,
+)
 from staffmart.sources.delimited import overflow_names, string_schema
 from staffmart.sources.sinks import stamp, with_month_columns
 
@@ -46,23 +52,32 @@ def _append_batch(df: DataFrame, path: str, batch_id: int, partition_cols: list[
 
 def customers_batch(out: str, quarantine: str):
     def run(batch: DataFrame, batch_id: int) -> None:
-        typed, rejected = shape_customers(batch)
-        passing, all_rejected = quarantine_customers(typed, rejected)
-        _append_batch(stamp(all_rejected), quarantine, batch_id, [])
-        dated = with_month_columns(stamp(passing), "contract_start_date")
-        _append_batch(dated, out, batch_id,
-                      ["year_contract_start_date", "month_contract_start_date"])
+        # Two sinks read the batch: cache it once after the realignment.
+        fixed = realign_customers(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            typed, rejected = split_customers(fixed)
+            passing, all_rejected = quarantine_customers(typed, rejected)
+            _append_batch(stamp(all_rejected), quarantine, batch_id, [])
+            dated = with_month_columns(stamp(passing), "contract_start_date")
+            _append_batch(dated, out, batch_id,
+                          ["year_contract_start_date", "month_contract_start_date"])
+        finally:
+            fixed.unpersist()
     return run
 
 
 def positions_batch(out: str, quarantine: str):
     def run(batch: DataFrame, batch_id: int) -> None:
-        shaped = shape_positions(batch)
-        ok = F.col(repair.STATUS_COLUMN) != F.lit(repair.UNREPAIRED)
-        silver = shape_ops.rename(shaped.filter(ok), E.POSITIONS_RENAME).drop(repair.STATUS_COLUMN)
-        _append_batch(stamp(silver), out, batch_id, [])
-        _append_batch(stamp(shaped.filter(~ok).withColumn(
-            quality.FAILED_COLUMN, F.lit("unrepairable shift"))), quarantine, batch_id, [])
+        shaped = shape_positions(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            ok = F.col(repair.STATUS_COLUMN) != F.lit(repair.UNREPAIRED)
+            silver = (shape_ops.rename(shaped.filter(ok), E.POSITIONS_RENAME)
+                      .drop(repair.STATUS_COLUMN))
+            _append_batch(stamp(silver), out, batch_id, [])
+            _append_batch(stamp(shaped.filter(~ok).withColumn(
+                quality.FAILED_COLUMN, F.lit("unrepairable shift"))), quarantine, batch_id, [])
+        finally:
+            shaped.unpersist()
     return run
 
 

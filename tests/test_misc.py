@@ -63,3 +63,13 @@ def test_hot_key_holding_a_third_of_rows(spark):
     means = marts.mean_years(df, ["region"], "days").filter("region = 'Hot'").first()
     expected = sum(i % 100 for i in range(0, n, 3)) / ((n // 3) * 365.25)
     assert means["average_time_on_job_in_years"] == expected
+
+
+def test_cli_runs_a_job(spark, tmp_path):
+    from conftest import write_lines
+    src = write_lines(tmp_path, "positions.csv", [
+        "Cargo;Nível;Área;COD Área;COD Nível;Quadro;Bonus;Contratacao",
+        "LOIV;;Gerente;Logísitca;EDE;ID;Efetivo;S;Diretoria"])
+    out = str(tmp_path / "silver")
+    assert cli.main(["silver", "positions", "--src", src, "--out", out]) == 0
+    assert spark.read.parquet(out).first()["area"] == "Logística"
