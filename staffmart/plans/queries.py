@@ -219,8 +219,8 @@ def gold_job(spark: SparkSession, sf_dir: str) -> DataFrame:
             dtype = "bigint" if c == marts.HEADCOUNT else "double" if c == marts.MEAN_YEARS \
                 else "string"
             cols.append((F.col(c) if c in mart.columns else F.lit(None)).cast(dtype).alias(c))
-        part = mart.select(*cols)
-        long = part if long is None else long.unionByName(part)
+        piece = mart.select(*cols)
+        long = piece if long is None else long.unionByName(piece)
     return long
 
 
