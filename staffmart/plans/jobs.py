@@ -303,18 +303,22 @@ MART_COLUMNS = ["cpf_encrypted", "time_on_job", "region", "level_description", "
 
 
 def build_mart(fact: DataFrame, name: str, id_column: str = "cpf_encrypted",
-               days_column: str = "time_on_job") -> DataFrame:
+               days_column: str = "time_on_job", approx_rsd: float | None = None) -> DataFrame:
+    """One mart; ``approx_rsd`` switches headcounts to mergeable sketches."""
     measure, by = MART_SPECS[name]
     if measure == "headcount":
-        return marts.ranked(marts.headcount(fact, by, id_column), marts.HEADCOUNT)
+        return marts.ranked(marts.headcount(fact, by, id_column, approx_rsd=approx_rsd),
+                            marts.HEADCOUNT)
     return marts.ranked(marts.mean_years(fact, by, days_column), marts.MEAN_YEARS)
 
 
 def build_marts(fact: DataFrame, id_column: str = "cpf_encrypted",
-                days_column: str = "time_on_job") -> dict[str, DataFrame]:
+                days_column: str = "time_on_job",
+                approx_rsd: float | None = None) -> dict[str, DataFrame]:
     """The five marts from an enriched fact with ``region``,
     ``level_description``, ``area`` and ``generation`` columns."""
-    return {name: build_mart(fact, name, id_column, days_column) for name in MART_SPECS}
+    return {name: build_mart(fact, name, id_column, days_column, approx_rsd)
+            for name in MART_SPECS}
 
 
 def enrich_employees(employees: DataFrame, postal: DataFrame, positions: DataFrame) -> DataFrame:
@@ -328,7 +332,10 @@ def enrich_employees(employees: DataFrame, postal: DataFrame, positions: DataFra
 
 
 def gold(spark: SparkSession, postal_path: str, employees_path: str, positions_path: str,
-         out_root: str, run_ts: str | None = None) -> dict[str, DataFrame]:
+         out_root: str, run_ts: str | None = None,
+         approx_rsd: float | None = None) -> dict[str, DataFrame]:
+    """Silver -> the five marts. Headcounts are exact unless ``approx_rsd``
+    is given (HyperLogLog++ with that relative error)."""
     run_ts = run_ts or run_timestamp()
     fact = enrich_employees(read_table(spark, employees_path),
                             read_table(spark, postal_path),
@@ -337,7 +344,7 @@ def gold(spark: SparkSession, postal_path: str, employees_path: str, positions_p
     fact = fact.select(*MART_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         outputs = {}
-        for name, mart in build_marts(fact).items():
+        for name, mart in build_marts(fact, approx_rsd=approx_rsd).items():
             path = os.path.join(out_root, name)
             write_table(mart, path, run_ts)
             outputs[name] = read_table(spark, path)
