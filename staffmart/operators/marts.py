@@ -2,9 +2,9 @@
 
 Dimensions are narrowed to the needed columns and made distinct *before* the
 join, so duplicate dimension rows cannot fan out the fact and the wide fact
-is never de-duplicated. A dimension is broadcast explicitly only when its
-size is bounded by construction (``bounded=True``); otherwise the planner's
-size checks decide — the static ``autoBroadcastJoinThreshold`` on the
+is never de-duplicated. A dimension is broadcast explicitly only after a
+row-count check against a bound (``max_broadcast_rows``); otherwise the
+planner's size checks decide — the static ``autoBroadcastJoinThreshold`` on the
 estimated size and, at runtime, adaptive execution on the measured size —
 and a sort-merge join is used beyond them.
 
@@ -31,15 +31,27 @@ def narrow_dimension(dim: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None,
-           bounded: bool = False, how: str = "left") -> DataFrame:
+           max_broadcast_rows: int | None = None, how: str = "left") -> DataFrame:
     """Left join a dimension. Same key name: one key column is kept; different
-    names: both are kept."""
-    side = F.broadcast(dim) if bounded else dim
+    names: both are kept.
+
+    ``max_broadcast_rows``: broadcast the dimension only after checking that
+    it has at most that many rows (a job that reads at most n + 1 rows);
+    beyond the bound, or without one, the planner's size checks decide.
+    """
+    side = dim
+    if max_broadcast_rows is not None and fits(dim, max_broadcast_rows):
+        side = F.broadcast(dim)
     if dim_key is None or dim_key == fact_key:
         return fact.join(side, on=fact_key, how=how)
     return fact.join(side, fact[fact_key] == side[dim_key], how=how)
 
 
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def headcount(df: DataFrame, by: Sequence[str], id_column: str,
               alias: str = HEADCOUNT, approx_rsd: float | None = None) -> DataFrame:
     """Distinct non-null ids per group (a NULL group key is its own group).

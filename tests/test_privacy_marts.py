@@ -57,3 +57,21 @@ def test_approximate_headcount_is_close(spark):
     assert set(exact) == set(approx)
     for g, n in exact.items():
         assert abs(approx[g] - n) <= 0.05 * n
+
+
+def test_broadcast_only_after_a_size_check(spark, capsys):
+    fact = spark.range(100).selectExpr("id % 3 AS k", "id")
+    dim = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k long, name string")
+    assert marts.fits(dim, 3) and not marts.fits(dim, 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        marts.lookup(fact, dim, "k", max_broadcast_rows=10).explain()
+        small = capsys.readouterr().out
+        marts.lookup(fact, dim, "k", max_broadcast_rows=2).explain()
+        large = capsys.readouterr().out
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in small
+    assert "BroadcastHashJoin" not in large and "SortMergeJoin" in large
