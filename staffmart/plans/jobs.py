@@ -321,13 +321,21 @@ def build_marts(fact: DataFrame, id_column: str = "cpf_encrypted",
             for name in MART_SPECS}
 
 
-def enrich_employees(employees: DataFrame, postal: DataFrame, positions: DataFrame) -> DataFrame:
+# Dimensions up to this many rows are broadcast after a count check (a
+# country's postal codes and a position catalogue fit comfortably); larger
+# ones are joined by the planner's choice, sort-merge beyond its thresholds.
+DIMENSION_BROADCAST_ROWS = 1_000_000
+
+
+def enrich_employees(employees: DataFrame, postal: DataFrame, positions: DataFrame,
+                     max_broadcast_rows: int | None = DIMENSION_BROADCAST_ROWS) -> DataFrame:
     """Employees with region (by cep) and level/area (by position code)."""
     fact = employees.select("cpf_encrypted", "cep", "position", "time_on_job", "person_age")
-    fact = marts.lookup(fact, marts.narrow_dimension(postal, ["cep", "state", "region"]), "cep")
+    cep = marts.narrow_dimension(postal, ["cep", "state", "region"])
+    fact = marts.lookup(fact, cep, "cep", max_broadcast_rows=max_broadcast_rows)
     pos = marts.narrow_dimension(positions, ["level", "level_description", "area", "cod_area",
                                              "cod_level", "quadro", "bonus"])
-    fact = marts.lookup(fact, pos, "position", "level")
+    fact = marts.lookup(fact, pos, "position", "level", max_broadcast_rows=max_broadcast_rows)
     return fact.withColumn("generation", generation("person_age"))
 
 
