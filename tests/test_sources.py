@@ -81,3 +81,16 @@ def test_month_partitioned_write_sorted_within_files(spark, tmp_path):
     back = read_table(spark, out)
     assert back.count() == 50
     assert sorted(r["id"] for r in back.collect()) == list(range(50))
+
+
+def test_every_part_file_may_carry_a_header(spark, tmp_path):
+    d = tmp_path / "parts"
+    for i in range(3):
+        write_lines(d, f"part-{i}.csv", ["Cargo;Nível", f"C{i};Analista", f"D{i};Gerente"])
+    df = read_delimited(spark, str(d), ";", ["Cargo", "Nível"])
+    assert sorted(r["Cargo"] for r in df.collect()) == ["C0", "C1", "C2", "D0", "D1", "D2"]
+    p = tmp_path / "pipes"
+    for i in range(3):
+        write_lines(p, f"part-{i}.txt", ["CEP|Estado|Região", f"{i}||SP|Sudeste"])
+    back = read_header_split(spark, str(p), "|", ["CEP", "Estado", "Região"])
+    assert sorted(tuple(r) for r in back.collect()) == [(str(i), "SP", "Sudeste") for i in range(3)]
