@@ -73,3 +73,29 @@ def test_cli_runs_a_job(spark, tmp_path):
     out = str(tmp_path / "silver")
     assert cli.main(["silver", "positions", "--src", src, "--out", out]) == 0
     assert spark.read.parquet(out).first()["area"] == "Logística"
+
+
+def test_hot_join_key_is_split_by_adaptive_execution(spark, capsys):
+    """A join key holding a third of the fact: the lookup's sort-merge join
+    is eligible for adaptive skew handling, which splits the hot partition."""
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(30_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 997).alias("k"), "id")
+        dim = spark.range(997).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+        df = marts.lookup(fact, dim, "k")
+        rows = df.collect()
+        df.explain()
+        plan = capsys.readouterr().out
+    finally:
+        for k in confs:
+            spark.conf.unset(k)
+    assert len(rows) == 30_000 and sum(1 for r in rows if r["k"] == 0) == 10_000
+    assert "SortMergeJoin(skew=true)" in plan
