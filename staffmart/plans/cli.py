@@ -8,6 +8,8 @@
         --as-of 2024-01-01
     spark-submit staffmart/plans/cli.py gold --postal silver/base_cep \\
         --employees silver/base_funcionarios --positions silver/base_cargos --out golden
+    spark-submit --conf spark.staffmart.pseudonym.secret=... staffmart/plans/cli.py all \\
+        --input raw/ --output lake/ --as-of 2024-01-01
 
 All paths are arguments (no working-directory assumptions); the token
 secret comes from the Spark conf, never from a file next to the job.
@@ -43,6 +45,11 @@ def parse(argv: list[str]) -> argparse.Namespace:
     g = sub.add_parser("gold")
     for name in ("postal", "employees", "positions", "out"):
         g.add_argument(f"--{name}", required=True)
+    a = sub.add_parser("all", help="every silver job with an input present, then gold")
+    a.add_argument("--input", required=True)
+    a.add_argument("--output", required=True)
+    a.add_argument("--as-of", default=None)
+    a.add_argument("--lenient", action="store_true")
     return p.parse_args(argv)
 
 
@@ -54,6 +61,10 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     as_of = args.as_of or date.today().isoformat()
     strict = not args.lenient
+    if args.command == "all":
+        secret = secret_from_conf(spark)
+        jobs.run_all(spark, args.input, args.output, as_of, secret, strict)
+        return 0
     e = args.entity
     if e == "positions":
         jobs.silver_positions(spark, args.src, args.out, quarantine=args.quarantine)

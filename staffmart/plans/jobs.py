@@ -360,3 +360,54 @@ def gold(spark: SparkSession, postal_path: str, employees_path: str, positions_p
         fact.unpersist()
     return outputs
 
+
+
+# ------------------------------------------------------------------ full run
+
+# Raw file name per entity inside the input folder, and the output layout.
+INPUT_FILES = {"positions": "positions.csv", "postal": "postal.csv",
+               "customers": "customers.csv", "employees": "employees.csv",
+               "levels": "levels.csv", "partner_staff": "partner_staff.csv"}
+
+
+def run_all(spark: SparkSession, input_dir: str, output_dir: str, as_of: date | str,
+            secret: str, strict: bool = True, run_ts: str | None = None) -> dict[str, object]:
+    """Every silver job whose raw file is present, then the gold job.
+
+    Layout under ``output_dir``: ``silver/<entity>``, ``quarantine/<entity>``,
+    ``vault/<entity>`` (clear identifiers, restricted) and ``gold/<mart>``.
+    The silver jobs are independent; gold needs postal, employees and
+    positions. One ``created_at`` stamp for the whole run.
+    """
+    run_ts = run_ts or run_timestamp()
+
+    def raw(entity: str) -> str | None:
+        path = os.path.join(input_dir, INPUT_FILES[entity])
+        return path if os.path.exists(path) else None
+
+    def out(kind: str, entity: str) -> str:
+        return os.path.join(output_dir, kind, entity)
+
+    done: dict[str, object] = {}
+    if raw("positions"):
+        done["positions"] = silver_positions(spark, raw("positions"), out("silver", "positions"),
+                                             run_ts, out("quarantine", "positions"))
+    if raw("postal"):
+        done["postal"] = silver_postal(spark, raw("postal"), out("silver", "postal"), run_ts)
+    if raw("customers"):
+        done["customers"] = silver_customers(spark, raw("customers"), out("silver", "customers"),
+                                             run_ts, out("quarantine", "customers"), strict)
+    if raw("employees"):
+        done["employees"] = silver_employees(spark, raw("employees"), out("silver", "employees"),
+                                             out("vault", "employees"), as_of, secret, run_ts,
+                                             out("quarantine", "employees"), strict)
+    if raw("levels"):
+        done["levels"] = silver_levels(spark, raw("levels"), out("silver", "levels"), run_ts)
+    if raw("partner_staff"):
+        done["partner_staff"] = silver_pq(spark, raw("partner_staff"),
+                                          out("silver", "partner_staff"),
+                                          out("vault", "partner_staff"), secret, run_ts)
+    if all(k in done for k in ("postal", "employees", "positions")):
+        done["gold"] = gold(spark, out("silver", "postal"), out("silver", "employees"),
+                            out("silver", "positions"), os.path.join(output_dir, "gold"), run_ts)
+    return done

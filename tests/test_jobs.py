@@ -242,3 +242,23 @@ def test_gold_job(spark, tmp_path):
     assert gr == {("Centro - Oeste", "Millennial"): 1, ("Centro - Oeste", "Gen X"): 1,
                   ("Nordeste", "Gen Z"): 1, (None, "Boomer"): 1}
     assert "created_at" in out["generation_average_time_on_job"].columns
+
+
+def test_run_all(spark, tmp_path):
+    inp = tmp_path / "raw"
+    write_lines(inp, "positions.csv", POSITIONS)
+    write_lines(inp, "postal.csv", POSTAL)
+    write_lines(inp, "customers.csv", CUSTOMERS)
+    employee_file(inp, CLEAN_PEOPLE)                          # writes employees.csv
+    write_lines(inp, "levels.csv", ["Nível%Descrição Nível%Tempo no Nível", "JA%Estagiário%1"])
+    out = tmp_path / "lake"
+    done = jobs.run_all(spark, str(inp), str(out), AS_OF, SECRET)
+    assert set(done) == {"positions", "postal", "customers", "employees", "levels", "gold"}
+    for entity in ("positions", "postal", "customers", "employees", "levels"):
+        assert os.path.isdir(out / "silver" / entity)
+    assert os.path.isdir(out / "vault" / "employees")
+    region = {r["region"]: r["total_employees"] for r in done["gold"]["region"].collect()}
+    assert region == {"Centro - Oeste": 2, "Nordeste": 1, None: 1}
+    stamps = {read_table(spark, str(out / "silver" / e)).select("created_at").first()[0]
+              for e in ("positions", "postal", "levels")}
+    assert len(stamps) == 1                                   # one stamp for the whole run
