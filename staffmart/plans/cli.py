@@ -1,13 +1,13 @@
 """Command line for the jobs, e.g. with ``spark-submit``::
 
     spark-submit --py-files staffmart.zip staffmart/plans/cli.py silver positions \\
-        --src raw/positions.csv --out silver/base_cargos
+        --src raw/positions.csv --out lake/silver/positions
     spark-submit --conf spark.staffmart.pseudonym.secret=... \\
         staffmart/plans/cli.py silver employees --src raw/employees.csv \\
-        --out silver/base_funcionarios --vault security_zone/anonymization_employees \\
+        --out lake/silver/employees --vault lake/vault/employees \\
         --as-of 2024-01-01
-    spark-submit staffmart/plans/cli.py gold --postal silver/base_cep \\
-        --employees silver/base_funcionarios --positions silver/base_cargos --out golden
+    spark-submit staffmart/plans/cli.py gold --postal lake/silver/postal \\
+        --employees lake/silver/employees --positions lake/silver/positions --out lake/gold
     spark-submit --conf spark.staffmart.pseudonym.secret=... staffmart/plans/cli.py all \\
         --input raw/ --output lake/ --as-of 2024-01-01
 
