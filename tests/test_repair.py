@@ -117,3 +117,30 @@ def test_realign_undoes_a_single_shift(spark, rows):
     df = spark.createDataFrame(shifted, "a string, b string, c string, d string, _c4 string")
     out = repair.realign(df, cols, ["_c4"]).select(*cols)
     assert sorted(tuple(r) for r in out.collect()) == sorted(tuple(r[:4]) for r in rows)
+
+
+def cascade_model(row):
+    """Plain-Python statement of the ordered cascade: for each neighbour pair
+    in turn, fill the left cell from the right one, then clear the right cell
+    when it repeats the left one."""
+    cells = list(row)
+    for i in range(len(cells) - 1):
+        if cells[i] is None:
+            cells[i] = cells[i + 1]
+        if cells[i + 1] is not None and cells[i + 1] == cells[i]:
+            cells[i + 1] = None
+    return tuple(cells)
+
+
+cell = st.one_of(st.none(), st.sampled_from(["A", "B", "C"]))
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(cell, cell, cell, cell), min_size=1, max_size=15))
+def test_fill_from_right_matches_the_cascade_model(spark, rows):
+    df = spark.createDataFrame(rows, "w string, x string, y string, z string")
+    def key(t):
+        return tuple(map(str, t))
+    got = sorted((tuple(r) for r in repair.fill_from_right(df, ["w", "x", "y", "z"]).collect()),
+                 key=key)
+    assert got == sorted((cascade_model(r) for r in rows), key=key)
