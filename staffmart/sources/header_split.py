@@ -24,15 +24,23 @@ def _squashed(line: Column, sep: str) -> Column:
     return F.regexp_replace(F.regexp_replace(line, "^" + BOM, ""), doubled, sep)
 
 
-def read_header_split(spark: SparkSession, path: str | Sequence[str], sep: str = "|",
-                      names: Sequence[str] | None = None) -> DataFrame:
-    paths = [path] if isinstance(path, str) else list(path)
-    lines = spark.read.text(paths).select(_squashed(F.col("value"), sep).alias("line"))
-    if names is None:
-        first = lines.head()
-        names = first["line"].split(sep) if first else []
+def split_lines(text: DataFrame, sep: str, names: Sequence[str]) -> DataFrame:
+    """Whole lines (column ``value``, as ``spark.read.text`` or
+    ``spark.readStream.text`` give them) to named cells: BOM stripped,
+    doubled separators squashed, header and blank lines dropped."""
+    lines = text.select(_squashed(F.col("value"), sep).alias("line"))
     header_text = sep.join(names)
     cells = F.split(F.col("line"), re.escape(sep))
     return (lines
             .filter((F.col("line") != header_text) & (F.trim(F.col("line")) != ""))
             .select([F.get(cells, i).alias(n) for i, n in enumerate(names)]))
+
+
+def read_header_split(spark: SparkSession, path: str | Sequence[str], sep: str = "|",
+                      names: Sequence[str] | None = None) -> DataFrame:
+    paths = [path] if isinstance(path, str) else list(path)
+    text = spark.read.text(paths)
+    if names is None:
+        first = text.select(_squashed(F.col("value"), sep).alias("line")).head()
+        names = first["line"].split(sep) if first else []
+    return split_lines(text, sep, names)

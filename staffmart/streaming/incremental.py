@@ -29,6 +29,7 @@ from staffmart.plans.jobs import (
     split_customers,
 )
 from staffmart.sources.delimited import overflow_names, string_schema
+from staffmart.sources.header_split import split_lines
 from staffmart.sources.sinks import stamp, with_month_columns
 
 BATCH_COLUMN = "batch_id"
@@ -50,6 +51,13 @@ def _append_batch(df: DataFrame, path: str, batch_id: int, partition_cols: list[
        .partitionBy(BATCH_COLUMN, *partition_cols).parquet(path))
 
 
+def postal_batch(out: str, quarantine: str):
+    def run(batch: DataFrame, batch_id: int) -> None:
+        rows = split_lines(batch, E.POSTAL_SEP, E.POSTAL_COLUMNS)
+        _append_batch(stamp(shape_ops.rename(rows, E.POSTAL_RENAME)), out, batch_id, [])
+    return run
+
+
 def customers_batch(out: str, quarantine: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         # Two sinks read the batch: cache it once after the realignment.
@@ -84,6 +92,8 @@ def positions_batch(out: str, quarantine: str):
 ENTITIES = {
     "customers": (E.CUSTOMERS_COLUMNS, E.CUSTOMERS_OVERFLOW, E.CUSTOMERS_SEP, customers_batch),
     "positions": (E.POSITIONS_COLUMNS, 1, E.POSITIONS_SEP, positions_batch),
+    # Whole lines: the separator is doubled in places, so the file is not CSV.
+    "postal": (None, 0, E.POSTAL_SEP, postal_batch),
 }
 
 
@@ -91,7 +101,13 @@ def ingest(spark: SparkSession, entity: str, src_dir: str, out: str, quarantine:
            checkpoint: str, trigger: str = "available_now",
            max_files_per_trigger: int | None = None) -> StreamingQuery:
     columns, overflow, sep, make_batch = ENTITIES[entity]
-    stream = _raw_stream(spark, src_dir, columns, overflow, sep, max_files_per_trigger)
+    if columns is None:
+        reader = spark.readStream
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        stream = reader.text(src_dir)
+    else:
+        stream = _raw_stream(spark, src_dir, columns, overflow, sep, max_files_per_trigger)
     writer = (stream.writeStream.foreachBatch(make_batch(out, quarantine))
               .option("checkpointLocation", checkpoint))
     if trigger == "available_now":

@@ -41,3 +41,15 @@ def test_position_drops(spark, tmp_path):
     row = spark.read.parquet(out).first()
     assert (row["level_description"], row["area"], row["hiring"]) == ("Gerente", "Logística",
                                                                       "Diretoria")
+
+
+def test_postal_drops(spark, tmp_path):
+    src = tmp_path / "raw"
+    write_lines(src, "a.txt", ["CEP|Estado|Região", "20125535|Mato Grosso|Centro - Oeste"])
+    out = str(tmp_path / "silver")
+    ckpt = str(tmp_path / "ckpt")
+    ingest(spark, "postal", str(src), out, str(tmp_path / "q"), ckpt).awaitTermination()
+    write_lines(src, "b.txt", ["CEP|Estado|Região", "34949262||Pará|Norte"])
+    ingest(spark, "postal", str(src), out, str(tmp_path / "q"), ckpt).awaitTermination()
+    rows = sorted((r["cep"], r["state"], r["region"]) for r in spark.read.parquet(out).collect())
+    assert rows == [("20125535", "Mato Grosso", "Centro - Oeste"), ("34949262", "Pará", "Norte")]
