@@ -2,7 +2,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
 from staffmart.functions import (
+    GENERATION_BANDS,
     age_in_full_years,
     correct,
     excel_serial_to_date,
@@ -74,3 +78,20 @@ def test_bands_stay_in_the_jvm(spark, capsys):
     plan = capsys.readouterr().out
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert df.first()["g"] == "Millennial"
+
+
+def band_model(age):
+    if age is None:
+        return "Unknown"
+    for name, low, high in GENERATION_BANDS:
+        if low <= age <= high:
+            return name
+    return "Unknown"
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ages=st.lists(st.one_of(st.none(), st.integers(-5, 110)), min_size=1, max_size=30))
+def test_generation_matches_the_band_model(spark, ages):
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(ages)], "i int, age int")
+    got = {r["i"]: r["g"] for r in df.select("i", generation("age").alias("g")).collect()}
+    assert [got[i] for i in range(len(ages))] == [band_model(a) for a in ages]
