@@ -73,11 +73,15 @@ def silver_positions(spark: SparkSession, src: str, out: str, run_ts: str | None
                      quarantine: str | None = None) -> JobResult:
     run_ts = run_ts or run_timestamp()
     raw = read_delimited(spark, src, E.POSITIONS_SEP, E.POSITIONS_COLUMNS, overflow=1)
-    shaped = shape_positions(raw)
-    ok = F.col(repair.STATUS_COLUMN) != F.lit(repair.UNREPAIRED)
-    silver = shape.rename(shaped.filter(ok), E.POSITIONS_RENAME).drop(repair.STATUS_COLUMN)
-    write_table(silver, out, run_ts)
-    n_bad = _write_quarantine(shaped.filter(~ok), quarantine, run_ts)
+    # Silver and quarantine both read the realigned rows: parse the file once.
+    shaped = shape_positions(raw).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ok = F.col(repair.STATUS_COLUMN) != F.lit(repair.UNREPAIRED)
+        silver = shape.rename(shaped.filter(ok), E.POSITIONS_RENAME).drop(repair.STATUS_COLUMN)
+        write_table(silver, out, run_ts)
+        n_bad = _write_quarantine(shaped.filter(~ok), quarantine, run_ts)
+    finally:
+        shaped.unpersist()
     return JobResult(read_table(spark, out), quarantined=n_bad)
 
 
