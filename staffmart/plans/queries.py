@@ -69,8 +69,9 @@ def region_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(n_nationkey, state, region), broadcast to its users after a size check."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    joined = marts.lookup(nation, region, "n_regionkey", "r_regionkey",
-                          max_broadcast_rows=DIMENSION_ROWS)
+    # The finished dimension is size-checked where it is joined; this inner
+    # join of two small tables is left to the planner.
+    joined = marts.lookup(nation, region, "n_regionkey", "r_regionkey")
     return marts.narrow_dimension(
         joined.select("n_nationkey", F.col("n_name").alias("state"),
                       F.col("r_name").alias("region")),
