@@ -50,8 +50,20 @@ SECRET = "k:"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Schemas of the (read-only) driver tables, inferred once per path and then
+# given to the reader, as a catalog would: re-inferring means listing the
+# files and reading a footer every time a query is planned.
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def key_mod(column: str, m: int) -> Column:
