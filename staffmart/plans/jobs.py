@@ -358,8 +358,8 @@ def gold(spark: SparkSession, postal_path: str, employees_path: str, positions_p
         outputs = {}
         for name, mart in build_marts(fact, approx_rsd=approx_rsd).items():
             path = os.path.join(out_root, name)
-            write_table(mart, path, run_ts)
-            outputs[name] = read_table(spark, path)
+            written = write_table(mart, path, run_ts)
+            outputs[name] = read_table(spark, path, schema=written)
     finally:
         fact.unpersist()
     return outputs

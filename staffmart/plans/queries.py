@@ -341,8 +341,8 @@ def silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         repair.STATUS_COLUMN, [repair.CLEAN, repair.REPAIRED])]
     passing, _ = quality.split_quarantine(typed, rules)
     silver_path = scratch_path(spark, "customer_silver")
-    write_table(passing.drop(repair.STATUS_COLUMN), silver_path)
-    return read_table(spark, silver_path, drop_stamp=True).select(*CUSTOMER_TEXT)
+    written = write_table(passing.drop(repair.STATUS_COLUMN), silver_path)
+    return read_table(spark, silver_path, True, written).select(*CUSTOMER_TEXT)
 
 
 # Fixed values for the planted misspellings of ``clean_labels``.
@@ -484,10 +484,10 @@ def vault_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     vault, public = privacy.split_vault(people, ["c_custkey", "c_name", "cpf_encrypted"],
                                         ["c_custkey", "c_name"])
     vault_path, public_path = scratch_path(spark, "vault"), scratch_path(spark, "public")
-    write_table(vault, vault_path)
-    write_table(public, public_path)
-    back = privacy.reidentify(read_table(spark, public_path, drop_stamp=True),
-                              read_table(spark, vault_path, drop_stamp=True),
+    vault_schema = write_table(vault, vault_path)
+    public_schema = write_table(public, public_path)
+    back = privacy.reidentify(read_table(spark, public_path, True, public_schema),
+                              read_table(spark, vault_path, True, vault_schema),
                               "cpf_encrypted", ["c_custkey", "c_name"])
     return back.select(*CUSTOMER_TEXT)
 
@@ -522,8 +522,7 @@ def sorted_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stamped_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "mart_region")
-    write_table(region_headcount(spark, sf_dir), path)
-    back = read_table(spark, path)
+    back = read_table(spark, path, schema=write_table(region_headcount(spark, sf_dir), path))
     return back.filter(F.col("created_at").isNotNull()).drop("created_at")
 
 

@@ -11,6 +11,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 STAMP_COLUMN = "created_at"
 # Bounds the size of any one output file, whatever the skew of a partition.
@@ -27,10 +28,19 @@ def stamp(df: DataFrame, run_ts: str | None = None, column: str = STAMP_COLUMN)
 
 
 def write_table(df: DataFrame, path: str, run_ts: str | None = None,
-                mode: str = "overwrite", stamped: bool = True) -> None:
-    """Unpartitioned Parquet table, replaced as a whole."""
+                mode: str = "overwrite", stamped: bool = True) -> T.StructType:
+    """Unpartitioned Parquet table, replaced as a whole.
+
+    Returns the schema as a reader sees it (every column nullable), so the
+    table can be read back without inferring it again.
+    """
     out = stamp(df, run_ts) if stamped else df
     out.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
+    return as_read_back(out.schema)
+
+
+def as_read_back(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
 
 def month_columns(date_col: str) -> tuple[str, str]:
@@ -61,8 +71,11 @@ def write_by_month(df: DataFrame, date_col: str, path: str, run_ts: str | None =
         .parquet(path))
 
 
-def read_table(spark: SparkSession, path: str, drop_stamp: bool = False) -> DataFrame:
-    df = spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, drop_stamp: bool = False,
+               schema: T.StructType | None = None) -> DataFrame:
+    """Read a table; ``schema`` (from ``write_table``) skips inference."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(path)
     return df.drop(STAMP_COLUMN) if drop_stamp else df
 
 
