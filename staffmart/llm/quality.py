@@ -1,15 +1,18 @@
 """Quality rules with risk-controlled cutoffs (operator 3).
 
 Each rule scores a text; a document is rejected when a score lies above the
-rule's cutoff in the document's stratum (its language). Cutoffs come from the
-labelled documents: a cutoff is certified when the exact binomial test on the
-stratum's good documents rejects "the rule rejects more than ``risk / rules``
-of them" at level ``error / (rules x strata)`` (Bonferroni). Cutoffs of one
-rule are tested from the most lenient down and testing ends at the first that
-fails, so all certified ones hold at once and the choice among them is free:
-the one with the best gain on documents labelled bad, less ``prudence`` times
-the loss of good ones. A rule with too few labelled documents, or without
-gain, rejects nothing in that stratum.
+rule's cutoff in the document's stratum (its language). The labelled documents
+are split in two by a hash of their id. One half proposes, per stratum, a
+ladder of cutoff vectors: rung 0 rejects beyond the worst score that any good
+document has, the next ones beyond fixed upper quantiles of the good
+documents' scores. The other half, the holdout, decides: a rung is certified
+when the exact binomial test on the holdout's good documents rejects "this
+rung rejects more than ``risk`` of them" at level ``error / strata``
+(Bonferroni over the strata). Rungs are tested from the most lenient up and
+testing ends at the first that fails, so all certified rungs hold at once and
+the choice among them is free: the one that rejects most documents labelled
+bad, less ``prudence`` times the good ones lost. A stratum with too few
+labelled documents, or without gain, is left to the base rule.
 
 With probability ``1 - error``, in no stratum the rules together reject more
 than ``risk`` of the good documents.
@@ -38,6 +41,8 @@ from staffmart.llm.common import BLANKS, fresh, materialise, slices
 RISK = 0.02
 ERROR = 0.05
 PRUDENCE = 10.0
+# Shares of the good documents above each rung's cutoffs, from the most lenient rung up.
+QUANTILES = [0.0, 0.0005, 0.001, 0.002, 0.005, 0.01]
 # Fixed values of the contract.
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -168,65 +173,86 @@ def binomial_tail(k: int, n: int, p: float) -> float:
     return float(min(1.0, np.exp(logs).sum()))
 
 
-def choose_cutoff(good: np.ndarray, bad: np.ndarray, risk: float, level: float,
-                  prudence: float) -> int:
-    """The cutoff (reject above it) for one rule and stratum; SCORE_MAX rejects nothing.
+def choose_rung(lost: list[int], n_good: int, caught: list[int], n_bad: int, risk: float,
+                level: float, prudence: float) -> int | None:
+    """The certified rung with the best gain; None rejects nothing.
 
-    ``good`` and ``bad`` count labelled documents by score, 0 to SCORE_MAX.
+    ``lost`` and ``caught``: holdout documents that each rung rejects, good
+    and bad, from the most lenient rung up.
     """
-    n_good, n_bad = int(good.sum()), int(bad.sum())
-    best, gain = SCORE_MAX, 0.0
-    if n_good == 0 or n_bad == 0:
+    best, gain = None, 0.0
+    if not n_good or not n_bad:
         return best
-    lost = n_good - np.cumsum(good)  # rejected at each cutoff
-    caught = n_bad - np.cumsum(bad)
-    tested: dict[int, float] = {}
-    for cutoff in range(SCORE_MAX - 1, -1, -1):
-        k = int(lost[cutoff])
-        if k not in tested:
-            tested[k] = binomial_tail(k, n_good, risk)
-        if tested[k] > level:
+    for rung, (k, hits) in enumerate(zip(lost, caught, strict=True)):
+        if binomial_tail(k, n_good, risk) > level:
             break
-        value = caught[cutoff] / n_bad - prudence * k / n_good
+        value = hits / n_bad - prudence * k / n_good
         if value > gain:
-            best, gain = cutoff, value
+            best, gain = rung, value
     return best
 
 
+LADDER_TYPE = T.StructType([T.StructField("stratum", T.StringType()), *[
+    T.StructField(r, T.ArrayType(T.LongType())) for r in RULES]])
 CUTOFF_TYPE = T.StructType([T.StructField("stratum", T.StringType()),
                             *[T.StructField(r, T.LongType()) for r in RULES]])
 
 
+def ladder(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Cutoffs per rung and rule from a stratum's histogram (rule, score, n) of good documents."""
+    out = {}
+    for rule in RULES:
+        own = rows[rows.rule == rule].sort_values("score")
+        scores, above = own.score.to_numpy(), own.n.sum() - own.n.cumsum().to_numpy()
+        out[rule] = [int(scores[np.argmax(above <= q * own.n.sum())]) for q in QUANTILES]
+    return pd.DataFrame([{"stratum": key[0], **out}])
+
+
 def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR,
             prudence: float = PRUDENCE) -> DataFrame:
     """One row per stratum with labels: the cutoff of each rule.
 
-    ``measured``: doc_id, stratum, measures. All labelled documents count; each
-    group that a task gets is a histogram of at most rules x 1001 x 2 rows.
+    ``measured``: doc_id, stratum, measures. All labelled documents count. A
+    task of the pandas steps gets a histogram of rules x 1001 rows at most, or
+    one row of counts.
     """
     verdicts = (labels.filter(F.col("quality").isNotNull()).groupBy("doc_id")
                 .agg(F.min("quality").alias("quality")))
-    labelled = measured.join(verdicts, "doc_id").filter(~base_failed(F.col("measures")))
+    labelled = materialise(
+        measured.join(verdicts, "doc_id").filter(~base_failed(F.col("measures")))
+        .select("stratum", (F.col("quality") > 0).alias("good"), "measures",
+                (F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(2)) == 0).alias("holdout")),
+        "quality-labelled")
     scores = F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"measures.{r}").alias("score"))
                        for r in RULES])
-    counts = (labelled.select("stratum", (F.col("quality") > 0).alias("good"),
-                              F.explode(scores).alias("s"))
-              .groupBy("stratum", "good", "s.rule", "s.score").agg(F.count(F.lit(1)).alias("n")))
-    counts = materialise(counts, "quality-counts")
-    strata = max(1, counts.select("stratum").distinct().count())
-    level = error / (len(RULES) * strata)
-
-    def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        chosen = {}
-        for rule in RULES:
-            own = rows[rows.rule == rule]
-            by = [np.bincount(own.score[own.good == g].to_numpy(),
-                              weights=own.n[own.good == g].to_numpy(),
-                              minlength=SCORE_MAX + 1) for g in (True, False)]
-            chosen[rule] = choose_cutoff(by[0], by[1], risk / len(RULES), level, prudence)
-        return pd.DataFrame([{"stratum": key[0], **chosen}])
-
-    return counts.groupBy("stratum").applyInPandas(fit, CUTOFF_TYPE)
+    proposed = (labelled.filter("good AND NOT holdout")
+                .select("stratum", F.explode(scores).alias("s"))
+                .groupBy("stratum", "s.rule", "s.score").agg(F.count(F.lit(1)).alias("n"))
+                .groupBy("stratum").applyInPandas(ladder, LADDER_TYPE))
+    rungs = materialise(proposed, "quality-ladder")
+    tested = labelled.filter("holdout").join(rungs, "stratum")
+    rejects = [F.greatest(*[F.col(f"measures.{r}") > F.get(r, F.lit(g)) for r in RULES])
+               for g in range(len(QUANTILES))]
+    good = F.col("good")
+    counted = tested.groupBy("stratum").agg(
+        F.count_if(good).alias("n_good"), F.count_if(~good).alias("n_bad"),
+        F.array(*[F.count_if(good & x) for x in rejects]).alias("lost"),
+        F.array(*[F.count_if(~good & x) for x in rejects]).alias("caught"),
+        *[F.first(r).alias(r) for r in RULES])
+    counted = materialise(counted, "quality-holdout")
+    level = error / max(1, counted.count())
+
+    def certify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in frames:
+            chosen = []
+            for row in rows.itertuples(index=False):
+                rung = choose_rung(list(row.lost), row.n_good, list(row.caught), row.n_bad,
+                                   risk, level, prudence)
+                chosen.append({"stratum": row.stratum, **{
+                    r: SCORE_MAX if rung is None else int(getattr(row, r)[rung]) for r in RULES}})
+            yield pd.DataFrame(chosen, columns=["stratum", *RULES])
+
+    return counted.mapInPandas(certify, CUTOFF_TYPE)
 
 
 def rejecting_rules(m: Column, cut: str) -> Column:
@@ -235,7 +261,7 @@ def rejecting_rules(m: Column, cut: str) -> Column:
                     lambda r: r.isNotNull())
 
 
-def judged(docs: DataFrame, labels: DataFrame, narrow: DataFrame | None = None, **options) -> tuple[DataFrame, str, str]:
+def judged(docs: DataFrame, labels: DataFrame, **options) -> tuple[DataFrame, str, str]:
     """``docs`` with measures and verdict columns; their names come along.
 
     The verdict is a struct (base_failed, kept, rules). Texts are not
@@ -243,9 +269,8 @@ def judged(docs: DataFrame, labels: DataFrame, narrow: DataFrame | None = None,
     """
     m, v, s, c = (fresh(docs, x) for x in ("measures_", "verdict_", "stratum_", "cutoffs_"))
     rows = with_measures(docs, m).withColumn(s, stratum(F.col("lang")))
-    if narrow is None:
-        narrow = materialise(rows.select("doc_id", F.col(s).alias("stratum"),
-                                         F.col(m).alias("measures")), "quality-measures")
+    narrow = materialise(rows.select("doc_id", F.col(s).alias("stratum"),
+                                     F.col(m).alias("measures")), "quality-measures")
     chosen = materialise(cutoffs(narrow, labels, **options), "quality-cutoffs")
     chosen = chosen.select(F.col("stratum").alias(s), F.struct(*RULES).alias(c))
     out = rows.join(chosen, s, "left")
