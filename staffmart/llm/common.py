@@ -6,6 +6,7 @@ import math
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -96,7 +97,7 @@ SLICE_BYTES = 2_000_000
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with at most ``limit`` bytes of ``column``, one row at least."""
     size, start = 0, 0
-    lengths = pa.compute.binary_length(batch.column(column)).to_pylist()
+    lengths = pc.binary_length(batch.column(column)).to_pylist()
     for i, n in enumerate(lengths):
         if size + (n or 0) > limit and i > start:
             yield batch.slice(start, i - start)

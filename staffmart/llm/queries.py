@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staffmart.llm import line_dedup, mix, packing, quality
+from staffmart.llm import line_dedup, mix, near_dups, packing, quality
 from staffmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,7 @@ QUERIES: dict[str, Query] = {
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op5_line_dedup": _documents(line_dedup.op5_line_dedup),
     "op7_pack_buckets": _documents(packing.op7_pack_buckets),
+    "op8_near_duplicates": _documents(near_dups.op8_near_duplicates),
 }
 
 ORACLE_SQL: dict[str, str] = {
