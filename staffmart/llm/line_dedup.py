@@ -58,7 +58,8 @@ def shared_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     held = materialise(held, "line-hashes")
     first = held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("holders"),
                                          F.max("doc_id").alias("keeper"))
-    shared = first.filter(F.col("holders") >= min_docs).drop("holders")
+    # written, so that the join below sees its true size and can split a hot hash
+    shared = materialise(first.filter(F.col("holders") >= min_docs).drop("holders"), "shared-lines")
     return (held.join(shared, ["h1", "h2"])
             .filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
             .select("doc_id", "text_key", "positions"))
