@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staffmart.llm import line_dedup, mix, near_dups, packing, quality
+from staffmart.llm import (
+    fingerprints,
+    licenses,
+    line_dedup,
+    mix,
+    near_dups,
+    packing,
+    pii,
+    quality,
+    repeats,
+    url_lists,
+)
 from staffmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,14 +29,20 @@ def _documents(f: Callable[[DataFrame], DataFrame]) -> Query:
 
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": _documents(mix.op1_mix_sources),
+    "op2_licence_scan": _documents(licenses.op2_licence_scan),
     "op3_quality_rules": lambda spark, sf_dir: quality.op3_quality_rules(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
+    "op4_personal_data": _documents(pii.op4_personal_data),
     "op5_line_dedup": _documents(line_dedup.op5_line_dedup),
+    "op6_repeated_strings": _documents(repeats.op6_repeated_strings),
     "op7_pack_buckets": _documents(packing.op7_pack_buckets),
     "op8_near_duplicates": _documents(near_dups.op8_near_duplicates),
+    "op9_fingerprints": _documents(fingerprints.op9_fingerprints),
+    "op10_url_lists": lambda spark, sf_dir: url_lists.op10_url_lists(table(spark, sf_dir, "pages")),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": mix.OP1_SQL,
     "op5_line_dedup": line_dedup.OP5_SQL,
+    "op10_url_lists": url_lists.OP10_SQL,
 }
