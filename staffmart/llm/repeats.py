@@ -7,7 +7,7 @@ documents; overlaps count.
 Sampled suffixes. Every window of ``LENGTH`` bytes names the suffix that
 starts at its anchor, the leftmost ``GRAM``-byte gram with the smallest hash
 in it. Equal windows have equal anchors at equal offsets, so only suffixes at
-anchors (about one byte in 70) need to be indexed. A *run* is a stretch of
+anchors (about one byte in 85) need to be indexed. A *run* is a stretch of
 windows of one document with the same anchor; runs tile all windows.
 
 The index family. Batches of documents arrive one after the other. The sorted
@@ -19,8 +19,11 @@ times.
 
 From starts to exact matches. Runs at a repeated anchor are compared whole:
 equal runs (hash of all their bytes) match in every window. Where one anchor
-has runs that differ, at the edges of copies, their windows are compared one
-by one. Each text then loses the union of its matched windows.
+has runs that differ, at the edges of copies, one copy of each goes, with its
+bytes, to a task that compares their windows; anchors with more than
+``GROUP_RUNS`` different runs are compared by a grouping of single windows
+instead, so that no task holds a large group. Each text then loses the union
+of its matched windows.
 
 The repeated anchors reach the tasks as a bitmap of fixed size that only
 spares work: runs it lets through by chance fall out in the joins.
@@ -43,12 +46,17 @@ from pyspark.sql import functions as F
 from staffmart.llm.common import discard, materialise, slices
 
 LENGTH = 200
-GRAM = 64
+GRAM = 32
 BATCHES = 4
 SEED = 2024
 # Windows handled at once: positions must fit into the low bits of a key.
 CHUNK = 1 << 18
 _LOW = np.uint64((1 << 20) - 1)
+# Different runs of one anchor that one task may compare.
+GROUP_RUNS = 20_000
+# Bytes of runs that a task compares at once, group by group.
+GROUP_BYTES = 2_000_000
+SLICE_RUNS = 500_000
 # Bits of the bitmap that spares work: 8 MB, whatever the input.
 FILTER_BITS = 26
 BUCKET_BITS = 32768
@@ -91,7 +99,6 @@ class Runs:
     def __init__(self, texts: list[bytes], hashes: bool = True):
         names = ("row", "first", "last", "anchor", "whole")
         columns: dict[str, list[np.ndarray]] = {k: [] for k in names}
-        self.windows: list[np.ndarray] = []
         with np.errstate(over="ignore"):
             for rows, starts, data, lengths in _chunks(texts):
                 self._add(columns, rows, starts, data, lengths, hashes)
@@ -120,7 +127,7 @@ class Runs:
         change[1:] = (anchor[1:] != anchor[:-1]) | (piece[1:n] != piece[:n - 1])
         first = np.flatnonzero(change & inside)
         ends = np.flatnonzero(inside & np.append(change[1:] | ~inside[1:], True))
-        windows = _joined(h, LENGTH)
+        windows = _joined(h, LENGTH) if hashes else None
         at = piece[first]
         base = np.cumsum(lengths) - lengths
         columns["row"].append(rows[at])
@@ -132,8 +139,6 @@ class Runs:
             + (ends - first).astype(np.uint64) * _ODD[22]
             + (anchor[first] - first).astype(np.uint64) * _ODD[23]) if hashes
             else np.zeros(len(first), dtype=np.uint64))
-        if hashes:
-            self.windows += [windows[a:b + 1] for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
 
 
 def _chunks(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -213,6 +218,12 @@ class IndexFamily:
             discard(old)
         self.levels.append((size, merged))
 
+    def close(self) -> None:
+        """Delete the files of all levels."""
+        for old in [level for _, level in self.levels] + self.found:
+            discard(old)
+        self.levels, self.found = [], []
+
     def repeated(self) -> DataFrame:
         """Anchors of sampled suffixes that occur at least twice."""
         out = None
@@ -221,7 +232,7 @@ class IndexFamily:
             out = own if out is None else out.union(own)
         for matches in self.found:
             out = out.union(matches)
-        return out.distinct()
+        return out
 
 
 def suffix_array(docs: DataFrame) -> DataFrame:
@@ -256,9 +267,8 @@ def in_bitmap(bits: np.ndarray, anchor: np.ndarray) -> np.ndarray:
 
 
 def repeated_runs(docs: DataFrame, index: IndexFamily) -> DataFrame:
-    """(anchor, whole, doc_id, text_key, first, last): runs at repeated anchors."""
-    anchors = materialise(index.repeated(), "suffix-repeated")
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(anchors))
+    """(anchor, whole, doc_id, text_key, first, last): runs at repeated anchors, and a few others."""
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(index.repeated()))
 
     def make(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
         runs = Runs(texts)
@@ -266,51 +276,151 @@ def repeated_runs(docs: DataFrame, index: IndexFamily) -> DataFrame:
         rows = pa.array(runs.row[on])
         return pa.RecordBatch.from_arrays(
             [_signed(runs.anchor[on]), _signed(runs.whole[on]), part.column("doc_id").take(rows),
-             part.column("text_key").take(rows), pa.array(runs.first[on]), pa.array(runs.last[on])],
+             part.column("text_key").take(rows), pa.array(runs.first[on].astype(np.int32)),
+             pa.array(runs.last[on].astype(np.int32))],
             names=["anchor", "whole", "doc_id", "text_key", "first", "last"])
 
-    found = _mapped(docs, "anchor long, whole long, doc_id long, text_key long, first long, last long", make)
-    return materialise(found.join(anchors, "anchor", "left_semi"), "repeated-runs")
+    schema = "anchor long, whole long, doc_id long, text_key long, first int, last int"
+    return materialise(_mapped(docs, schema, make), "repeated-runs")
 
 
-def edge_windows(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """(anchor, whole, n, windows): distinct runs at anchors whose runs differ."""
+def edge_runs(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """(anchor, whole, n, bytes): one copy of each run at anchors whose runs differ."""
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(mixed))
 
     def make(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
         runs = Runs(texts)
-        on = np.flatnonzero(in_bitmap(bits.value, runs.anchor))
-        lists = pa.array([runs.windows[i].view(np.int64) for i in on.tolist()], pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([_signed(runs.anchor[on]), _signed(runs.whole[on]), lists],
-                                          names=["anchor", "whole", "windows"])
+        on = in_bitmap(bits.value, runs.anchor)
+        cuts = [texts[r][a:b + LENGTH] for r, a, b in zip(
+            runs.row[on].tolist(), runs.first[on].tolist(), runs.last[on].tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [_signed(runs.anchor[on]), _signed(runs.whole[on]), pa.array(cuts, pa.binary())],
+            names=["anchor", "whole", "bytes"])
+
+    found = _mapped(docs, "anchor long, whole long, bytes binary", make)
+    return found.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n"), F.first("bytes").alias("bytes"))
+
+
+def window_hashes(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(run, place, hash) of all windows of some runs."""
+    data = np.frombuffer(b"".join(runs), dtype=np.uint8)
+    lengths = np.array([len(r) for r in runs])
+    with np.errstate(over="ignore"):
+        windows = _joined(_powers(data), LENGTH)
+    counts = lengths - LENGTH + 1
+    run = np.repeat(np.arange(len(runs)), counts)
+    place = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
+    return run, place, windows[np.repeat(np.cumsum(lengths) - lengths, counts) + place]
+
+
+PARTIAL = "anchor long, whole long, spans array<struct<start: int, end: int>>"
+
+
+def matched_in_groups(rows: list[tuple[int, int, int, bytes]]) -> list[tuple[int, int, list]]:
+    """Matched spans of the single runs among (anchor, whole, n, bytes) of whole groups."""
+    run, place, windows = window_hashes([r[3] for r in rows])
+    anchors = np.array([r[0] for r in rows], dtype=np.int64).view(np.uint64)
+    with np.errstate(over="ignore"):
+        keys = _mix(windows + anchors[run] * _ODD[19])
+    order = np.argsort(keys, kind="stable")
+    same = keys[order][1:] == keys[order][:-1]
+    shared = np.zeros(len(keys), dtype=bool)
+    shared[order[1:][same]] = True
+    shared[order[:-1][same]] = True
+    shared &= np.array([r[2] for r in rows])[run] == 1
+    on = np.flatnonzero(shared)
+    if not len(on):
+        return []
+    begins = np.ones(len(on), dtype=bool)
+    begins[1:] = (run[on][1:] != run[on][:-1]) | (place[on][1:] != place[on][:-1] + 1)
+    first = np.flatnonzero(begins)
+    last = np.append(first[1:], len(on)) - 1
+    spans: dict[int, list] = {}
+    for r, a, b in zip(run[on][first].tolist(), place[on][first].tolist(), place[on][last].tolist(), strict=True):
+        spans.setdefault(r, []).append({"start": a, "end": b + LENGTH})
+    return [(rows[r][0], rows[r][1], s) for r, s in spans.items()]
+
+
+def compare_groups(edges: DataFrame) -> DataFrame:
+    """Rows come sorted by anchor; whole groups are compared, some at once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple[int, int, int, bytes]] = []
+        size = 0
+
+        def finish() -> Iterator[pa.RecordBatch]:
+            found = matched_in_groups(rows) if len(rows) > 1 else []
+            if found:
+                columns = list(zip(*found, strict=True))
+                kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
+                     pa.array(columns[2], kind)], names=["anchor", "whole", "spans"])
 
-    found = _mapped(docs, "anchor long, whole long, windows array<long>", make)
-    distinct = found.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n"),
-                                                    F.first("windows").alias("windows"))
-    return materialise(distinct.join(mixed, "anchor", "left_semi"), "edge-windows")
+        for batch in batches:
+            for row in zip(*[batch.column(c).to_pylist() for c in ("anchor", "whole", "n", "bytes")], strict=True):
+                if size >= GROUP_BYTES and row[0] != rows[-1][0]:
+                    yield from finish()
+                    rows, size = [], 0
+                rows.append(row)
+                size += len(row[3])
+        yield from finish()
+
+    return edges.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, PARTIAL)
+
+
+def compare_windows(edges: DataFrame) -> DataFrame:
+    """The same for anchors with many different runs: windows are rows, grouped and joined."""
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "bytes", SLICE_RUNS):
+                run, place, windows = window_hashes(part.column("bytes").to_pylist())
+                at = pa.array(run)
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c).take(at) for c in ("anchor", "whole", "n")],
+                     pa.array(place.astype(np.int32)), _signed(windows)],
+                    names=["anchor", "whole", "n", "place", "window"])
+
+    windows = edges.mapInArrow(make, "anchor long, whole long, n long, place int, window long")
+    shared = windows.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("runs")).filter("runs > 1")
+    places = F.array_sort(F.collect_set("place"))
+    return (windows.filter("n = 1").join(shared, ["anchor", "window"]).groupBy("anchor", "whole")
+            .agg(places.alias("places"))
+            .select("anchor", "whole", F.transform("places", lambda p: F.struct(
+                p.alias("start"), (p + LENGTH).alias("end"))).alias("spans")))
 
 
 def matched_spans(docs: DataFrame, index: IndexFamily) -> DataFrame:
     """(doc_id, text_key, spans): per document [start, end) of its matched windows, unsorted."""
     runs = repeated_runs(docs, index)
-    kinds = runs.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n"))
-    mixed = materialise(
-        kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
-        .filter("kinds > 1 AND least = 1").select("anchor"), "mixed-anchors")
-    edges = edge_windows(docs, mixed)
-    window = edges.select("anchor", "whole", "n", F.posexplode("windows").alias("place", "window"))
-    shared = window.groupBy("anchor", "window").agg(F.count(F.lit(1)).alias("runs")).filter("runs > 1")
-    partial = (window.filter("n = 1").join(shared, ["anchor", "window"])
-               .groupBy("anchor", "whole").agg(F.collect_set("place").alias("places")))
-    whole = kinds.filter("n > 1").select("anchor", "whole", F.lit(None).cast("array<int>").alias("places"))
-    verdicts = materialise(whole.unionByName(partial), "run-verdicts")
-    spans = F.when(F.col("places").isNull(), F.array(F.struct(
+    index.close()
+    kinds = materialise(runs.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n"))
+                        .groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"),
+                                               F.max("n").alias("most"))
+                        .filter("kinds > 1 OR most > 1"), "anchor-kinds")
+    mixed = kinds.filter("kinds > 1 AND least = 1")
+    crowded = materialise(mixed.filter(F.col("kinds") > GROUP_RUNS).select("anchor"), "crowded-anchors")
+    edges = edge_runs(docs, mixed)
+    if crowded.isEmpty():
+        partial = compare_groups(edges)
+    else:
+        edges = materialise(edges, "edge-runs")
+        partial = compare_groups(edges.join(crowded, "anchor", "left_anti")).unionByName(
+            compare_windows(edges.join(crowded, "anchor", "left_semi")))
+    partial = materialise(partial, "partial-runs")
+    # a run whose anchor has no other kind, or that occurs twice, matches whole
+    whole = runs.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
+        "anchor", "whole", F.lit(None).cast("array<struct<start: int, end: int>>").alias("spans"))
+    verdicts = whole.unionByName(partial)
+    spans = F.when(F.col("spans").isNull(), F.array(F.struct(
         F.col("first").alias("start"), (F.col("last") + LENGTH).alias("end")))).otherwise(
-            F.transform("places", lambda p: F.struct((F.col("first") + p).alias("start"),
-                                                     (F.col("first") + p + LENGTH).alias("end"))))
-    return (runs.join(verdicts, ["anchor", "whole"])
-            .select("doc_id", "text_key", spans.alias("spans"))
-            .groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+            F.transform("spans", lambda p: F.struct((F.col("first") + p["start"]).alias("start"),
+                                                    (F.col("first") + p["end"]).alias("end"))))
+    out = materialise(runs.join(verdicts, ["anchor", "whole"])
+                      .select("doc_id", "text_key", spans.alias("spans"))
+                      .groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("spans")).alias("spans")),
+                      "matched-spans")
+    discard(runs)
+    return out
 
 
 def cut(text: bytes, spans: list | None) -> tuple[bytes, int, int]:
@@ -329,28 +439,46 @@ def cut(text: bytes, spans: list | None) -> tuple[bytes, int, int]:
     return b"".join(kept), removed, count
 
 
+CUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
+
+
 def without_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and the kept bytes of every row."""
+    """doc_id, n_bytes, n_removed, n_spans and the kept bytes of every row.
+
+    Only texts that may lose something meet their spans in a shuffle; a bitmap
+    of the others' keys lets these pass.
+    """
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
     index = IndexFamily(docs.sparkSession)
     for b in range(batches):
         index.add(keyed.filter(F.pmod("text_key", F.lit(batches)) == b))
-    spans = materialise(matched_spans(keyed, index), "matched-spans").select(
-        F.col("doc_id").alias("span_id"), F.col("text_key").alias("span_key"), "spans")
-    joined = keyed.join(spans, keyed["doc_id"].eqNullSafe(spans["span_id"])
-                        & (keyed["text_key"] == spans["span_key"]), "left")
+    spans = matched_spans(keyed, index)
+    bits = docs.sparkSession.sparkContext.broadcast(bitmap(spans.select(F.col("text_key").alias("anchor"))))
 
     def make(part: pa.RecordBatch, texts: list[bytes]) -> pa.RecordBatch:
-        done = [cut(t, s) for t, s in zip(texts, part.column("spans").to_pylist(), strict=True)]
+        found = part.column("spans").to_pylist() if "spans" in part.schema.names else [None] * len(texts)
+        done = [cut(t, s) for t, s in zip(texts, found, strict=True)]
         return pa.RecordBatch.from_arrays(
             [part.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()),
              pa.array([d[1] for d in done], pa.int64()), pa.array([d[2] for d in done], pa.int64()),
              pa.array([d[0] for d in done], pa.binary())],
             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return _mapped(joined.select("doc_id", "text", "spans"),
-                   "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary", make)
+    def passing(hit: bool) -> DataFrame:
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keys = np.asarray(batch.column("text_key")).view(np.uint64)
+                yield batch.filter(pa.array(in_bitmap(bits.value, keys) == hit))
+
+        return keyed.mapInArrow(pick, keyed.schema)
+
+    right = spans.select(F.col("doc_id").alias("span_id"), F.col("text_key").alias("span_key"), "spans")
+    cuttable = passing(True)
+    joined = cuttable.join(right, cuttable["doc_id"].eqNullSafe(right["span_id"])
+                           & (cuttable["text_key"] == right["span_key"]), "left")
+    return _mapped(joined.select("doc_id", "text", "spans"), CUT, make).unionByName(
+        _mapped(passing(False), CUT, make))
 
 
 # --------------------------------------------------------------- the query
