@@ -40,6 +40,7 @@ _SENTENCE_ENDS = re.compile(r"(?<=[.!?])[ \t]+")
 _MULTIPLY = np.uint64(0xBF58476D1CE4E5B9)
 _SEEDS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 _CHECK = np.uint64(0xD6E8FEB86659FD93)
+_OCCURRENCE = np.uint64(0x9FB21C651E98DF25)
 
 
 def pieces(text: str) -> list[str]:
@@ -55,14 +56,18 @@ def pieces(text: str) -> list[str]:
 
 
 def digests(text: str) -> np.ndarray:
-    """One digest per piece; the second occurrence of a piece differs from the first."""
+    """A set of digests, one per piece; the second occurrence of a piece differs from the first."""
     seen: dict[str, int] = {}
-    out = []
+    hashes, numbers = [], []
     for piece in pieces(text):
         n = seen.get(piece, 0)
         seen[piece] = n + 1
-        out.append(xxhash.xxh3_64_intdigest(piece.encode("utf-8", "surrogatepass"), seed=n))
-    return np.array(out, dtype=np.uint64)
+        hashes.append(xxhash.xxh3_64_intdigest(piece.encode("utf-8", "surrogatepass")))
+        numbers.append(n)
+    with np.errstate(over="ignore"):
+        keys = np.array(hashes, dtype=np.uint64) + np.array(numbers, dtype=np.uint64) * _OCCURRENCE
+    # a table can only be peeled if no key is in it twice
+    return np.unique(_mix(keys))
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
