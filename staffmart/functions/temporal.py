@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 EXCEL_EPOCH = "1899-12-30"
 DAYS_PER_YEAR = 365.25
 DAY_FIRST_FORMAT = "dd/MM/yyyy"
+# A serial as text, and the serials of 0001-01-01 and 9999-12-31.
+SERIAL_PATTERN = r"^-?[0-9]+(\.[0-9]+)?$"
+FIRST_SERIAL, LAST_SERIAL = -693_593, 2_958_465
 
 
 def _col(c: Column | str) -> Column:
@@ -32,10 +35,14 @@ def as_date(value: date | str | Column) -> Column:
 def excel_serial_to_date(serial: Column | str) -> Column:
     """Excel serial (text or number, fraction = time of day) to a date.
 
-    Text that is not a number gives NULL instead of failing the job.
+    Only plain digits with an optional sign and fraction, of the years 1 to
+    9999, are serials; any other text gives NULL. Days before the epoch are
+    kept, so that the date rules can reject them.
     """
-    days = F.floor(_col(serial).try_cast("double")).try_cast("int")
-    return F.date_add(F.lit(EXCEL_EPOCH).cast("date"), days)
+    text = F.trim(_col(serial).cast("string"))
+    days = F.when(text.rlike(SERIAL_PATTERN), F.floor(text.try_cast("double")))
+    return F.date_add(F.lit(EXCEL_EPOCH).cast("date"),
+                      F.when(days.between(FIRST_SERIAL, LAST_SERIAL), days).cast("int"))
 
 
 def parse_day_first(text: Column | str, fmt: str = DAY_FIRST_FORMAT) -> Column:

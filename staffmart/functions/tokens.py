@@ -4,24 +4,39 @@
 the JVM, equal for equal inputs in every job, so the vault and the public
 table always join. The secret is required: identifiers such as an 11-digit
 tax number can be enumerated, so an unkeyed hash would be reversible.
-Keep the secret out of printed plans with ``spark.sql.redaction.string.regex``.
+``secret_from_conf`` keeps the secret out of printed plans
+(``spark.sql.redaction.string.regex``).
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 SECRET_CONF = "spark.staffmart.pseudonym.secret"
+REDACTION_CONF = "spark.sql.redaction.string.regex"
 
 
 def secret_from_conf(spark: SparkSession) -> str:
     value = spark.conf.get(SECRET_CONF, None)
     if not value:
         raise ValueError(f"set {SECRET_CONF} (a per-deployment secret) before pseudonymising")
+    hide_secret(spark, value)
     return value
 
 
+def hide_secret(spark: SparkSession, secret: str) -> None:
+    """Keep the secret out of printed plans, event logs included, in this session."""
+    own = re.escape(secret)
+    before = spark.conf.get(REDACTION_CONF, None)
+    if not before:
+        spark.conf.set(REDACTION_CONF, own)
+    elif own not in before:
+        spark.conf.set(REDACTION_CONF, f"{before}|{own}")
+
+
 def token(c: Column | str, secret: str) -> Column:
     """NULL stays NULL; anything else becomes a 64-char lowercase hex token."""
     value = F.col(c) if isinstance(c, str) else c

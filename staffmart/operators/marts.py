@@ -2,11 +2,10 @@
 
 Dimensions are narrowed to the needed columns and made distinct *before* the
 join, so duplicate dimension rows cannot fan out the fact and the wide fact
-is never de-duplicated. A dimension is broadcast explicitly only after a
-row-count check against a bound (``max_broadcast_rows``); otherwise the
-planner's size checks decide — the static ``autoBroadcastJoinThreshold`` on the
-estimated size and, at runtime, adaptive execution on the measured size —
-and a sort-merge join is used beyond them.
+is never de-duplicated; different rows for one key are an error
+(``assert_unique_key``). The planner's size checks choose how to join — the
+static ``autoBroadcastJoinThreshold`` on the estimated size and, at runtime,
+adaptive execution on the measured size — with a sort-merge join beyond them.
 
 Means are written ``sum(days) / (count(days) * 365.25)``: an exact integer
 sum followed by one division, so the result does not depend on how rows are
@@ -31,25 +30,25 @@ def narrow_dimension(dim: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None,
-           max_broadcast_rows: int | None = None, how: str = "left") -> DataFrame:
+           how: str = "left") -> DataFrame:
     """Left join a dimension. Same key name: one key column is kept; different
-    names: both are kept.
-
-    ``max_broadcast_rows``: broadcast the dimension only after checking that
-    it has at most that many rows (a job that reads at most n + 1 rows);
-    beyond the bound, or without one, the planner's size checks decide.
-    """
-    side = dim
-    if max_broadcast_rows is not None and fits(dim, max_broadcast_rows):
-        side = F.broadcast(dim)
+    names: both are kept. The planner's size checks choose the strategy."""
     if dim_key is None or dim_key == fact_key:
-        return fact.join(side, on=fact_key, how=how)
-    return fact.join(side, fact[fact_key] == side[dim_key], how=how)
+        return fact.join(dim, on=fact_key, how=how)
+    return fact.join(dim, fact[fact_key] == dim[dim_key], how=how)
+
+
+def key_conflicts(dim: DataFrame, key: str) -> DataFrame:
+    """(key, rows) of the keys that have more than one row."""
+    return (dim.filter(F.col(key).isNotNull()).groupBy(key)
+            .agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"))
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def assert_unique_key(dim: DataFrame, key: str) -> None:
+    """Raise if a key has several rows; the message names ten of them at most."""
+    found = [str(r[0]) for r in key_conflicts(dim, key).limit(10).collect()]
+    if found:
+        raise ValueError(f"different rows for one {key}: {', '.join(sorted(found))}")
 
 
 def headcount(df: DataFrame, by: Sequence[str], id_column: str,

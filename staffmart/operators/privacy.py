@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from staffmart.functions.tokens import token
 
@@ -31,6 +32,11 @@ def split_vault(df: DataFrame, vault_columns: Sequence[str],
 
 def reidentify(public: DataFrame, vault: DataFrame, token_column: str,
                clear_columns: Sequence[str]) -> DataFrame:
-    """Join clear values back for an authorised reader (inner join on the token)."""
-    return public.join(vault.select(token_column, *clear_columns).dropDuplicates([token_column]),
-                       on=token_column, how="inner")
+    """Join clear values back for an authorised reader.
+
+    Every public row stays; without an entry in the vault its clear values are
+    NULL. Of several entries for a token the smallest counts, in every run.
+    """
+    one = vault.groupBy(token_column).agg(F.min(F.struct(*clear_columns)).alias("clear"))
+    clear = one.select(token_column, *[F.col(f"clear.{c}").alias(c) for c in clear_columns])
+    return public.join(clear, on=token_column, how="left")

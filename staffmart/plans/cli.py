@@ -45,7 +45,9 @@ def parse(argv: list[str]) -> argparse.Namespace:
     g = sub.add_parser("gold")
     for name in ("postal", "employees", "positions", "out"):
         g.add_argument(f"--{name}", required=True)
-    a = sub.add_parser("all", help="every silver job with an input present, then gold")
+    a = sub.add_parser("all", help="the silver job of each entity, then gold")
+    a.add_argument("--entities", default=",".join(jobs.INPUT_FILES), help="comma-separated")
+    a.add_argument("--no-gold", action="store_true")
     a.add_argument("--input", required=True)
     a.add_argument("--output", required=True)
     a.add_argument("--as-of", default=None)
@@ -63,7 +65,8 @@ def main(argv: list[str] | None = None) -> int:
     strict = not args.lenient
     if args.command == "all":
         secret = secret_from_conf(spark)
-        jobs.run_all(spark, args.input, args.output, as_of, secret, strict)
+        jobs.run_all(spark, args.input, args.output, as_of, secret, strict,
+                     entities=args.entities.split(","), with_gold=not args.no_gold)
         return 0
     e = args.entity
     if e == "positions":

@@ -9,6 +9,7 @@ the gold job needs postal, employees and positions.
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -29,6 +30,7 @@ from staffmart.functions.text import correct, is_code, strip_leading, title_case
 from staffmart.operators import filters, marts, privacy, quality, repair, shape
 from staffmart.plans import entities as E
 from staffmart.sources import (
+    path_exists,
     read_delimited,
     read_header_split,
     read_table,
@@ -44,10 +46,13 @@ class JobResult:
     quarantined: int = 0
 
 
-def _write_quarantine(df: DataFrame, path: str | None, run_ts: str) -> int:
-    """Write rejected rows next to the silver table; returns their number."""
-    if path is None:
-        return 0
+def _write_quarantine(df: DataFrame, path: str | None, out: str, run_ts: str) -> int:
+    """Write rejected rows, beside the silver table unless told where; returns their number.
+
+    Rejected rows are never thrown away: without a path they go to
+    ``<out>_quarantine``.
+    """
+    path = path or f"{out.rstrip('/')}_quarantine"
     write_table(df, path, run_ts)
     return df.sparkSession.read.parquet(path).count()
 
@@ -79,7 +84,7 @@ def silver_positions(spark: SparkSession, src: str, out: str, run_ts: str | None
         ok = F.col(repair.STATUS_COLUMN) != F.lit(repair.UNREPAIRED)
         silver = shape.rename(shaped.filter(ok), E.POSITIONS_RENAME).drop(repair.STATUS_COLUMN)
         write_table(silver, out, run_ts)
-        n_bad = _write_quarantine(shaped.filter(~ok), quarantine, run_ts)
+        n_bad = _write_quarantine(shaped.filter(~ok), quarantine, out, run_ts)
     finally:
         shaped.unpersist()
     return JobResult(read_table(spark, out), quarantined=n_bad)
@@ -187,7 +192,7 @@ def silver_customers(spark: SparkSession, src: str, out: str, run_ts: str | None
         rows = quality.collect_report(quality.report_from_labels(labelled, CUSTOMER_RULES))
         passing, failing = quality.split_labelled(labelled, CUSTOMER_RULES)
         all_rejected = rejected.unionByName(_failed_as_json(failing, typed.columns))
-        n_bad = _write_quarantine(all_rejected, quarantine, run_ts)
+        n_bad = _write_quarantine(all_rejected, quarantine, out, run_ts)
         if strict:
             quality.assert_quality(rows)
         write_by_month(passing, "contract_start_date", out, run_ts)
@@ -252,11 +257,8 @@ def silver_employees(spark: SparkSession, src: str, out: str, vault_out: str,
         rows = quality.collect_report(quality.report_from_labels(labelled, rules))
         staged.unpersist()
         passing, failing = quality.split_labelled(labelled, rules)
-        if quarantine is not None:
-            bad = privacy.pseudonymize(failing, E.TOKENS, secret).drop(*E.CLEAR_COLUMNS)
-            n_bad = _write_quarantine(bad, quarantine, run_ts)
-        else:
-            n_bad = 0
+        bad = privacy.pseudonymize(failing, E.TOKENS, secret).drop(*E.CLEAR_COLUMNS)
+        n_bad = _write_quarantine(bad, quarantine, out, run_ts)
         if strict:
             quality.assert_quality(rows)
         typed = shape.to_typed(passing, {"taxes": E.EMPLOYEE_TYPES["taxes"]})
@@ -325,21 +327,20 @@ def build_marts(fact: DataFrame, id_column: str = "cpf_encrypted",
             for name in MART_SPECS}
 
 
-# Dimensions up to this many rows are broadcast after a count check (a
-# country's postal codes and a position catalogue fit comfortably); larger
-# ones are joined by the planner's choice, sort-merge beyond its thresholds.
-DIMENSION_BROADCAST_ROWS = 1_000_000
-
+def enrich_employees(employees: DataFrame, postal: DataFrame, positions: DataFrame) -> DataFrame:
+    """Employees with region (by cep) and level/area (by position code).
 
-def enrich_employees(employees: DataFrame, postal: DataFrame, positions: DataFrame,
-                     max_broadcast_rows: int | None = DIMENSION_BROADCAST_ROWS) -> DataFrame:
-    """Employees with region (by cep) and level/area (by position code)."""
+    Raises when a dimension has different rows for one key: they would
+    multiply employees. How to join is left to the planner's size checks.
+    """
     fact = employees.select("cpf_encrypted", "cep", "position", "time_on_job", "person_age")
     cep = marts.narrow_dimension(postal, ["cep", "state", "region"])
-    fact = marts.lookup(fact, cep, "cep", max_broadcast_rows=max_broadcast_rows)
+    marts.assert_unique_key(cep, "cep")
+    fact = marts.lookup(fact, cep, "cep")
     pos = marts.narrow_dimension(positions, ["level", "level_description", "area", "cod_area",
                                              "cod_level", "quadro", "bonus"])
-    fact = marts.lookup(fact, pos, "position", "level", max_broadcast_rows=max_broadcast_rows)
+    marts.assert_unique_key(pos, "level")
+    fact = marts.lookup(fact, pos, "position", "level")
     return fact.withColumn("generation", generation("person_age"))
 
 
@@ -375,8 +376,12 @@ INPUT_FILES = {"positions": "positions.csv", "postal": "postal.csv",
 
 
 def run_all(spark: SparkSession, input_dir: str, output_dir: str, as_of: date | str,
-            secret: str, strict: bool = True, run_ts: str | None = None) -> dict[str, object]:
-    """Every silver job whose raw file is present, then the gold job.
+            secret: str, strict: bool = True, run_ts: str | None = None,
+            entities: Sequence[str] = tuple(INPUT_FILES), with_gold: bool = True) -> dict[str, object]:
+    """The silver job of each named entity, then the gold job.
+
+    All inputs are looked up first, with the file system that their path
+    names; a missing one stops the run before anything is written.
 
     Layout under ``output_dir``: ``silver/<entity>``, ``quarantine/<entity>``,
     ``vault/<entity>`` (clear identifiers, restricted) and ``gold/<mart>``.
@@ -385,9 +390,14 @@ def run_all(spark: SparkSession, input_dir: str, output_dir: str, as_of: date |
     """
     run_ts = run_ts or run_timestamp()
 
-    def raw(entity: str) -> str | None:
-        path = os.path.join(input_dir, INPUT_FILES[entity])
-        return path if os.path.exists(path) else None
+    paths = {e: os.path.join(input_dir, INPUT_FILES[e]) for e in entities}
+    missing = [p for p in paths.values() if not path_exists(spark, p)]
+    if missing:
+        raise FileNotFoundError(f"no input at {', '.join(missing)}")
+    lacking = {"postal", "employees", "positions"} - set(entities)
+    if with_gold and lacking:
+        raise ValueError(f"the gold job also needs {', '.join(sorted(lacking))}")
+    raw = paths.get
 
     def out(kind: str, entity: str) -> str:
         return os.path.join(output_dir, kind, entity)
@@ -411,7 +421,7 @@ def run_all(spark: SparkSession, input_dir: str, output_dir: str, as_of: date |
         done["partner_staff"] = silver_pq(spark, raw("partner_staff"),
                                           out("silver", "partner_staff"),
                                           out("vault", "partner_staff"), secret, run_ts)
-    if all(k in done for k in ("postal", "employees", "positions")):
+    if with_gold:
         done["gold"] = gold(spark, out("silver", "postal"), out("silver", "employees"),
                             out("silver", "positions"), os.path.join(output_dir, "gold"), run_ts)
     return done

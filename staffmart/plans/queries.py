@@ -72,17 +72,10 @@ def key_mod(column: str, m: int) -> Column:
 
 # ------------------------------------------------------------- shared pieces
 
-# Row bound under which a dimension is broadcast after a count check (the
-# postal-style dimension has 25 rows at every scale factor).
-DIMENSION_ROWS = 10_000
-
-
 def region_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(n_nationkey, state, region), broadcast to its users after a size check."""
+    """(n_nationkey, state, region)."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    # The finished dimension is size-checked where it is joined; this inner
-    # join of two small tables is left to the planner.
     joined = marts.lookup(nation, region, "n_regionkey", "r_regionkey")
     return marts.narrow_dimension(
         joined.select("n_nationkey", F.col("n_name").alias("state"),
@@ -159,8 +152,7 @@ def tenure_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 def region_headcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     people = privacy.pseudonymize(people, {"c_custkey": "cpf_encrypted"}, SECRET)
-    fact = marts.lookup(people, region_dimension(spark, sf_dir), "c_nationkey", "n_nationkey",
-                        max_broadcast_rows=DIMENSION_ROWS)
+    fact = marts.lookup(people, region_dimension(spark, sf_dir), "c_nationkey", "n_nationkey")
     return marts.ranked(marts.headcount(fact, ["region"], "cpf_encrypted"), marts.HEADCOUNT)
 
 
@@ -177,8 +169,7 @@ def generation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .agg(F.collect_set("generation").alias("generations")))
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     fact = marts.lookup(per_person, people, "o_custkey", "c_custkey")
-    fact = marts.lookup(fact, region_dimension(spark, sf_dir), "c_nationkey", "n_nationkey",
-                        max_broadcast_rows=DIMENSION_ROWS)
+    fact = marts.lookup(fact, region_dimension(spark, sf_dir), "c_nationkey", "n_nationkey")
     fact = fact.select("o_custkey", "region", F.explode("generations").alias("generation"))
     fact = privacy.pseudonymize(fact, {"o_custkey": "cpf_encrypted"}, SECRET)
     return marts.ranked(marts.headcount(fact, ["region", "generation"], "cpf_encrypted"),

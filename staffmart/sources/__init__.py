@@ -1,6 +1,7 @@
 from staffmart.sources.delimited import overflow_names, read_delimited, string_schema
 from staffmart.sources.header_split import read_header_split
 from staffmart.sources.sinks import (
+    path_exists,
     read_table,
     run_timestamp,
     stamp,
@@ -11,6 +12,6 @@ from staffmart.sources.sinks import (
 
 __all__ = [
     "overflow_names", "read_delimited", "string_schema", "read_header_split",
-    "read_table", "run_timestamp", "stamp", "with_month_columns",
+    "path_exists", "read_table", "run_timestamp", "stamp", "with_month_columns",
     "write_by_month", "write_table",
 ]

@@ -64,13 +64,20 @@ def write_by_month(df: DataFrame, date_col: str, path: str, run_ts: str | None =
     year_col, month_col = month_columns(date_col)
     out = stamp(with_month_columns(df, date_col), run_ts).hint("rebalance", year_col, month_col)
     if sort_by:
-        out = out.sortWithinPartitions(*sort_by)
+        # led by the partition columns, as the writer wants them; it would sort anew otherwise
+        out = out.sortWithinPartitions(year_col, month_col, *sort_by)
     (out.write.mode(mode)
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(year_col, month_col)
         .parquet(path))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, by the file system that it names."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def read_table(spark: SparkSession, path: str, drop_stamp: bool = False,
                schema: T.StructType | None = None) -> DataFrame:
     """Read a table; ``schema`` (from ``write_table``) skips inference."""

@@ -95,3 +95,12 @@ def test_generation_matches_the_band_model(spark, ages):
     df = spark.createDataFrame([(i, a) for i, a in enumerate(ages)], "i int, age int")
     got = {r["i"]: r["g"] for r in df.select("i", generation("age").alias("g")).collect()}
     assert [got[i] for i in range(len(ages))] == [band_model(a) for a in ages]
+
+
+def test_only_plain_serials_become_dates(spark):
+    texts = ["45292", " 45292.75 ", "0", "-213", "NaN", "12d", "1e3", "Infinity", "2958465", "2958466",
+             "2000000000", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [str(r[0]) for r in df.orderBy("i").select(excel_serial_to_date("t")).collect()]
+    assert got == ["2024-01-01", "2024-01-01", "1899-12-30", "1899-05-31", *["None"] * 4, "9999-12-31",
+                   *["None"] * 4]

@@ -252,7 +252,14 @@ def test_run_all(spark, tmp_path):
     employee_file(inp, CLEAN_PEOPLE)                          # writes employees.csv
     write_lines(inp, "levels.csv", ["Nível%Descrição Nível%Tempo no Nível", "JA%Estagiário%1"])
     out = tmp_path / "lake"
-    done = jobs.run_all(spark, str(inp), str(out), AS_OF, SECRET)
+    names = ["positions", "postal", "customers", "employees", "levels"]
+    with pytest.raises(FileNotFoundError, match="partner_staff.csv"):
+        jobs.run_all(spark, str(inp), str(out), AS_OF, SECRET)  # an input is missing
+    with pytest.raises(ValueError, match="employees, positions"):
+        jobs.run_all(spark, str(inp), str(out), AS_OF, SECRET, entities=["postal"])
+    assert not os.path.exists(out)
+    # a URI is looked up by the file system that it names
+    done = jobs.run_all(spark, f"file://{inp}", str(out), AS_OF, SECRET, entities=names)
     assert set(done) == {"positions", "postal", "customers", "employees", "levels", "gold"}
     for entity in ("positions", "postal", "customers", "employees", "levels"):
         assert os.path.isdir(out / "silver" / entity)

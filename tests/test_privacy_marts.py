@@ -2,7 +2,11 @@ from __future__ import annotations
 
 import hashlib
 
+import pytest
+from pyspark.sql import functions as F
+
 from staffmart.functions import token
+from staffmart.functions.tokens import secret_from_conf
 from staffmart.operators import marts, privacy
 
 
@@ -59,19 +63,40 @@ def test_approximate_headcount_is_close(spark):
         assert abs(approx[g] - n) <= 0.05 * n
 
 
-def test_broadcast_only_after_a_size_check(spark, capsys):
+def test_lookup_leaves_the_strategy_to_the_planner(spark, capsys):
     fact = spark.range(100).selectExpr("id % 3 AS k", "id")
     dim = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "k long, name string")
-    assert marts.fits(dim, 3) and not marts.fits(dim, 2)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        marts.lookup(fact, dim, "k", max_broadcast_rows=10).explain()
-        small = capsys.readouterr().out
-        marts.lookup(fact, dim, "k", max_broadcast_rows=2).explain()
-        large = capsys.readouterr().out
+        marts.lookup(fact, dim, "k").explain()
+        plan = capsys.readouterr().out
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in small
-    assert "BroadcastHashJoin" not in large and "SortMergeJoin" in large
+    assert "SortMergeJoin" in plan and "SinglePartition" not in plan
+
+
+def test_conflicting_dimension_keys_are_an_error(spark):
+    dim = spark.createDataFrame([("1", "a"), ("1", "a"), ("2", "b"), (None, "x"), (None, "y")],
+                                "k string, name string")
+    once = marts.narrow_dimension(dim, ["k", "name"])
+    marts.assert_unique_key(once, "k")  # exact repeats and null keys are none
+    with pytest.raises(ValueError, match="for one k: 2"):
+        marts.assert_unique_key(once.union(spark.createDataFrame([("2", "c")], dim.schema)), "k")
+
+
+def test_reidentify_keeps_every_row(spark):
+    public = spark.createDataFrame([("t1",), ("t2",), (None,)], "token string")
+    vault = spark.createDataFrame([("t1", "b"), ("t1", "a")], "token string, name string")
+    got = {r["token"]: r["name"] for r in privacy.reidentify(public, vault, "token", ["name"]).collect()}
+    assert got == {"t1": "a", "t2": None, None: None}
+
+
+def test_secret_is_not_in_printed_plans(spark, capsys):
+    spark.conf.set("spark.staffmart.pseudonym.secret", "s3cret-value")
+    try:
+        secret = secret_from_conf(spark)
+        spark.range(1).select(token(F.col("id"), secret)).explain(True)
+    finally:
+        spark.conf.unset("spark.staffmart.pseudonym.secret")
+        spark.conf.unset("spark.sql.redaction.string.regex")
+    assert "s3cret-value" not in capsys.readouterr().out

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import glob
+
+import pyarrow.parquet as pq
+
 from conftest import write_lines
 
 from staffmart.sources import read_delimited, read_header_split, read_table, write_by_month, write_table
@@ -74,13 +78,16 @@ def test_stamped_and_month_partitioned_writes(spark, tmp_path):
 
 
 def test_month_partitioned_write_sorted_within_files(spark, tmp_path):
-    df = spark.createDataFrame([(i, 100 - i) for i in range(50)], "id int, v int") \
-        .selectExpr("id", "v", "date_add(DATE'2020-01-01', id % 40) AS d")
+    df = spark.range(20_000).selectExpr(
+        "id", "pmod(hash(id), 1000) AS v", "date_add(DATE'2020-01-01', CAST(id % 40 AS INT)) AS d")
     out = str(tmp_path / "sorted")
     write_by_month(df, "d", out, run_ts="2024-01-01 00:00:00", sort_by=["v"])
-    back = read_table(spark, out)
-    assert back.count() == 50
-    assert sorted(r["id"] for r in back.collect()) == list(range(50))
+    assert read_table(spark, out).count() == 20_000
+    files = glob.glob(f"{out}/**/*.parquet", recursive=True)
+    assert files
+    for f in files:
+        values = pq.ParquetFile(f).read(["v"]).column("v").to_pylist()
+        assert values == sorted(values)
 
 
 def test_every_part_file_may_carry_a_header(spark, tmp_path):
