@@ -50,13 +50,13 @@ GRAM = 32
 BATCHES = 4
 SEED = 2024
 # Windows handled at once: positions must fit into the low bits of a key.
-CHUNK = 1 << 18
+CHUNK = 1 << 16
 _LOW = np.uint64((1 << 20) - 1)
 # Different runs of one anchor that one task may compare.
 GROUP_RUNS = 20_000
 # Bytes of runs that a task compares at once, group by group.
-GROUP_BYTES = 2_000_000
-SLICE_RUNS = 500_000
+GROUP_BYTES = 300_000
+SLICE_RUNS = 300_000
 # Bits of the bitmap that spares work: 8 MB, whatever the input.
 FILTER_BITS = 26
 BUCKET_BITS = 32768
@@ -465,20 +465,25 @@ def without_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
              pa.array([d[0] for d in done], pa.binary())],
             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    def passing(hit: bool) -> DataFrame:
-        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keys = np.asarray(batch.column("text_key")).view(np.uint64)
-                yield batch.filter(pa.array(in_bitmap(bits.value, keys) == hit))
+    def of(part: pa.RecordBatch, hit: bool) -> pa.RecordBatch:
+        keys = np.asarray(part.column("text_key")).view(np.uint64)
+        return part.filter(pa.array(in_bitmap(bits.value, keys) == hit))
 
-        return keyed.mapInArrow(pick, keyed.schema)
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                yield of(part, True)
+
+    def untouched(part: pa.RecordBatch, _: list[bytes]) -> pa.RecordBatch:
+        part = of(part, False)
+        return make(part, _texts(part))
 
     right = spans.select(F.col("doc_id").alias("span_id"), F.col("text_key").alias("span_key"), "spans")
-    cuttable = passing(True)
+    cuttable = keyed.mapInArrow(pick, keyed.schema)
     joined = cuttable.join(right, cuttable["doc_id"].eqNullSafe(right["span_id"])
                            & (cuttable["text_key"] == right["span_key"]), "left")
     return _mapped(joined.select("doc_id", "text", "spans"), CUT, make).unionByName(
-        _mapped(passing(False), CUT, make))
+        _mapped(keyed, CUT, untouched))
 
 
 # --------------------------------------------------------------- the query
