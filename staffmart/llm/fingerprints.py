@@ -6,8 +6,8 @@ if it occurs again, has a 64-bit digest that is added to ``HASHES`` cells of a
 small table (count, exclusive or of digests, exclusive or of checks). Two
 tables are subtracted cell by cell; cells that hold one digest alone are
 peeled until the table is empty, which yields the digests that differ. If
-peeling gets stuck, both texts are sketched again with twice the cells, until
-it succeeds. The likeness of two texts is the share of their pieces that they
+peeling gets stuck, both texts are sketched again with at least twice the
+cells, until it succeeds. The likeness of two texts is the share of their pieces that they
 have in common.
 
 Defined results: a null text is empty; two texts without pieces are equal
@@ -140,7 +140,8 @@ def likeness(x: np.ndarray, y: np.ndarray, a: Sketch, b: Sketch) -> float:
     """Common share of the pieces; a, b: the small sketches of the digests x, y."""
     cells = a.cells
     while (sides := difference(a, b)) is None:
-        cells *= 2
+        # all pieces may differ: the first retry has room for that, later ones double
+        cells = max(2 * cells, HASHES * (len(x) + len(y)) // 2)
         a, b = Sketch(x, cells), Sketch(y, cells)
     common = a.size - len(sides[0])
     whole = common + len(sides[0]) + len(sides[1])
@@ -177,6 +178,7 @@ _RESULT_TYPE = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edi
                           ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
                           ("near_edited", pa.float64()), ("near_next", pa.float64())])
 ROWS_AT_ONCE = 500
+RANGES = 4
 
 
 def range_of(doc_id: Column, bounds: list[int]) -> Column:
@@ -195,14 +197,14 @@ def range_of(doc_id: Column, bounds: list[int]) -> Column:
 def with_next(docs: DataFrame) -> DataFrame:
     """Every row compared to its successor; texts are shuffled once.
 
-    Ids are cut into ranges at quantiles, as many as shuffle partitions (the
-    quantiles are the only thing the driver sees). Rows of the smallest id of
+    Ids are cut into ranges at quantiles, RANGES to each shuffle partition so
+    that partitions come out even (the quantiles are all that the driver sees). Rows of the smallest id of
     a range are sent to the range before it as well, so that every task sees
     the successor of its last row.
     """
     spark = docs.sparkSession
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    ranges = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = RANGES * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     points = [i / ranges for i in range(1, ranges)]
     bounds = ids.agg(F.percentile_approx("doc_id", points, 10 * ranges)).first()[0] if points else None
     bounds = sorted(set(bounds or []))
