@@ -178,7 +178,7 @@ _RESULT_TYPE = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edi
                           ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
                           ("near_edited", pa.float64()), ("near_next", pa.float64())])
 ROWS_AT_ONCE = 500
-RANGES = 4
+RANGES = 1
 
 
 def range_of(doc_id: Column, bounds: list[int]) -> Column:
