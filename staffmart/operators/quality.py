@@ -14,7 +14,7 @@ more than once.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -24,6 +24,8 @@ from pyspark.sql import types as T
 
 REPORT_COLUMNS = ["rule", "column_name", "evaluated", "unexpected", "success"]
 FAILED_COLUMN = "_failed_rules"
+# Per row: column name -> raw text of the filled cells that their type could not hold.
+UNCAST_COLUMN = "_uncast"
 
 
 @dataclass(frozen=True)
@@ -42,13 +44,15 @@ class Rule:
 
     def evaluated(self) -> Column:
         c = F.col(self.column)
-        return F.lit(True) if self.rule == "not_null" else c.isNotNull()
+        return F.lit(True) if self.rule in ("not_null", "castable") else c.isNotNull()
 
     def fails(self) -> Column:
         """True when a row breaks the rule (never NULL)."""
         c = F.col(self.column)
         if self.rule == "not_null":
             return c.isNull()
+        if self.rule == "castable":
+            return F.map_contains_key(UNCAST_COLUMN, self.column)
         if self.rule == "between":
             low, high = self.args
             ok = F.lit(True)
@@ -68,6 +72,24 @@ def not_null(column: str) -> Rule:
     return Rule("not_null", column)
 
 
+def castable(column: str) -> Rule:
+    """Every filled cell has a value of its type; see ``cast_noting_losses``."""
+    return Rule("castable", column)
+
+
+def cast_noting_losses(df: DataFrame, casts: Mapping[str, Column]) -> DataFrame:
+    """Replace each column by its cast, and keep the raw cells that it lost.
+
+    A cast that fails gives NULL, which every rule but ``not_null`` skips.
+    ``UNCAST_COLUMN`` therefore maps, per row, the columns whose raw cell was
+    filled and whose cast is NULL to that cell (blanks only count as empty).
+    """
+    lost = [F.when((F.trim(F.col(c).cast("string")) != "") & cast.isNull(),
+                   F.struct(F.lit(c), F.col(c).cast("string"))) for c, cast in casts.items()]
+    uncast = F.map_from_entries(F.array_compact(F.array(*lost)))
+    return df.withColumn(UNCAST_COLUMN, uncast).withColumns(dict(casts))
+
+
 def unique(column: str) -> Rule:
     return Rule("unique", column)
 

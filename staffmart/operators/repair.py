@@ -5,8 +5,8 @@ Two shapes of the same defect occur in delimited HR files:
 * ``realign`` — an extra empty cell pushed every later value one column to
   the right, so the row has one more cell than the header. Read with an
   overflow column (see ``sources.read_delimited``), the row is recognised by
-  its filled overflow cell, the spurious gap is located and the cells right
-  of it move back. One projection of ``CASE`` expressions per column: no
+  its filled overflow cell or by values under the wrong header, the spurious
+  gap is located and the cells right of it move back. One projection of ``CASE`` expressions per column: no
   neighbour-order cascade, no UDF, one row at a time (no shuffle).
 * ``fill_from_right`` — the ordered "take the neighbour's value when empty,
   then clear the neighbour if it now repeats" cascade, for data that was
@@ -41,78 +41,76 @@ def realign(df: DataFrame, columns: Sequence[str], overflow: Sequence[str] = (),
 
     ``columns`` are the named columns in file order; ``overflow`` the extra
     cells past them (``_c<N>``). A row is *shifted* when its first overflow
-    cell is filled. Its gap is the first empty cell among ``columns`` whose
-    removal yields values that every validator accepts (validators map a
-    column name to a ``Column -> boolean`` test; absent ones accept all). The
-    cells from the gap on are replaced by their right neighbours.
-
-    Without overflow columns (data already truncated to the header width) a
-    row is shifted when an empty cell is followed by a value that its own
-    column rejects but the empty cell's column accepts; the last column
-    then becomes NULL, because its value was lost before we saw the row.
+    cell is filled, or (its last cell was empty, or the data was cut to the
+    header width) when right of an empty cell stands a value that its own
+    column rejects and the column to its left accepts. A gap is an empty cell
+    among ``columns`` whose removal yields values that every validator
+    accepts (validators map a column name to a ``Column -> boolean`` test;
+    absent ones accept all). The cells from the gap on are replaced by their
+    right neighbours.
 
     Output: ``df`` without the overflow columns, with the repaired
     ``columns`` and ``status_column`` = 0 (clean), 1 (repaired) or
-    -1 (shifted but not repairable: two gaps, or no acceptable gap). Rows
-    with -1 keep their cells unchanged; route them to quarantine.
+    -1 (shifted but not repairable: two extra cells, no acceptable gap, or
+    several whose removal gives different rows). Rows with -1 keep their
+    cells unchanged; route them to quarantine.
     """
     validators = validators or {}
     cols = list(columns)
     n = len(cols)
     cells = [F.col(c) for c in cols]
-    if overflow:
-        cells.append(F.col(overflow[0]))
-        extra_filled = [F.col(c).isNotNull() for c in overflow[1:]]
-        shifted = cells[n].isNotNull()
-        two_gaps = F.lit(False)
-        for filled in extra_filled:
-            two_gaps = two_gaps | filled
-    else:
-        cells.append(F.lit(None).cast("string"))
-        shifted = F.lit(False)
-        for j in range(n - 1):
-            v_here = validators.get(cols[j])
-            v_next = validators.get(cols[j + 1])
-            if v_here is None or v_next is None:
-                continue
-            value = cells[j + 1]
-            shifted = shifted | (cells[j].isNull() & value.isNotNull()
-                                 & ~_accepts(v_next, value) & _accepts(v_here, value))
-        two_gaps = F.lit(False)
+    cells.append(F.col(overflow[0]) if overflow else F.lit(None).cast("string"))
+    two_gaps = F.lit(False)
+    for c in overflow[1:]:
+        two_gaps = two_gaps | F.col(c).isNotNull()
+
+    shifted = cells[n].isNotNull() | two_gaps
+    empty_before = cells[0].isNull()
+    for i in range(1, n):
+        own, left = validators.get(cols[i]), validators.get(cols[i - 1])
+        if own is not None and left is not None:
+            shifted = shifted | (empty_before & cells[i].isNotNull()
+                                 & ~_accepts(own, cells[i]) & _accepts(left, cells[i]))
+        empty_before = empty_before | cells[i].isNull()
 
     # keep[i] / take[i]: column i accepts its own cell / its right neighbour's.
     # Evaluated only for shifted rows, once each (own columns, not inlined).
+    shifted_col, first_col, last_col = "__shifted", "__gap", "__last_gap"
     flags = {}
     for i, c in enumerate(cols):
-        flags[f"__keep{i}"] = F.when(shifted, _accepts(validators.get(c), cells[i]))
-        flags[f"__take{i}"] = F.when(shifted, _accepts(validators.get(c), cells[i + 1]))
-
-    gap = None
+        flags[f"__keep{i}"] = F.when(F.col(shifted_col), _accepts(validators.get(c), cells[i]))
+        flags[f"__take{i}"] = F.when(F.col(shifted_col), _accepts(validators.get(c), cells[i + 1]))
+    gaps = {}
     for j in range(n):
         ok = cells[j].isNull()
         for i in range(j):
             ok = ok & F.col(f"__keep{i}")
         for i in range(j, n):
             ok = ok & F.col(f"__take{i}")
-        gap = F.when(ok, F.lit(j)) if gap is None else gap.when(ok, F.lit(j))
-    gap = F.when(shifted, gap.otherwise(F.lit(None).cast("int")))
-
-    gap_col = "__gap"
-    repairable = shifted & ~two_gaps & F.col(gap_col).isNotNull()
-    status = (F.when(~shifted, F.lit(CLEAN))
+        gaps[f"__ok{j}"] = F.when(F.col(shifted_col) & ok, F.lit(j))
+    # Two gaps give the same row only if nothing but empty cells lies between.
+    ambiguous = F.lit(False)
+    for i in range(n):
+        ambiguous = ambiguous | (cells[i].isNotNull() & (F.col(first_col) < i)
+                                 & (F.col(last_col) > i))
+    repairable = ~two_gaps & F.col(first_col).isNotNull() & ~ambiguous
+    status = (F.when(~F.col(shifted_col), F.lit(CLEAN))
               .when(repairable, F.lit(REPAIRED))
               .otherwise(F.lit(UNREPAIRED)))
 
     fixed = {}
     for i, c in enumerate(cols):
-        moved = F.when(F.col(gap_col) <= F.lit(i), cells[i + 1]).otherwise(cells[i])
+        moved = F.when(F.col(first_col) <= F.lit(i), cells[i + 1]).otherwise(cells[i])
         fixed[c] = F.when(F.col(status_column) == F.lit(REPAIRED), moved).otherwise(cells[i])
+    found = [F.col(g) for g in gaps]
     return (df
+            .withColumn(shifted_col, shifted)
             .withColumns(flags)
-            .withColumn(gap_col, gap)
+            .withColumns(gaps)
+            .withColumns({first_col: F.coalesce(*found), last_col: F.coalesce(*found[::-1])})
             .withColumn(status_column, status)
             .withColumns(fixed)
-            .drop(gap_col, *flags, *overflow))
+            .drop(shifted_col, first_col, last_col, *flags, *gaps, *overflow))
 
 
 def fill_from_right(df: DataFrame, chain: Sequence[str]) -> DataFrame:
@@ -127,8 +125,3 @@ def fill_from_right(df: DataFrame, chain: Sequence[str]) -> DataFrame:
         out = out.withColumn(left, F.coalesce(F.col(left), F.col(right)))
         out = out.withColumn(right, F.nullif(F.col(right), F.col(left)))
     return out
-
-
-def null_if_in(column: str, values: Sequence[str]) -> Column:
-    """``column`` with the listed values replaced by NULL."""
-    return F.when(F.col(column).isin(list(values)), F.lit(None)).otherwise(F.col(column))

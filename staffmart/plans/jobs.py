@@ -60,11 +60,14 @@ def _write_quarantine(df: DataFrame, path: str | None, out: str, run_ts: str) ->
 # ----------------------------------------------------------------- positions
 
 POSITION_VALIDATORS = {
+    "Cargo": lambda c: is_code(F.trim(c)),
     "Nível": lambda c: c.isin(E.LEVELS),
     "Área": lambda c: ~c.isin(E.LEVELS) & ~is_code(F.trim(c)),
     "COD Área": lambda c: F.trim(c).rlike(r"^[A-Z]{2,4}$"),
     "COD Nível": lambda c: F.trim(c).rlike(r"^[A-Z]{2,4}$"),
+    "Quadro": lambda c: ~is_code(F.trim(c)) & ~c.isin("S", "N"),
     "Bonus": lambda c: c.isin("S", "N"),
+    "Contratacao": lambda c: ~c.isin("S", "N"),
 }
 
 
@@ -208,6 +211,7 @@ DATE_TYPES = {c: T.DateType() for c in ("birth_date", "hire_date", "termination_
 
 def employee_rules(as_of: date | str) -> list[quality.Rule]:
     return [
+        *[quality.castable(c) for c in (*DATE_TYPES, "base_salary")],
         quality.not_null("id_card_number_rg"),
         quality.not_null("cpf"),
         quality.unique("cpf"),
@@ -224,15 +228,16 @@ def shape_employees(raw: DataFrame, as_of: date | str) -> DataFrame:
 
     ``taxes`` stays text here so that its format rule sees the raw value.
     """
-    df = shape.drop_filler_columns(raw)
-    df = df.withColumns({c: excel_serial_to_date(c) for c in E.EMPLOYEE_DATE_COLUMNS})
+    df = shape.rename(shape.drop_filler_columns(raw), E.EMPLOYEES_RENAME)
+    casts = {c: excel_serial_to_date(c) for c in DATE_TYPES}
+    casts["base_salary"] = F.col("base_salary").try_cast(E.EMPLOYEE_TYPES["base_salary"])
+    df = quality.cast_noting_losses(df, casts)
     df = df.withColumns({
-        "time_on_job": tenure_days("Data de Contratacao", "Data de Demissao", as_of),
-        "person_age": age_in_full_years("Data de Nascimento", as_of),
+        "time_on_job": tenure_days("hire_date", "termination_date", as_of),
+        "person_age": age_in_full_years("birth_date", as_of),
     })
-    df = shape.rename(df, E.EMPLOYEES_RENAME)
     quality.assert_column_types(df, DATE_TYPES)
-    return shape.to_typed(df, {"base_salary": E.EMPLOYEE_TYPES["base_salary"]})
+    return df
 
 
 def _protect(df: DataFrame, secret: str, vault_out: str, run_ts: str) -> DataFrame:
@@ -261,7 +266,7 @@ def silver_employees(spark: SparkSession, src: str, out: str, vault_out: str,
         n_bad = _write_quarantine(bad, quarantine, out, run_ts)
         if strict:
             quality.assert_quality(rows)
-        typed = shape.to_typed(passing, {"taxes": E.EMPLOYEE_TYPES["taxes"]})
+        typed = shape.to_typed(passing.drop(quality.UNCAST_COLUMN), {"taxes": E.EMPLOYEE_TYPES["taxes"]})
         public = _protect(typed, secret, vault_out, run_ts)
         write_by_month(public, "hire_date", out, run_ts)
     finally:
@@ -271,15 +276,24 @@ def silver_employees(spark: SparkSession, src: str, out: str, vault_out: str,
 
 
 def silver_pq(spark: SparkSession, src: str, out: str, vault_out: str, secret: str,
-              run_ts: str | None = None) -> JobResult:
+              run_ts: str | None = None, quarantine: str | None = None) -> JobResult:
+    """Select, rename, convert the dates, split the vault, write by month.
+
+    Rows with a filled cell that is no date go to the quarantine, without
+    clear identifiers.
+    """
     run_ts = run_ts or run_timestamp()
     raw = read_delimited(spark, src, E.PQ_SEP)
     df = shape.rename(shape.select_renamed(raw, E.PQ_COLUMNS), E.PQ_RENAME)
-    df = df.withColumns({c: excel_serial_to_date(c) for c in DATE_TYPES})
+    df = quality.cast_noting_losses(df, {c: excel_serial_to_date(c) for c in DATE_TYPES})
     quality.assert_column_types(df, DATE_TYPES)
-    public = _protect(df, secret, vault_out, run_ts)
+    rules = [quality.castable(c) for c in DATE_TYPES]
+    passing, failing = quality.split_quarantine(df, rules)
+    bad = privacy.pseudonymize(failing, E.TOKENS, secret).drop(*E.CLEAR_COLUMNS)
+    n_bad = _write_quarantine(bad, quarantine, out, run_ts)
+    public = _protect(passing.drop(quality.UNCAST_COLUMN), secret, vault_out, run_ts)
     write_by_month(public, "hire_date", out, run_ts)
-    return JobResult(read_table(spark, out))
+    return JobResult(read_table(spark, out), quarantined=n_bad)
 
 
 # -------------------------------------------------------------------- levels
@@ -304,69 +318,68 @@ MART_SPECS = {
 }
 
 
-MART_COLUMNS = ["cpf_encrypted", "time_on_job", "region", "level_description", "area",
-                "generation"]
+DAYS, SPELLS = "days", "spells"
 
 
-def build_mart(fact: DataFrame, name: str, id_column: str = "cpf_encrypted",
-               days_column: str = "time_on_job", approx_rsd: float | None = None) -> DataFrame:
-    """One mart; ``approx_rsd`` switches headcounts to mergeable sketches."""
+def build_mart(people: DataFrame, spells: DataFrame, name: str,
+               id_column: str = "cpf_encrypted", approx_rsd: float | None = None) -> DataFrame:
+    """One mart, from people (ids) or from sums of days over spells;
+    ``approx_rsd`` switches headcounts to mergeable sketches."""
     measure, by = MART_SPECS[name]
     if measure == "headcount":
-        return marts.ranked(marts.headcount(fact, by, id_column, approx_rsd=approx_rsd),
+        return marts.ranked(marts.headcount(people, by, id_column, approx_rsd=approx_rsd),
                             marts.HEADCOUNT)
-    return marts.ranked(marts.mean_years(fact, by, days_column), marts.MEAN_YEARS)
-
-
-def build_marts(fact: DataFrame, id_column: str = "cpf_encrypted",
-                days_column: str = "time_on_job",
-                approx_rsd: float | None = None) -> dict[str, DataFrame]:
-    """The five marts from an enriched fact with ``region``,
-    ``level_description``, ``area`` and ``generation`` columns."""
-    return {name: build_mart(fact, name, id_column, days_column, approx_rsd)
-            for name in MART_SPECS}
-
+    return marts.ranked(marts.mean_years_from_sums(spells, by, DAYS, SPELLS), marts.MEAN_YEARS)
 
-def enrich_employees(employees: DataFrame, postal: DataFrame, positions: DataFrame) -> DataFrame:
-    """Employees with region (by cep) and level/area (by position code).
 
-    Raises when a dimension has different rows for one key: they would
-    multiply employees. How to join is left to the planner's size checks.
-    """
-    fact = employees.select("cpf_encrypted", "cep", "position", "time_on_job", "person_age")
+def people_with_region(people: DataFrame, postal: DataFrame) -> DataFrame:
+    """Region by cep. Raises when a cep has different rows: they would multiply people."""
     cep = marts.narrow_dimension(postal, ["cep", "state", "region"])
     marts.assert_unique_key(cep, "cep")
-    fact = marts.lookup(fact, cep, "cep")
+    return marts.lookup(people, cep, "cep")
+
+
+def spells_with_position(spells: DataFrame, positions: DataFrame) -> DataFrame:
+    """Level and area by position code. Raises when a code has different rows."""
     pos = marts.narrow_dimension(positions, ["level", "level_description", "area", "cod_area",
                                              "cod_level", "quadro", "bonus"])
     marts.assert_unique_key(pos, "level")
-    fact = marts.lookup(fact, pos, "position", "level")
-    return fact.withColumn("generation", generation("person_age"))
+    return marts.lookup(spells, pos, "position", "level")
 
 
 def gold(spark: SparkSession, postal_path: str, employees_path: str, positions_path: str,
          out_root: str, run_ts: str | None = None,
          approx_rsd: float | None = None) -> dict[str, DataFrame]:
     """Silver -> the five marts. Headcounts are exact unless ``approx_rsd``
-    is given (HyperLogLog++ with that relative error)."""
+    is given (HyperLogLog++ with that relative error).
+
+    Employees are reduced before any join: to distinct (token, cep,
+    generation) for the headcounts and to integer sums of days per (position,
+    generation) for the means. Only these two are cached and joined to the
+    dimensions, each to the one that its marts need.
+    """
     run_ts = run_ts or run_timestamp()
-    fact = enrich_employees(read_table(spark, employees_path),
-                            read_table(spark, postal_path),
-                            read_table(spark, positions_path))
-    # Cache only what the marts read: one build of the joins, five cheap scans.
-    fact = fact.select(*MART_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+    employees = read_table(spark, employees_path).withColumn("generation", generation("person_age"))
+    people = employees.select("cpf_encrypted", "cep", "generation").distinct()
+    spells = employees.groupBy("position", "generation").agg(
+        F.sum("time_on_job").alias(DAYS), F.count("time_on_job").alias(SPELLS))
+    people = people_with_region(people, read_table(spark, postal_path)).select(
+        "cpf_encrypted", "region", "generation").persist(StorageLevel.MEMORY_AND_DISK)
+    spells = spells_with_position(spells, read_table(spark, positions_path)).select(
+        "level_description", "area", "generation", DAYS, SPELLS).persist(
+            StorageLevel.MEMORY_AND_DISK)
     try:
         outputs = {}
-        for name, mart in build_marts(fact, approx_rsd=approx_rsd).items():
+        for name in MART_SPECS:
             path = os.path.join(out_root, name)
-            written = write_table(mart, path, run_ts)
-            outputs[name] = read_table(spark, path, schema=written)
+            mart = build_mart(people, spells, name, approx_rsd=approx_rsd)
+            outputs[name] = read_table(spark, path, schema=write_table(mart, path, run_ts))
     finally:
-        fact.unpersist()
+        people.unpersist()
+        spells.unpersist()
     return outputs
 
 
-
 # ------------------------------------------------------------------ full run
 
 # Raw file name per entity inside the input folder, and the output layout.
@@ -420,7 +433,8 @@ def run_all(spark: SparkSession, input_dir: str, output_dir: str, as_of: date |
     if raw("partner_staff"):
         done["partner_staff"] = silver_pq(spark, raw("partner_staff"),
                                           out("silver", "partner_staff"),
-                                          out("vault", "partner_staff"), secret, run_ts)
+                                          out("vault", "partner_staff"), secret, run_ts,
+                                          out("quarantine", "partner_staff"))
     if with_gold:
         done["gold"] = gold(spark, out("silver", "postal"), out("silver", "employees"),
                             out("silver", "positions"), os.path.join(output_dir, "gold"), run_ts)

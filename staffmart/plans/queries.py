@@ -18,7 +18,7 @@ import os
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +32,9 @@ from staffmart.functions.temporal import (
 )
 from staffmart.functions.text import correct, strip_leading, title_case
 from staffmart.operators import filters, marts, privacy, quality, repair, shape
-from staffmart.plans.jobs import MART_SPECS, build_mart, gold
+from staffmart.plans import entities as E
+from staffmart.plans import jobs
+from staffmart.plans.jobs import DAYS, MART_SPECS, SPELLS, build_mart, gold
 from staffmart.session import scratch_path
 from staffmart.sources import (
     read_delimited,
@@ -83,42 +85,41 @@ def region_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
         ["n_nationkey", "state", "region"])
 
 
-def tenure_fact(spark: SparkSession, sf_dir: str, with_part: bool = True) -> DataFrame:
-    """One row per line item: the spell, its level, area, age and generation.
+def spell_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per line item: its person, level, part and days.
 
     lineitem ⟕ orders is a fact-to-fact join (sort-merge on the order key
     once orders outgrows the broadcast threshold; adaptive skew handling
-    splits a hot key). part is joined only when area or age is needed, and
-    its strategy is left to the planner's size checks.
+    splits a hot key).
     """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linestatus",
                                                   "l_shipdate")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                                    "o_orderpriority")
-    fact = marts.lookup(li, orders, "l_orderkey", "o_orderkey")
-    if with_part:
-        part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
-        fact = marts.lookup(fact, part, "l_partkey", "p_partkey")
-        area, age = F.col("p_type"), F.col("p_size")
-    else:
-        area, age = F.lit(None).cast("string"), F.lit(None).cast("int")
     end = F.when(F.col("l_linestatus") == F.lit("O"), F.lit(None)).otherwise(F.col("l_shipdate"))
-    return fact.select(
-        F.col("o_custkey"),
-        F.col("o_orderpriority").alias("level_description"),
-        area.alias("area"),
+    return marts.lookup(li, orders, "l_orderkey", "o_orderkey").select(
+        "o_custkey", "l_partkey", F.col("o_orderpriority").alias("level_description"),
         tenure_days(F.col("o_orderdate").cast("date"), end.cast("date"), AS_OF)
-        .alias("time_on_job"),
-        age.alias("person_age"),
-    ).withColumn("generation", generation("person_age"))
+        .alias("time_on_job"))
 
 
-def _gold(name: str) -> Query:
-    by = MART_SPECS[name][1]
-    with_part = "area" in by or "generation" in by
+def with_part(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Area and generation by part, joined to rows that are already reduced."""
+    part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("area"),
+                                               F.col("p_size").alias("person_age"))
+    return (marts.lookup(df, part, "l_partkey", "p_partkey")
+            .withColumn("generation", generation("person_age")))
+
+
+def _tenure_by_generation(name: str) -> Query:
+    """Line items are reduced to integer sums per (part, level) before part is joined."""
+    own = [c for c in MART_SPECS[name][1] if c == "level_description"]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return build_mart(tenure_fact(spark, sf_dir, with_part), name)
+        sums = spell_days(spark, sf_dir).groupBy("l_partkey", *own).agg(
+            F.sum("time_on_job").alias(DAYS), F.count("time_on_job").alias(SPELLS))
+        sums = with_part(sums, spark, sf_dir)
+        return build_mart(None, sums, name)
     return run
 
 
@@ -160,20 +161,22 @@ def generation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct people per region and generation.
 
     Each person's generations are reduced to a set first (at most one entry
-    per band, built with partial aggregation, so a person with a third of
-    all rows still costs one small set per map task). The person lookup then
-    joins one row per person on the partitioning the aggregation already
-    produced, instead of re-shuffling one row per (person, generation) pair.
+    per band, built with partial aggregation, so a person with a third of all
+    rows still costs one small set per map task). The person lookup joins one row per person on the
+    partitioning that the aggregation produced. A person is then in a group
+    once, so that a plain count is exact.
     """
-    per_person = (tenure_fact(spark, sf_dir).groupBy("o_custkey")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    spells = marts.lookup(li, orders, "l_orderkey", "o_orderkey")
+    per_person = (with_part(spells, spark, sf_dir).groupBy("o_custkey")
                   .agg(F.collect_set("generation").alias("generations")))
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     fact = marts.lookup(per_person, people, "o_custkey", "c_custkey")
     fact = marts.lookup(fact, region_dimension(spark, sf_dir), "c_nationkey", "n_nationkey")
     fact = fact.select("o_custkey", "region", F.explode("generations").alias("generation"))
-    fact = privacy.pseudonymize(fact, {"o_custkey": "cpf_encrypted"}, SECRET)
-    return marts.ranked(marts.headcount(fact, ["region", "generation"], "cpf_encrypted"),
-                        marts.HEADCOUNT)
+    return marts.ranked(fact.groupBy("region", "generation").agg(
+        F.count("o_custkey").alias(marts.HEADCOUNT)), marts.HEADCOUNT)
 
 
 GOLD_LONG = ["mart", "region", "level_description", "generation", "area",
@@ -505,10 +508,16 @@ def month_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sorted_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month-partitioned write sorted by price; ``in_order`` compares every row
+    with the one before it in its file (files are bounded by the sink)."""
     path = scratch_path(spark, "orders_sorted")
-    (_orders_dated(spark, sf_dir).sortWithinPartitions("o_totalprice")
-     .write.mode("overwrite").parquet(path))
-    return read_table(spark, path).select(*ORDER_COLUMNS)
+    write_by_month(_orders_dated(spark, sf_dir), "o_orderdate", path, sort_by=["o_totalprice"])
+    back = read_table(spark, path).select(
+        *ORDER_COLUMNS, F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("at"))
+    before = F.lag("o_totalprice").over(Window.partitionBy("file").orderBy("at"))
+    ordered = F.coalesce(before <= F.col("o_totalprice"), F.lit(True))
+    return back.withColumn("in_order", ordered).select(*ORDER_COLUMNS, "in_order")
 
 
 def stamped_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -549,11 +558,144 @@ def delimited_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+# ------------------------------------------------------- the silver jobs
+
+# Raw files written from the driver tables, read by the jobs themselves.
+
+
+def shifted(cells: list[Column], gap: Column) -> list[Column]:
+    """One more cell than given: an empty one at ``gap`` (NULL: behind the last)."""
+    none = F.lit(None).cast("string")
+    own = F.coalesce(gap, F.lit(len(cells)))
+    return [F.when(own > i, cells[i] if i < len(cells) else none)
+            .when(own == i, none)
+            .otherwise(cells[i - 1] if i else none) for i in range(len(cells) + 1)]
+
+
+def _write_raw(rows: DataFrame, sep: str, path: str) -> str:
+    rows.write.mode("overwrite").option("sep", sep).option("header", True).csv(path)
+    return path
+
+
+def positions_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E1 on every part: a gap at each position, empty last cells, a row with
+    two possible gaps (kind 8) and one with a cell too many (kind 9)."""
+    k, none = F.col("p_partkey"), F.lit(None).cast("string")
+    kind = k % 10
+    levels = F.array(*[F.lit(v) for v in E.LEVELS])
+    hiring = F.when((k % 6 == 0) & (kind != 9), none).otherwise(F.lit("Diretoria"))
+    clean = [F.translate(F.concat(F.lit("P"), k.cast("string")), "0123456789", "ABCDEFGHIJ"),
+             levels[(k % 5).cast("int")], F.concat(F.lit("@"), F.col("p_brand")),
+             F.when(k % 2 == 0, F.lit("JAJ")).otherwise(F.lit("EDE")), F.lit("ID"),
+             F.lit("Efetivo"), F.when(k % 3 == 0, F.lit("S")).otherwise(F.lit("N")), hiring]
+    cells = shifted(clean, F.when(kind.between(1, 7), kind))
+    double = [*clean[:3], none, clean[3], none, *clean[5:]]
+    cells = [F.when(kind == 8, double[i]).when((kind == 9) & F.lit(i == 8), F.lit("extra"))
+             .otherwise(c) for i, c in enumerate(cells)]
+    raw = table(spark, sf_dir, "part").select(
+        *[c.alias(n) for c, n in zip(cells, [*E.POSITIONS_COLUMNS, "_c8"], strict=True)])
+    src = _write_raw(raw, E.POSITIONS_SEP, scratch_path(spark, "raw_positions"))
+    bad = scratch_path(spark, "quarantine_positions")
+    silver = jobs.silver_positions(spark, src, scratch_path(spark, "job_positions"),
+                                   quarantine=bad).silver
+    columns = list(E.POSITIONS_RENAME.values())
+    rejected = shape.rename(read_table(spark, bad), E.POSITIONS_RENAME)
+    return (silver.select(*columns, F.lit(True).alias("kept"))
+            .unionByName(rejected.select(*columns, F.lit(False).alias("kept"))))
+
+
+def postal_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E2 on every customer: pipe lines, some separators doubled."""
+    sep = F.when(key_mod("c_custkey", 3) == 0, F.lit("||")).otherwise(F.lit("|"))
+    lines = table(spark, sf_dir, "customer").select(F.concat(
+        F.lpad(F.col("c_custkey").cast("string"), 8, "0"), sep, F.col("c_mktsegment"),
+        F.lit("|"), F.col("c_nationkey").cast("string")).alias("value"))
+    header = spark.range(1).select(F.lit(E.POSTAL_SEP.join(E.POSTAL_COLUMNS)).alias("value"))
+    src = scratch_path(spark, "raw_postal")
+    header.unionByName(lines).write.mode("overwrite").text(src)
+    return jobs.silver_postal(spark, src, scratch_path(spark, "job_postal")).silver.select(
+        *E.POSTAL_RENAME.values())
+
+
+def levels_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E4 on every order; every seventh has a level that is not allowed."""
+    k = F.col("o_orderkey")
+    levels = F.array(*[F.lit(v) for v in E.LEVELS])
+    cells = [k.cast("string"), F.when(k % 7 == 0, F.lit("Presidente")).otherwise(
+        levels[(k % 5).cast("int")]), (k % 9).cast("string")]
+    raw = table(spark, sf_dir, "orders").select(
+        *[c.alias(n) for c, n in zip(cells, E.LEVELS_RENAME, strict=True)], F.lit("x").alias("Outro"))
+    src = _write_raw(raw, E.LEVELS_SEP, scratch_path(spark, "raw_levels"))
+    return jobs.silver_levels(spark, src, scratch_path(spark, "job_levels")).silver.select(
+        *E.LEVELS_RENAME.values())
+
+
+def customers_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E5 on every customer: gaps at six positions, lines broken in two, and
+    importance levels outside the set; rejected rows come with kept = false."""
+    k = F.col("c_custkey")
+    none = F.lit(None).cast("string")
+    cells = [F.col("c_name"), (k * 10).cast("string"), (k % 90 + 1).cast("string"), F.lit("OPV"),
+             F.lpad(k.cast("string"), 8, "0"), F.lit("15/03/2019"),
+             F.when(k % 17 == 0, F.lit("7")).otherwise((k % 4 + 1).cast("string"))]
+    whole = shifted(cells, F.when((k % 9).between(1, 6), k % 9))
+    head, tail = [*cells[:3], *[none] * 5], [*cells[3:], *[none] * 4]
+    lines = F.when(k % 13 == 0, F.array(F.array(*head), F.array(*tail))).otherwise(
+        F.array(F.array(*whole)))
+    names = [*E.CUSTOMERS_COLUMNS, *[f"_c{i}" for i in range(7, 7 + E.CUSTOMERS_OVERFLOW)]]
+    raw = table(spark, sf_dir, "customer").select(F.explode(lines).alias("cells")).select(
+        *[F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    src = _write_raw(raw, E.CUSTOMERS_SEP, scratch_path(spark, "raw_customers"))
+    bad = scratch_path(spark, "quarantine_customers")
+    silver = jobs.silver_customers(spark, src, scratch_path(spark, "job_customers"),
+                                   quarantine=bad, strict=False).silver
+    columns = list(E.CUSTOMERS_RENAME.values())
+    kept = silver.select(*columns, F.lit(True).alias("kept")).withColumn(
+        "annual_contract_value", F.col("annual_contract_value").cast("double"))
+    name = F.coalesce(F.get_json_object("row", "$.Cliente"), F.get_json_object("row", "$.customer"))
+    rejected = read_table(spark, bad).select(name.alias("customer"), F.lit(False).alias("kept"))
+    return kept.unionByName(rejected, allowMissingColumns=True)
+
+
+def employees_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E3 on every order, with cells that break each rule; kept rows come with
+    the clear number that the vault gives back, rejected ones with their labels."""
+    k = F.col("o_orderkey")
+    hire = F.datediff(F.col("o_orderdate").cast("date"), F.lit(EXCEL_EPOCH).cast("date"))
+    text = hire.cast("string")
+    values = {c: F.lit("x") for c in E.EMPLOYEES_RENAME}
+    values |= {
+        "ID RH": k.cast("string"), "CEP": F.lit("20125535"), "Cargo": F.col("o_orderpriority"),
+        "RG": F.when(k % 101 != 0, k.cast("string")),
+        "CPF": F.when(k % 73 == 0, F.lit("repeated")).otherwise(F.concat(F.lit("c"), k.cast("string"))),
+        "Data de Nascimento": F.when(k % 97 == 0, F.lit("-200")).otherwise(F.lit("30000")),
+        "Data de Contratacao": text,
+        "Data de Demissao": F.when(k % 79 == 0, F.lit("12d")).when(k % 2 == 0, (hire + 100).cast("string")),
+        "Salario Base": F.when(k % 89 == 0, F.lit("abc")).when(k % 71 == 0, F.lit("-1"))
+        .otherwise(F.lit("5000.50")),
+        "Impostos": F.when(k % 83 == 0, F.lit("-1")).otherwise(F.lit("12.")),
+    }
+    cells = []
+    for i, (c, value) in enumerate(values.items()):
+        cells += [value.alias(c), F.lit(None).cast("string").alias(f"_c{2 * i + 1}")]
+    src = _write_raw(table(spark, sf_dir, "orders").select(*cells), E.EMPLOYEES_SEP,
+                     scratch_path(spark, "raw_employees"))
+    bad, vault = scratch_path(spark, "quarantine_employees"), scratch_path(spark, "vault_employees")
+    silver = jobs.silver_employees(spark, src, scratch_path(spark, "job_employees"), vault, AS_OF,
+                                   SECRET, quarantine=bad, strict=False).silver
+    kept = privacy.reidentify(silver, read_table(spark, vault), "cpf_encrypted", ["cpf"])
+    columns = ["hr_id", "position", "hire_date", "time_on_job"]
+    return (kept.select(*columns, "cpf", F.lit("").alias("failed_rules"))
+            .unionByName(read_table(spark, bad).select(
+                *columns, F.lit(None).cast("string").alias("cpf"),
+                F.col(quality.FAILED_COLUMN).alias("failed_rules"))))
+
+
 QUERIES: dict[str, Query] = {
     "region_headcount": region_headcount,
     "tenure_by_level": tenure_by_level,
-    "tenure_by_generation_level": _gold("generation_average_time_on_job"),
-    "tenure_by_generation_area": _gold("area_generation_average_time_on_job"),
+    "tenure_by_generation_level": _tenure_by_generation("generation_average_time_on_job"),
+    "tenure_by_generation_area": _tenure_by_generation("area_generation_average_time_on_job"),
     "generation_region": generation_region,
     "gold_job": gold_job,
     "generation_bands": generation_bands,
@@ -577,6 +719,11 @@ QUERIES: dict[str, Query] = {
     "month_partitioned": month_partitioned,
     "sorted_write": sorted_write,
     "stamped_mart": stamped_mart,
+    "positions_job": positions_job,
+    "postal_job": postal_job,
+    "levels_job": levels_job,
+    "customers_job": customers_job,
+    "employees_job": employees_job,
 }
 
 
@@ -774,7 +921,7 @@ SELECT CAST(year(CAST(o_orderdate AS DATE)) AS INTEGER) AS year_hire_date,
 FROM orders GROUP BY 1, 2""",
     "sorted_write": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
-       o_orderpriority
+       o_orderpriority, true AS in_order
 FROM orders""",
 }
 ORACLE_SQL["stamped_mart"] = ORACLE_SQL["region_headcount"]
@@ -815,3 +962,63 @@ fact AS (
 
 
 ORACLE_SQL["gold_job"] = _gold_job_sql()
+
+
+# Fixed: the levels as a DuckDB list (1-based).
+_LEVEL_SQL = "[" + ", ".join(f"'{v}'" for v in E.LEVELS) + "]"
+
+ORACLE_SQL["positions_job"] = f"""WITH t AS (
+  SELECT p_partkey AS k, p_partkey % 10 AS kind,
+         translate('P' || CAST(p_partkey AS VARCHAR), '0123456789', 'ABCDEFGHIJ') AS level,
+         {_LEVEL_SQL}[p_partkey % 5 + 1] AS level_description, p_brand AS brand,
+         CASE WHEN p_partkey % 2 = 0 THEN 'JAJ' ELSE 'EDE' END AS code,
+         CASE WHEN p_partkey % 3 = 0 THEN 'S' ELSE 'N' END AS bonus,
+         CASE WHEN p_partkey % 6 = 0 AND p_partkey % 10 <> 9 THEN NULL ELSE 'Diretoria' END AS hiring
+  FROM part)
+SELECT level, level_description, brand AS area,
+       CASE WHEN kind = 8 THEN NULL ELSE code END AS cod_area,
+       CASE WHEN kind = 8 THEN code ELSE 'ID' END AS cod_level,
+       CASE WHEN kind = 8 THEN NULL ELSE 'Efetivo' END AS quadro,
+       CASE WHEN kind = 8 THEN 'Efetivo' ELSE bonus END AS bonus,
+       CASE WHEN kind = 8 THEN bonus ELSE hiring END AS hiring,
+       kind < 8 AS kept
+FROM t"""
+ORACLE_SQL["postal_job"] = """
+SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS cep, c_mktsegment AS state,
+       CAST(c_nationkey AS VARCHAR) AS region FROM customer"""
+ORACLE_SQL["levels_job"] = f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS level, {_LEVEL_SQL}[o_orderkey % 5 + 1] AS level_description,
+       CAST(o_orderkey % 9 AS VARCHAR) AS time_on_level
+FROM orders WHERE o_orderkey % 7 <> 0"""
+ORACLE_SQL["customers_job"] = """WITH t AS (SELECT *, c_custkey AS k FROM customer)
+SELECT c_name AS customer, CAST(k * 10 AS DOUBLE) AS annual_contract_value,
+       CAST(k % 90 + 1 AS INTEGER) AS number_of_services, 'OPV' AS responsible_position,
+       lpad(CAST(k AS VARCHAR), 8, '0') AS cep, DATE '2019-03-15' AS contract_start_date,
+       CAST(k % 4 + 1 AS INTEGER) AS importance_level, true AS kept
+FROM t WHERE k % 13 <> 0 AND k % 17 <> 0
+UNION ALL
+SELECT c_name, NULL, NULL, NULL, NULL, NULL, NULL, false FROM t WHERE k % 13 = 0 OR k % 17 = 0
+UNION ALL
+SELECT 'OPV', NULL, NULL, NULL, NULL, NULL, NULL, false FROM t WHERE k % 13 = 0"""
+ORACLE_SQL["employees_job"] = f"""WITH t AS (
+  SELECT o_orderkey AS k, o_orderpriority AS position, CAST(o_orderdate AS DATE) AS hire_date,
+         CASE WHEN o_orderkey % 79 = 0 THEN NULL WHEN o_orderkey % 2 = 0
+              THEN CAST(o_orderdate AS DATE) + 100 END AS left_on,
+         count(*) FILTER (WHERE o_orderkey % 73 = 0) OVER () AS repeated
+  FROM orders),
+f AS (
+  SELECT *, concat_ws(',',
+    CASE WHEN k % 79 = 0 THEN 'castable(termination_date)' END,
+    CASE WHEN k % 89 = 0 THEN 'castable(base_salary)' END,
+    CASE WHEN k % 101 = 0 THEN 'not_null(id_card_number_rg)' END,
+    CASE WHEN k % 97 = 0 THEN 'between(birth_date)' END,
+    CASE WHEN k % 71 = 0 AND k % 89 <> 0 THEN 'between(base_salary)' END,
+    CASE WHEN k % 83 = 0 THEN 'matches(taxes)' END,
+    CASE WHEN k % 73 = 0 AND repeated > 1 THEN 'unique(cpf)' END) AS failed_rules
+  FROM t)
+SELECT CAST(k AS VARCHAR) AS hr_id, position, hire_date,
+       CAST(date_diff('day', hire_date, COALESCE(left_on, DATE '{AS_OF}')) AS INTEGER) AS time_on_job,
+       CASE WHEN failed_rules <> '' THEN NULL
+            WHEN k % 73 = 0 THEN 'repeated' ELSE 'c' || CAST(k AS VARCHAR) END AS cpf,
+       failed_rules
+FROM f"""
