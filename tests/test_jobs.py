@@ -87,7 +87,7 @@ CLEAN_PEOPLE = [
 
 def test_positions_job(spark, tmp_path):
     src = write_lines(tmp_path, "positions.csv", POSITIONS)
-    res = jobs.silver_positions(spark, src, str(tmp_path / "base_cargos"),
+    res = jobs.silver_positions(spark, src, str(tmp_path / "positions_out"),
                                 quarantine=str(tmp_path / "q"))
     rows = {r["level"]: r for r in res.silver.collect()}
     assert len(rows) == 5 and res.quarantined == 0
@@ -101,7 +101,7 @@ def test_positions_job(spark, tmp_path):
 
 def test_postal_job_drops_header_row(spark, tmp_path):
     src = write_lines(tmp_path, "postal.csv", POSTAL)
-    res = jobs.silver_postal(spark, src, str(tmp_path / "base_cep"))
+    res = jobs.silver_postal(spark, src, str(tmp_path / "postal_out"))
     rows = sorted((r["cep"], r["state"], r["region"]) for r in res.silver.collect())
     assert rows == [("20125535", "Mato Grosso", "Centro - Oeste"),
                     ("25995770", "Rio Grande do Norte", "Nordeste"),
@@ -110,7 +110,7 @@ def test_postal_job_drops_header_row(spark, tmp_path):
 
 def test_customers_job(spark, tmp_path):
     src = write_lines(tmp_path, "customers.csv", CUSTOMERS)
-    res = jobs.silver_customers(spark, src, str(tmp_path / "base_clientes"),
+    res = jobs.silver_customers(spark, src, str(tmp_path / "customers_out"),
                                 quarantine=str(tmp_path / "q"))
     rows = {r["customer"]: r for r in res.silver.collect()}
     assert len(rows) == 5 and res.quarantined == 2             # both halves of the broken line
@@ -139,7 +139,7 @@ def test_customers_gate_stops_the_line(spark, tmp_path):
 
 def run_employees(spark, tmp_path, people, strict=True):
     src = employee_file(tmp_path, people)
-    return jobs.silver_employees(spark, src, str(tmp_path / "base_funcionarios"),
+    return jobs.silver_employees(spark, src, str(tmp_path / "employees_out"),
                                  str(tmp_path / "vault"), AS_OF, SECRET,
                                  quarantine=str(tmp_path / "q"), strict=strict)
 
@@ -183,13 +183,24 @@ def test_employees_gate(spark, tmp_path):
     assert q.count() == 3 and "cpf" not in q.columns         # no clear identifiers in quarantine
 
 
+def test_uncastable_cells_go_to_quarantine(spark, tmp_path):
+    dirty = CLEAN_PEOPLE + [dict(hr="9", cpf="99999999999", birth=dt.date(1980, 1, 1), cep="1",
+                                 hire=dt.date(2020, 1, 1), pos="OPV", salary="1.234,56")]
+    with pytest.raises(quality.QualityError, match="castable"):
+        run_employees(spark, tmp_path / "a", dirty)
+    res = run_employees(spark, tmp_path / "b", dirty, strict=False)
+    assert res.silver.count() == 4 and res.quarantined == 1
+    (bad,) = read_table(spark, str(tmp_path / "b" / "q")).collect()
+    assert bad[quality.UNCAST_COLUMN] == {"base_salary": "1.234,56"}
+
+
 def test_levels_job(spark, tmp_path):
     src = write_lines(tmp_path, "levels.csv", [
         "Nível%Descrição Nível%Tempo no Nível%Outro",
         "JA%Estagiário%1%x", "DB%Analista%3%x", "ID%Gerente%5%x", "ZZ%Presidente%9%x",
         "JE%Diretor%8%x",
     ])
-    res = jobs.silver_levels(spark, src, str(tmp_path / "base_nivel"))
+    res = jobs.silver_levels(spark, src, str(tmp_path / "levels_out"))
     assert set(res.silver.columns) == {"level", "level_description", "time_on_level", "created_at"}
     assert sorted(r["level"] for r in res.silver.collect()) == ["DB", "ID", "JA", "JE"]
 
@@ -206,7 +217,7 @@ def test_pq_job_with_repeated_headers(spark, tmp_path):
     values[names.index("Data de Demissao")] = ""
     values[17], values[43], values[51] = "OPV", "Diretor", "JE"
     src = write_lines(tmp_path, "partner_staff.csv", [";".join(names), ";".join(values)])
-    res = jobs.silver_pq(spark, src, str(tmp_path / "basepq"), str(tmp_path / "vault"), SECRET)
+    res = jobs.silver_pq(spark, src, str(tmp_path / "partner_out"), str(tmp_path / "vault"), SECRET)
     r = res.silver.first()
     assert (r["responsible_position"], r["level_description"], r["level"]) == ("OPV", "Diretor", "JE")
     assert r["hire_date"] == dt.date(2021, 3, 15) and r["termination_date"] is None
@@ -215,15 +226,15 @@ def test_pq_job_with_repeated_headers(spark, tmp_path):
 
 def test_gold_job(spark, tmp_path):
     pos = jobs.silver_positions(spark, write_lines(tmp_path, "c.csv", POSITIONS),
-                                str(tmp_path / "base_cargos"))
-    cep = jobs.silver_postal(spark, write_lines(tmp_path, "p.csv", POSTAL), str(tmp_path / "base_cep"))
+                                str(tmp_path / "positions_out"))
+    cep = jobs.silver_postal(spark, write_lines(tmp_path, "p.csv", POSTAL), str(tmp_path / "postal_out"))
     emp = run_employees(spark, tmp_path, CLEAN_PEOPLE)
     assert pos.silver.count() and cep.silver.count() and emp.silver.count()
-    out = jobs.gold(spark, str(tmp_path / "base_cep"), str(tmp_path / "base_funcionarios"),
-                    str(tmp_path / "base_cargos"), str(tmp_path / "golden"))
+    out = jobs.gold(spark, str(tmp_path / "postal_out"), str(tmp_path / "employees_out"),
+                    str(tmp_path / "positions_out"), str(tmp_path / "marts"))
     assert sorted(out) == sorted(jobs.MART_SPECS)
     for name in out:
-        assert os.path.isdir(tmp_path / "golden" / name)
+        assert os.path.isdir(tmp_path / "marts" / name)
     region = {r["region"]: r["total_employees"] for r in out["region"].collect()}
     assert region == {"Centro - Oeste": 2, "Nordeste": 1, None: 1}
     days1 = (dt.date(2024, 1, 1) - dt.date(2015, 1, 1)).days

@@ -80,3 +80,13 @@ def test_report_from_labels_equals_one_pass_report(people):
     labelled = quality.label_rows(people, RULES)
     assert as_set(quality.report_from_labels(labelled, RULES)) == \
         as_set(quality.quality_report(people, RULES))
+
+
+def test_cells_lost_to_a_cast_are_reported_with_their_text(spark):
+    df = spark.createDataFrame([("1", "5"), ("2", "abc"), ("3", " "), ("4", None)], "id string, n string")
+    cast = quality.cast_noting_losses(df, {"n": F.col("n").try_cast("int")})
+    passing, failing = quality.split_quarantine(cast, [quality.castable("n")])
+    assert sorted((r["id"], r["n"]) for r in passing.collect()) == [("1", 5), ("3", None), ("4", None)]
+    (bad,) = failing.collect()
+    assert bad["id"] == "2" and bad[quality.UNCAST_COLUMN] == {"n": "abc"}
+    assert bad[quality.FAILED_COLUMN] == "castable(n)"

@@ -82,6 +82,24 @@ def test_two_gaps_or_no_gap_are_left_for_quarantine(spark):
     assert "_c7" not in out.columns
 
 
+def test_shift_with_an_empty_last_cell_and_ambiguous_gaps(spark):
+    df = positions_frame(spark, [
+        ("LOIV", None, "Gerente", "Logística", "EDE", "ID", "Efetivo", "S", None),
+        ("OPV", "Diretor", "Operações", None, "JAJ", None, "Efetivo", "S", "Diretoria"),
+        ("XA", "Analista", "Op", "AAA", "BB", None, "S", None, "Gerente"),
+        ("XB", "Analista", "Op", "AAA", None, "Efetivo", "S", "RH", None),
+    ])
+    rows = {r["Cargo"]: tuple(r)[1:] for r in shape_positions(df).collect()}
+    assert rows["LOIV"] == ("Gerente", "Logística", "EDE", "ID", "Efetivo", "S", None, repair.REPAIRED)
+    # either empty cell may be the extra one: left as it is, for quarantine
+    assert rows["OPV"] == ("Diretor", "Operações", None, "JAJ", None, "Efetivo", "S",
+                           repair.UNREPAIRED)
+    # only the later gap leaves every value where it may stand
+    assert rows["XA"] == ("Analista", "Op", "AAA", "BB", None, "S", "Gerente", repair.REPAIRED)
+    # an empty cell alone is no shift
+    assert rows["XB"] == ("Analista", "Op", "AAA", None, "Efetivo", "S", "RH", repair.CLEAN)
+
+
 def test_truncated_rows_realign_without_overflow(spark):
     v = {"a": lambda c: c.rlike("^[a-z]+$"), "n": lambda c: c.rlike(r"^\d+$"),
          "d": lambda c: c.rlike(r"^\d\d/\d\d$")}
