@@ -73,44 +73,34 @@ def realign(df: DataFrame, columns: Sequence[str], overflow: Sequence[str] = (),
                                  & ~_accepts(own, cells[i]) & _accepts(left, cells[i]))
         empty_before = empty_before | cells[i].isNull()
 
-    # keep[i] / take[i]: column i accepts its own cell / its right neighbour's.
-    # Evaluated only for shifted rows, once each (own columns, not inlined).
-    shifted_col, first_col, last_col = "__shifted", "__gap", "__last_gap"
-    flags = {}
-    for i, c in enumerate(cols):
-        flags[f"__keep{i}"] = F.when(F.col(shifted_col), _accepts(validators.get(c), cells[i]))
-        flags[f"__take{i}"] = F.when(F.col(shifted_col), _accepts(validators.get(c), cells[i + 1]))
-    gaps = {}
-    for j in range(n):
-        ok = cells[j].isNull()
-        for i in range(j):
-            ok = ok & F.col(f"__keep{i}")
-        for i in range(j, n):
-            ok = ok & F.col(f"__take{i}")
-        gaps[f"__ok{j}"] = F.when(F.col(shifted_col) & ok, F.lit(j))
+    # A gap lies at or before the first column that rejects its own cell, and
+    # behind the last one that rejects its right neighbour's. Each bound is
+    # named once in a lambda: pushed filters inline these expressions.
+    accepts = [validators.get(c) for c in cols]
+    last_ok = F.coalesce(*[F.when(~_accepts(accepts[i], cells[i]), F.lit(i)) for i in range(n)],
+                         F.lit(n))
+    first_ok = F.coalesce(*[F.when(~_accepts(accepts[i], cells[i + 1]), F.lit(i + 1))
+                            for i in reversed(range(n))], F.lit(0))
+    empty = F.array(*[F.when(cells[j].isNull(), F.lit(j)) for j in range(n)])
+    filled = F.array(*[F.when(cells[j].isNotNull(), F.lit(j)) for j in range(n)])
+    gaps_col, gap_col = "__gaps", "__gap"
+    gaps = F.when(shifted, F.filter(empty, lambda j: (j >= first_ok) & (j <= last_ok)))
     # Two gaps give the same row only if nothing but empty cells lies between.
-    ambiguous = F.lit(False)
-    for i in range(n):
-        ambiguous = ambiguous | (cells[i].isNotNull() & (F.col(first_col) < i)
-                                 & (F.col(last_col) > i))
-    repairable = ~two_gaps & F.col(first_col).isNotNull() & ~ambiguous
-    status = (F.when(~F.col(shifted_col), F.lit(CLEAN))
+    first, last = F.array_min(gaps_col), F.array_max(gaps_col)
+    between = F.filter(filled, lambda i: (i > first) & (i < last))
+    repairable = ~two_gaps & (F.size(gaps_col) > 0) & (F.size(between) == 0)
+    status = (F.when(F.col(gaps_col).isNull(), F.lit(CLEAN))
               .when(repairable, F.lit(REPAIRED))
               .otherwise(F.lit(UNREPAIRED)))
-
     fixed = {}
     for i, c in enumerate(cols):
-        moved = F.when(F.col(first_col) <= F.lit(i), cells[i + 1]).otherwise(cells[i])
-        fixed[c] = F.when(F.col(status_column) == F.lit(REPAIRED), moved).otherwise(cells[i])
-    found = [F.col(g) for g in gaps]
+        moved = (F.col(status_column) == F.lit(REPAIRED)) & (F.col(gap_col) <= F.lit(i))
+        fixed[c] = F.when(moved, cells[i + 1]).otherwise(cells[i])
     return (df
-            .withColumn(shifted_col, shifted)
-            .withColumns(flags)
-            .withColumns(gaps)
-            .withColumns({first_col: F.coalesce(*found), last_col: F.coalesce(*found[::-1])})
-            .withColumn(status_column, status)
+            .withColumn(gaps_col, gaps)
+            .withColumns({status_column: status, gap_col: first})
             .withColumns(fixed)
-            .drop(shifted_col, first_col, last_col, *flags, *gaps, *overflow))
+            .drop(gaps_col, gap_col, *overflow))
 
 
 def fill_from_right(df: DataFrame, chain: Sequence[str]) -> DataFrame:
