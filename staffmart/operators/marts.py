@@ -44,6 +44,16 @@ def key_conflicts(dim: DataFrame, key: str) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"))
 
 
+def split_by_key(dim: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of keys that have one row, or none; rows of the other keys).
+
+    Only the short list of conflicting keys is joined. Rows without a key
+    match no fact and go with the first.
+    """
+    conflicts = key_conflicts(dim, key).select(key)
+    return (dim.join(conflicts, key, "left_anti"), dim.join(conflicts, key, "left_semi"))
+
+
 def assert_unique_key(dim: DataFrame, key: str) -> None:
     """Raise if a key has several rows; the message names ten of them at most."""
     found = [str(r[0]) for r in key_conflicts(dim, key).limit(10).collect()]

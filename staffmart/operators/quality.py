@@ -44,13 +44,15 @@ class Rule:
 
     def evaluated(self) -> Column:
         c = F.col(self.column)
-        return F.lit(True) if self.rule in ("not_null", "castable") else c.isNotNull()
+        return F.lit(True) if self.rule in ("not_null", "is_null", "castable") else c.isNotNull()
 
     def fails(self) -> Column:
         """True when a row breaks the rule (never NULL)."""
         c = F.col(self.column)
         if self.rule == "not_null":
             return c.isNull()
+        if self.rule == "is_null":
+            return c.isNotNull()
         if self.rule == "castable":
             return F.map_contains_key(UNCAST_COLUMN, self.column)
         if self.rule == "between":
@@ -72,6 +74,11 @@ def not_null(column: str) -> Rule:
     return Rule("not_null", column)
 
 
+def is_null(column: str) -> Rule:
+    """The cell is empty, as that of a column that notes a defect should be."""
+    return Rule("is_null", column)
+
+
 def castable(column: str) -> Rule:
     """Every filled cell has a value of its type; see ``cast_noting_losses``."""
     return Rule("castable", column)

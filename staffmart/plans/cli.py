@@ -72,16 +72,17 @@ def main(argv: list[str] | None = None) -> int:
     if e == "positions":
         jobs.silver_positions(spark, args.src, args.out, quarantine=args.quarantine)
     elif e == "postal":
-        jobs.silver_postal(spark, args.src, args.out)
+        jobs.silver_postal(spark, args.src, args.out, quarantine=args.quarantine)
     elif e == "customers":
         jobs.silver_customers(spark, args.src, args.out, quarantine=args.quarantine, strict=strict)
     elif e == "levels":
-        jobs.silver_levels(spark, args.src, args.out)
+        jobs.silver_levels(spark, args.src, args.out, quarantine=args.quarantine)
     elif e == "employees":
         jobs.silver_employees(spark, args.src, args.out, args.vault, as_of, secret_from_conf(spark),
                               quarantine=args.quarantine, strict=strict)
     elif e == "pq":
-        jobs.silver_pq(spark, args.src, args.out, args.vault, secret_from_conf(spark))
+        jobs.silver_pq(spark, args.src, args.out, args.vault, secret_from_conf(spark),
+                       quarantine=args.quarantine)
     return 0
 
 

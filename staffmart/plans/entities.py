@@ -53,6 +53,7 @@ IMPORTANCE_LEVELS = [1, 2, 3, 4]
 # Employees file, '|': names come from the header; every other header cell is
 # empty (Spark names those _c1, _c3, ...).
 EMPLOYEES_SEP = "|"
+EMPLOYEES_FILLERS = [f"_c{i}" for i in range(1, 53, 2)]
 EMPLOYEES_RENAME = {
     "ID RH": "hr_id",
     "RG": "id_card_number_rg",
@@ -110,7 +111,8 @@ CLEAR_COLUMNS = ["id_card_number_rg", "cpf", "full_name", "login"]
 
 # Silver typed columns (after renaming).
 EMPLOYEE_TYPES = {"base_salary": "decimal(18,2)", "taxes": "decimal(18,2)"}
-# ----------------------------------------------------------- end fixed values
 
+# Limits of the employee rules.
 TAXES_PATTERN = r"^\d+\.?\d*$"
 EARLIEST_BIRTH = "1900-01-01"
+# ----------------------------------------------------------- end fixed values

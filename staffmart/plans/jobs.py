@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
@@ -30,6 +31,8 @@ from staffmart.functions.text import correct, is_code, strip_leading, title_case
 from staffmart.operators import filters, marts, privacy, quality, repair, shape
 from staffmart.plans import entities as E
 from staffmart.sources import (
+    WIDE_LINE,
+    is_wide,
     path_exists,
     read_delimited,
     read_header_split,
@@ -80,12 +83,14 @@ def shape_positions(raw: DataFrame) -> DataFrame:
 def silver_positions(spark: SparkSession, src: str, out: str, run_ts: str | None = None,
                      quarantine: str | None = None) -> JobResult:
     run_ts = run_ts or run_timestamp()
-    raw = read_delimited(spark, src, E.POSITIONS_SEP, E.POSITIONS_COLUMNS, overflow=1)
+    raw = read_delimited(spark, src, E.POSITIONS_SEP, E.POSITIONS_COLUMNS, overflow=1,
+                         wide_lines=True)
     # Silver and quarantine both read the realigned rows: parse the file once.
     shaped = shape_positions(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        ok = F.col(repair.STATUS_COLUMN) != F.lit(repair.UNREPAIRED)
-        silver = shape.rename(shaped.filter(ok), E.POSITIONS_RENAME).drop(repair.STATUS_COLUMN)
+        ok = (F.col(repair.STATUS_COLUMN) != F.lit(repair.UNREPAIRED)) & ~is_wide()
+        silver = shape.rename(shaped.filter(ok), E.POSITIONS_RENAME).drop(repair.STATUS_COLUMN,
+                                                                          WIDE_LINE)
         write_table(silver, out, run_ts)
         n_bad = _write_quarantine(shaped.filter(~ok), quarantine, out, run_ts)
     finally:
@@ -95,10 +100,18 @@ def silver_positions(spark: SparkSession, src: str, out: str, run_ts: str | None
 
 # -------------------------------------------------------------------- postal
 
-def silver_postal(spark: SparkSession, src: str, out: str, run_ts: str | None = None) -> JobResult:
-    raw = read_header_split(spark, src, E.POSTAL_SEP, E.POSTAL_COLUMNS)
-    write_table(shape.rename(raw, E.POSTAL_RENAME), out, run_ts)
-    return JobResult(read_table(spark, out))
+def silver_postal(spark: SparkSession, src: str, out: str, run_ts: str | None = None,
+                  quarantine: str | None = None, header_in_each_file: bool = True) -> JobResult:
+    run_ts = run_ts or run_timestamp()
+    raw = read_header_split(spark, src, E.POSTAL_SEP, E.POSTAL_COLUMNS, wide_lines=True,
+                            header_in_each_file=header_in_each_file)
+    rows = shape.rename(raw, E.POSTAL_RENAME).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_table(rows.filter(~is_wide()).drop(WIDE_LINE), out, run_ts)
+        n_bad = _write_quarantine(rows.filter(is_wide()), quarantine, out, run_ts)
+    finally:
+        rows.unpersist()
+    return JobResult(read_table(spark, out), quarantined=n_bad)
 
 
 # ----------------------------------------------------------------- customers
@@ -149,13 +162,15 @@ def split_customers(fixed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Drops what is not a customer row: the tail half of a broken line (first
     cell empty or a position code), its head half (no responsible position),
-    and rows that could not be realigned.
+    rows that could not be realigned, and rows with cells past the last column
+    (their JSON also holds the whole line).
     """
     usable = (~filters.is_fragment("Cliente") & F.col("Cargo Responsável").isNotNull()
-              & (F.col(repair.STATUS_COLUMN) != F.lit(repair.UNREPAIRED)))
+              & (F.col(repair.STATUS_COLUMN) != F.lit(repair.UNREPAIRED)) & ~is_wide())
+    reason = F.when(is_wide(), F.lit("too many cells")).otherwise(F.lit("not a customer row"))
     rejected = (fixed.filter(~usable)
-                .select(F.to_json(F.struct(*E.CUSTOMERS_COLUMNS)).alias("row"),
-                        F.lit("not a customer row").alias(quality.FAILED_COLUMN)))
+                .select(F.to_json(F.struct(*E.CUSTOMERS_COLUMNS, WIDE_LINE)).alias("row"),
+                        reason.alias(quality.FAILED_COLUMN)))
     return type_customers(fixed.filter(usable)), rejected
 
 
@@ -185,7 +200,7 @@ def silver_customers(spark: SparkSession, src: str, out: str, run_ts: str | None
     """
     run_ts = run_ts or run_timestamp()
     raw = read_delimited(spark, src, E.CUSTOMERS_SEP, E.CUSTOMERS_COLUMNS,
-                         overflow=E.CUSTOMERS_OVERFLOW)
+                         overflow=E.CUSTOMERS_OVERFLOW, wide_lines=True)
     # One cache after the realignment feeds the report, the quarantine and
     # the write: the raw file is parsed and realigned once.
     fixed = realign_customers(raw).persist(StorageLevel.MEMORY_AND_DISK)
@@ -211,6 +226,7 @@ DATE_TYPES = {c: T.DateType() for c in ("birth_date", "hire_date", "termination_
 
 def employee_rules(as_of: date | str) -> list[quality.Rule]:
     return [
+        quality.is_null(WIDE_LINE),
         *[quality.castable(c) for c in (*DATE_TYPES, "base_salary")],
         quality.not_null("id_card_number_rg"),
         quality.not_null("cpf"),
@@ -227,8 +243,15 @@ def shape_employees(raw: DataFrame, as_of: date | str) -> DataFrame:
     """Drop filler columns, convert serial dates, add tenure and age, rename.
 
     ``taxes`` stays text here so that its format rule sees the raw value.
+    Filled cells of other unnamed columns count as cells past the header's.
     """
-    df = shape.rename(shape.drop_filler_columns(raw), E.EMPLOYEES_RENAME)
+    df = raw.drop(*E.EMPLOYEES_FILLERS)
+    unnamed = [c for c in df.columns if c not in shape.drop_filler_columns(df).columns]
+    if unnamed:
+        filled = F.coalesce(*unnamed).isNotNull()
+        df = df.withColumn(WIDE_LINE, F.coalesce(
+            WIDE_LINE, F.when(filled, F.to_json(F.struct(*unnamed))))).drop(*unnamed)
+    df = shape.rename(df, E.EMPLOYEES_RENAME)
     casts = {c: excel_serial_to_date(c) for c in DATE_TYPES}
     casts["base_salary"] = F.col("base_salary").try_cast(E.EMPLOYEE_TYPES["base_salary"])
     df = quality.cast_noting_losses(df, casts)
@@ -248,11 +271,20 @@ def _protect(df: DataFrame, secret: str, vault_out: str, run_ts: str) -> DataFra
     return public
 
 
+def _quarantine_people(failing: DataFrame, secret: str, path: str | None, out: str,
+                       vault_out: str, run_ts: str) -> int:
+    """Rejected people, without clear identifiers, to the quarantine; the clear
+    values, and whole lines that had too many cells, to ``<vault>_rejected``."""
+    bad = privacy.pseudonymize(failing, E.TOKENS, secret)
+    write_table(bad.select(*E.VAULT_COLUMNS, WIDE_LINE), f"{vault_out.rstrip('/')}_rejected", run_ts)
+    return _write_quarantine(bad.drop(*E.CLEAR_COLUMNS, WIDE_LINE), path, out, run_ts)
+
+
 def silver_employees(spark: SparkSession, src: str, out: str, vault_out: str,
                      as_of: date | str, secret: str, run_ts: str | None = None,
                      quarantine: str | None = None, strict: bool = True) -> JobResult:
     run_ts = run_ts or run_timestamp()
-    raw = read_delimited(spark, src, E.EMPLOYEES_SEP)
+    raw = read_delimited(spark, src, E.EMPLOYEES_SEP, wide_lines=True)
     staged = shape_employees(raw, as_of).persist(StorageLevel.MEMORY_AND_DISK)
     rules = employee_rules(as_of)
     # One labelled frame (one shuffle per uniqueness rule) feeds the report,
@@ -262,11 +294,10 @@ def silver_employees(spark: SparkSession, src: str, out: str, vault_out: str,
         rows = quality.collect_report(quality.report_from_labels(labelled, rules))
         staged.unpersist()
         passing, failing = quality.split_labelled(labelled, rules)
-        bad = privacy.pseudonymize(failing, E.TOKENS, secret).drop(*E.CLEAR_COLUMNS)
-        n_bad = _write_quarantine(bad, quarantine, out, run_ts)
+        n_bad = _quarantine_people(failing, secret, quarantine, out, vault_out, run_ts)
         if strict:
             quality.assert_quality(rows)
-        typed = shape.to_typed(passing.drop(quality.UNCAST_COLUMN), {"taxes": E.EMPLOYEE_TYPES["taxes"]})
+        typed = shape.to_typed(passing.drop(quality.UNCAST_COLUMN, WIDE_LINE), {"taxes": E.EMPLOYEE_TYPES["taxes"]})
         public = _protect(typed, secret, vault_out, run_ts)
         write_by_month(public, "hire_date", out, run_ts)
     finally:
@@ -279,30 +310,41 @@ def silver_pq(spark: SparkSession, src: str, out: str, vault_out: str, secret: s
               run_ts: str | None = None, quarantine: str | None = None) -> JobResult:
     """Select, rename, convert the dates, split the vault, write by month.
 
-    Rows with a filled cell that is no date go to the quarantine, without
-    clear identifiers.
+    Rows with a filled cell that is no date, or with too many cells, go to
+    the quarantine, without clear identifiers.
     """
     run_ts = run_ts or run_timestamp()
-    raw = read_delimited(spark, src, E.PQ_SEP)
-    df = shape.rename(shape.select_renamed(raw, E.PQ_COLUMNS), E.PQ_RENAME)
+    raw = read_delimited(spark, src, E.PQ_SEP, wide_lines=True)
+    df = shape.rename(shape.select_renamed(raw, [*E.PQ_COLUMNS, WIDE_LINE]), E.PQ_RENAME)
     df = quality.cast_noting_losses(df, {c: excel_serial_to_date(c) for c in DATE_TYPES})
     quality.assert_column_types(df, DATE_TYPES)
-    rules = [quality.castable(c) for c in DATE_TYPES]
-    passing, failing = quality.split_quarantine(df, rules)
-    bad = privacy.pseudonymize(failing, E.TOKENS, secret).drop(*E.CLEAR_COLUMNS)
-    n_bad = _write_quarantine(bad, quarantine, out, run_ts)
-    public = _protect(passing.drop(quality.UNCAST_COLUMN), secret, vault_out, run_ts)
-    write_by_month(public, "hire_date", out, run_ts)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rules = [quality.is_null(WIDE_LINE), *[quality.castable(c) for c in DATE_TYPES]]
+        passing, failing = quality.split_quarantine(df, rules)
+        n_bad = _quarantine_people(failing, secret, quarantine, out, vault_out, run_ts)
+        public = _protect(passing.drop(quality.UNCAST_COLUMN, WIDE_LINE), secret, vault_out, run_ts)
+        write_by_month(public, "hire_date", out, run_ts)
+    finally:
+        df.unpersist()
     return JobResult(read_table(spark, out), quarantined=n_bad)
 
 
 # -------------------------------------------------------------------- levels
 
-def silver_levels(spark: SparkSession, src: str, out: str, run_ts: str | None = None) -> JobResult:
-    raw = read_delimited(spark, src, E.LEVELS_SEP)
-    valid = filters.keep_in_set(raw, "Descrição Nível", E.LEVELS)
-    write_table(shape.select_renamed(valid, list(E.LEVELS_RENAME), E.LEVELS_RENAME), out, run_ts)
-    return JobResult(read_table(spark, out))
+def silver_levels(spark: SparkSession, src: str, out: str, run_ts: str | None = None,
+                  quarantine: str | None = None) -> JobResult:
+    run_ts = run_ts or run_timestamp()
+    raw = read_delimited(spark, src, E.LEVELS_SEP, wide_lines=True)
+    rows = shape.select_renamed(raw, [*E.LEVELS_RENAME, WIDE_LINE], E.LEVELS_RENAME)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        valid = filters.keep_in_set(rows.filter(~is_wide()), "level_description", E.LEVELS)
+        write_table(valid.drop(WIDE_LINE), out, run_ts)
+        n_bad = _write_quarantine(rows.filter(is_wide()), quarantine, out, run_ts)
+    finally:
+        rows.unpersist()
+    return JobResult(read_table(spark, out), quarantined=n_bad)
 
 
 # ---------------------------------------------------------------------- gold
@@ -398,8 +440,8 @@ def run_all(spark: SparkSession, input_dir: str, output_dir: str, as_of: date |
 
     Layout under ``output_dir``: ``silver/<entity>``, ``quarantine/<entity>``,
     ``vault/<entity>`` (clear identifiers, restricted) and ``gold/<mart>``.
-    The silver jobs are independent; gold needs postal, employees and
-    positions. One ``created_at`` stamp for the whole run.
+    The silver jobs are independent and run side by side; gold needs postal,
+    employees and positions. One ``created_at`` stamp for the whole run.
     """
     run_ts = run_ts or run_timestamp()
 
@@ -410,31 +452,27 @@ def run_all(spark: SparkSession, input_dir: str, output_dir: str, as_of: date |
     lacking = {"postal", "employees", "positions"} - set(entities)
     if with_gold and lacking:
         raise ValueError(f"the gold job also needs {', '.join(sorted(lacking))}")
-    raw = paths.get
 
     def out(kind: str, entity: str) -> str:
         return os.path.join(output_dir, kind, entity)
 
-    done: dict[str, object] = {}
-    if raw("positions"):
-        done["positions"] = silver_positions(spark, raw("positions"), out("silver", "positions"),
-                                             run_ts, out("quarantine", "positions"))
-    if raw("postal"):
-        done["postal"] = silver_postal(spark, raw("postal"), out("silver", "postal"), run_ts)
-    if raw("customers"):
-        done["customers"] = silver_customers(spark, raw("customers"), out("silver", "customers"),
-                                             run_ts, out("quarantine", "customers"), strict)
-    if raw("employees"):
-        done["employees"] = silver_employees(spark, raw("employees"), out("silver", "employees"),
-                                             out("vault", "employees"), as_of, secret, run_ts,
-                                             out("quarantine", "employees"), strict)
-    if raw("levels"):
-        done["levels"] = silver_levels(spark, raw("levels"), out("silver", "levels"), run_ts)
-    if raw("partner_staff"):
-        done["partner_staff"] = silver_pq(spark, raw("partner_staff"),
-                                          out("silver", "partner_staff"),
-                                          out("vault", "partner_staff"), secret, run_ts,
-                                          out("quarantine", "partner_staff"))
+    def silver(entity: str) -> JobResult:
+        src, to, bad = paths[entity], out("silver", entity), out("quarantine", entity)
+        vault = out("vault", entity)
+        if entity == "positions":
+            return silver_positions(spark, src, to, run_ts, bad)
+        if entity == "postal":
+            return silver_postal(spark, src, to, run_ts, bad)
+        if entity == "customers":
+            return silver_customers(spark, src, to, run_ts, bad, strict)
+        if entity == "employees":
+            return silver_employees(spark, src, to, vault, as_of, secret, run_ts, bad, strict)
+        if entity == "levels":
+            return silver_levels(spark, src, to, run_ts, bad)
+        return silver_pq(spark, src, to, vault, secret, run_ts, bad)
+
+    with ThreadPoolExecutor(len(INPUT_FILES)) as pool:
+        done: dict[str, object] = dict(zip(paths, pool.map(silver, paths), strict=True))
     if with_gold:
         done["gold"] = gold(spark, out("silver", "postal"), out("silver", "employees"),
                             out("silver", "positions"), os.path.join(output_dir, "gold"), run_ts)

@@ -37,6 +37,7 @@ from staffmart.plans import jobs
 from staffmart.plans.jobs import DAYS, MART_SPECS, SPELLS, build_mart, gold
 from staffmart.session import scratch_path
 from staffmart.sources import (
+    WIDE_LINE,
     read_delimited,
     read_header_split,
     read_table,
@@ -541,7 +542,8 @@ def header_split_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = spark.range(1).select(F.lit("\ufeff" + "|".join(NATION_COLUMNS)).alias("value"))
     path = scratch_path(spark, "nation_text")
     header.unionByName(lines).write.mode("overwrite").text(path)
-    back = read_header_split(spark, path, "|", NATION_COLUMNS)
+    # the header is a part file of its own
+    back = read_header_split(spark, path, "|", NATION_COLUMNS, header_in_each_file=False)
     return shape.to_typed(back, {"n_nationkey": "int", "n_regionkey": "int"})
 
 
@@ -577,6 +579,13 @@ def _write_raw(rows: DataFrame, sep: str, path: str) -> str:
     return path
 
 
+def _write_raw_lines(lines: Column, header: str, rows: DataFrame, path: str) -> str:
+    """Whole lines, under ``header`` in every part file, with no quoting of their cells."""
+    rows.select(lines.alias(header)).write.option("sep", "\t").option("quote", "\u0001").option(
+        "header", True).csv(path)
+    return path
+
+
 def positions_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """E1 on every part: a gap at each position, empty last cells, a row with
     two possible gaps (kind 8) and one with a cell too many (kind 9)."""
@@ -613,7 +622,8 @@ def postal_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     header = spark.range(1).select(F.lit(E.POSTAL_SEP.join(E.POSTAL_COLUMNS)).alias("value"))
     src = scratch_path(spark, "raw_postal")
     header.unionByName(lines).write.mode("overwrite").text(src)
-    return jobs.silver_postal(spark, src, scratch_path(spark, "job_postal")).silver.select(
+    return jobs.silver_postal(spark, src, scratch_path(spark, "job_postal"),
+                              header_in_each_file=False).silver.select(
         *E.POSTAL_RENAME.values())
 
 
@@ -691,6 +701,70 @@ def employees_job(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col(quality.FAILED_COLUMN).alias("failed_rules"))))
 
 
+def partner_staff_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E6 on every order, with repeated header names, dates that are none and
+    rows with cells past the header's."""
+    k = F.col("o_orderkey")
+    hire = F.datediff(F.col("o_orderdate").cast("date"), F.lit(EXCEL_EPOCH).cast("date"))
+    repeated = {17: "Cargo", 43: "Nível", 44: "Cargo", 51: "Nível"}
+    single = iter([c for c in E.PQ_COLUMNS if c not in ("Cargo17", "Nível43", "Nível51")])
+    header = [repeated.get(i) or next(single, f"Outro {i}") for i in range(52)]
+    values = {
+        "ID RH": k.cast("string"), "CPF": F.concat(F.lit("c"), k.cast("string")),
+        "Data de Nascimento": F.lit("30000"), "Data de Contratacao": hire.cast("string"),
+        "Data de Demissao": F.when(k % 19 == 0, F.lit("n/a")).otherwise(F.lit("")),
+    }
+    cells = [F.col("o_orderpriority") if i == 51 else values.get(c, F.lit(f"x{i}"))
+             for i, c in enumerate(header)]
+    extra = F.when(k % 23 == 0, F.lit("lost"))
+    src = _write_raw_lines(F.concat_ws(E.PQ_SEP, *cells, extra), E.PQ_SEP.join(header),
+                           table(spark, sf_dir, "orders"), scratch_path(spark, "raw_partner_staff"))
+    bad, vault = scratch_path(spark, "quarantine_partner_staff"), scratch_path(spark, "vault_partner_staff")
+    silver = jobs.silver_pq(spark, src, scratch_path(spark, "job_partner_staff"), vault, SECRET,
+                            quarantine=bad).silver
+    columns = ["hr_id", "responsible_position", "level", "hire_date"]
+    kept = privacy.reidentify(silver, read_table(spark, vault), "cpf_encrypted", ["cpf"])
+    rejected = privacy.reidentify(read_table(spark, bad), read_table(spark, f"{vault}_rejected"),
+                                  "cpf_encrypted", ["cpf"])
+    return (kept.select(*columns, "cpf", F.lit("").alias("failed_rules"))
+            .unionByName(rejected.select(*columns, "cpf",
+                                         F.col(quality.FAILED_COLUMN).alias("failed_rules"))))
+
+
+def wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer as ';' text, some with cells past the last column: whole
+    rows come back by cell, cut ones with their whole line."""
+    k = F.col("c_custkey")
+    extra = F.when(k % 5 == 0, F.lit("more;cells")).when(k % 7 == 0, F.lit(";;"))
+    name = F.when(k % 3 == 0, F.concat(F.lit('"'), "c_name", F.lit(';q"'))).otherwise(F.col("c_name"))
+    names = ["c_custkey", "c_name", "c_mktsegment"]
+    src = _write_raw_lines(F.concat_ws(";", k.cast("string"), name, "c_mktsegment", extra),
+                           ";".join(names), table(spark, sf_dir, "customer"),
+                           scratch_path(spark, "raw_wide"))
+    rows = read_delimited(spark, src, ";", names, wide_lines=True)
+    return rows.select(F.col("c_custkey").cast("bigint"), "c_name", "c_mktsegment",
+                       F.col(WIDE_LINE).alias("wide_line"))
+
+
+def dimension_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1 with repeated rows and keys that have different rows: line items per
+    customer segment count over unique keys, conflicting keys are reported."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    repeats = customer.filter(key_mod("c_custkey", 3) == 0)
+    other = customer.filter(key_mod("c_custkey", 11) == 0).withColumn("c_mktsegment", F.lit("OTHER"))
+    dim = marts.narrow_dimension(customer.unionByName(repeats).unionByName(other),
+                                 ["c_custkey", "c_mktsegment"])
+    one, conflicts = marts.split_by_key(dim, "c_custkey")
+    orders = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    by_segment = marts.lookup(orders, one, "o_custkey", "c_custkey").groupBy(
+        F.col("c_mktsegment").alias("segment")).agg(F.sum("n").alias("orders"))
+    report = marts.key_conflicts(conflicts, "c_custkey")
+    return by_segment.select(F.lit(None).cast("bigint").alias("conflicting_key"), "segment",
+                             "orders", F.lit(None).cast("bigint").alias("rows")).unionByName(
+        report.select(F.col("c_custkey").alias("conflicting_key"), F.lit(None).cast("string")
+                      .alias("segment"), F.lit(None).cast("bigint").alias("orders"), "rows"))
+
+
 QUERIES: dict[str, Query] = {
     "region_headcount": region_headcount,
     "tenure_by_level": tenure_by_level,
@@ -724,6 +798,9 @@ QUERIES: dict[str, Query] = {
     "levels_job": levels_job,
     "customers_job": customers_job,
     "employees_job": employees_job,
+    "partner_staff_job": partner_staff_job,
+    "wide_rows": wide_rows,
+    "dimension_gate": dimension_gate,
 }
 
 
@@ -1022,3 +1099,24 @@ SELECT CAST(k AS VARCHAR) AS hr_id, position, hire_date,
             WHEN k % 73 = 0 THEN 'repeated' ELSE 'c' || CAST(k AS VARCHAR) END AS cpf,
        failed_rules
 FROM f"""
+ORACLE_SQL["partner_staff_job"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS hr_id, 'x17' AS responsible_position, o_orderpriority AS level,
+       CAST(o_orderdate AS DATE) AS hire_date, 'c' || CAST(o_orderkey AS VARCHAR) AS cpf,
+       concat_ws(',', CASE WHEN o_orderkey % 23 = 0 THEN 'is_null(_wide_line)' END,
+                 CASE WHEN o_orderkey % 19 = 0 THEN 'castable(termination_date)' END) AS failed_rules
+FROM orders"""
+ORACLE_SQL["wide_rows"] = """WITH t AS (
+  SELECT *, CASE WHEN c_custkey % 3 = 0 THEN c_name || ';q' ELSE c_name END AS cell,
+         CASE WHEN c_custkey % 3 = 0 THEN '"' ELSE '' END AS q
+  FROM customer)
+SELECT c_custkey, cell AS c_name, c_mktsegment,
+       CASE WHEN c_custkey % 5 = 0 THEN CAST(c_custkey AS VARCHAR) || ';' || q || cell || q || ';'
+            || c_mktsegment || ';more;cells' END AS wide_line
+FROM t"""
+ORACLE_SQL["dimension_gate"] = """WITH by_segment AS (
+  SELECT CASE WHEN c_custkey % 11 <> 0 THEN c_mktsegment END AS segment, count(*) AS orders
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey GROUP BY 1)
+SELECT CAST(NULL AS BIGINT) AS conflicting_key, segment, orders, CAST(NULL AS BIGINT) AS rows
+FROM by_segment
+UNION ALL
+SELECT c_custkey, NULL, NULL, 2 FROM customer WHERE c_custkey % 11 = 0"""

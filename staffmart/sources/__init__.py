@@ -1,5 +1,12 @@
-from staffmart.sources.delimited import overflow_names, read_delimited, string_schema
+from staffmart.sources.delimited import (
+    WIDE_LINE,
+    is_wide,
+    overflow_names,
+    read_delimited,
+    string_schema,
+)
 from staffmart.sources.header_split import read_header_split
+from staffmart.sources.headers import HeaderError
 from staffmart.sources.sinks import (
     path_exists,
     read_table,
@@ -11,6 +18,7 @@ from staffmart.sources.sinks import (
 )
 
 __all__ = [
+    "HeaderError", "WIDE_LINE", "is_wide",
     "overflow_names", "read_delimited", "string_schema", "read_header_split",
     "path_exists", "read_table", "run_timestamp", "stamp", "with_month_columns",
     "write_by_month", "write_table",

@@ -8,11 +8,21 @@ the file. Types are applied later by ``operators.shape.to_typed`` with
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staffmart.sources.headers import HeaderError, as_list, files_by_header
+
+# The whole line of a row that has more cells than its reader has columns.
+WIDE_LINE = "_wide_line"
+_MALFORMED = "_malformed_line"
+_UNNAMED = re.compile(r"_c\d+")
+
 
 def string_schema(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
@@ -23,30 +33,85 @@ def overflow_names(start: int, count: int) -> list[str]:
     return [f"_c{i}" for i in range(start, start + count)]
 
 
+def keep_malformed(reader, names: Sequence[str]):
+    """Give a CSV reader (batch or stream) the schema ``names`` plus the raw line
+    of rows with another number of cells. The line is lost when the parser
+    prunes columns, so it must not."""
+    return (reader.option("columnNameOfCorruptRecord", _MALFORMED).option("columnPruning", False)
+            .schema(string_schema([*names, _MALFORMED])))
+
+
+def wide_line(line: Column, sep: str, width: int) -> Column:
+    """``line`` if a cell past the first ``width`` is filled, else NULL.
+    Separators inside quoted cells don't count."""
+    sep = re.escape(sep)
+    bare = F.regexp_replace(line, rf'(?<=^|{sep})"(\\.|[^"\\])*"', "q")
+    cells = F.split(F.regexp_replace(bare, f"({sep})+$", ""), sep)
+    return F.when(F.size(cells) > width, line)
+
+
+def with_wide_line(df: DataFrame, sep: str) -> DataFrame:
+    """Replace the line of ``keep_malformed`` by ``WIDE_LINE``: the whole line of
+    a row whose last cells were cut, else NULL."""
+    width = len(df.columns) - 1
+    return df.withColumn(WIDE_LINE, wide_line(F.col(_MALFORMED), sep, width)).drop(_MALFORMED)
+
+
 def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";",
                    columns: Sequence[str] | None = None, overflow: int = 0,
-                   header: bool = True, encoding: str = "UTF-8") -> DataFrame:
-    """Read a delimited file into string columns.
+                   header: bool = True, encoding: str = "UTF-8",
+                   wide_lines: bool = False) -> DataFrame:
+    """Read delimited files into string columns.
 
     ``columns`` given: an explicit schema, plus ``overflow`` trailing columns
-    named ``_cN`` that catch the extra cells of rows that slipped right (a
-    row with more cells than the schema otherwise loses them silently).
+    named ``_cN`` that catch the extra cells of rows that slipped right. Every
+    file's header must name just these columns in this order, but for empty
+    cells behind them; another header raises ``HeaderError``.
     ``columns`` omitted: names come from the header line (empty names become
-    ``_cN``, repeated names get their position appended); only that first line
-    is read to plan, no inference pass.
+    ``_cN``, repeated names get their position appended). Files that order the
+    same names differently are mapped by name; other names raise ``HeaderError``.
+    No inference pass: only the first line of each file is read to plan.
+
+    ``wide_lines`` adds ``WIDE_LINE``, the raw line of rows with more cells
+    than there are columns; without it these cells are cut off.
     Blank lines are skipped; leading and trailing spaces inside cells are kept.
     """
-    reader = (spark.read
-              .option("sep", sep)
-              .option("header", header)
-              .option("encoding", encoding)
-              .option("mode", "PERMISSIVE")
-              .option("ignoreLeadingWhiteSpace", False)
-              .option("ignoreTrailingWhiteSpace", False))
+    def reader() -> DataFrameReader:
+        return (spark.read
+                .option("sep", sep)
+                .option("header", header)
+                .option("encoding", encoding)
+                .option("mode", "PERMISSIVE")
+                .option("ignoreLeadingWhiteSpace", False)
+                .option("ignoreTrailingWhiteSpace", False)
+                .option("inferSchema", False))
+
+    def read(files: list[str], names: Sequence[str]) -> DataFrame:
+        if wide_lines:
+            return with_wide_line(keep_malformed(reader(), names).csv(files), sep)
+        return reader().schema(string_schema(names)).csv(files)
+
+    paths = as_list(path)
+    if not header:
+        if columns is None:
+            raise ValueError("files without a header need column names")
+        return read(paths, [*columns, *overflow_names(len(columns), overflow)])
+    groups = files_by_header(spark, path, lambda f: reader().csv(f).columns)
     if columns is not None:
-        names = list(columns) + overflow_names(len(columns), overflow)
-        reader = reader.schema(string_schema(names))
-    else:
-        reader = reader.option("inferSchema", False)
-    paths = [path] if isinstance(path, str) else list(path)
-    return reader.csv(paths)
+        for names, files in groups.items():
+            rest = names[len(columns):]
+            if list(names[:len(columns)]) != list(columns) or not all(map(_UNNAMED.fullmatch, rest)):
+                raise HeaderError(f"{files[0]}: header {list(names)}, expected {list(columns)}")
+        return read(paths, [*columns, *overflow_names(len(columns), overflow)])
+    if not groups:
+        raise HeaderError(f"no header line in {', '.join(paths)}")
+    first = next(iter(groups))
+    for names, files in groups.items():
+        if set(names) != set(first):
+            raise HeaderError(f"{files[0]}: header {list(names)}, but {groups[first][0]}: {list(first)}")
+    parts = [read(files, names) for names, files in groups.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def is_wide() -> Column:
+    return F.col(WIDE_LINE).isNotNull()

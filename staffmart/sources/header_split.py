@@ -2,20 +2,22 @@
 
 Each line is read whole, doubled separators are squashed, the line is split
 and cells are taken by position with ``get`` (NULL past the end, where a
-plain index would throw under ANSI). The header line is recognised by its
-text and removed wherever it occurs — every part file of a multi-file input
-may start with one — so no row is fetched to the driver when the names are
-known. When they are not, exactly one line is peeked.
+plain index would throw under ANSI). The header line of each file is peeked
+and mapped by name; in the rows it is recognised by its text.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from staffmart.sources.delimited import WIDE_LINE, wide_line
+from staffmart.sources.headers import HeaderError, as_list, files_by_header
+
 BOM = "\ufeff"
 
 
@@ -24,23 +26,51 @@ def _squashed(line: Column, sep: str) -> Column:
     return F.regexp_replace(F.regexp_replace(line, "^" + BOM, ""), doubled, sep)
 
 
-def split_lines(text: DataFrame, sep: str, names: Sequence[str]) -> DataFrame:
+def split_lines(text: DataFrame, sep: str, names: Sequence[str],
+                wide_lines: bool = False) -> DataFrame:
     """Whole lines (column ``value``, as ``spark.read.text`` or
     ``spark.readStream.text`` give them) to named cells: BOM stripped,
-    doubled separators squashed, header and blank lines dropped."""
+    doubled separators squashed, header and blank lines dropped.
+    ``wide_lines`` adds the whole line of rows with more cells than names."""
     lines = text.select(_squashed(F.col("value"), sep).alias("line"))
     header_text = sep.join(names)
     cells = F.split(F.col("line"), re.escape(sep))
+    wide = [wide_line(F.col("line"), sep, len(names)).alias(WIDE_LINE)] if wide_lines else []
     return (lines
             .filter((F.col("line") != header_text) & (F.trim(F.col("line")) != ""))
-            .select([F.get(cells, i).alias(n) for i, n in enumerate(names)]))
+            .select([F.get(cells, i).alias(n) for i, n in enumerate(names)] + wide))
 
 
 def read_header_split(spark: SparkSession, path: str | Sequence[str], sep: str = "|",
-                      names: Sequence[str] | None = None) -> DataFrame:
-    paths = [path] if isinstance(path, str) else list(path)
-    text = spark.read.text(paths)
+                      names: Sequence[str] | None = None, wide_lines: bool = False,
+                      header_in_each_file: bool = True) -> DataFrame:
+    """Read pipe files into string columns ``names`` (omitted: those of the first header).
+
+    A file whose header orders the names differently is mapped by name. A
+    first line that is no header raises ``HeaderError``, unless
+    ``header_in_each_file`` is off and it holds none of the names: such files
+    are parts of a larger one, with cells in the order of ``names``.
+    ``wide_lines`` as in ``split_lines``.
+    """
+    def peek(file: str) -> list[str]:
+        first = spark.read.text(file).select(_squashed(F.col("value"), sep).alias("line")).head()
+        return first["line"].split(sep) if first else []
+
+    groups = files_by_header(spark, path, peek)
     if names is None:
-        first = text.select(_squashed(F.col("value"), sep).alias("line")).head()
-        names = first["line"].split(sep) if first else []
-    return split_lines(text, sep, names)
+        names = list(next(iter(groups), ()))
+    ordered: dict[tuple[str, ...], list[str]] = {}
+    headers = 0
+    for cells, files in groups.items():
+        is_header = sorted(cells) == sorted(names)
+        if not is_header and (header_in_each_file or set(cells) & set(names)):
+            raise HeaderError(f"{files[0]}: first line {list(cells)}, expected {list(names)}")
+        headers += is_header
+        ordered.setdefault(cells if is_header else tuple(names), []).extend(files)
+    if groups and not headers:
+        raise HeaderError(f"no header {list(names)} in {', '.join(as_list(path))}")
+    columns = [*names, WIDE_LINE] if wide_lines else list(names)
+    parts = [split_lines(spark.read.text(files), sep, order, wide_lines).select(*columns)
+             for order, files in ordered.items()]
+    return reduce(DataFrame.unionByName, parts) if parts else split_lines(
+        spark.read.text(as_list(path)), sep, names, wide_lines)

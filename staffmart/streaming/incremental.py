@@ -28,7 +28,13 @@ from staffmart.plans.jobs import (
     shape_positions,
     split_customers,
 )
-from staffmart.sources.delimited import overflow_names, string_schema
+from staffmart.sources.delimited import (
+    WIDE_LINE,
+    is_wide,
+    keep_malformed,
+    overflow_names,
+    with_wide_line,
+)
 from staffmart.sources.header_split import split_lines
 from staffmart.sources.sinks import stamp, with_month_columns
 
@@ -38,11 +44,11 @@ BATCH_COLUMN = "batch_id"
 def _raw_stream(spark: SparkSession, src_dir: str, columns: list[str], overflow: int,
                 sep: str, max_files: int | None) -> DataFrame:
     names = list(columns) + overflow_names(len(columns), overflow)
-    reader = (spark.readStream.schema(string_schema(names))
-              .option("sep", sep).option("header", True).option("mode", "PERMISSIVE"))
+    reader = (spark.readStream.option("sep", sep).option("header", True)
+              .option("mode", "PERMISSIVE"))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(src_dir)
+    return with_wide_line(keep_malformed(reader, names).csv(src_dir), sep)
 
 
 def _append_batch(df: DataFrame, path: str, batch_id: int, partition_cols: list[str]) -> None:
@@ -53,8 +59,10 @@ def _append_batch(df: DataFrame, path: str, batch_id: int, partition_cols: list[
 
 def postal_batch(out: str, quarantine: str):
     def run(batch: DataFrame, batch_id: int) -> None:
-        rows = split_lines(batch, E.POSTAL_SEP, E.POSTAL_COLUMNS)
-        _append_batch(stamp(shape_ops.rename(rows, E.POSTAL_RENAME)), out, batch_id, [])
+        rows = stamp(shape_ops.rename(split_lines(batch, E.POSTAL_SEP, E.POSTAL_COLUMNS,
+                                                  wide_lines=True), E.POSTAL_RENAME))
+        _append_batch(rows.filter(~is_wide()).drop(WIDE_LINE), out, batch_id, [])
+        _append_batch(rows.filter(is_wide()), quarantine, batch_id, [])
     return run
 
 
@@ -78,12 +86,13 @@ def positions_batch(out: str, quarantine: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         shaped = shape_positions(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            ok = F.col(repair.STATUS_COLUMN) != F.lit(repair.UNREPAIRED)
+            ok = (F.col(repair.STATUS_COLUMN) != F.lit(repair.UNREPAIRED)) & ~is_wide()
             silver = (shape_ops.rename(shaped.filter(ok), E.POSITIONS_RENAME)
-                      .drop(repair.STATUS_COLUMN))
+                      .drop(repair.STATUS_COLUMN, WIDE_LINE))
             _append_batch(stamp(silver), out, batch_id, [])
             _append_batch(stamp(shaped.filter(~ok).withColumn(
-                quality.FAILED_COLUMN, F.lit("unrepairable shift"))), quarantine, batch_id, [])
+                quality.FAILED_COLUMN, F.when(is_wide(), F.lit("too many cells"))
+                .otherwise(F.lit("unrepairable shift")))), quarantine, batch_id, [])
         finally:
             shaped.unpersist()
     return run

@@ -280,3 +280,52 @@ def test_run_all(spark, tmp_path):
     stamps = {read_table(spark, str(out / "silver" / e)).select("created_at").first()[0]
               for e in ("positions", "postal", "levels")}
     assert len(stamps) == 1                                   # one stamp for the whole run
+
+
+def test_rows_with_too_many_cells_are_quarantined(spark, tmp_path):
+    """One row more than the file's columns hold, per entity; rows in = silver + quarantine."""
+    positions = [*POSITIONS, "OPX;Analista;Operações;JAJ;JE;Efetivo;S;Diretoria;;lost"]
+    src = write_lines(tmp_path, "positions.csv", positions)
+    q = str(tmp_path / "qp")
+    res = jobs.silver_positions(spark, src, str(tmp_path / "p"), quarantine=q)
+    assert (res.silver.count(), res.quarantined) == (5, 1)
+    assert spark.read.parquet(q).first()["_wide_line"] == positions[-1]
+    assert "_wide_line" not in res.silver.columns
+
+    src = write_lines(tmp_path, "postal.csv", [*POSTAL, "1|SP|Sudeste|lost"])
+    res = jobs.silver_postal(spark, src, str(tmp_path / "c"))
+    assert (res.silver.count(), res.quarantined) == (3, 1)
+
+    src = write_lines(tmp_path, "customers.csv", [
+        *CUSTOMERS, "Souza Santos;126000;12;FIIV;882467283;08/04/2019;3;;;;;;lost"])
+    q = str(tmp_path / "qc")
+    res = jobs.silver_customers(spark, src, str(tmp_path / "cu"), quarantine=q)
+    assert (res.silver.count(), res.quarantined) == (5, 3)
+    reasons = {r["_failed_rules"]: r["row"] for r in spark.read.parquet(q).collect()}
+    assert "lost" in reasons["too many cells"]
+
+    src = write_lines(tmp_path, "levels.csv", [
+        "Nível%Descrição Nível%Tempo no Nível", "A%Gerente%3", "B%Gerente%4%lost", "C%Chefe%1"])
+    res = jobs.silver_levels(spark, src, str(tmp_path / "l"))
+    assert (res.silver.count(), res.quarantined) == (1, 1)
+
+
+def test_wide_and_rejected_people_keep_their_clear_values_in_the_vault(spark, tmp_path):
+    src = employee_file(tmp_path, CLEAN_PEOPLE)
+    with open(src, "r", encoding="utf-8", newline="") as f:
+        lines = f.read().split("\r\n")
+    lines[1] += "||lost"
+    with open(src, "w", encoding="utf-8", newline="") as f:
+        f.write("\r\n".join(lines))
+    out, vault, q = (str(tmp_path / n) for n in ("silver", "vault", "q"))
+    res = jobs.silver_employees(spark, src, out, vault, AS_OF, SECRET, quarantine=q, strict=False)
+    assert (res.silver.count(), res.quarantined) == (3, 1)
+    bad = spark.read.parquet(q).first()
+    assert bad["_failed_rules"] == "is_null(_wide_line)"
+    assert not {"cpf", "full_name", "_wide_line"} & set(spark.read.parquet(q).columns)
+    kept = spark.read.parquet(f"{vault}_rejected").first()
+    assert (kept["cpf"], kept["cpf_encrypted"]) == ("11111111111", bad["cpf_encrypted"])
+    assert kept["_wide_line"].endswith("||lost")
+    assert spark.read.parquet(vault).count() == 3
+    with pytest.raises(quality.QualityError, match="_wide_line"):
+        jobs.silver_employees(spark, src, out, vault, AS_OF, SECRET, quarantine=q)

@@ -6,6 +6,9 @@ import pyarrow.parquet as pq
 
 from conftest import write_lines
 
+import pytest
+
+from staffmart.sources import HeaderError, WIDE_LINE
 from staffmart.sources import read_delimited, read_header_split, read_table, write_by_month, write_table
 from staffmart.sources.sinks import STAMP_COLUMN
 
@@ -101,3 +104,54 @@ def test_every_part_file_may_carry_a_header(spark, tmp_path):
         write_lines(p, f"part-{i}.txt", ["CEP|Estado|Região", f"{i}||SP|Sudeste"])
     back = read_header_split(spark, str(p), "|", ["CEP", "Estado", "Região"])
     assert sorted(tuple(r) for r in back.collect()) == [(str(i), "SP", "Sudeste") for i in range(3)]
+
+
+def test_cells_past_the_schema_keep_their_line(spark, tmp_path):
+    path = write_lines(tmp_path, "w.csv", [
+        "a;b;;",
+        "1;2;3;4",
+        "5;6;7;8;;",            # empty cells past the last lose nothing
+        '"x;y";2',
+        "9;8;7;6;5",
+        '"p;q";2;3;4;"r;s"',
+        "short",
+    ])
+    df = read_delimited(spark, path, ";", ["a", "b"], overflow=2, wide_lines=True)
+    assert df.columns == ["a", "b", "_c2", "_c3", WIDE_LINE]
+    wide = {r["a"]: r[WIDE_LINE] for r in df.select("a", WIDE_LINE).collect()}
+    assert wide == {"1": None, "5": None, "x;y": None, "9": "9;8;7;6;5",
+                    "p;q": '"p;q";2;3;4;"r;s"', "short": None}
+
+
+def test_foreign_and_reordered_headers(spark, tmp_path):
+    foreign = write_lines(tmp_path, "f.csv", ["b;a", "1;2"])
+    with pytest.raises(HeaderError, match="expected"):
+        read_delimited(spark, foreign, ";", ["a", "b"])
+    two = tmp_path / "two"
+    write_lines(two, "1.csv", ["a;b", "1;2"])
+    write_lines(two, "2.csv", ["b;a", "4;3"])
+    assert sorted(tuple(r) for r in read_delimited(spark, str(two), ";").collect()) == [
+        ("1", "2"), ("3", "4")]
+    write_lines(two, "3.csv", ["a;c", "4;3"])
+    with pytest.raises(HeaderError, match="3.csv"):
+        read_delimited(spark, str(two), ";")
+
+
+def test_header_split_maps_by_name(spark, tmp_path):
+    names = ["CEP", "Estado", "Região"]
+    d = tmp_path / "pipes"
+    write_lines(d, "a b.txt", ["Região|CEP||Estado", "Sul|1|PR", "Sul|2|SC|more"])
+    df = read_header_split(spark, str(d), "|", names, wide_lines=True)
+    assert sorted(tuple(r) for r in df.collect()) == [
+        ("1", "PR", "Sul", None), ("2", "SC", "Sul", "Sul|2|SC|more")]
+    write_lines(d, "b.txt", ["3|SP|Sudeste"])
+    with pytest.raises(HeaderError, match="b.txt"):
+        read_header_split(spark, str(d), "|", names)
+    parts = read_header_split(spark, str(d), "|", names, header_in_each_file=False)
+    assert sorted(r["CEP"] for r in parts.collect()) == ["1", "2", "3"]
+    write_lines(d, "c.txt", ["CEP|UF|Região", "4|SP|Sudeste"])
+    with pytest.raises(HeaderError, match="c.txt"):
+        read_header_split(spark, str(d), "|", names, header_in_each_file=False)
+    alone = write_lines(tmp_path, "alone.txt", ["x|y|z", "4|SP|Sudeste"])
+    with pytest.raises(HeaderError):
+        read_header_split(spark, alone, "|", names, header_in_each_file=False)
