@@ -90,7 +90,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_scratch_folders: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused location under the checkpoint root."""
+    """A fresh, never-reused location under the checkpoint root.
+
+    All of an application's tables lie in one folder, which goes with what it
+    holds (clear identifiers among it) when the driver's JVM ends.
+    """
     root = checkpoint_root(spark)
-    return os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex}")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no context
+        return os.path.join(root, "tables", f"{name}-{uuid.uuid4().hex}")
+    folder = os.path.join(root, "tables", sc.applicationId)
+    if folder not in _scratch_folders:
+        where = sc._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = where.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(where)
+        fs.deleteOnExit(where)
+        _scratch_folders.add(folder)
+    return os.path.join(folder, f"{name}-{uuid.uuid4().hex}")

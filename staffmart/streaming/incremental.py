@@ -4,9 +4,11 @@ The batch jobs replace a silver table from all raw files on every run. When
 raw files arrive over time, the same operators run per micro-batch instead:
 a file-source stream (explicit schema, no inference) feeds ``foreachBatch``,
 which shapes, gates and writes only the new files. Each micro-batch writes
-its own ``batch_id`` partitions with dynamic partition overwrite, so a batch
-that is replayed after a failure replaces its own output instead of
-duplicating it; the checkpoint records which files were consumed.
+its own ``stream_id`` / ``batch_id`` partitions with dynamic partition
+overwrite, so a batch that is replayed after a failure replaces its own output
+instead of duplicating it; the checkpoint records which files were consumed.
+A new checkpoint is a new stream, whose batch ids start again at 0; the stream
+id, which the checkpoint holds, keeps it from replacing earlier batches.
 
 ``trigger="available_now"`` processes everything present and stops (the
 scheduled-run replacement); ``trigger="<n> seconds"`` keeps polling.
@@ -38,7 +40,7 @@ from staffmart.sources.delimited import (
 from staffmart.sources.header_split import split_lines
 from staffmart.sources.sinks import stamp, with_month_columns
 
-BATCH_COLUMN = "batch_id"
+STREAM_COLUMN, BATCH_COLUMN = "stream_id", "batch_id"
 
 
 def _raw_stream(spark: SparkSession, src_dir: str, columns: list[str], overflow: int,
@@ -52,9 +54,12 @@ def _raw_stream(spark: SparkSession, src_dir: str, columns: list[str], overflow:
 
 
 def _append_batch(df: DataFrame, path: str, batch_id: int, partition_cols: list[str]) -> None:
-    (df.withColumn(BATCH_COLUMN, F.lit(batch_id))
+    stream_id = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not stream_id:
+        raise RuntimeError("not called from a streaming query")
+    (df.withColumns({STREAM_COLUMN: F.lit(stream_id), BATCH_COLUMN: F.lit(batch_id)})
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(BATCH_COLUMN, *partition_cols).parquet(path))
+       .partitionBy(STREAM_COLUMN, BATCH_COLUMN, *partition_cols).parquet(path))
 
 
 def postal_batch(out: str, quarantine: str):

@@ -53,3 +53,14 @@ def test_postal_drops(spark, tmp_path):
     ingest(spark, "postal", str(src), out, str(tmp_path / "q"), ckpt).awaitTermination()
     rows = sorted((r["cep"], r["state"], r["region"]) for r in spark.read.parquet(out).collect())
     assert rows == [("20125535", "Mato Grosso", "Centro - Oeste"), ("34949262", "Pará", "Norte")]
+
+
+def test_a_new_checkpoint_replaces_nothing_and_wide_lines_are_kept(spark, tmp_path):
+    src, out, q = tmp_path / "raw", str(tmp_path / "silver"), str(tmp_path / "q")
+    write_lines(src, "a.txt", ["CEP|Estado|Região", "1|PR|Sul", "2|SC|Sul|lost"])
+    for run in range(2):
+        ingest(spark, "postal", str(src), out, q, str(tmp_path / f"ckpt{run}")).awaitTermination()
+    silver = spark.read.parquet(out)
+    assert [r["cep"] for r in silver.collect()] == ["1", "1"]
+    assert silver.select("stream_id").distinct().count() == 2
+    assert [r["_wide_line"] for r in spark.read.parquet(q).collect()] == ["2|SC|Sul|lost"] * 2
