@@ -1,9 +1,9 @@
 """Declarative data-quality rules, evaluated in one aggregate pass.
 
 Row rules (not null, between, matches, in set) are all counted by a single
-``agg`` over the table; each uniqueness rule adds one ``groupBy(key).count()``
-(partial aggregation before the shuffle, so a hot key costs one row per map
-task). The report has one row per rule:
+``agg`` over the table; the uniqueness rules together add one scan, grouped by
+(rule, key) (partial aggregation before the shuffle, so a hot key costs one row
+per map task). The report has one row per rule:
 ``rule, column_name, evaluated, unexpected, success``. Only that report (a
 handful of rows) ever reaches the driver.
 
@@ -131,16 +131,25 @@ def quality_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         rows = F.array(*[_report_row(r, F.col(f"e{i}"), F.col(f"u{i}"))
                          for i, r in enumerate(row_rules)])
         parts.append(counts.select(F.inline(rows)))
-    for r in rules:
-        if r.is_row_rule:
-            continue
-        per_key = (df.where(F.col(r.column).isNotNull())
-                   .groupBy(r.column).agg(F.count(F.lit(1)).alias("n")))
-        totals = per_key.agg(F.sum("n").alias("evaluated"),
-                             F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("unexpected"))
-        parts.append(totals.select(F.inline(F.array(_report_row(
-            r, F.coalesce(F.col("evaluated"), F.lit(0)),
-            F.coalesce(F.col("unexpected"), F.lit(0)))))))
+    unique_rules = [r for r in rules if not r.is_row_rule]
+    if unique_rules:
+        # one row per rule and cell; each rule's keys keep their type in a column of their own
+        names = [f"k{i}" for i in range(len(unique_rules))]
+        cells = [F.struct(F.lit(i).alias("i"), *[
+            (F.col(r.column) if j == i else F.lit(None).cast(df.schema[r.column].dataType)).alias(names[j])
+            for j, r in enumerate(unique_rules)]) for i in range(len(unique_rules))]
+        per_key = (df.select(F.inline(F.array(*cells)))
+                   .where(F.greatest(F.lit(False), *[F.col(k).isNotNull() for k in names]))
+                   .groupBy("i", *names).agg(F.count(F.lit(1)).alias("n")))
+        aggs = []
+        for i in range(len(unique_rules)):
+            own = F.col("i") == F.lit(i)
+            aggs.append(F.coalesce(F.sum(F.when(own, F.col("n"))), F.lit(0)).alias(f"e{i}"))
+            aggs.append(F.coalesce(F.sum(F.when(own & (F.col("n") > 1), F.col("n"))), F.lit(0))
+                        .alias(f"u{i}"))
+        rows = F.array(*[_report_row(r, F.col(f"e{i}"), F.col(f"u{i}"))
+                         for i, r in enumerate(unique_rules)])
+        parts.append(per_key.agg(*aggs).select(F.inline(rows)))
     report = parts[0]
     for p in parts[1:]:
         report = report.unionByName(p)
