@@ -174,11 +174,6 @@ def split_customers(fixed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return type_customers(fixed.filter(usable)), rejected
 
 
-def shape_customers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Realign shifted rows, then split customers from rejected rows."""
-    return split_customers(realign_customers(raw))
-
-
 def quarantine_customers(typed: DataFrame, rejected: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows passing every customer rule, all rejected rows as JSON + reason)."""
     passing, failing = quality.split_quarantine(typed, CUSTOMER_RULES)

@@ -754,11 +754,11 @@ def dimension_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     other = customer.filter(key_mod("c_custkey", 11) == 0).withColumn("c_mktsegment", F.lit("OTHER"))
     dim = marts.narrow_dimension(customer.unionByName(repeats).unionByName(other),
                                  ["c_custkey", "c_mktsegment"])
-    one, conflicts = marts.split_by_key(dim, "c_custkey")
+    one, _ = marts.split_by_key(dim, "c_custkey")
     orders = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
     by_segment = marts.lookup(orders, one, "o_custkey", "c_custkey").groupBy(
         F.col("c_mktsegment").alias("segment")).agg(F.sum("n").alias("orders"))
-    report = marts.key_conflicts(conflicts, "c_custkey")
+    report = marts.key_conflicts(dim, "c_custkey")
     return by_segment.select(F.lit(None).cast("bigint").alias("conflicting_key"), "segment",
                              "orders", F.lit(None).cast("bigint").alias("rows")).unionByName(
         report.select(F.col("c_custkey").alias("conflicting_key"), F.lit(None).cast("string")
