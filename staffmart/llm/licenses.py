@@ -1,11 +1,17 @@
 """Licence scan by Dice coefficient over word bigrams (operator 2).
 
-A whole text and each of its paragraphs, lines and sentences is a unit. Units
-are normalised (lower case, only letters and digits, single blanks) and
+Texts are normalised (lower case, only letters and digits, single blanks), so
+line breaks, comment marks and bullets do not count. Every window of words is
 compared to licence templates by the Dice coefficient of their multisets of
 word bigrams, 2 * common / (a + b). With a threshold t, a template of b
-bigrams can only match units of b * t / (2 - t) to b * (2 - t) / t bigrams;
-units outside all these bounds, most of them, are not compared at all.
+bigrams can only match windows that have at least b * t / (2 - t) bigrams in
+common with it and at most b * (2 - t) / t in all. Such a window holds some of
+the template's rarest bigrams, its anchors: only where enough of them lie
+close together are windows compared, so the cost stays linear.
+
+Long licences are templates by paragraph. Of a template's windows that overlap
+the most similar one counts; where windows of several templates overlap, the
+one with most bigrams in common (two clauses of BSD-3 are not BSD-2).
 
 Defined results: a null or empty text has no licence; of templates with the
 same score the one listed first counts; rows are judged one by one, so null
@@ -15,9 +21,12 @@ columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
+from importlib.resources import files
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,7 +36,7 @@ from staffmart.llm.common import slices
 THRESHOLD = 0.75
 
 # Public licence texts and the notices that name them.
-TEMPLATES: list[tuple[str, str]] = [
+NOTICES: list[tuple[str, str]] = [
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
     ("MIT", "This project is licensed under the terms of the MIT license."),
@@ -85,40 +94,224 @@ def bigrams(words: list[str]) -> Counter:
     return Counter(zip(words, words[1:], strict=False))
 
 
+_PERMISSIONS = {name: text for name, text in NOTICES if text.startswith("Permission")}
+_AS_IS = ("THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
+          "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
+          "EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER "
+          "IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR "
+          "THE USE OR OTHER DEALINGS IN THE SOFTWARE.")
+_BSD_AS_IS = ("THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR "
+              "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+              "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE "
+              "FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT "
+              "LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+              "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR "
+              "TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF "
+              "ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_BSD_CLAUSES = [
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:",
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+    "following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission."]
+
+
+def _bsd(n: int, numbers: bool) -> str:
+    clauses = [f"{i}. {c}" if numbers and i else c for i, c in enumerate(_BSD_CLAUSES[:n + 1])]
+    return " ".join(clauses)
+
+
+_URL = "If not, see <https://www.gnu.org/licenses/>."
+_POST = ("if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 "
+         "USA.")
+
+
+def _gnu(work: str, licence: str, version: str, end: str) -> str:
+    """The notice in a file's head: its first paragraph alone, or all of it up to ``end``."""
+    first = (f"This {work} is free software: you can redistribute it and/or modify it under the terms of the GNU "
+             f"{licence}General Public License as published by the Free Software Foundation, either version "
+             f"{version} of the License, or (at your option) any later version.")
+    rest = (f"This {work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even "
+            "the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+            f"{licence}General Public License for more details. You should have received a copy of the GNU "
+            f"{licence}General Public License along with this {work}. {end}")
+    return f"{first} {rest}" if end else first
+
+
+# Whole short licences, and passages of licences whose other paragraphs are those of a licence below.
+SHORT_TEXTS: list[tuple[str, str]] = [
+    ("MIT", f"{_PERMISSIONS['MIT']} {_AS_IS}"),
+    ("MIT", _AS_IS),
+    ("ISC", f"{_PERMISSIONS['ISC']} THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH "
+            "REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL "
+            "THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER "
+            "RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER "
+            "TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    *[(f"BSD-{n}-Clause", _bsd(n, numbers) + end) for n in (3, 2) for numbers in (True, False)
+      for end in (f" {_BSD_AS_IS}", "")],
+    *[(name, _gnu(work, licence, version, end)) for name, work, licence, version in [
+        ("GPL-3.0", "program", "", "3"), ("GPL-2.0", "program", "", "2"), ("AGPL-3.0", "program", "Affero ", "3"),
+        ("LGPL-3.0", "library", "Lesser ", "3"), ("LGPL-3.0", "program", "Lesser ", "3"),
+        ("LGPL-2.1", "library", "Lesser ", "2.1")] for end in (_URL, _POST, "")],
+    ("AGPL-3.0", "Notwithstanding any other provision of this License, if you modify the Program, your modified "
+                 "version must prominently offer all users interacting with it remotely through a computer network (if "
+                 "your version supports such interaction) an opportunity to receive the Corresponding Source of your "
+                 "version by providing access to the Corresponding Source from a network server at no charge, through "
+                 "some standard or customary means of facilitating copying of software. This Corresponding Source "
+                 "shall include the Corresponding Source for any work covered by version 3 of the GNU General Public "
+                 "License that is incorporated pursuant to the following paragraph."),
+    ("CC-BY-SA-4.0", "In addition to the conditions in Section 3(a), if You Share Adapted Material You produce, the "
+                     "following conditions also apply."),
+    ("CC-BY-SA-4.0", "You must include the text of, or the URI or hyperlink to, the Adapter's License You apply. You "
+                     "may satisfy this condition in any reasonable manner based on the medium, means, and context in "
+                     "which You Share Adapted Material."),
+    ("CC-BY-SA-4.0", "You may not offer or impose any additional or different terms or conditions on, or apply any "
+                     "Effective Technological Measures to, Adapted Material that restrict exercise of the rights "
+                     "granted under the Adapter's License You apply."),
+    ("CC-BY-NC-4.0", "NonCommercial means not primarily intended for or directed towards commercial advantage or "
+                     "monetary compensation. For purposes of this Public License, the exchange of the Licensed "
+                     "Material for other material subject to Copyright and Similar Rights by digital file-sharing or "
+                     "similar means is NonCommercial provided there is no payment of monetary compensation in "
+                     "connection with the exchange."),
+    ("Unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in "
+                  "source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any "
+                  "means."),
+]
+
+LONG_TEXTS = ["Apache-2.0", "GPL-3.0", "GPL-2.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC-BY-4.0", "CC0-1.0"]
+PASSAGE_WORDS = 20
+
+
+def passages() -> list[tuple[str, str]]:
+    """Paragraphs of the long licences, without headings; those that two share word for word have no name."""
+    found: dict[tuple[str, ...], tuple[str, str]] = {}
+    for name in LONG_TEXTS:
+        text = files("staffmart.llm").joinpath("licence_texts", f"{name}.txt").read_text(encoding="utf-8")
+        for paragraph in re.split(r"\n[ \t]*\n", text):
+            key = tuple(normalised(paragraph))
+            if len(key) >= PASSAGE_WORDS and found.setdefault(key, (name, paragraph))[0] != name:
+                found[key] = "", paragraph
+    return list(found.values())
+
+
+TEMPLATES = NOTICES + SHORT_TEXTS
+PASSAGES = passages()
+
+Window = tuple[int, float, int, int, int]  # bigrams in common, score, template, first and last bigram
+
+
 class Templates:
-    """Templates by their number of bigrams, and the sizes of units that can match them."""
+    """Templates, the sizes of windows that can match them, and their anchors."""
 
-    def __init__(self, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD):
+    def __init__(self, templates: list[tuple[str, str]] = TEMPLATES + PASSAGES,
+                 threshold: float = THRESHOLD):
         self.threshold = threshold
         self.entries = [(name, grams, sum(grams.values()))
                         for name, text in templates for grams in [bigrams(normalised(text))]]
-        self.known = {g for _, grams, _ in self.entries for g in grams}
-        self.by_size: dict[int, list[int]] = {}
-        for i, (_, _, b) in enumerate(self.entries):
-            low, high = b * threshold / (2 - threshold), b * (2 - threshold) / threshold
-            for size in range(int(-(-low // 1)), int(high) + 1):
-                self.by_size.setdefault(size, []).append(i)
-
-    def best(self, words: list[str]) -> tuple[float, int] | None:
-        """(score, template) of the most similar template at or above the threshold."""
-        candidates = self.by_size.get(len(words) - 1)
-        if not candidates:
-            return None
-        grams = Counter(g for g in zip(words, words[1:], strict=False) if g in self.known)
-        if not grams:
-            return None
-        found = None
-        for i in candidates:
-            _, template, size = self.entries[i]
-            common = sum(min(n, template[g]) for g, n in grams.items() if g in template)
-            score = 2 * common / (len(words) - 1 + size)
-            if score >= self.threshold and (found is None or score > found[0]):
-                found = score, i
-        return found
+        spread = Counter(g for _, grams, _ in self.entries for g in grams)
+        self.high: list[int] = []
+        self.need: list[int] = []
+        self.anchors: dict[tuple[str, str], list[int]] = {}
+        for i, (_, grams, b) in enumerate(self.entries):
+            least = max(1, math.ceil(b * threshold / (2 - threshold) - 1e-9))
+            need = -(-least // 4)
+            # a match lacks b - least bigrams at most: of any b - least + need it has ``need``
+            left = b - least + need
+            for g in sorted(grams, key=lambda g: (spread[g], -len(g[0]) - len(g[1]), g)):
+                if left <= 0:
+                    break
+                self.anchors.setdefault(g, []).append(i)
+                left -= grams[g]
+            self.high.append(int(b * (2 - threshold) / threshold + 1e-9))
+            self.need.append(need)
+
+    def regions(self, words: list[str]) -> Iterator[tuple[int, int, int]]:
+        """(template, first, end) of stretches of bigrams outside which the template has no match."""
+        places: dict[int, list[int]] = {}
+        anchors = self.anchors
+        for at, g in enumerate(zip(words, words[1:], strict=False)):
+            if g in anchors:
+                for i in anchors[g]:
+                    places.setdefault(i, []).append(at)
+        for i, at in places.items():
+            need, high, region = self.need[i], self.high[i], None
+            for first, last in zip(at, at[need - 1:], strict=False):
+                if last - first < high:
+                    low, end = max(0, last - high + 1), min(len(words) - 1, first + high)
+                    if region and low <= region[1]:
+                        region = region[0], end
+                    else:
+                        if region:
+                            yield i, *region
+                        region = low, end
+            if region:
+                yield i, *region
+
+    def windows(self, words: list[str], template: int, low: int, end: int) -> list[Window]:
+        """The template's matches in a region, best first, without overlaps."""
+        _, grams, b = self.entries[template]
+        high, t = self.high[template], self.threshold
+        hits = [at for at in range(low, end) if (words[at], words[at + 1]) in grams]
+        number: dict[tuple[str, str], int] = {}
+        kinds = [number.setdefault((words[at], words[at + 1]), len(number)) for at in hits]
+        most_of = [grams[g] for g in number]
+        found: list[Window] = []
+        ahead = [0] * len(number)  # bigrams from start on that a window may reach
+        most = last = 0
+        for n, start in enumerate(hits):
+            if n:
+                g = kinds[n - 1]
+                most -= ahead[g] <= most_of[g]
+                ahead[g] -= 1
+            while last < len(hits) and hits[last] < start + high:
+                g = kinds[last]
+                most += ahead[g] < most_of[g]
+                ahead[g] += 1
+                last += 1
+            bound = 2 * most / (most + b)
+            if bound < t or found and start <= found[-1][4] and bound <= found[-1][1]:
+                continue
+            left = most_of[:]
+            common, best = 0, None
+            for at, g in zip(hits[n:last], kinds[n:last], strict=True):
+                if left[g]:
+                    left[g] -= 1
+                    common += 1
+                size = at - start + 1
+                # a stretch like this only lowers the score: the window is better without it
+                if 2 * common <= t * size:
+                    break
+                score = 2 * common / (size + b)
+                if score >= t and (best is None or score > best[1]):
+                    best = common, score, template, start, at
+            if best:
+                found.append(best)
+        return apart(sorted(found, key=lambda w: (-w[1], w[3])))
+
+    def matches(self, words: list[str]) -> list[Window]:
+        """All matches; of those that overlap the one with most bigrams in common, if its template has a name."""
+        found = [w for region in self.regions(words) for w in self.windows(words, *region)]
+        found = apart(sorted(found, key=lambda w: (-w[0], -w[1], w[2], w[3])))
+        return [w for w in found if self.entries[w[2]][0]]
+
+
+def apart(windows: list[Window]) -> list[Window]:
+    """The windows, in their order, that overlap none before them."""
+    taken: list[tuple[int, int]] = []
+    out = []
+    for w in windows:
+        n = bisect_left(taken, (w[4] + 1, -1))
+        if n == 0 or taken[n - 1][1] < w[3]:
+            insort(taken, (w[3], w[4]))
+            out.append(w)
+    return out
 
 
 def units(text: str) -> Iterator[tuple[str, list[str]]]:
-    """(scope, words): the text, its paragraphs, lines and sentences, each once."""
+    """(scope, words): the text, its paragraphs, lines and sentences, each once; all are windows too."""
     text_words: list[str] = []
     paragraphs = re.split(r"\n[ \t]*\n", text)
     for paragraph in paragraphs:
@@ -142,20 +335,16 @@ def units(text: str) -> Iterator[tuple[str, list[str]]]:
 
 
 def scan(text: str | None, templates: Templates) -> tuple[str | None, float, int, str]:
-    """Best licence, its score, the number of units that match and the names of all matches."""
-    best, matches, names = (0.0, -1), 0, set()
-    for _, words in units(text or ""):
-        found = templates.best(words)
-        if found:
-            matches += 1
-            names.add(templates.entries[found[1]][0])
-            if found[0] > best[0]:
-                best = found
-    name = templates.entries[best[1]][0] if best[1] >= 0 else None
-    return name, best[0], matches, ",".join(sorted(names))
-
-
-def licences(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
+    """Best licence, its score, the number of matches and the names of all matches."""
+    found = templates.matches(normalised(text or ""))
+    if not found:
+        return None, 0.0, 0, ""
+    _, score, template, _, _ = min(found, key=lambda w: (-w[1], w[2]))
+    names = {templates.entries[w[2]][0] for w in found}
+    return templates.entries[template][0], score, len(found), ",".join(sorted(names))
+
+
+def licences(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES + PASSAGES,
              threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, licence, dice, n_matches, licences of every row of ``docs``; no shuffle."""
     schema = "doc_id long, licence string, dice double, n_matches long, licences string"

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import pathlib
 import random
 import re
+import textwrap
 from collections import Counter
 
 import duckdb
@@ -137,6 +139,58 @@ def test_licences_equal_comparison_with_every_template(docs):
     assert licenses.op2_licence_scan(docs).count() == docs.count()
 
 
+def licence_texts():
+    """(licence, text) as they are distributed: wrapped, in comment marks, with bullets or numbers."""
+    gpl = ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU "
+           "General Public License as published by\nthe Free Software Foundation, either version 3 of the License, "
+           "or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be "
+           "useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A "
+           "PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.\n\nYou should have received a "
+           "copy of the GNU General Public License\nalong with this program.  If not, see "
+           "<https://www.gnu.org/licenses/>.")
+    bsd = {n: "\n".join(textwrap.wrap(next(t for name, t in licenses.SHORT_TEXTS if name == n and "1." not in t
+                                           and "WARRANTIES" in t), 60)) for n in ("BSD-2-Clause", "BSD-3-Clause")}
+    out = [("GPL-3.0", gpl), ("LGPL-3.0", gpl.replace("GNU General", "GNU Lesser General").replace("program", "library")),
+           ("AGPL-3.0", gpl.replace("GNU General", "GNU Affero General")),
+           ("GPL-2.0", gpl.replace("version 3", "version 2")),
+           ("BSD-2-Clause", bsd["BSD-2-Clause"].replace("Redistributions", "* Redistributions")),
+           ("BSD-3-Clause", bsd["BSD-3-Clause"].replace("Redistributions", "* Redistributions")
+            .replace("the copyright holder nor", "Example Inc. nor"))]
+    folder = pathlib.Path(licenses.__file__).parent / "licence_texts"
+    return out + [(name, (folder / f"{name}.txt").read_text()) for name in licenses.LONG_TEXTS]
+
+
+def test_licences_wrapped_commented_and_embedded():
+    known, rng = licenses.Templates(), random.Random(5)
+    for name, text in licence_texts():
+        lines = text.split("\n")
+        for mark in ("", " * ", "# ", "// "):
+            header = "\n".join(mark + x for x in lines)
+            for around in (header, f"{prose(rng, 300)}\n{header}\n{prose(rng, 300)}",
+                           f"{prose(rng, 50)} {' '.join(lines)} {prose(rng, 50)}"):
+                got = licenses.scan(around, known)
+                assert got[0] == name and got[1] > 0.9, (name, mark, got)
+                # paragraphs of one long licence may be nearer to another's than to what it has of its own
+                assert got[3] == name or len(text) > 5000, (name, got)
+    long = f"{prose(rng, 20_000)}\n/* Released under\n * the MIT License. */ {prose(rng, 20_000)}"
+    assert licenses.scan(long, known) == ("MIT", 1.0, 1, "MIT")
+    assert licenses.scan("x. " + "Licensed under\nCC BY 4.0. " * 3, known) == ("CC-BY-4.0", 1.0, 3, "CC-BY-4.0")
+
+
+def test_licence_windows_equal_all_windows():
+    rng = random.Random(6)
+    templates = [(str(k), " ".join(rng.choices("abcdefg", k=n))) for k, n in enumerate((4, 6, 9, 15, 30))]
+    known = licenses.Templates(templates)
+    for _ in range(60):
+        w = rng.choices("abcdefgh", k=20)
+        t = templates[rng.randrange(5)][1].split()
+        w[10:10] = [x for x in t if rng.random() < 0.9]
+        for k, (_, t) in enumerate(templates):
+            best = max(dice(w[i:j], t.split()) for i in range(len(w)) for j in range(i + 2, len(w) + 1))
+            own = [m for region in known.regions(w) if region[0] == k for m in known.windows(w, *region)]
+            assert max((m[1] for m in own), default=0) == (pytest.approx(best) if best >= licenses.THRESHOLD else 0)
+
+
 # ------------------------------------------------------------------------ 3
 
 
