@@ -307,6 +307,31 @@ def test_pii_model_adds_forms(spark):
     assert got[1003]["spans"] == ""
 
 
+@pytest.mark.parametrize("plain", [0, 15])
+def test_pii_model_adds_forms_that_are_the_majority(spark, plain):
+    rng = random.Random(7)
+    def three():
+        return rng.randint(200, 999)
+    forms = [lambda i: ("phone", f"({three()}) {three()}-{rng.randint(1000, 9999)}"),
+             lambda i: ("phone", f"{three()} {three()} {rng.randint(1000, 9999)}"),
+             lambda i: ("email", f"user{i} (at) host{i} (dot) com"),
+             lambda i: ("ip", "[.]".join(str(rng.randint(1, 255)) for _ in range(4)))]
+    data, expected = [], {}
+    for i in range(240):
+        kind, form = forms[i % 4](i)
+        before = prose(rng, 6)
+        data.append((i, f"{before}: {form}, {prose(rng, 4)}"))
+        expected[i] = f"{kind}:{len(before) + 2}:{len(before) + 2 + len(form)}"
+    data += [(1000 + i, f"x +1 ({three()}) {three()}-{rng.randint(1000, 9999)} y m{i}@h{i}.org") for i in range(plain)]
+    dull = ["on 2024-03-17, we", "total 20240317 items", "id 1234567890123456789012 end", "no 12 345 678 left"]
+    data += [(2000 + i, x) for i, x in enumerate(dull * 10)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.op4_personal_data(docs).collect()}
+    for form in range(4):
+        assert sum(got[i] == expected[i] for i in range(form, 240, 4)) >= 57, form
+    assert all(got[2000 + i] == "" for i in range(40))
+
+
 # ------------------------------------------------------------------------ 5
 
 
