@@ -2,8 +2,14 @@
 
 The base patterns (email, ip, card, phone) find the plain forms. The model
 adds forms that they miss, such as a phone number without its plus sign or an
-address with "(at)". Text around digits or an at-sign is cut into *islands*;
-no entity can lie outside one, so the islands are decoded apart, exactly.
+address with "(at)". Text around digits or an at-sign is cut into *islands*,
+which are decoded apart, exactly. The model adds only what an island admits:
+numbers of seven digits or more joined by blanks, dots, hyphens, slashes and
+parentheses (Unicode's blanks and dashes too), four dotted octets, and at-signs
+and dots plain, spelt out or in brackets, in either case, with or without blanks.
+Numbers in words or with other separators, addresses spelt in another way and
+entities of more than ``MAX_TOKENS`` tokens are not found. Base spans need no
+island.
 
 Inside an island every stretch of at most ``MAX_TOKENS`` tokens is a candidate
 segment, scored as a whole (digits, groups, separators, checksum, octets, at-
@@ -102,17 +108,29 @@ def base_spans(text: str) -> list[Span]:
 
 # -------------------------------------------------------------------- islands
 
-_NUMERIC = re.compile(r"[+(]{0,2}[0-9](?:[0-9 ().+-]*[0-9])?")
-_AT = re.compile(r"@| ?[\[({]at[\])}] ?| at ")
+_NUMERIC = re.compile(r"[+(]{0,2}[0-9](?:[0-9 ().+/-]*[0-9])?")
+_AT = re.compile(r"@| ?[\[({] ?[aA][tT] ?[\])}] ?| [aA][tT] ")
 _BEFORE = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
-_AFTER = re.compile(r"[A-Za-z0-9-]+(?:(?:\.| ?[\[({]dot[\])}] ?| dot )[A-Za-z0-9-]+)+")
-_DOTTED = re.compile(r"(?<![0-9])[0-9]{1,3}(?:(?:\.|[\[({](?:\.|dot)[\])}]| dot )[0-9]{1,3}){3}(?![0-9])")
+_AFTER = re.compile(r"[A-Za-z0-9-]+(?:(?:\.| ?[\[({] ?(?:\.|[dD][oO][tT]) ?[\])}] ?| [dD][oO][tT] )[A-Za-z0-9-]+)+")
+_DOTTED = re.compile(r"(?<![0-9])[0-9]{1,3}(?:(?:\.| ?[\[({] ?(?:\.|[dD][oO][tT]) ?[\])}] ?| [dD][oO][tT] )"
+                     r"[0-9]{1,3}){3}(?![0-9])")
 _TOKEN = re.compile(r"[0-9]+|[A-Za-z]+|.", re.DOTALL)
 MIN_DIGITS = 7
 
 
+_ODD = re.compile("[\u00a0\u2000-\u200a\u202f\u3000\u00ad\u2010-\u2015\u2212\ufe63\uff0d]")
+_PLAIN = dict.fromkeys([0xA0, *range(0x2000, 0x200B), 0x202F, 0x3000], " ") | dict.fromkeys(
+    [0xAD, *range(0x2010, 0x2016), 0x2212, 0xFE63, 0xFF0D], "-")
+
+
+def plain(text: str) -> str:
+    """The text with Unicode's blanks and dashes as ASCII ones, at the same places."""
+    return text if text.isascii() or not _ODD.search(text) else text.translate(_PLAIN)
+
+
 def islands(text: str) -> list[tuple[int, int]]:
-    """Stretches that may hold an entity, in order, without overlaps."""
+    """Stretches that may hold an entity that the model can add, in order, without overlaps."""
+    text = plain(text)
     found = [(m.start(), m.end()) for m in _NUMERIC.finditer(text)
              if m.end() - m.start() >= MIN_DIGITS and len(digits_of(m.group())) >= MIN_DIGITS]
     found += [(m.start(), m.end()) for m in _DOTTED.finditer(text)]
@@ -120,7 +138,7 @@ def islands(text: str) -> list[tuple[int, int]]:
         before = _BEFORE.search(text[max(0, m.start() - 64):m.start()])
         after = _AFTER.match(text, m.end()) if before else None
         # a plain " at " is a word of prose unless the dots are spelt out too
-        if after and (m.group() != " at " or " dot " in after.group()):
+        if after and (m.group().lower() != " at " or " dot " in after.group().lower()):
             found.append((m.start() - len(before.group()), after.end()))
     found.sort()
     merged: list[tuple[int, int]] = []
@@ -135,17 +153,17 @@ def islands(text: str) -> list[tuple[int, int]]:
 # ------------------------------------------------------------------- features
 
 _DIGIT_STEPS = [9, 10, 11, 12, 13, 16, 17, 20]
-_SPELT_AT = re.compile(r"[\[({]at[\])}]| at ")
+_SPELT_AT = re.compile(r"[\[({] ?[aA][tT] ?[\])}]| [aA][tT] ")
 FEATURES = ["bias", *[f"digits<{d}" for d in _DIGIT_STEPS], "digits more", "plus", "paren first",
             "parens closed", "one group", "two groups", "three groups", "four groups", "more groups",
             "octets", "checksum", "fours", "dots", "hyphens", "blanks", "one separator", "sign at",
-            "spelt at", "domain", "left edge", "right edge", "plus inside", "card length"]
+            "spelt at", "domain", "left edge", "right edge", "plus inside", "card length", "alone"]
 N = len(FEATURES)
 _PLACE = {f: i for i, f in enumerate(FEATURES)}
 
 
-def features(text: str, left: str, right: str) -> list[int]:
-    """Numbers of the features that hold for a whole segment; left, right: its neighbours."""
+def features(text: str, left: str, right: str, alone: bool) -> list[int]:
+    """Numbers of the features that hold for a whole segment; left, right: its neighbours; alone: no more digits."""
     out = [0]
     digits = digits_of(text)
     n = len(digits)
@@ -165,10 +183,10 @@ def features(text: str, left: str, right: str) -> list[int]:
         "dots": "." in text, "hyphens": "-" in text, "blanks": " " in text,
         "one separator": len(separators) == 1, "sign at": "@" in text,
         "spelt at": bool(_SPELT_AT.search(text)),
-        "domain": bool(re.search(r"(\.| dot |[\[({]dot[\])}] ?)[A-Za-z]{2,}\Z", text)),
+        "domain": bool(re.search(r"(\.| [dD][oO][tT] |[\[({] ?(\.|[dD][oO][tT]) ?[\])}] ?)[A-Za-z]{2,}\Z", text)),
         "left edge": not left.isalnum() and left not in "+@_",
         "right edge": not right.isalnum() and right not in "@_([{",
-        "plus inside": "+" in text[1:], "card length": 13 <= n <= 19,
+        "plus inside": "+" in text[1:], "card length": 13 <= n <= 19, "alone": alone,
         ["one group", "one group", "two groups", "three groups", "four groups"][len(groups)]
         if len(groups) <= 4 else "more groups": True,
     }
@@ -180,11 +198,12 @@ class Island:
     """Tokens of an island, and its candidate segments with their features."""
 
     def __init__(self, text: str, left: str = " ", right: str = " "):
+        text = plain(text)
         self.bounds = [0, *[m.end() for m in _TOKEN.finditer(text)]]
         self.size = len(self.bounds) - 1
         padded = left[-1:] + text + right[:1]
         digits = np.concatenate([[0], np.cumsum([c.isdigit() for c in text])]) if text else np.zeros(1)
-        marks = [m.start() for m in re.finditer(r"@|\bat\b", text)]
+        marks = [m.start() for m in re.finditer(r"@|\b[aA][tT]\b", text)]
         self.segments: list[tuple[int, int]] = []
         self.on: list[list[int]] = []
         for i in range(self.size):
@@ -196,11 +215,12 @@ class Island:
                 if not text[b - 1].isalnum():
                     continue
                 if digits[b] - digits[a] < MIN_DIGITS and not (
-                        digits[b] - digits[a] >= 4 and text[a:b].count(".") + text[a:b].count("dot") == 3) and not any(
+                        digits[b] - digits[a] >= 4 and text[a:b].count(".") + text[a:b].lower().count("dot") == 3) and not any(
                             a < m < b and text[a].isalnum() for m in marks):
                     continue
                 self.segments.append((i, j))
-                self.on.append(features(text[a:b], padded[a:a + 1], padded[b + 1:b + 2]))
+                self.on.append(features(text[a:b], padded[a:a + 1], padded[b + 1:b + 2],
+                                        digits[b] - digits[a] == digits[-1]))
         self.matrix = np.zeros((len(self.segments), N))
         for k, row in enumerate(self.on):
             self.matrix[k, row] = 1.0
@@ -346,20 +366,22 @@ def rewritten(text: str, kind: int, rng: np.random.Generator) -> list[tuple[str,
                         (" (at) ", " (dot) "), (" [at] ", " [dot] ")):
             out.append((local + at + domain.replace(".", dot), kind))
     elif KINDS[kind] == "phone":
-        plain = text.lstrip("+")
-        out += [(plain, kind), (plain.replace("-", " "), kind), (text.replace("-", "."), kind)]
+        bare = text.lstrip("+")
+        out += [(bare, kind), (bare.replace("-", " "), kind), (text.replace("-", "."), kind),
+                (bare.replace("-", "/"), kind)]
         groups = re.findall(r"[0-9]+", text)
         national = groups[1:] if len(groups[0]) <= 3 else groups
         if len(national) > 1 and len("".join(national)) >= 9:
-            out += [(sep.join(national), kind) for sep in ("-", " ", ".")]
+            out += [(sep.join(national), kind) for sep in ("-", " ", ".", "/")]
             out += [(f"({national[0]}) {'-'.join(national[1:])}", kind),
-                    (f"({national[0]}) {' '.join(national[1:])}", kind)]
+                    (f"({national[0]}) {' '.join(national[1:])}", kind),
+                    (f"{national[0]}/{'-'.join(national[1:])}", kind)]
         digits = digits_of(text)
         out += [(digits[:4], None), (f"{digits[:4]}-{digits[4:6]}-{digits[6:8]}", None), (digits, None)]
     elif KINDS[kind] == "card":
         digits = digits_of(text)
         fours = [digits[i:i + 4] for i in range(0, len(digits), 4)]
-        out += [(".".join(fours), kind), ("  ".join(fours), kind)]
+        out += [(".".join(fours), kind), ("  ".join(fours), kind), ("/".join(fours), kind)]
         spoilt = digits[:-1] + str((int(digits[-1]) + int(rng.integers(1, 10))) % 10)
         out += [(spoilt, None), (" ".join(spoilt[i:i + 4] for i in range(0, len(spoilt), 4)), None)]
     else:
@@ -373,12 +395,13 @@ def rewritten(text: str, kind: int, rng: np.random.Generator) -> list[tuple[str,
 
 _DATE = re.compile(r"(?<![0-9])(?:(?:19|20)[0-9]{2}([-./])[0-9]{1,2}\1[0-9]{1,2}|"
                    r"[0-9]{1,2}([-./])[0-9]{1,2}\2(?:19|20)[0-9]{2})(?![0-9])")
-_NATIONAL = re.compile(r"\([0-9]{2,5}\) ?[0-9]{2,}|(?<![0-9])[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}(?![0-9])|"
+_NATIONAL = re.compile(r"\([0-9]{2,5}\) ?[0-9]{2,}|(?<![0-9])[0-9]{3}([ ./-])[0-9]{3}\1[0-9]{4}(?![0-9])|"
                        r"(?<![0-9])[0-9]{3}-[0-9]{4}(?![0-9])")
 
 
 def plausible(text: str) -> bool:
     """Whether text outside the base spans may be or hold an entity in a form that they miss."""
+    text = plain(text)
     if "@" in text or _SPELT_AT.search(text):
         return True
     if any(all(map(is_octet, re.findall("[0-9]+", m.group()))) for m in _DOTTED.finditer(text)):

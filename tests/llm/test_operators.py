@@ -332,6 +332,22 @@ def test_pii_model_adds_forms_that_are_the_majority(spark, plain):
     assert all(got[2000 + i] == "" for i in range(40))
 
 
+def test_pii_islands_admit_case_blanks_and_unicode():
+    rng = random.Random(8)
+    def digits(n):
+        return rng.randint(2 * 10 ** (n - 1), 10 ** n - 1)
+    sample = [(f"+1 ({digits(3)}) {digits(3)}-{digits(4)}", " ", ",") for _ in range(120)]
+    sample += [(f"mail{i}@host{i}.example.com", " ", ",") for i in range(120)]
+    model = pii.fit(pii.training_set(sample))
+    for kind, form in [(0, "john [AT] example [DOT] com"), (0, "ann( at )host.org"), (0, "bob (At) example.net"),
+                       (3, "(437)\u00a0555\u20110689"), (3, "437\u2013555\u20130689"), (3, "437/555-0689"),
+                       (3, "437/555/0689"), (2, "4111/1111/1111/1111")]:
+        text = f"ask: {form}, today"
+        assert pii.islands(text) == [(5, 5 + len(form))], form
+        assert pii.model_spans(text, pii.base_spans(text), model) == [(kind, 5, 5 + len(form))], form
+    assert pii.model_spans("on 12/31/2024, we", [], model) == []
+
+
 # ------------------------------------------------------------------------ 5
 
 
