@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from staffmart.llm import (
+    block_names,
+    fill_middle,
     fingerprints,
     licenses,
     line_dedup,
@@ -14,6 +16,7 @@ from staffmart.llm import (
     near_dups,
     packing,
     pii,
+    prefix_trie,
     quality,
     repeats,
     url_lists,
@@ -39,10 +42,17 @@ QUERIES: dict[str, Query] = {
     "op8_near_duplicates": _documents(near_dups.op8_near_duplicates),
     "op9_fingerprints": _documents(fingerprints.op9_fingerprints),
     "op10_url_lists": lambda spark, sf_dir: url_lists.op10_url_lists(table(spark, sf_dir, "pages")),
+    "op11_prefix_trie": lambda spark, sf_dir: prefix_trie.op11_prefix_trie(
+        table(spark, sf_dir, "conversations")),
+    "op12_exact_dedup": _documents(block_names.op12_exact_dedup),
+    "op13_fill_middle": _documents(fill_middle.op13_fill_middle),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": mix.OP1_SQL,
     "op5_line_dedup": line_dedup.OP5_SQL,
     "op10_url_lists": url_lists.OP10_SQL,
+    "op11_prefix_trie": prefix_trie.OP11_SQL,
+    "op12_exact_dedup": block_names.OP12_SQL,
+    "op13_fill_middle": fill_middle.OP13_SQL,
 }
