@@ -149,7 +149,13 @@ def groups(docs: DataFrame, row: Column | None = None, **options) -> DataFrame:
                           "doc_id", "order_key", "row")).alias("best")
     stays = found.groupBy("level", "name").agg(best, F.count(F.lit(1)).alias("group_size")).select(
         "level", "name", "group_size", F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"))
-    return found.join(stays, ["level", "name"]).withColumn("kept", F.col("row") == F.col("keep_row"))
+    # written, so that the join below is one of two plain shuffles and a hot group can be split
+    stays = materialise(stays.filter("group_size > 1"), "groups")
+    alone = F.col("group_size").isNull()
+    return found.join(stays, ["level", "name"], "left").select(
+        *found.columns, F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        (alone | (F.col("row") == F.col("keep_row"))).alias("kept"))
 
 
 def distinct_documents(docs: DataFrame, **options) -> DataFrame:
