@@ -16,12 +16,20 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from staffmart.sources.headers import HeaderError, as_list, files_by_header
+from staffmart.sources.headers import (
+    LINE,
+    HeaderError,
+    as_list,
+    column_names,
+    files_by_header,
+    first_line,
+    header_cells,
+    input_files,
+)
 
 # The whole line of a row that has more cells than its reader has columns.
 WIDE_LINE = "_wide_line"
 _MALFORMED = "_malformed_line"
-_UNNAMED = re.compile(r"_c\d+")
 
 
 def string_schema(names: Sequence[str]) -> T.StructType:
@@ -41,20 +49,64 @@ def keep_malformed(reader, names: Sequence[str]):
             .schema(string_schema([*names, _MALFORMED])))
 
 
+def _quotes(piece: Column) -> Column:
+    """Quotes in ``piece`` that no backslash escapes."""
+    bare = F.replace(F.replace(piece, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
+    return F.char_length(bare) - F.char_length(F.replace(bare, F.lit('"'), F.lit("")))
+
+
 def wide_line(line: Column, sep: str, width: int) -> Column:
     """``line`` if a cell past the first ``width`` is filled, else NULL.
-    Separators inside quoted cells don't count."""
-    sep = re.escape(sep)
-    bare = F.regexp_replace(line, rf'(?<=^|{sep})"(\\.|[^"\\])*"', "q")
-    cells = F.split(F.regexp_replace(bare, f"({sep})+$", ""), sep)
-    return F.when(F.size(cells) > width, line)
+
+    Lines with as many separators as ``width`` are folded piece by piece: a
+    piece that begins with a quote opens a cell, which ends with the piece that
+    holds the closing quote, so separators inside quoted cells don't count.
+    One pass over the line, however long a cell is.
+    """
+    def step(state: Column, piece: Column) -> Column:
+        odd = _quotes(piece) % 2 == 1
+        cells = state["cells"] + F.when(state["open"], 0).otherwise(1)
+        still_open = F.when(state["open"], ~odd).otherwise(F.startswith(piece, F.lit('"')) & odd)
+        wide = state["wide"] | ((cells > width) & (piece != ""))
+        return F.struct(still_open.alias("open"), cells.alias("cells"), wide.alias("wide"))
+
+    start = F.struct(F.lit(False).alias("open"), F.lit(0).alias("cells"), F.lit(False).alias("wide"))
+    seps = F.char_length(line) - F.char_length(F.replace(line, F.lit(sep), F.lit("")))
+    folded = F.aggregate(F.split(line, re.escape(sep), -1), start, step, lambda state: state["wide"])
+    return F.when(F.when(seps >= width * len(sep), folded).otherwise(F.lit(False)), line)
 
 
 def with_wide_line(df: DataFrame, sep: str) -> DataFrame:
     """Replace the line of ``keep_malformed`` by ``WIDE_LINE``: the whole line of
     a row whose last cells were cut, else NULL."""
     width = len(df.columns) - 1
-    return df.withColumn(WIDE_LINE, wide_line(F.col(_MALFORMED), sep, width)).drop(_MALFORMED)
+    # names a cell too: Spark refuses a scan that asks for nothing but the malformed line
+    cell = F.col(f"`{df.columns[0]}`")
+    line = F.when(cell.isNull() | (F.char_length(cell) >= 0), F.col(_MALFORMED))
+    return df.withColumn(WIDE_LINE, wide_line(line, sep, width)).drop(_MALFORMED)
+
+
+def _header_text(line: Column, sep: str) -> Column:
+    """A header line without the separators behind its last name."""
+    return F.rtrim(F.rtrim(line, F.lit("\r")), F.lit(sep))
+
+
+def is_header(names: Sequence[str], sep: str) -> Column:
+    """Whether the line is the header of ``names``, but for empty cells behind them."""
+    return _header_text(F.col(LINE), sep) == F.lit(sep.join(names).rstrip(sep))
+
+
+def parse_lines(lines: DataFrame, sep: str, names: Sequence[str], header: Sequence[str],
+                wide_lines: bool = False) -> DataFrame:
+    """Whole lines to string cells, as ``read_delimited`` reads them; header and blank lines are dropped.
+
+    For streams, whose batches check their headers before their rows are cut.
+    """
+    ddl = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    kept = lines.filter((F.trim(LINE) != "") & ~is_header(header, sep))
+    cells = kept.select(LINE, F.from_csv(F.col(LINE), ddl, {"sep": sep, "mode": "PERMISSIVE"}).alias("_cells"))
+    wide = [wide_line(F.col(LINE), sep, len(names)).alias(WIDE_LINE)] if wide_lines else []
+    return cells.select("_cells.*", *wide)
 
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";",
@@ -70,7 +122,7 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";
     ``columns`` omitted: names come from the header line (empty names become
     ``_cN``, repeated names get their position appended). Files that order the
     same names differently are mapped by name; other names raise ``HeaderError``.
-    No inference pass: only the first line of each file is read to plan.
+    No inference pass: one job finds the first lines of all files to plan.
 
     ``wide_lines`` adds ``WIDE_LINE``, the raw line of rows with more cells
     than there are columns; without it these cells are cut off.
@@ -96,20 +148,27 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";
         if columns is None:
             raise ValueError("files without a header need column names")
         return read(paths, [*columns, *overflow_names(len(columns), overflow)])
-    groups = files_by_header(spark, path, lambda f: reader().csv(f).columns)
-    if columns is not None:
-        for names, files in groups.items():
-            rest = names[len(columns):]
-            if list(names[:len(columns)]) != list(columns) or not all(map(_UNNAMED.fullmatch, rest)):
-                raise HeaderError(f"{files[0]}: header {list(names)}, expected {list(columns)}")
-        return read(paths, [*columns, *overflow_names(len(columns), overflow)])
-    if not groups:
-        raise HeaderError(f"no header line in {', '.join(paths)}")
-    first = next(iter(groups))
-    for names, files in groups.items():
-        if set(names) != set(first):
-            raise HeaderError(f"{files[0]}: header {list(names)}, but {groups[first][0]}: {list(first)}")
-    parts = [read(files, names) for names, files in groups.items()]
+    if columns is None:
+        line = first_line(spark, path)
+        if line is None:
+            raise HeaderError(f"no header line in {', '.join(paths)}")
+        cells = header_cells(line, sep)
+    else:
+        cells = list(columns)
+    expected = column_names(cells)
+    others = files_by_header(spark, path, cells, is_header(cells, sep), lambda line: header_cells(line, sep))
+    # quoted headers are the same by their cells
+    odd = {other: files for other, files in others.items() if list(other) != cells}
+    for other, files in odd.items():
+        if columns is not None or set(column_names(other)) != set(expected):
+            raise HeaderError(f"{files[0]}: header {list(other)}, expected {cells}")
+    names = [*expected, *overflow_names(len(expected), overflow)]
+    if not odd:
+        return read(paths, names)
+    moved = {f for files in odd.values() for f in files}
+    rest = [f for f in input_files(spark, paths) if f not in moved]
+    parts = [read(rest, names)] if rest else []
+    parts += [read(files, column_names(other)) for other, files in odd.items()]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -2,8 +2,9 @@
 
 The batch jobs replace a silver table from all raw files on every run. When
 raw files arrive over time, the same operators run per micro-batch instead:
-a file-source stream (explicit schema, no inference) feeds ``foreachBatch``,
-which shapes, gates and writes only the new files. Each micro-batch writes
+a text stream (whole lines, no inference) feeds ``foreachBatch``, which checks
+the headers of the new files, cuts their lines into cells, shapes, gates and
+writes them. Each micro-batch writes
 its own ``stream_id`` / ``batch_id`` partitions with dynamic partition
 overwrite, so a batch that is replayed after a failure replaces its own output
 instead of duplicating it; the checkpoint records which files were consumed.
@@ -16,8 +17,10 @@ scheduled-run replacement); ``trigger="<n> seconds"`` keeps polling.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,27 +33,37 @@ from staffmart.plans.jobs import (
     shape_positions,
     split_customers,
 )
-from staffmart.sources.delimited import (
-    WIDE_LINE,
-    is_wide,
-    keep_malformed,
-    overflow_names,
-    with_wide_line,
-)
-from staffmart.sources.header_split import split_lines
+from staffmart.sources.delimited import WIDE_LINE, is_header, is_wide, overflow_names, parse_lines
+from staffmart.sources.header_split import split_lines, squashed_header
+from staffmart.sources.headers import HeaderError, check_headers, with_origin
 from staffmart.sources.sinks import stamp, with_month_columns
 
 STREAM_COLUMN, BATCH_COLUMN = "stream_id", "batch_id"
 
 
-def _raw_stream(spark: SparkSession, src_dir: str, columns: list[str], overflow: int,
-                sep: str, max_files: int | None) -> DataFrame:
-    names = list(columns) + overflow_names(len(columns), overflow)
-    reader = (spark.readStream.option("sep", sep).option("header", True)
-              .option("mode", "PERMISSIVE"))
+def _lines_stream(spark: SparkSession, src_dir: str, max_files: int | None) -> DataFrame:
+    """Whole lines with the file that they come from; a batch checks its headers before it cuts them."""
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return with_wide_line(keep_malformed(reader, names).csv(src_dir), sep)
+    return with_origin(reader.text(src_dir))
+
+
+def _require_headers(batch: DataFrame, names: Sequence[str], same: Column) -> None:
+    """Stop the stream at a batch with a file whose first line is not the expected header.
+
+    The batch is not committed, so it runs again once the file is mended.
+    """
+    found = check_headers(batch, names, same)
+    odd = [*found.foreign, *found.reordered]
+    if odd:
+        raise HeaderError(f"{odd[0]}: its first line is not the header {list(names)}")
+
+
+def _cells(batch: DataFrame, sep: str, columns: Sequence[str], overflow: int) -> DataFrame:
+    _require_headers(batch, columns, is_header(columns, sep))
+    names = [*columns, *overflow_names(len(columns), overflow)]
+    return parse_lines(batch, sep, names, columns, wide_lines=True)
 
 
 def _append_batch(df: DataFrame, path: str, batch_id: int, partition_cols: list[str]) -> None:
@@ -64,6 +77,7 @@ def _append_batch(df: DataFrame, path: str, batch_id: int, partition_cols: list[
 
 def postal_batch(out: str, quarantine: str):
     def run(batch: DataFrame, batch_id: int) -> None:
+        _require_headers(batch, E.POSTAL_COLUMNS, squashed_header(E.POSTAL_COLUMNS, E.POSTAL_SEP))
         rows = stamp(shape_ops.rename(split_lines(batch, E.POSTAL_SEP, E.POSTAL_COLUMNS,
                                                   wide_lines=True), E.POSTAL_RENAME))
         _append_batch(rows.filter(~is_wide()).drop(WIDE_LINE), out, batch_id, [])
@@ -74,7 +88,8 @@ def postal_batch(out: str, quarantine: str):
 def customers_batch(out: str, quarantine: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         # Two sinks read the batch: cache it once after the realignment.
-        fixed = realign_customers(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        fixed = realign_customers(_cells(
+            batch, E.CUSTOMERS_SEP, E.CUSTOMERS_COLUMNS, E.CUSTOMERS_OVERFLOW)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             typed, rejected = split_customers(fixed)
             passing, all_rejected = quarantine_customers(typed, rejected)
@@ -89,7 +104,8 @@ def customers_batch(out: str, quarantine: str):
 
 def positions_batch(out: str, quarantine: str):
     def run(batch: DataFrame, batch_id: int) -> None:
-        shaped = shape_positions(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        shaped = shape_positions(_cells(
+            batch, E.POSITIONS_SEP, E.POSITIONS_COLUMNS, 1)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             ok = (F.col(repair.STATUS_COLUMN) != F.lit(repair.UNREPAIRED)) & ~is_wide()
             silver = (shape_ops.rename(shaped.filter(ok), E.POSITIONS_RENAME)
@@ -103,25 +119,14 @@ def positions_batch(out: str, quarantine: str):
     return run
 
 
-ENTITIES = {
-    "customers": (E.CUSTOMERS_COLUMNS, E.CUSTOMERS_OVERFLOW, E.CUSTOMERS_SEP, customers_batch),
-    "positions": (E.POSITIONS_COLUMNS, 1, E.POSITIONS_SEP, positions_batch),
-    # Whole lines: the separator is doubled in places, so the file is not CSV.
-    "postal": (None, 0, E.POSTAL_SEP, postal_batch),
-}
+ENTITIES = {"customers": customers_batch, "positions": positions_batch, "postal": postal_batch}
 
 
 def ingest(spark: SparkSession, entity: str, src_dir: str, out: str, quarantine: str,
            checkpoint: str, trigger: str = "available_now",
            max_files_per_trigger: int | None = None) -> StreamingQuery:
-    columns, overflow, sep, make_batch = ENTITIES[entity]
-    if columns is None:
-        reader = spark.readStream
-        if max_files_per_trigger:
-            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-        stream = reader.text(src_dir)
-    else:
-        stream = _raw_stream(spark, src_dir, columns, overflow, sep, max_files_per_trigger)
+    make_batch = ENTITIES[entity]
+    stream = _lines_stream(spark, src_dir, max_files_per_trigger)
     writer = (stream.writeStream.foreachBatch(make_batch(out, quarantine))
               .option("checkpointLocation", checkpoint))
     if trigger == "available_now":

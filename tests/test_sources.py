@@ -8,7 +8,7 @@ from conftest import write_lines
 
 import pytest
 
-from staffmart.sources import HeaderError, WIDE_LINE
+from staffmart.sources import HeaderError, WIDE_LINE, is_wide
 from staffmart.sources import read_delimited, read_header_split, read_table, write_by_month, write_table
 from staffmart.sources.sinks import STAMP_COLUMN
 
@@ -155,3 +155,52 @@ def test_header_split_maps_by_name(spark, tmp_path):
     alone = write_lines(tmp_path, "alone.txt", ["x|y|z", "4|SP|Sudeste"])
     with pytest.raises(HeaderError):
         read_header_split(spark, alone, "|", names, header_in_each_file=False)
+
+
+def test_many_files_are_looked_at_in_one_job(spark, tmp_path):
+    """No job per file: one finds all first lines, one more reads the reordered headers."""
+    d = tmp_path / "many"
+    for i in range(60):
+        write_lines(d, f"{i:03}.csv", ["b;a;;" if i == 7 else '"a";b' if i == 9 else "a;b;", f"{i};{i}x", "a;b"])
+    sc = spark.sparkContext
+    sc.setJobGroup("headers", "headers")
+    try:
+        df = read_delimited(spark, str(d), ";")
+        planned = len(sc.statusTracker().getJobIdsForGroup("headers"))
+        rows = {tuple(r) for r in df.collect()}
+    finally:
+        sc.setJobGroup("", "")
+    assert planned < 8                                     # with AQE's stages as jobs of their own
+    assert {(f"{i}", f"{i}x") for i in range(60) if i != 7} < rows and ("7x", "7") in rows
+    write_lines(d, "zzz.csv", ["a;c", "1;2"])
+    with pytest.raises(HeaderError, match="zzz.csv.*a;c"):
+        read_delimited(spark, str(d), ";")
+
+
+def test_headers_of_files_in_several_blocks(spark, tmp_path):
+    """A line that looks like a foreign header is no header when it lies further down."""
+    lines = ["a;b", *(f"{i};{'v' * 50}" for i in range(20_000)), "b;a"]
+    path = write_lines(tmp_path, "big.csv", lines)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        df = read_delimited(spark, path, ";", ["a", "b"])
+        assert df.count() == 20_001
+        wrong = write_lines(tmp_path, "wrong.csv", ["x;y", *lines])
+        with pytest.raises(HeaderError, match="x;y"):
+            read_delimited(spark, wrong, ";", ["a", "b"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("cell", ["z" * 1_000_000, 'a;b\\"' * 200_000, '""' * 100_000, ";" * 100_000],
+                         ids=["long", "escaped quotes", "doubled quotes", "separators"])
+def test_wide_lines_with_long_quoted_cells(spark, tmp_path, cell):
+    wide = f'1;"{cell}";3;lost'
+    path = write_lines(tmp_path, "w.csv", ["a;b;c", f'0;"{cell}";3', wide, f'2;"{cell}";3;;', f'3;"{cell}'])
+    df = read_delimited(spark, path, ";", ["a", "b", "c"], wide_lines=True)
+    found = {r["a"]: r[WIDE_LINE] for r in df.collect()}
+    if cell[0] != '"':  # the parser itself ends a cell at doubled quotes
+        assert found == {"0": None, "1": wide, "2": None, "3": None}
+    assert found["1"] == wide
+    assert df.filter(is_wide()).count() == sum(v is not None for v in found.values())

@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from conftest import write_lines
+from pyspark.errors import StreamingQueryException
 
 from staffmart.streaming import ingest
 
@@ -64,3 +66,19 @@ def test_a_new_checkpoint_replaces_nothing_and_wide_lines_are_kept(spark, tmp_pa
     assert [r["cep"] for r in silver.collect()] == ["1", "1"]
     assert silver.select("stream_id").distinct().count() == 2
     assert [r["_wide_line"] for r in spark.read.parquet(q).collect()] == ["2|SC|Sul|lost"] * 2
+
+
+@pytest.mark.parametrize("header", ["Cargo;Área;Nível;COD Área;COD Nível;Quadro;Bonus;Contratacao", "x;y"])
+def test_a_stream_stops_at_another_header(spark, tmp_path, header):
+    src, out = tmp_path / "raw", str(tmp_path / "silver")
+    row = "LOIV;Logísitca;Gerente;EDE;ID;Efetivo;S;Diretoria"
+    write_lines(src, "p.csv", [header, row])
+    names = (str(src), out, str(tmp_path / "q"), str(tmp_path / "ckpt"))
+    with pytest.raises(StreamingQueryException, match="p.csv"):
+        ingest(spark, "positions", *names).awaitTermination()
+    assert not os.path.exists(out)
+    # the batch runs again once the file is mended
+    write_lines(src, "p.csv", ["Cargo;Nível;Área;COD Área;COD Nível;Quadro;Bonus;Contratacao",
+                               "LOIV;Gerente;Logística;EDE;ID;Efetivo;S;Diretoria"])
+    ingest(spark, "positions", *names).awaitTermination()
+    assert [r["area"] for r in spark.read.parquet(out).collect()] == ["Logística"]
