@@ -1,32 +1,20 @@
-from staffmart.functions.bands import GENERATION_BANDS, UNKNOWN, bands_frame, generation
-from staffmart.functions.casting import (
-    is_day_first_date,
-    is_digits,
-    is_int_like,
-    is_unsigned_number,
-    try_decimal,
-    try_int,
-)
+from staffmart.functions.bands import GENERATION_BANDS, UNKNOWN, generation
+from staffmart.functions.casting import exact_decimal, is_digits, try_decimal, try_int
 from staffmart.functions.temporal import (
     DAYS_PER_YEAR,
     EXCEL_EPOCH,
     age_in_full_years,
     as_date,
-    days_to_years,
     excel_serial_to_date,
-    month_of,
     parse_day_first,
     tenure_days,
-    year_of,
 )
-from staffmart.functions.text import correct, is_code, squash, strip_leading, title_case
-from staffmart.functions.tokens import secret_from_conf, token
+from staffmart.functions.text import correct, is_code, strip_leading, title_case
+from staffmart.functions.tokens import TokenKey, key_from_conf, token
 
 __all__ = [
-    "GENERATION_BANDS", "UNKNOWN", "bands_frame", "generation",
-    "is_day_first_date", "is_digits", "is_int_like", "is_unsigned_number",
+    "GENERATION_BANDS", "UNKNOWN", "generation", "exact_decimal", "is_digits",
     "try_decimal", "try_int", "DAYS_PER_YEAR", "EXCEL_EPOCH", "age_in_full_years",
-    "as_date", "days_to_years", "excel_serial_to_date", "month_of",
-    "parse_day_first", "tenure_days", "year_of", "correct", "is_code", "squash",
-    "strip_leading", "title_case", "secret_from_conf", "token",
+    "as_date", "excel_serial_to_date", "parse_day_first", "tenure_days", "correct",
+    "is_code", "strip_leading", "title_case", "TokenKey", "key_from_conf", "token",
 ]

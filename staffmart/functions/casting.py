@@ -23,19 +23,16 @@ def try_decimal(c: Column | str, precision: int = 18, scale: int = 2) -> Column:
     return _col(c).try_cast(f"decimal({precision},{scale})")
 
 
-def is_int_like(c: Column | str) -> Column:
-    """True when the text is a whole number that fits an int."""
-    return _col(c).try_cast("int").isNotNull()
+def exact_decimal(c: Column | str, precision: int = 18, scale: int = 2) -> Column:
+    """``try_decimal`` of plain number text that the type holds to the last digit, else NULL.
 
-
-def is_unsigned_number(c: Column | str) -> Column:
-    r"""Digits with at most one decimal point (``^\d+\.?\d*$``)."""
-    return _col(c).rlike(r"^\d+\.?\d*$")
+    A cast rounds "10.999" to 11.00; here more decimals than ``scale`` (zeros
+    apart), like too many digits, give NULL, so that the text can be rejected.
+    """
+    text = F.trim(_col(c).cast("string"))
+    plain = text.rlike(rf"^[+-]?[0-9]*\.?[0-9]{{0,{scale}}}0*$")
+    return F.when(plain, text.try_cast(f"decimal({precision},{scale})"))
 
 
 def is_digits(c: Column | str, min_len: int = 1) -> Column:
     return _col(c).rlike(f"^[0-9]{{{min_len},}}$")
-
-
-def is_day_first_date(c: Column | str) -> Column:
-    return F.try_to_date(_col(c), "dd/MM/yyyy").isNotNull()

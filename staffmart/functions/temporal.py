@@ -50,10 +50,6 @@ def parse_day_first(text: Column | str, fmt: str = DAY_FIRST_FORMAT) -> Column:
     return F.try_to_date(_col(text), fmt)
 
 
-def looks_like_iso_date(text: Column | str) -> Column:
-    return _col(text).rlike(r"^\d{4}-\d{2}-\d{2}$")
-
-
 def tenure_days(start: Column | str, end: Column | str, as_of: date | str | Column) -> Column:
     """Days from ``start`` to ``end``; an open spell (NULL end) runs to ``as_of``."""
     return F.datediff(F.coalesce(_col(end), as_date(as_of)), _col(start))
@@ -62,15 +58,3 @@ def tenure_days(start: Column | str, end: Column | str, as_of: date | str | Colu
 def age_in_full_years(birth: Column | str, as_of: date | str | Column) -> Column:
     """Completed years between ``birth`` and ``as_of`` (bigint)."""
     return F.floor(F.months_between(as_date(as_of), _col(birth)) / F.lit(12))
-
-
-def days_to_years(days: Column | str) -> Column:
-    return _col(days) / F.lit(DAYS_PER_YEAR)
-
-
-def year_of(c: Column | str) -> Column:
-    return F.year(_col(c))
-
-
-def month_of(c: Column | str) -> Column:
-    return F.month(_col(c))

@@ -27,10 +27,6 @@ def correct(c: Column | str, corrections: Mapping[str, str]) -> Column:
     return out
 
 
-def squash(c: Column | str, doubled: str, single: str) -> Column:
-    return F.regexp_replace(_col(c), re.escape(doubled), single)
-
-
 def title_case(c: Column | str) -> Column:
     """First letter of each space-separated word upper, the rest lower."""
     return F.initcap(_col(c))

@@ -13,17 +13,11 @@ from staffmart.functions.text import is_code
 def keep_in_set(df: DataFrame, column: str, values: Iterable[str]) -> DataFrame:
     """Keep rows whose ``column`` is one of a short, fixed list of values.
 
-    An ``IN`` list reaches the Parquet scan as a pushed filter. For a long or
-    changing list use ``keep_in_table``.
+    An ``IN`` list reaches the Parquet scan as a pushed filter.
     """
     return df.filter(F.col(column).isin(list(values)))
 
 
-def keep_in_table(df: DataFrame, column: str, allowed: DataFrame, allowed_column: str) -> DataFrame:
-    """Keep rows whose ``column`` appears in another table (left semi join)."""
-    return df.join(allowed, df[column] == allowed[allowed_column], "left_semi")
-
-
 def is_fragment(column: str, code_min_len: int = 2) -> Column:
     """True for the tail half of a line broken in two: its first cell is empty
     or an all-capitals code that belongs to a later column."""

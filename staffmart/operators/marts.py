@@ -29,13 +29,29 @@ def narrow_dimension(dim: DataFrame, columns: Sequence[str]) -> DataFrame:
     return dim.select(*columns).distinct()
 
 
+# Partitions that rows without a key are spread over.
+NULL_SPREAD = 1 << 16
+
+
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None,
            how: str = "left") -> DataFrame:
     """Left join a dimension. Same key name: one key column is kept; different
-    names: both are kept. The planner's size checks choose the strategy."""
-    if dim_key is None or dim_key == fact_key:
-        return fact.join(dim, on=fact_key, how=how)
-    return fact.join(dim, fact[fact_key] == dim[dim_key], how=how)
+    names: both are kept. The planner's size checks choose the strategy.
+
+    Rows without a key match nothing, but a shuffle by the key alone would send
+    them all to one task. A second key, 0 for every real key on both sides,
+    gives each of them a number of its own and so spreads them.
+    """
+    own = dim_key or fact_key
+    same = own == fact_key
+    keyed = dim.withColumnRenamed(own, "__key") if same else dim
+    key = F.col("__key" if same else own)
+    spread = F.when(F.col(fact_key).isNull(), 1 + F.pmod(F.xxhash64(*fact.columns), F.lit(NULL_SPREAD)))
+    left = fact.withColumn("__spread", F.coalesce(spread, F.lit(0).cast("long")))
+    right = keyed.withColumn("__at", F.when(key.isNull(), F.lit(-1)).otherwise(F.lit(0)).cast("long"))
+    out = left.join(right, (left[fact_key] == right["__key" if same else own])
+                    & (left["__spread"] == right["__at"]), how)
+    return out.drop("__spread", "__at", "__key")
 
 
 def key_conflicts(dim: DataFrame, key: str) -> DataFrame:
@@ -94,5 +110,6 @@ def mean_years_from_sums(df: DataFrame, by: Sequence[str], days_sum: str, days_c
 
 
 def ranked(df: DataFrame, metric: str) -> DataFrame:
-    """Largest first (NULL last)."""
-    return df.orderBy(F.col(metric).desc_nulls_last())
+    """Largest first (NULL last), equal ones by their group."""
+    rest = [F.col(c).asc_nulls_last() for c in df.columns if c != metric]
+    return df.orderBy(F.col(metric).desc_nulls_last(), *rest)

@@ -1,4 +1,8 @@
-"""Declarative data-quality rules, evaluated in one aggregate pass.
+"""Declarative data-quality rules.
+
+A report alone (``quality_report``) takes one pass for all row rules and one
+for all uniqueness rules. A gate (``label_rows``, ``split_observed``) takes no
+pass for the report: it is counted while both halves are written.
 
 Row rules (not null, between, matches, in set) are all counted by a single
 ``agg`` over the table; the uniqueness rules together add one scan, grouped by
@@ -18,10 +22,12 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staffmart.session import scratch_path
+
 REPORT_COLUMNS = ["rule", "column_name", "evaluated", "unexpected", "success"]
 FAILED_COLUMN = "_failed_rules"
 # Per row: column name -> raw text of the filled cells that their type could not hold.
@@ -84,8 +90,10 @@ def castable(column: str) -> Rule:
     return Rule("castable", column)
 
 
-def cast_noting_losses(df: DataFrame, casts: Mapping[str, Column]) -> DataFrame:
+def cast_noting_losses(df: DataFrame, casts: Mapping[str, Column],
+                       later: Sequence[str] = ()) -> DataFrame:
     """Replace each column by its cast, and keep the raw cells that it lost.
+    Columns named ``later`` are noted but stay raw, for rules on their text.
 
     A cast that fails gives NULL, which every rule but ``not_null`` skips.
     ``UNCAST_COLUMN`` therefore maps, per row, the columns whose raw cell was
@@ -94,7 +102,8 @@ def cast_noting_losses(df: DataFrame, casts: Mapping[str, Column]) -> DataFrame:
     lost = [F.when((F.trim(F.col(c).cast("string")) != "") & cast.isNull(),
                    F.struct(F.lit(c), F.col(c).cast("string"))) for c, cast in casts.items()]
     uncast = F.map_from_entries(F.array_compact(F.array(*lost)))
-    return df.withColumn(UNCAST_COLUMN, uncast).withColumns(dict(casts))
+    return df.withColumn(UNCAST_COLUMN, uncast).withColumns(
+        {c: cast for c, cast in casts.items() if c not in later})
 
 
 def unique(column: str) -> Rule:
@@ -119,6 +128,21 @@ def _report_row(rule: Rule, evaluated: Column, unexpected: Column) -> Column:
                     unexpected.cast("bigint").alias("unexpected"))
 
 
+def _per_key(df: DataFrame, unique_rules: Sequence[Rule]) -> DataFrame:
+    """(i, k0, k1, ..., n): how often each key of each uniqueness rule i occurs.
+
+    One scan for all rules: a row per rule and cell, each rule's keys in a
+    column of their own, so that they keep their type.
+    """
+    names = [f"k{i}" for i in range(len(unique_rules))]
+    cells = [F.struct(F.lit(i).alias("i"), *[
+        (F.col(r.column) if j == i else F.lit(None).cast(df.schema[r.column].dataType)).alias(names[j])
+        for j, r in enumerate(unique_rules)]) for i in range(len(unique_rules))]
+    return (df.select(F.inline(F.array(*cells)))
+            .where(F.greatest(F.lit(False), *[F.col(k).isNotNull() for k in names]))
+            .groupBy("i", *names).agg(F.count(F.lit(1)).alias("n")))
+
+
 def quality_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     parts: list[DataFrame] = []
     row_rules = [r for r in rules if r.is_row_rule]
@@ -133,14 +157,7 @@ def quality_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         parts.append(counts.select(F.inline(rows)))
     unique_rules = [r for r in rules if not r.is_row_rule]
     if unique_rules:
-        # one row per rule and cell; each rule's keys keep their type in a column of their own
-        names = [f"k{i}" for i in range(len(unique_rules))]
-        cells = [F.struct(F.lit(i).alias("i"), *[
-            (F.col(r.column) if j == i else F.lit(None).cast(df.schema[r.column].dataType)).alias(names[j])
-            for j, r in enumerate(unique_rules)]) for i in range(len(unique_rules))]
-        per_key = (df.select(F.inline(F.array(*cells)))
-                   .where(F.greatest(F.lit(False), *[F.col(k).isNotNull() for k in names]))
-                   .groupBy("i", *names).agg(F.count(F.lit(1)).alias("n")))
+        per_key = _per_key(df, unique_rules)
         aggs = []
         for i in range(len(unique_rules)):
             own = F.col("i") == F.lit(i)
@@ -178,27 +195,75 @@ def _flag(i: int) -> str:
     return f"__fail{i}"
 
 
+# A bitmap has 16 bits per duplicate key, in pieces of 4 KB that aggregates fill;
+# 32 MB at most go to every task. Where it is full, more rows take the join.
+PIECE_BITS, MOST_BITS, BITS_PER_KEY = 1 << 15, 1 << 28, 16
+
+
+def _bit_of(key: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(bits))
+
+
+def _bit_is_set(piece: Column, bit: Column) -> Column:
+    at = bit % PIECE_BITS
+    byte = F.conv(F.hex(F.substring(piece, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+
+
+def _mark_duplicates(df: DataFrame, unique_rules: Sequence[Rule], flags: Sequence[str]) -> DataFrame:
+    """Add a flag per uniqueness rule: the row's key occurs more than once.
+
+    One narrow pass writes the duplicate keys of all rules. Bitmaps of their
+    hashes, of bounded size, are sent to all tasks: a row whose bits are unset
+    has no duplicate and is not moved. Only the other rows, the duplicates and
+    a few more, are joined to the keys; adaptive execution splits a hot one.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "duplicate-keys")
+    _per_key(df, unique_rules).where("n > 1").drop("n").write.parquet(path)
+    keys = spark.read.parquet(path)
+    found = {r["i"]: r["n"] for r in keys.groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()}
+    none = F.lit(False)
+    out, suspects = df, none
+    for i, r in enumerate(unique_rules):
+        if i not in found:
+            continue
+        bits = min(MOST_BITS, max(PIECE_BITS, 1 << (BITS_PER_KEY * found[i] - 1).bit_length()))
+        bit = _bit_of(F.col(f"k{i}"), bits)
+        pieces = (keys.where(F.col("i") == i).select(bit.alias("bit"))
+                  .groupBy(F.floor(F.col("bit") / PIECE_BITS).alias(f"__at{i}"))
+                  .agg(F.bitmap_construct_agg(F.col("bit") % PIECE_BITS).alias(f"__piece{i}")))
+        own = _bit_of(F.col(r.column), bits)
+        out = out.join(F.broadcast(pieces), F.floor(own / PIECE_BITS) == F.col(f"__at{i}"), "left")
+        suspect = F.col(r.column).isNotNull() & _bit_is_set(F.col(f"__piece{i}"), own)
+        out = out.withColumn(f"__suspect{i}", suspect).drop(f"__at{i}", f"__piece{i}")
+        suspects = suspects | F.col(f"__suspect{i}")
+    helpers = [f"__suspect{i}" for i in found]
+    if not found:
+        return out.withColumns({f: none for f in flags})
+    alone = out.where(~suspects).drop(*helpers).withColumns({f: none for f in flags})
+    met = out.where(suspects)
+    for i, (r, flag) in enumerate(zip(unique_rules, flags, strict=True)):
+        if i not in found:
+            met = met.withColumn(flag, none)
+            continue
+        twice = keys.where(F.col("i") == i).select(F.col(f"k{i}").alias(r.column), F.lit(True).alias(flag))
+        met = met.join(twice, r.column, "left").withColumn(flag, F.coalesce(F.col(flag), none))
+    return alone.unionByName(met.drop(*helpers))
+
+
 def label_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``df`` plus one failure flag per rule and ``_failed_rules``.
 
-    Row rules are plain projections. Each uniqueness rule adds one
-    ``groupBy(key).count()`` (partial aggregation first) whose duplicate keys
-    are joined back on the key; adaptive skew-join handling splits a hot
-    key's side. Labels list row rules first, then uniqueness rules.
+    Row rules are plain projections. Uniqueness rules run one narrow job (see
+    ``_mark_duplicates``) when this is called, so ``df`` should be cached if it
+    is dear. Labels list row rules first, then uniqueness rules.
     """
-    out = df
-    for i, r in enumerate(rules):
-        if r.is_row_rule:
-            out = out.withColumn(_flag(i), r.fails())
-            continue
-        dups = (df.where(F.col(r.column).isNotNull())
-                .groupBy(r.column).agg(F.count(F.lit(1)).alias("__n"))
-                .where(F.col("__n") > 1)
-                .select(F.col(r.column), F.lit(True).alias(_flag(i))))
-        out = (out.join(dups, on=r.column, how="left")
-               .withColumn(_flag(i), F.coalesce(F.col(_flag(i)), F.lit(False))))
-    order = ([i for i, r in enumerate(rules) if r.is_row_rule]
-             + [i for i, r in enumerate(rules) if not r.is_row_rule])
+    out = df.withColumns({_flag(i): r.fails() for i, r in enumerate(rules) if r.is_row_rule})
+    unique_at = [i for i, r in enumerate(rules) if not r.is_row_rule]
+    if unique_at:
+        out = _mark_duplicates(out, [rules[i] for i in unique_at], [_flag(i) for i in unique_at])
+    order = [i for i, r in enumerate(rules) if r.is_row_rule] + unique_at
     return out.withColumn(FAILED_COLUMN, F.concat_ws(
         ",", *[F.when(F.col(_flag(i)), F.lit(rules[i].label)) for i in order]))
 
@@ -222,6 +287,44 @@ def split_labelled(labelled: DataFrame, rules: Sequence[Rule]) -> tuple[DataFram
             labelled.filter(bad).drop(*flags))
 
 
+@dataclass(frozen=True)
+class Seen:
+    """What both halves of a gate counted while they were written."""
+
+    rules: Sequence[Rule]
+    passing: Observation
+    failing: Observation
+
+    def report(self) -> list[dict]:
+        """The rows of ``quality_report``; waits until both halves are written."""
+        halves = [self.passing.get, self.failing.get]
+        rows = []
+        for i, r in enumerate(self.rules):
+            evaluated, unexpected = (sum(h[f"{k}{i}"] or 0 for h in halves) for k in "eu")
+            rows.append({"rule": r.rule, "column_name": r.column, "evaluated": evaluated,
+                         "unexpected": unexpected, "success": unexpected == 0})
+        return rows
+
+    def quarantined(self) -> int:
+        return self.failing.get["rows"]
+
+
+def split_observed(labelled: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame, Seen]:
+    """``split_labelled`` whose halves count the report's figures as they are written.
+
+    No pass of its own and no read-back: the report is there once an action
+    has run over each half.
+    """
+    flags = [_flag(i) for i in range(len(rules))]
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for i, r in enumerate(rules):
+        aggs += [F.count_if(r.evaluated()).alias(f"e{i}"), F.count_if(F.col(flags[i])).alias(f"u{i}")]
+    seen = Seen(rules, Observation(), Observation())
+    bad = F.col(FAILED_COLUMN) != F.lit("")
+    return (labelled.filter(~bad).observe(seen.passing, *aggs).drop(FAILED_COLUMN, *flags),
+            labelled.filter(bad).observe(seen.failing, *aggs).drop(*flags), seen)
+
+
 def split_quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     """(passing rows, failing rows + ``_failed_rules``)."""
     return split_labelled(label_rows(df, rules), rules)

@@ -24,7 +24,7 @@ from datetime import date
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from staffmart.functions.tokens import secret_from_conf  # noqa: E402
+from staffmart.functions.tokens import key_from_conf  # noqa: E402
 from staffmart.plans import jobs  # noqa: E402
 from staffmart.session import get_session  # noqa: E402
 
@@ -41,6 +41,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
     s.add_argument("--vault")
     s.add_argument("--quarantine")
     s.add_argument("--as-of", default=None, help="reference date, default today")
+    s.add_argument("--stitch", action="store_true", help="customers: join lines that were broken in two")
     s.add_argument("--lenient", action="store_true", help="write passing rows when a rule fails")
     g = sub.add_parser("gold")
     for name in ("postal", "employees", "positions", "out"):
@@ -64,8 +65,8 @@ def main(argv: list[str] | None = None) -> int:
     as_of = args.as_of or date.today().isoformat()
     strict = not args.lenient
     if args.command == "all":
-        secret = secret_from_conf(spark)
-        jobs.run_all(spark, args.input, args.output, as_of, secret, strict,
+        key = key_from_conf(spark)
+        jobs.run_all(spark, args.input, args.output, as_of, key, strict,
                      entities=args.entities.split(","), with_gold=not args.no_gold)
         return 0
     e = args.entity
@@ -74,14 +75,15 @@ def main(argv: list[str] | None = None) -> int:
     elif e == "postal":
         jobs.silver_postal(spark, args.src, args.out, quarantine=args.quarantine)
     elif e == "customers":
-        jobs.silver_customers(spark, args.src, args.out, quarantine=args.quarantine, strict=strict)
+        jobs.silver_customers(spark, args.src, args.out, quarantine=args.quarantine, strict=strict,
+                              stitch=args.stitch)
     elif e == "levels":
         jobs.silver_levels(spark, args.src, args.out, quarantine=args.quarantine)
     elif e == "employees":
-        jobs.silver_employees(spark, args.src, args.out, args.vault, as_of, secret_from_conf(spark),
+        jobs.silver_employees(spark, args.src, args.out, args.vault, as_of, key_from_conf(spark),
                               quarantine=args.quarantine, strict=strict)
     elif e == "pq":
-        jobs.silver_pq(spark, args.src, args.out, args.vault, secret_from_conf(spark),
+        jobs.silver_pq(spark, args.src, args.out, args.vault, key_from_conf(spark),
                        quarantine=args.quarantine)
     return 0
 

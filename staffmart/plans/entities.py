@@ -83,7 +83,6 @@ EMPLOYEES_RENAME = {
     "ID de Pessoal": "personnel_id",
     "ID da area": "department_id",
 }
-EMPLOYEE_DATE_COLUMNS = ["Data de Nascimento", "Data de Contratacao", "Data de Demissao"]
 
 # Levels file, '%'.
 LEVELS_SEP = "%"
@@ -109,8 +108,8 @@ VAULT_COLUMNS = ["id_card_number_rg", "cpf", "full_name", "cpf_encrypted", "rg_e
                  "login"]
 CLEAR_COLUMNS = ["id_card_number_rg", "cpf", "full_name", "login"]
 
-# Silver typed columns (after renaming).
-EMPLOYEE_TYPES = {"base_salary": "decimal(18,2)", "taxes": "decimal(18,2)"}
+# Money columns of employees: decimal(18,2), exactly.
+EMPLOYEE_DECIMALS = ["base_salary", "taxes"]
 
 # Limits of the employee rules.
 TAXES_PATTERN = r"^\d+\.?\d*$"

@@ -2,7 +2,7 @@
 
 Each job is a plain function (also runnable with ``spark-submit``, see
 ``staffmart.plans.cli``) taking paths, the reference date ``as_of`` and, for
-personal data, the token secret. Silver jobs are independent of each other;
+personal data, the token key. Silver jobs are independent of each other;
 the gold job needs postal, employees and positions.
 """
 
@@ -15,12 +15,12 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staffmart.functions.bands import generation
-from staffmart.functions.casting import is_digits, try_decimal, try_int
+from staffmart.functions.casting import exact_decimal, is_digits, try_int
 from staffmart.functions.temporal import (
     age_in_full_years,
     excel_serial_to_date,
@@ -28,19 +28,24 @@ from staffmart.functions.temporal import (
     tenure_days,
 )
 from staffmart.functions.text import correct, is_code, strip_leading, title_case
+from staffmart.functions.tokens import TokenKey
 from staffmart.operators import filters, marts, privacy, quality, repair, shape
 from staffmart.plans import entities as E
 from staffmart.sources import (
     WIDE_LINE,
     is_wide,
     path_exists,
+    publishing,
     read_delimited,
     read_header_split,
+    read_stitched,
     read_table,
     run_timestamp,
     write_by_month,
     write_table,
 )
+from staffmart.sources.publish import Stage
+
 
 @dataclass
 class JobResult:
@@ -49,15 +54,16 @@ class JobResult:
     quarantined: int = 0
 
 
-def _write_quarantine(df: DataFrame, path: str | None, out: str, run_ts: str) -> int:
-    """Write rejected rows, beside the silver table unless told where; returns their number.
+def _write_quarantine(df: DataFrame, path: str | None, out: str, run_ts: str, stage: Stage) -> Observation:
+    """Write rejected rows, beside the silver table unless told where; counts them on the way.
 
     Rejected rows are never thrown away: without a path they go to
-    ``<out>_quarantine``.
+    ``<out>_quarantine``. They appear even if the job's gate stops it.
     """
+    seen = Observation()
     path = path or f"{out.rstrip('/')}_quarantine"
-    write_table(df, path, run_ts)
-    return df.sparkSession.read.parquet(path).count()
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), stage(path, always=True), run_ts)
+    return seen
 
 
 # ----------------------------------------------------------------- positions
@@ -91,11 +97,12 @@ def silver_positions(spark: SparkSession, src: str, out: str, run_ts: str | None
         ok = (F.col(repair.STATUS_COLUMN) != F.lit(repair.UNREPAIRED)) & ~is_wide()
         silver = shape.rename(shaped.filter(ok), E.POSITIONS_RENAME).drop(repair.STATUS_COLUMN,
                                                                           WIDE_LINE)
-        write_table(silver, out, run_ts)
-        n_bad = _write_quarantine(shaped.filter(~ok), quarantine, out, run_ts)
+        with publishing(spark) as stage:
+            bad = _write_quarantine(shaped.filter(~ok), quarantine, out, run_ts, stage)
+            write_table(silver, stage(out), run_ts)
     finally:
         shaped.unpersist()
-    return JobResult(read_table(spark, out), quarantined=n_bad)
+    return JobResult(read_table(spark, out), quarantined=bad.get["rows"])
 
 
 # -------------------------------------------------------------------- postal
@@ -107,11 +114,12 @@ def silver_postal(spark: SparkSession, src: str, out: str, run_ts: str | None =
                             header_in_each_file=header_in_each_file)
     rows = shape.rename(raw, E.POSTAL_RENAME).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        write_table(rows.filter(~is_wide()).drop(WIDE_LINE), out, run_ts)
-        n_bad = _write_quarantine(rows.filter(is_wide()), quarantine, out, run_ts)
+        with publishing(spark) as stage:
+            bad = _write_quarantine(rows.filter(is_wide()), quarantine, out, run_ts, stage)
+            write_table(rows.filter(~is_wide()).drop(WIDE_LINE), stage(out), run_ts)
     finally:
         rows.unpersist()
-    return JobResult(read_table(spark, out), quarantined=n_bad)
+    return JobResult(read_table(spark, out), quarantined=bad.get["rows"])
 
 
 # ----------------------------------------------------------------- customers
@@ -127,6 +135,8 @@ CUSTOMER_VALIDATORS = {
 }
 
 CUSTOMER_RULES = [
+    *[quality.castable(c) for c in ("annual_contract_value", "number_of_services", "cep",
+                                    "contract_start_date", "importance_level")],
     quality.not_null("customer"),
     quality.not_null("annual_contract_value"),
     quality.not_null("number_of_services"),
@@ -135,20 +145,22 @@ CUSTOMER_RULES = [
     quality.not_null("importance_level"),
     quality.in_set("importance_level", E.IMPORTANCE_LEVELS),
 ]
+RAW_COLUMN = "_raw"
 
 
 def type_customers(df: DataFrame) -> DataFrame:
-    cep = F.col("CEP")
-    return df.select(
-        title_case("Cliente").alias("customer"),
-        try_decimal(F.replace(F.col("Valor Contrato Anual"), F.lit(","), F.lit(".")))
-        .alias("annual_contract_value"),
-        try_int("Quantidade de Serviços").alias("number_of_services"),
-        F.col("Cargo Responsável").alias("responsible_position"),
-        F.when(is_digits(cep, 5), cep).alias("cep"),
-        parse_day_first("Data Início Contrato").alias("contract_start_date"),
-        try_int("Nivel de Importancia").alias("importance_level"),
-    )
+    """Silver columns, the raw cells, and what a cast lost of them."""
+    raw = df.select(F.struct(*E.CUSTOMERS_COLUMNS).alias(RAW_COLUMN), *[
+        F.col(src).alias(dst) for src, dst in E.CUSTOMERS_RENAME.items()])
+    value = F.replace(F.col("annual_contract_value"), F.lit(","), F.lit("."))
+    typed = quality.cast_noting_losses(raw, {
+        "annual_contract_value": exact_decimal(value),
+        "number_of_services": try_int("number_of_services"),
+        "cep": F.when(is_digits("cep", 5), F.col("cep")),
+        "contract_start_date": parse_day_first("contract_start_date"),
+        "importance_level": try_int("importance_level"),
+    })
+    return typed.withColumn("customer", title_case("customer"))
 
 
 def realign_customers(raw: DataFrame) -> DataFrame:
@@ -157,6 +169,17 @@ def realign_customers(raw: DataFrame) -> DataFrame:
                           CUSTOMER_VALIDATORS)
 
 
+def is_customer_tail() -> Column:
+    """The second half of a broken line: it begins with the position's code."""
+    return F.col("Cliente").isNotNull() & filters.is_fragment("Cliente")
+
+
+def is_customer_head() -> Column:
+    """The first half: a customer whose cells end before the position."""
+    rest = E.CUSTOMERS_COLUMNS[E.CUSTOMERS_COLUMNS.index("Cargo Responsável"):]
+    return ~filters.is_fragment("Cliente") & F.coalesce(*rest).isNull()
+
+
 def split_customers(fixed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(typed customer rows, rejected raw rows as JSON with a reason).
 
@@ -174,44 +197,45 @@ def split_customers(fixed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return type_customers(fixed.filter(usable)), rejected
 
 
-def quarantine_customers(typed: DataFrame, rejected: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows passing every customer rule, all rejected rows as JSON + reason)."""
-    passing, failing = quality.split_quarantine(typed, CUSTOMER_RULES)
-    return passing, rejected.unionByName(_failed_as_json(failing, typed.columns))
-
-
-def _failed_as_json(failing: DataFrame, columns: list[str]) -> DataFrame:
-    return failing.select(F.to_json(F.struct(*columns)).alias("row"), F.col(quality.FAILED_COLUMN))
+def quarantine_customers(typed: DataFrame, rejected: DataFrame) -> tuple[DataFrame, DataFrame, quality.Seen]:
+    """(rows passing every customer rule, all rejected raw rows as JSON + reason, their counts)."""
+    labelled = quality.label_rows(typed, CUSTOMER_RULES)
+    passing, failing, seen = quality.split_observed(labelled, CUSTOMER_RULES)
+    failing = failing.select(F.to_json(RAW_COLUMN).alias("row"), quality.FAILED_COLUMN)
+    return passing.drop(RAW_COLUMN, quality.UNCAST_COLUMN), rejected.unionByName(failing), seen
 
 
 def silver_customers(spark: SparkSession, src: str, out: str, run_ts: str | None = None,
-                     quarantine: str | None = None, strict: bool = True) -> JobResult:
+                     quarantine: str | None = None, strict: bool = True, stitch: bool = False) -> JobResult:
     """Realign, drop the halves of broken lines, type, gate, write by month.
 
     Rows that are not customers and rows failing a row rule go to
-    ``quarantine``. With ``strict`` the job raises after writing the
-    quarantine when any rule failed, like a stop-the-line gate; otherwise it
-    writes the passing rows.
+    ``quarantine``, with their raw cells. With ``strict`` the job raises when
+    any rule failed, like a stop-the-line gate: the quarantine appears and the
+    old silver table stays; otherwise the passing rows are published.
+    ``stitch`` puts lines that were broken in two together again.
     """
     run_ts = run_ts or run_timestamp()
-    raw = read_delimited(spark, src, E.CUSTOMERS_SEP, E.CUSTOMERS_COLUMNS,
-                         overflow=E.CUSTOMERS_OVERFLOW, wide_lines=True)
-    # One cache after the realignment feeds the report, the quarantine and
-    # the write: the raw file is parsed and realigned once.
+    if stitch:
+        raw = read_stitched(spark, src, E.CUSTOMERS_SEP, E.CUSTOMERS_COLUMNS, is_customer_head(),
+                            is_customer_tail(), E.CUSTOMERS_OVERFLOW)
+    else:
+        raw = read_delimited(spark, src, E.CUSTOMERS_SEP, E.CUSTOMERS_COLUMNS,
+                             overflow=E.CUSTOMERS_OVERFLOW, wide_lines=True)
+    # One cache after the realignment feeds the quarantine and the write: the
+    # raw file is parsed and realigned once.
     fixed = realign_customers(raw).persist(StorageLevel.MEMORY_AND_DISK)
-    typed, rejected = split_customers(fixed)
+    passing, rejected, seen = quarantine_customers(*split_customers(fixed))
     try:
-        labelled = quality.label_rows(typed, CUSTOMER_RULES)
-        rows = quality.collect_report(quality.report_from_labels(labelled, CUSTOMER_RULES))
-        passing, failing = quality.split_labelled(labelled, CUSTOMER_RULES)
-        all_rejected = rejected.unionByName(_failed_as_json(failing, typed.columns))
-        n_bad = _write_quarantine(all_rejected, quarantine, out, run_ts)
-        if strict:
-            quality.assert_quality(rows)
-        write_by_month(passing, "contract_start_date", out, run_ts)
+        with publishing(spark) as stage:
+            bad = _write_quarantine(rejected, quarantine, out, run_ts, stage)
+            write_by_month(passing, "contract_start_date", stage(out), run_ts)
+            rows = seen.report()
+            if strict:
+                quality.assert_quality(rows)
     finally:
         fixed.unpersist()
-    return JobResult(read_table(spark, out), rows, n_bad)
+    return JobResult(read_table(spark, out), rows, bad.get["rows"])
 
 
 # ---------------------------------------------------------- employees and PQ
@@ -222,7 +246,7 @@ DATE_TYPES = {c: T.DateType() for c in ("birth_date", "hire_date", "termination_
 def employee_rules(as_of: date | str) -> list[quality.Rule]:
     return [
         quality.is_null(WIDE_LINE),
-        *[quality.castable(c) for c in (*DATE_TYPES, "base_salary")],
+        *[quality.castable(c) for c in (*DATE_TYPES, *E.EMPLOYEE_DECIMALS)],
         quality.not_null("id_card_number_rg"),
         quality.not_null("cpf"),
         quality.unique("cpf"),
@@ -248,8 +272,8 @@ def shape_employees(raw: DataFrame, as_of: date | str) -> DataFrame:
             WIDE_LINE, F.when(filled, F.to_json(F.struct(*unnamed))))).drop(*unnamed)
     df = shape.rename(df, E.EMPLOYEES_RENAME)
     casts = {c: excel_serial_to_date(c) for c in DATE_TYPES}
-    casts["base_salary"] = F.col("base_salary").try_cast(E.EMPLOYEE_TYPES["base_salary"])
-    df = quality.cast_noting_losses(df, casts)
+    casts |= {c: exact_decimal(c) for c in E.EMPLOYEE_DECIMALS}
+    df = quality.cast_noting_losses(df, casts, later=["taxes"])
     df = df.withColumns({
         "time_on_job": tenure_days("hire_date", "termination_date", as_of),
         "person_age": age_in_full_years("birth_date", as_of),
@@ -258,50 +282,54 @@ def shape_employees(raw: DataFrame, as_of: date | str) -> DataFrame:
     return df
 
 
-def _protect(df: DataFrame, secret: str, vault_out: str, run_ts: str) -> DataFrame:
+def _protect(df: DataFrame, key: TokenKey | str, vault_out: str, run_ts: str, stage: Stage) -> DataFrame:
     """Tokens, vault write, public table without clear identifiers."""
-    tokenised = privacy.pseudonymize(df, E.TOKENS, secret)
+    tokenised = privacy.pseudonymize(df, E.TOKENS, key)
     vault, public = privacy.split_vault(tokenised, E.VAULT_COLUMNS, E.CLEAR_COLUMNS)
-    write_table(vault, vault_out, run_ts)
+    write_table(vault, stage(vault_out), run_ts)
     return public
 
 
-def _quarantine_people(failing: DataFrame, secret: str, path: str | None, out: str,
-                       vault_out: str, run_ts: str) -> int:
+def _quarantine_people(failing: DataFrame, key: TokenKey | str, path: str | None, out: str,
+                       vault_out: str, run_ts: str, stage: Stage) -> Observation:
     """Rejected people, without clear identifiers, to the quarantine; the clear
     values, and whole lines that had too many cells, to ``<vault>_rejected``."""
-    bad = privacy.pseudonymize(failing, E.TOKENS, secret)
-    write_table(bad.select(*E.VAULT_COLUMNS, WIDE_LINE), f"{vault_out.rstrip('/')}_rejected", run_ts)
-    return _write_quarantine(bad.drop(*E.CLEAR_COLUMNS, WIDE_LINE), path, out, run_ts)
+    bad = privacy.pseudonymize(failing, E.TOKENS, key)
+    write_table(bad.select(*E.VAULT_COLUMNS, WIDE_LINE),
+                stage(f"{vault_out.rstrip('/')}_rejected", always=True), run_ts)
+    return _write_quarantine(bad.drop(*E.CLEAR_COLUMNS, WIDE_LINE), path, out, run_ts, stage)
 
 
 def silver_employees(spark: SparkSession, src: str, out: str, vault_out: str,
-                     as_of: date | str, secret: str, run_ts: str | None = None,
+                     as_of: date | str, key: TokenKey | str, run_ts: str | None = None,
                      quarantine: str | None = None, strict: bool = True) -> JobResult:
+    """Shape, gate, replace identifiers by tokens, write by hire month.
+
+    With ``strict`` a failed rule stops the job: the quarantine and the
+    rejected people's vault appear, the old silver table and vault stay.
+    """
     run_ts = run_ts or run_timestamp()
     raw = read_delimited(spark, src, E.EMPLOYEES_SEP, wide_lines=True)
+    # The one cache: labels are added to it without moving rows, and all writes read it.
     staged = shape_employees(raw, as_of).persist(StorageLevel.MEMORY_AND_DISK)
     rules = employee_rules(as_of)
-    # One labelled frame (one shuffle per uniqueness rule) feeds the report,
-    # the quarantine and the silver write.
-    labelled = quality.label_rows(staged, rules).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = quality.collect_report(quality.report_from_labels(labelled, rules))
-        staged.unpersist()
-        passing, failing = quality.split_labelled(labelled, rules)
-        n_bad = _quarantine_people(failing, secret, quarantine, out, vault_out, run_ts)
-        if strict:
-            quality.assert_quality(rows)
-        typed = shape.to_typed(passing.drop(quality.UNCAST_COLUMN, WIDE_LINE), {"taxes": E.EMPLOYEE_TYPES["taxes"]})
-        public = _protect(typed, secret, vault_out, run_ts)
-        write_by_month(public, "hire_date", out, run_ts)
+        passing, failing, seen = quality.split_observed(quality.label_rows(staged, rules), rules)
+        with publishing(spark) as stage:
+            bad = _quarantine_people(failing, key, quarantine, out, vault_out, run_ts, stage)
+            # the gate let no text pass that the type can't hold
+            typed = passing.drop(quality.UNCAST_COLUMN, WIDE_LINE).withColumn("taxes", exact_decimal("taxes"))
+            public = _protect(typed, key, vault_out, run_ts, stage)
+            write_by_month(public, "hire_date", stage(out), run_ts)
+            rows = seen.report()
+            if strict:
+                quality.assert_quality(rows)
     finally:
-        labelled.unpersist()
         staged.unpersist()
-    return JobResult(read_table(spark, out), rows, n_bad)
+    return JobResult(read_table(spark, out), rows, bad.get["rows"])
 
 
-def silver_pq(spark: SparkSession, src: str, out: str, vault_out: str, secret: str,
+def silver_pq(spark: SparkSession, src: str, out: str, vault_out: str, key: TokenKey | str,
               run_ts: str | None = None, quarantine: str | None = None) -> JobResult:
     """Select, rename, convert the dates, split the vault, write by month.
 
@@ -317,12 +345,13 @@ def silver_pq(spark: SparkSession, src: str, out: str, vault_out: str, secret: s
     try:
         rules = [quality.is_null(WIDE_LINE), *[quality.castable(c) for c in DATE_TYPES]]
         passing, failing = quality.split_quarantine(df, rules)
-        n_bad = _quarantine_people(failing, secret, quarantine, out, vault_out, run_ts)
-        public = _protect(passing.drop(quality.UNCAST_COLUMN, WIDE_LINE), secret, vault_out, run_ts)
-        write_by_month(public, "hire_date", out, run_ts)
+        with publishing(spark) as stage:
+            bad = _quarantine_people(failing, key, quarantine, out, vault_out, run_ts, stage)
+            public = _protect(passing.drop(quality.UNCAST_COLUMN, WIDE_LINE), key, vault_out, run_ts, stage)
+            write_by_month(public, "hire_date", stage(out), run_ts)
     finally:
         df.unpersist()
-    return JobResult(read_table(spark, out), quarantined=n_bad)
+    return JobResult(read_table(spark, out), quarantined=bad.get["rows"])
 
 
 # -------------------------------------------------------------------- levels
@@ -335,11 +364,16 @@ def silver_levels(spark: SparkSession, src: str, out: str, run_ts: str | None =
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         valid = filters.keep_in_set(rows.filter(~is_wide()), "level_description", E.LEVELS)
-        write_table(valid.drop(WIDE_LINE), out, run_ts)
-        n_bad = _write_quarantine(rows.filter(is_wide()), quarantine, out, run_ts)
+        listed = F.coalesce(F.col("level_description").isin(E.LEVELS), F.lit(False))
+        rejected = rows.filter(is_wide() | ~listed).withColumn(
+            quality.FAILED_COLUMN, F.when(is_wide(), F.lit("too many cells")).otherwise(
+                F.lit("in_set(level_description)")))
+        with publishing(spark) as stage:
+            bad = _write_quarantine(rejected, quarantine, out, run_ts, stage)
+            write_table(valid.drop(WIDE_LINE), stage(out), run_ts)
     finally:
         rows.unpersist()
-    return JobResult(read_table(spark, out), quarantined=n_bad)
+    return JobResult(read_table(spark, out), quarantined=bad.get["rows"])
 
 
 # ---------------------------------------------------------------------- gold
@@ -406,15 +440,20 @@ def gold(spark: SparkSession, postal_path: str, employees_path: str, positions_p
         "level_description", "area", "generation", DAYS, SPELLS).persist(
             StorageLevel.MEMORY_AND_DISK)
     try:
-        outputs = {}
-        for name in MART_SPECS:
-            path = os.path.join(out_root, name)
-            mart = build_mart(people, spells, name, approx_rsd=approx_rsd)
-            outputs[name] = read_table(spark, path, schema=write_table(mart, path, run_ts))
+        with publishing(spark) as stage:
+            def write(name: str) -> T.StructType:
+                mart = build_mart(people, spells, name, approx_rsd=approx_rsd)
+                return write_table(mart, staged[name], run_ts)
+
+            paths = {name: os.path.join(out_root, name) for name in MART_SPECS}
+            staged = {name: stage(path) for name, path in paths.items()}
+            # small results of two cached frames: written side by side
+            with ThreadPoolExecutor(len(MART_SPECS)) as pool:
+                schemas = dict(zip(MART_SPECS, pool.map(write, MART_SPECS), strict=True))
     finally:
         people.unpersist()
         spells.unpersist()
-    return outputs
+    return {name: read_table(spark, paths[name], schema=schemas[name]) for name in MART_SPECS}
 
 
 # ------------------------------------------------------------------ full run
@@ -426,7 +465,7 @@ INPUT_FILES = {"positions": "positions.csv", "postal": "postal.csv",
 
 
 def run_all(spark: SparkSession, input_dir: str, output_dir: str, as_of: date | str,
-            secret: str, strict: bool = True, run_ts: str | None = None,
+            key: TokenKey | str, strict: bool = True, run_ts: str | None = None,
             entities: Sequence[str] = tuple(INPUT_FILES), with_gold: bool = True) -> dict[str, object]:
     """The silver job of each named entity, then the gold job.
 
@@ -461,10 +500,10 @@ def run_all(spark: SparkSession, input_dir: str, output_dir: str, as_of: date |
         if entity == "customers":
             return silver_customers(spark, src, to, run_ts, bad, strict)
         if entity == "employees":
-            return silver_employees(spark, src, to, vault, as_of, secret, run_ts, bad, strict)
+            return silver_employees(spark, src, to, vault, as_of, key, run_ts, bad, strict)
         if entity == "levels":
             return silver_levels(spark, src, to, run_ts, bad)
-        return silver_pq(spark, src, to, vault, secret, run_ts, bad)
+        return silver_pq(spark, src, to, vault, key, run_ts, bad)
 
     with ThreadPoolExecutor(len(INPUT_FILES)) as pool:
         done: dict[str, object] = dict(zip(paths, pool.map(silver, paths), strict=True))

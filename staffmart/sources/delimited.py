@@ -96,17 +96,21 @@ def is_header(names: Sequence[str], sep: str) -> Column:
     return _header_text(F.col(LINE), sep) == F.lit(sep.join(names).rstrip(sep))
 
 
-def parse_lines(lines: DataFrame, sep: str, names: Sequence[str], header: Sequence[str],
-                wide_lines: bool = False) -> DataFrame:
-    """Whole lines to string cells, as ``read_delimited`` reads them; header and blank lines are dropped.
+def data_lines(lines: DataFrame, sep: str, header: Sequence[str]) -> DataFrame:
+    """Without blank lines and header lines."""
+    return lines.filter((F.trim(LINE) != "") & ~is_header(header, sep))
 
-    For streams, whose batches check their headers before their rows are cut.
+
+def parse_lines(lines: DataFrame, sep: str, names: Sequence[str], wide_lines: bool = False) -> DataFrame:
+    """Whole lines to string cells, as ``read_delimited`` reads them; other columns stay.
+
+    For rows whose lines are looked at before they are cut (streams, broken lines).
     """
     ddl = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
-    kept = lines.filter((F.trim(LINE) != "") & ~is_header(header, sep))
-    cells = kept.select(LINE, F.from_csv(F.col(LINE), ddl, {"sep": sep, "mode": "PERMISSIVE"}).alias("_cells"))
+    rest = [c for c in lines.columns if c != LINE]
+    cells = lines.select("*", F.from_csv(F.col(LINE), ddl, {"sep": sep, "mode": "PERMISSIVE"}).alias("_cells"))
     wide = [wide_line(F.col(LINE), sep, len(names)).alias(WIDE_LINE)] if wide_lines else []
-    return cells.select("_cells.*", *wide)
+    return cells.select("_cells.*", *wide, *rest)
 
 
 def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";",
@@ -156,9 +160,7 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";
     else:
         cells = list(columns)
     expected = column_names(cells)
-    others = files_by_header(spark, path, cells, is_header(cells, sep), lambda line: header_cells(line, sep))
-    # quoted headers are the same by their cells
-    odd = {other: files for other, files in others.items() if list(other) != cells}
+    odd = _odd_headers(spark, path, cells, sep)
     for other, files in odd.items():
         if columns is not None or set(column_names(other)) != set(expected):
             raise HeaderError(f"{files[0]}: header {list(other)}, expected {cells}")
@@ -172,5 +174,18 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";
     return reduce(DataFrame.unionByName, parts)
 
 
+def _odd_headers(spark: SparkSession, path: str | Sequence[str], cells: Sequence[str],
+                 sep: str) -> dict[tuple[str, ...], list[str]]:
+    """Headers that order ``cells`` differently, with their files; quoted ones are the same by their cells."""
+    others = files_by_header(spark, path, cells, is_header(cells, sep), lambda line: header_cells(line, sep))
+    return {other: files for other, files in others.items() if list(other) != list(cells)}
+
+
+def require_header(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], sep: str) -> None:
+    """Raise ``HeaderError`` unless every file's header names just these columns in this order."""
+    for other, files in _odd_headers(spark, path, columns, sep).items():
+        raise HeaderError(f"{files[0]}: header {list(other)}, expected {list(columns)}")
+
+
 def is_wide() -> Column:
     return F.col(WIDE_LINE).isNotNull()

@@ -1,4 +1,4 @@
-"""Parquet sinks: stamped full-overwrite tables and month-partitioned tables.
+"""Parquet sinks: stamped full-overwrite tables, month-partitioned tables, merges by key.
 
 Every write of one run carries the same ``created_at`` literal (UTC wall
 clock, fixed on the driver once), so a table's rows never disagree about when
@@ -7,13 +7,20 @@ they were ingested.
 
 from __future__ import annotations
 
+import os
+from collections.abc import Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from staffmart.sources.publish import path_exists, publishing, recover, remove, swap
+
 STAMP_COLUMN = "created_at"
+# Fixed: the folder name of a partition without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 # Bounds the size of any one output file, whatever the skew of a partition.
 MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -72,10 +79,60 @@ def write_by_month(df: DataFrame, date_col: str, path: str, run_ts: str | None =
         .parquet(path))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path is there, by the file system that it names."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+def merge_partitions(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str],
+                     partition_by: Sequence[str], remove_keys: bool = False) -> int:
+    """Upsert ``new`` into a partitioned table and rewrite only the partitions concerned.
+
+    Old rows whose ``keys`` occur in ``new`` give way, in whichever partition
+    they lie; with ``remove_keys`` they go and nothing takes their place. ``new``
+    must hold a key once. Concerned are the partitions of the new rows and of
+    the old rows that give way; the driver gets their values, one row per
+    partition. Merged partitions are written aside and swapped in one by one,
+    all others keep their files. Returns the number of partitions rewritten.
+    """
+    recover(spark, path)
+    columns = list(partition_by)
+    if not path_exists(spark, path):
+        if remove_keys:
+            return 0
+        with publishing(spark) as stage:
+            _write_partitioned(new, columns, stage(path))
+        return -1
+    old = spark.read.parquet(path)
+    own = new.select(*keys).distinct()
+    touched = old.join(own, list(keys), "left_semi").select(*columns)
+    if not remove_keys:
+        touched = touched.unionByName(new.select(*[F.col(c).cast(old.schema[c].dataType) for c in columns]))
+    parts = touched.distinct().collect()
+    if not parts:
+        return 0
+    same = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(r[c])) for c in columns]) for r in parts]
+    merged = old.filter(reduce(lambda a, b: a | b, same)).join(own, list(keys), "left_anti")
+    if not remove_keys:
+        merged = merged.unionByName(new, allowMissingColumns=True)
+    with publishing(spark) as stage:
+        aside = stage(os.path.join(path, "merge"))  # a hidden folder inside the table
+        _write_partitioned(merged, columns, aside)
+        for r in parts:
+            folder = os.path.join(*[f"{c}={NO_VALUE if r[c] is None else r[c]}" for c in columns])
+            if path_exists(spark, os.path.join(aside, folder)):
+                swap(spark, os.path.join(aside, folder), os.path.join(path, folder))
+            else:
+                remove(spark, os.path.join(path, folder))
+        remove(spark, aside)
+    return len(parts)
+
+
+def _write_partitioned(df: DataFrame, columns: Sequence[str], path: str) -> None:
+    (df.hint("rebalance", *columns).write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .partitionBy(*columns).parquet(path))
+
+
+def merge_by_month(df: DataFrame, date_col: str, path: str, keys: Sequence[str],
+                   run_ts: str | None = None) -> int:
+    """``write_by_month`` of a drop into a kept table: only the months that it concerns change."""
+    dated = stamp(with_month_columns(df, date_col), run_ts)
+    return merge_partitions(df.sparkSession, path, dated, keys, month_columns(date_col))
 
 
 def read_table(spark: SparkSession, path: str, drop_stamp: bool = False,

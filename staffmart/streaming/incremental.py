@@ -33,9 +33,16 @@ from staffmart.plans.jobs import (
     shape_positions,
     split_customers,
 )
-from staffmart.sources.delimited import WIDE_LINE, is_header, is_wide, overflow_names, parse_lines
+from staffmart.sources.delimited import (
+    WIDE_LINE,
+    data_lines,
+    is_header,
+    is_wide,
+    overflow_names,
+    parse_lines,
+)
 from staffmart.sources.header_split import split_lines, squashed_header
-from staffmart.sources.headers import HeaderError, check_headers, with_origin
+from staffmart.sources.headers import LINE, HeaderError, check_headers, with_origin
 from staffmart.sources.sinks import stamp, with_month_columns
 
 STREAM_COLUMN, BATCH_COLUMN = "stream_id", "batch_id"
@@ -63,7 +70,7 @@ def _require_headers(batch: DataFrame, names: Sequence[str], same: Column) -> No
 def _cells(batch: DataFrame, sep: str, columns: Sequence[str], overflow: int) -> DataFrame:
     _require_headers(batch, columns, is_header(columns, sep))
     names = [*columns, *overflow_names(len(columns), overflow)]
-    return parse_lines(batch, sep, names, columns, wide_lines=True)
+    return parse_lines(data_lines(batch, sep, columns).select(LINE), sep, names, wide_lines=True)
 
 
 def _append_batch(df: DataFrame, path: str, batch_id: int, partition_cols: list[str]) -> None:
@@ -92,7 +99,7 @@ def customers_batch(out: str, quarantine: str):
             batch, E.CUSTOMERS_SEP, E.CUSTOMERS_COLUMNS, E.CUSTOMERS_OVERFLOW)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             typed, rejected = split_customers(fixed)
-            passing, all_rejected = quarantine_customers(typed, rejected)
+            passing, all_rejected, _ = quarantine_customers(typed, rejected)
             _append_batch(stamp(all_rejected), quarantine, batch_id, [])
             dated = with_month_columns(stamp(passing), "contract_start_date")
             _append_batch(dated, out, batch_id,

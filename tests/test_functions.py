@@ -9,10 +9,10 @@ from staffmart.functions import (
     GENERATION_BANDS,
     age_in_full_years,
     correct,
+    exact_decimal,
     excel_serial_to_date,
     generation,
     is_code,
-    is_int_like,
     parse_day_first,
     strip_leading,
     tenure_days,
@@ -67,9 +67,18 @@ def test_text_cleanup(spark):
 def test_title_case_and_code_tests(spark):
     df = spark.createDataFrame([("MARIA dantas ", "FIIV", "12"), ("do monteiro", "Ab", "1.5")],
                                "n string, c string, i string")
-    got = df.select(title_case("n"), is_code("c"), is_int_like("i")).collect()
-    assert [tuple(r) for r in got] == [("Maria Dantas ", True, True),
-                                       ("Do Monteiro", False, False)]
+    got = df.select(title_case("n"), is_code("c")).collect()
+    assert [tuple(r) for r in got] == [("Maria Dantas ", True), ("Do Monteiro", False)]
+
+
+def test_exact_decimals_lose_no_digit(spark):
+    values = {"10.99": "10.99", "10.990": "10.99", "12.": "12.00", " -1 ": "-1.00", "0": "0.00", ".5": "0.50",
+              "10.999": None, "99999999999999999999": None, "1.2E8": None, "1,5": None, "abc": None, ".": None,
+              "": None, "1.0000000000000000000000000001": None, None: None, "9999999999999999.99": "9999999999999999.99"}
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = {r["v"]: None if r["d"] is None else str(r["d"])
+           for r in df.select("v", exact_decimal("v").alias("d")).collect()}
+    assert got == values
 
 
 def test_bands_stay_in_the_jvm(spark, capsys):

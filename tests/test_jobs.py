@@ -11,7 +11,7 @@ from conftest import write_lines
 from staffmart.operators import quality
 from staffmart.plans import entities as E
 from staffmart.plans import jobs
-from staffmart.sources import read_table
+from staffmart.sources import merge_by_month, publishing, read_table
 
 AS_OF = "2024-01-01"
 SECRET = "test-secret"
@@ -306,8 +306,11 @@ def test_rows_with_too_many_cells_are_quarantined(spark, tmp_path):
 
     src = write_lines(tmp_path, "levels.csv", [
         "Nível%Descrição Nível%Tempo no Nível", "A%Gerente%3", "B%Gerente%4%lost", "C%Chefe%1"])
-    res = jobs.silver_levels(spark, src, str(tmp_path / "l"))
-    assert (res.silver.count(), res.quarantined) == (1, 1)
+    q = str(tmp_path / "ql")
+    res = jobs.silver_levels(spark, src, str(tmp_path / "l"), quarantine=q)
+    assert (res.silver.count(), res.quarantined) == (1, 2)
+    assert {r["level"]: r["_failed_rules"] for r in spark.read.parquet(q).collect()} == {
+        "B": "too many cells", "C": "in_set(level_description)"}
 
 
 def test_wide_and_rejected_people_keep_their_clear_values_in_the_vault(spark, tmp_path):
@@ -329,3 +332,103 @@ def test_wide_and_rejected_people_keep_their_clear_values_in_the_vault(spark, tm
     assert spark.read.parquet(vault).count() == 3
     with pytest.raises(quality.QualityError, match="_wide_line"):
         jobs.silver_employees(spark, src, out, vault, AS_OF, SECRET, quarantine=q)
+
+
+def test_cells_that_a_type_cannot_hold_are_rejected_with_their_text(spark, tmp_path):
+    bad = ["Souza A;10.999;12;FIIV;882467283;08/04/2019;1;;;;;",
+           "Souza B;99999999999999999999;12;FIIV;882467283;08/04/2019;1;;;;;",
+           "Souza C;1;five;FIIV;882467283;08/04/2019;1;;;;;",
+           "Souza D;1;12;FIIV;882467283;2019-03-15;1;;;;;", "Souza E;1;12;FIIV;AB-99;08/04/2019;1;;;;;"]
+    src = write_lines(tmp_path, "customers.csv", CUSTOMERS + bad)
+    q = str(tmp_path / "q")
+    res = jobs.silver_customers(spark, src, str(tmp_path / "out"), quarantine=q, strict=False)
+    assert res.silver.count() == 5 and res.quarantined == 2 + len(bad)
+    kept = {r["_failed_rules"]: r["row"] for r in spark.read.parquet(q).collect()}
+    for label, text in [("castable(number_of_services),not_null(number_of_services)", '"five"'),
+                        ("castable(contract_start_date),not_null(contract_start_date)", '"2019-03-15"'),
+                        ("castable(cep)", '"AB-99"')]:
+        assert text in kept[label]
+    assert {"10.999", "99999999999999999999"} <= {t for r in spark.read.parquet(q).collect()
+                                                  for t in r["row"].split('"')}
+
+    taxes = ["99999999999999999999", "1.239"]
+    people = CLEAN_PEOPLE + [dict(CLEAN_PEOPLE[0], hr=str(20 + i), cpf=str(20 + i), taxes=t)
+                             for i, t in enumerate(taxes)] + [
+        dict(CLEAN_PEOPLE[0], hr="30", cpf="30", salary="7.005")]
+    res = run_employees(spark, tmp_path / "e", people, strict=False)
+    assert (res.silver.count(), res.quarantined) == (4, 3)
+    lost = [r[quality.UNCAST_COLUMN] for r in read_table(spark, str(tmp_path / "e" / "q")).collect()]
+    assert sorted(lost, key=str) == sorted([{"taxes": taxes[0]}, {"taxes": taxes[1]}, {"base_salary": "7.005"}],
+                                           key=str)
+
+
+def test_a_stopped_job_leaves_the_old_table(spark, tmp_path):
+    good = write_lines(tmp_path, "good.csv", CUSTOMERS)
+    bad = write_lines(tmp_path, "bad.csv", CUSTOMERS + ["Souza Santos;126000;12;FIIV;882467283;08/04/2019;7;;;;;"])
+    out, q = str(tmp_path / "out"), str(tmp_path / "q")
+    jobs.silver_customers(spark, good, out, quarantine=q, run_ts="2024-01-01 00:00:00")
+    with pytest.raises(quality.QualityError):
+        jobs.silver_customers(spark, bad, out, quarantine=q, run_ts="2024-02-01 00:00:00")
+    silver = read_table(spark, out)
+    assert silver.count() == 5 and {str(r[0]) for r in silver.select("created_at").distinct().collect()} == {
+        "2024-01-01 00:00:00"}
+    assert spark.read.parquet(q).count() == 3                 # the quarantine tells why
+    assert not [f for f in os.listdir(tmp_path) if f.startswith(".") and not f.endswith(".crc")]
+
+
+def test_a_swap_that_died_is_recovered(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    os.rename(path, tmp_path / ".previous_t")                 # between the two renames
+    with pytest.raises(RuntimeError, match="stop"):
+        with publishing(spark) as stage:
+            spark.range(9).write.parquet(stage(path))
+            raise RuntimeError("stop")
+    assert spark.read.parquet(path).count() == 3
+    with publishing(spark) as stage:
+        spark.range(9).write.parquet(stage(path))
+    assert spark.read.parquet(path).count() == 9 and sorted(os.listdir(tmp_path)) == ["t"]
+
+
+def test_a_second_drop_changes_only_its_months(spark, tmp_path):
+    path = str(tmp_path / "by_month")
+    def drop(rows, ts):
+        df = spark.createDataFrame(rows, "id int, d string, v int").selectExpr("id", "to_date(d) AS hired", "v")
+        return merge_by_month(df, "hired", path, ["id"], ts)
+    drop([(1, "2024-01-05", 1), (2, "2024-02-05", 1), (3, "2024-03-05", 1), (4, "2024-04-01", 1), (5, None, 1)],
+         "2024-05-01 00:00:00")
+    files = {m: os.listdir(f"{path}/year_hired=2024/month_hired={m}") for m in (1, 2, 3, 4)}
+    # 2 changes, 3 moves to January and leaves March empty, 5 gets a date, 6 is new
+    assert drop([(2, "2024-02-05", 2), (3, "2024-01-09", 2), (5, "2024-02-06", 2), (6, None, 2)],
+                "2024-06-01 00:00:00") == 4
+    rows = {r["id"]: (str(r["hired"]), r["v"], r["month_hired"]) for r in read_table(spark, path).collect()}
+    assert rows == {1: ("2024-01-05", 1, 1), 2: ("2024-02-05", 2, 2), 3: ("2024-01-09", 2, 1),
+                    4: ("2024-04-01", 1, 4), 5: ("2024-02-06", 2, 2), 6: ("None", 2, None)}
+    assert os.listdir(f"{path}/year_hired=2024/month_hired=4") == files[4]
+    assert not os.path.exists(f"{path}/year_hired=2024/month_hired=3")
+    assert [f for f in os.listdir(path) if f.startswith(".") and not f.endswith(".crc")] == []
+
+
+@pytest.mark.parametrize("block", ["128m", "1k"])
+def test_broken_lines_are_stitched(spark, tmp_path, block):
+    """Halves meet over blank lines and over the borders of a file's blocks; others stay in quarantine."""
+    rows, expected = [], set()
+    for i in range(400):
+        name = f"Nome {chr(97 + i % 26)}{chr(97 + i // 26)}"
+        head, tail = f"{name};{1000 + i};{i % 90 + 1};", f"OPV;{10**7 + i};15/03/2019;{i % 4 + 1};;;;;"
+        expected.add(name.title())
+        if i % 5:
+            rows.append(head + tail)
+        else:
+            rows += [head, *[""] * (i % 3), tail]
+    rows += ["Sem Cauda;1;2;", "Outro Nome;5;6;OPV;12345678;15/03/2019;1", "FIIV;148112796;15/01/2019;4;;;;;"]
+    src = write_lines(tmp_path, "customers.csv", [CUSTOMERS[0], *rows])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    try:
+        res = jobs.silver_customers(spark, src, str(tmp_path / "out"), quarantine=str(tmp_path / "q"), stitch=True)
+        names = [r["customer"] for r in res.silver.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(names) == 401 and set(names) == expected | {"Outro Nome"}
+    assert res.quarantined == 2

@@ -2,30 +2,36 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from staffmart.functions import GENERATION_BANDS, bands_frame, generation
-from staffmart.operators import filters, marts, quality
+from staffmart.functions import GENERATION_BANDS, generation
+from staffmart.operators import banding, marts, quality
 from staffmart.plans import cli
 from staffmart.session import checkpoint_root, scratch_path
 
 
-def test_keep_in_table_is_a_semi_join(spark):
-    levels = spark.createDataFrame([("JA", "Estagiário"), ("ZZ", "Presidente"), ("DB", None)],
-                                   "level string, d string")
-    allowed = spark.createDataFrame([("Estagiário",), ("Estagiário",), ("Analista",)], "name string")
-    kept = filters.keep_in_table(levels, "d", allowed, "name")
-    assert [tuple(r) for r in kept.collect()] == [("JA", "Estagiário")]   # no fan-out
-    assert kept.columns == ["level", "d"]
+def bands_table(spark, rows):
+    return spark.createDataFrame(rows, "band string, band_from int, band_to int")
 
 
 def test_bands_table_agrees_with_the_case_expression(spark):
-    bands = bands_frame(spark)
-    assert bands.count() == len(GENERATION_BANDS)
-    check = bands.select("generation", generation("age_from").alias("lo"),
-                         generation("age_to").alias("hi"))
-    for r in check.collect():
-        assert r["generation"] == r["lo"] == r["hi"]
+    ages = spark.range(-3, 110).selectExpr("cast(id as int) AS age").union(
+        spark.sql("SELECT CAST(NULL AS INT)"))
+    for step in (1, 7, 16, 1000):
+        got = banding.with_band(ages, "age", bands_table(spark, GENERATION_BANDS), "band", step)
+        check = got.withColumn("case", generation("age"))
+        assert check.count() == 114 and check.filter("band <> case").count() == 0
+
+
+def test_bands_that_overlap_or_leave_holes_are_an_error(spark):
+    bad = bands_table(spark, [("a", 0, 9), ("b", 8, 20), ("c", 25, 30), ("d", 40, 31), ("e", None, 5), (None, 31, 31)])
+    found = {(r["problem"], r["band"], r["at"]) for r in banding.band_problems(bad).collect()}
+    assert found == {("overlap", "b", 8), ("hole", "c", 21), ("reversed", "d", 40), ("incomplete", "e", None),
+                     ("incomplete", None, 31)}
+    with pytest.raises(banding.BandError, match="overlap at 8"):
+        banding.with_band(spark.range(3), "id", bad, "band")
+    assert banding.band_problems(bands_table(spark, [])).count() == 0
 
 
 def test_scratch_paths_live_under_the_checkpoint_dir(spark):

@@ -1,22 +1,24 @@
 from __future__ import annotations
 
-import hashlib
+import hmac
 
 import pytest
 from pyspark.sql import functions as F
 
-from staffmart.functions import token
-from staffmart.functions.tokens import secret_from_conf
+from staffmart.functions import TokenKey, key_from_conf, token
 from staffmart.operators import marts, privacy
 
 
 def test_token_is_deterministic_keyed_and_null_safe(spark):
     df = spark.createDataFrame([("123",), ("123",), ("456",), (None,)], "cpf string")
-    got = [r[0] for r in df.select(token("cpf", "s3cret")).collect()]
+    got = [r[0] for r in df.select(token("cpf", "s3cret", "cpf")).collect()]
     assert got[0] == got[1] != got[2] and got[3] is None
-    assert got[0] == hashlib.sha256(b"s3cret123").hexdigest()
-    other = df.select(token("cpf", "other")).first()[0]
-    assert other != got[0]
+    assert got[0] == "1." + hmac.new(b"s3cret", b"cpf:123", "sha256").hexdigest()
+    other = df.select(token("cpf", "other", "cpf"), token("cpf", "s3cret", "rg")).first()
+    assert len({got[0], *other}) == 3                       # another secret, another field
+    long = TokenKey("k" * 100, "2024")
+    assert df.select(token("cpf", long, "cpf")).first()[0] == "2024." + hmac.new(
+        b"k" * 100, b"cpf:123", "sha256").hexdigest()
 
 
 def test_vault_split_and_rejoin_loses_no_row(spark):
@@ -94,9 +96,68 @@ def test_reidentify_keeps_every_row(spark):
 def test_secret_is_not_in_printed_plans(spark, capsys):
     spark.conf.set("spark.staffmart.pseudonym.secret", "s3cret-value")
     try:
-        secret = secret_from_conf(spark)
-        spark.range(1).select(token(F.col("id"), secret)).explain(True)
+        key = key_from_conf(spark)
+        spark.range(1).select(token(F.col("id"), key, "id")).explain(True)
+        # a key that is handed over is hidden as well
+        privacy.pseudonymize(spark.range(1), {"id": "t"}, "other-s3cret").explain(True)
     finally:
         spark.conf.unset("spark.staffmart.pseudonym.secret")
         spark.conf.unset("spark.sql.redaction.string.regex")
-    assert "s3cret-value" not in capsys.readouterr().out
+    printed = capsys.readouterr().out
+    assert "s3cret" not in printed and "s3cret" not in repr(key)
+    for pad in (*key.pads(), *TokenKey("other-s3cret").pads()):
+        assert pad.hex().upper() not in printed.upper()
+
+
+def test_rotation_re_keys_tables_one_by_one(spark):
+    people = spark.createDataFrame([("1", "9"), ("2", "2"), (None, "7")], "cpf string, rg string")
+    mapping = {"cpf": "cpf_t", "rg": "rg_t"}
+    old, new = TokenKey("a"), TokenKey("b", "2")
+    vault = privacy.pseudonymize(people, mapping, old)
+    public = vault.drop("cpf", "rg")
+    fresh, crosswalk = privacy.rotate(vault, mapping, new)
+    expected = {tuple(r) for r in privacy.pseudonymize(people, mapping, new).select("cpf_t", "rg_t").collect()}
+    once = privacy.apply_rotation(public, crosswalk, mapping, new)
+    twice = privacy.apply_rotation(once, crosswalk, mapping, new)
+    for df in (fresh.select("cpf_t", "rg_t"), once, twice):
+        assert {tuple(r) for r in df.collect()} == expected
+    assert crosswalk.count() == 5
+
+
+def test_vault_keeps_one_row_per_person(spark, tmp_path):
+    path = str(tmp_path / "vault")
+    def drop(rows, ts):
+        people = privacy.pseudonymize(spark.createDataFrame(rows, "cpf string, name string"), {"cpf": "t"}, "k")
+        return privacy.merge_vault(people, path, "t", ts)
+    drop([(str(i), "old") for i in range(600)], "2024-01-01 00:00:00")
+    parts = drop([("7", "new"), ("7", "newer"), ("900", "added")], "2024-02-01 00:00:00")
+    assert parts in (1, 2)
+    vault = spark.read.parquet(path)
+    assert vault.count() == 601 and vault.select("t").distinct().count() == 601
+    changed = {r["cpf"]: r["name"] for r in vault.filter("created_at > '2024-01-15'").collect()
+               if r["cpf"] in ("7", "900")}
+    assert changed == {"7": "new", "900": "added"}
+    gone = vault.filter("cpf IN ('7', '8')").select("t")
+    assert privacy.erase(spark.createDataFrame(gone.collect(), gone.schema), path, "t") in (1, 2)
+    left = spark.read.parquet(path)
+    assert left.count() == 599 and left.filter("cpf IN ('7', '8')").count() == 0
+    assert privacy.erase(gone.limit(0), path, "t") == 0
+
+
+@pytest.mark.parametrize("dim_key", ["k", "other"])
+def test_rows_without_a_key_are_spread_and_kept(spark, dim_key):
+    fact = spark.range(9000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN id % 7 END AS k")
+    dim = spark.range(7).selectExpr(f"id AS {dim_key}", "id * 10 AS v").union(
+        spark.sql("SELECT CAST(NULL AS BIGINT), 99L"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = marts.lookup(fact, dim, "k", dim_key)
+        assert set(out.columns) == {"id", "k", "v"} | {dim_key}
+        at = out.filter("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+        got = {(r["k"], r["v"]) for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(at) > 1 and sum(r["count"] for r in at) == 6000
+    assert got == {(None, None)} | {(i, 10 * i) for i in range(7)}

@@ -90,3 +90,39 @@ def test_cells_lost_to_a_cast_are_reported_with_their_text(spark):
     (bad,) = failing.collect()
     assert bad["id"] == "2" and bad[quality.UNCAST_COLUMN] == {"n": "abc"}
     assert bad[quality.FAILED_COLUMN] == "castable(n)"
+
+
+def test_observed_halves_give_the_report(people, tmp_path):
+    passing, failing, seen = quality.split_observed(quality.label_rows(people, RULES), RULES)
+    passing.write.parquet(str(tmp_path / "good"))
+    failing.write.parquet(str(tmp_path / "bad"))
+    by = lambda rows: sorted(rows, key=lambda r: (r["rule"], r["column_name"]))
+    assert by(seen.report()) == by(quality.collect_report(quality.quality_report(people, RULES)))
+    assert seen.quarantined() == 3
+
+
+def test_duplicates_are_marked_without_moving_other_rows(spark):
+    n = 40_000
+    df = spark.range(n).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 1000 = 1 THEN NULL ELSE concat('u', id) END AS cpf",
+        "CASE WHEN id IN (5, 17) THEN -1L ELSE id END AS hr_id", "repeat('x', 50) AS wide")
+    rules = [quality.unique("cpf"), quality.unique("hr_id"), quality.unique("id")]
+    passing, failing = quality.split_quarantine(df, rules)
+    assert passing.columns == df.columns
+    bad = {r["id"]: r[quality.FAILED_COLUMN] for r in failing.select("id", quality.FAILED_COLUMN).collect()}
+    assert bad == {i: "unique(cpf)" for i in range(0, n, 3)} | {5: "unique(hr_id)", 17: "unique(hr_id)"}
+    assert passing.count() == n - len(bad)
+    plan = df._jdf.sparkSession().sessionState().executePlan(
+        passing._jdf.queryExecution().logical(), passing._jdf.queryExecution().mode()).executedPlan().toString()
+    # rows without a duplicate pass broadcast joins with the bitmaps only
+    assert plan.count("Union") >= 1
+    clean, none = quality.split_quarantine(df, [quality.unique("id")])
+    assert clean.count() == n and none.count() == 0
+
+
+@pytest.mark.parametrize("bits", [1 << 15])
+def test_a_full_bitmap_changes_nothing(spark, monkeypatch, bits):
+    monkeypatch.setattr(quality, "MOST_BITS", bits)
+    df = spark.range(60_000).selectExpr("id", "id % 50000 AS k")
+    _, failing = quality.split_quarantine(df, [quality.unique("k")])
+    assert failing.count() == 20_000
