@@ -9,7 +9,7 @@ the gold job needs postal, employees and positions.
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
@@ -66,6 +66,12 @@ def _write_quarantine(df: DataFrame, path: str | None, out: str, run_ts: str, st
     return seen
 
 
+def _together(*writes: Callable[[], object]) -> list:
+    """Run independent writes of one cached frame side by side; raises the first error once all have ended."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        return [f.result() for f in [pool.submit(w) for w in writes]]
+
+
 # ----------------------------------------------------------------- positions
 
 POSITION_VALIDATORS = {
@@ -98,8 +104,9 @@ def silver_positions(spark: SparkSession, src: str, out: str, run_ts: str | None
         silver = shape.rename(shaped.filter(ok), E.POSITIONS_RENAME).drop(repair.STATUS_COLUMN,
                                                                           WIDE_LINE)
         with publishing(spark) as stage:
-            bad = _write_quarantine(shaped.filter(~ok), quarantine, out, run_ts, stage)
-            write_table(silver, stage(out), run_ts)
+            bad, _ = _together(
+                lambda: _write_quarantine(shaped.filter(~ok), quarantine, out, run_ts, stage),
+                lambda: write_table(silver, stage(out), run_ts))
     finally:
         shaped.unpersist()
     return JobResult(read_table(spark, out), quarantined=bad.get["rows"])
@@ -228,8 +235,9 @@ def silver_customers(spark: SparkSession, src: str, out: str, run_ts: str | None
     passing, rejected, seen = quarantine_customers(*split_customers(fixed))
     try:
         with publishing(spark) as stage:
-            bad = _write_quarantine(rejected, quarantine, out, run_ts, stage)
-            write_by_month(passing, "contract_start_date", stage(out), run_ts)
+            bad, _ = _together(
+                lambda: _write_quarantine(rejected, quarantine, out, run_ts, stage),
+                lambda: write_by_month(passing, "contract_start_date", stage(out), run_ts))
             rows = seen.report()
             if strict:
                 quality.assert_quality(rows)
@@ -282,22 +290,25 @@ def shape_employees(raw: DataFrame, as_of: date | str) -> DataFrame:
     return df
 
 
-def _protect(df: DataFrame, key: TokenKey | str, vault_out: str, run_ts: str, stage: Stage) -> DataFrame:
-    """Tokens, vault write, public table without clear identifiers."""
-    tokenised = privacy.pseudonymize(df, E.TOKENS, key)
-    vault, public = privacy.split_vault(tokenised, E.VAULT_COLUMNS, E.CLEAR_COLUMNS)
-    write_table(vault, stage(vault_out), run_ts)
-    return public
+def _write_people(passing: DataFrame, failing: DataFrame, key: TokenKey | str, path: str | None, out: str,
+                  vault_out: str, run_ts: str, stage: Stage) -> Observation:
+    """The four outputs of a gate on people, side by side.
 
-
-def _quarantine_people(failing: DataFrame, key: TokenKey | str, path: str | None, out: str,
-                       vault_out: str, run_ts: str, stage: Stage) -> Observation:
-    """Rejected people, without clear identifiers, to the quarantine; the clear
-    values, and whole lines that had too many cells, to ``<vault>_rejected``."""
+    Public rows with tokens by hire month, and their clear values in the
+    vault; rejected people without clear identifiers in the quarantine, and
+    their clear values, with whole lines that had too many cells, in
+    ``<vault>_rejected``.
+    """
+    good = privacy.pseudonymize(passing, E.TOKENS, key)
+    vault, public = privacy.split_vault(good, E.VAULT_COLUMNS, E.CLEAR_COLUMNS)
     bad = privacy.pseudonymize(failing, E.TOKENS, key)
-    write_table(bad.select(*E.VAULT_COLUMNS, WIDE_LINE),
-                stage(f"{vault_out.rstrip('/')}_rejected", always=True), run_ts)
-    return _write_quarantine(bad.drop(*E.CLEAR_COLUMNS, WIDE_LINE), path, out, run_ts, stage)
+    rejected_vault = stage(f"{vault_out.rstrip('/')}_rejected", always=True)
+    seen, *_ = _together(
+        lambda: _write_quarantine(bad.drop(*E.CLEAR_COLUMNS, WIDE_LINE), path, out, run_ts, stage),
+        lambda: write_table(bad.select(*E.VAULT_COLUMNS, WIDE_LINE), rejected_vault, run_ts),
+        lambda: write_table(vault, stage(vault_out), run_ts),
+        lambda: write_by_month(public, "hire_date", stage(out), run_ts))
+    return seen
 
 
 def silver_employees(spark: SparkSession, src: str, out: str, vault_out: str,
@@ -316,11 +327,9 @@ def silver_employees(spark: SparkSession, src: str, out: str, vault_out: str,
     try:
         passing, failing, seen = quality.split_observed(quality.label_rows(staged, rules), rules)
         with publishing(spark) as stage:
-            bad = _quarantine_people(failing, key, quarantine, out, vault_out, run_ts, stage)
             # the gate let no text pass that the type can't hold
             typed = passing.drop(quality.UNCAST_COLUMN, WIDE_LINE).withColumn("taxes", exact_decimal("taxes"))
-            public = _protect(typed, key, vault_out, run_ts, stage)
-            write_by_month(public, "hire_date", stage(out), run_ts)
+            bad = _write_people(typed, failing, key, quarantine, out, vault_out, run_ts, stage)
             rows = seen.report()
             if strict:
                 quality.assert_quality(rows)
@@ -346,9 +355,8 @@ def silver_pq(spark: SparkSession, src: str, out: str, vault_out: str, key: Toke
         rules = [quality.is_null(WIDE_LINE), *[quality.castable(c) for c in DATE_TYPES]]
         passing, failing = quality.split_quarantine(df, rules)
         with publishing(spark) as stage:
-            bad = _quarantine_people(failing, key, quarantine, out, vault_out, run_ts, stage)
-            public = _protect(passing.drop(quality.UNCAST_COLUMN, WIDE_LINE), key, vault_out, run_ts, stage)
-            write_by_month(public, "hire_date", stage(out), run_ts)
+            bad = _write_people(passing.drop(quality.UNCAST_COLUMN, WIDE_LINE), failing, key, quarantine, out,
+                                vault_out, run_ts, stage)
     finally:
         df.unpersist()
     return JobResult(read_table(spark, out), quarantined=bad.get["rows"])

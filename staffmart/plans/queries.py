@@ -31,6 +31,7 @@ from staffmart.functions.temporal import (
     tenure_days,
 )
 from staffmart.functions.text import correct, strip_leading, title_case
+from staffmart.functions.tokens import TokenKey, key_id_of
 from staffmart.operators import filters, marts, privacy, quality, repair, shape
 from staffmart.plans import entities as E
 from staffmart.plans import jobs
@@ -46,9 +47,9 @@ from staffmart.sources import (
 )
 
 AS_OF = "2024-01-01"
-# Demo token secret for the driver-table queries (a deployment reads its own
+# Demo token keys for the driver-table queries (a deployment reads its own
 # from ``spark.staffmart.pseudonym.secret``).
-SECRET = "k:"
+KEY, NEXT_KEY = TokenKey("k:"), TokenKey("k2:", "2")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -153,7 +154,7 @@ def tenure_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def region_headcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    people = privacy.pseudonymize(people, {"c_custkey": "cpf_encrypted"}, SECRET)
+    people = privacy.pseudonymize(people, {"c_custkey": "cpf_encrypted"}, KEY)
     fact = marts.lookup(people, region_dimension(spark, sf_dir), "c_nationkey", "n_nationkey")
     return marts.ranked(marts.headcount(fact, ["region"], "cpf_encrypted"), marts.HEADCOUNT)
 
@@ -203,7 +204,7 @@ def gold_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     # People are tokenised on their own table (one hash per person, not per
     # spell) and the token joins the spells with the person's postal code.
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    people = privacy.pseudonymize(people, {"c_custkey": "cpf_encrypted"}, SECRET)
+    people = privacy.pseudonymize(people, {"c_custkey": "cpf_encrypted"}, KEY)
     spells = marts.lookup(spells, people, "o_custkey", "c_custkey")
     end = F.when(F.col("l_linestatus") == F.lit("O"), F.lit(None)).otherwise(F.col("l_shipdate"))
     hire = F.col("o_orderdate").cast("date")
@@ -225,7 +226,7 @@ def gold_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_table(postal, paths["postal"])
     write_table(positions, paths["positions"])
     out = gold(spark, paths["postal"], paths["employees"], paths["positions"],
-               scratch_path(spark, "golden"))
+               scratch_path(spark, "marts"))
     long = None
     for name, mart in out.items():
         cols = [F.lit(name).alias("mart")]
@@ -468,14 +469,14 @@ PEOPLE_TOKENS = {"c_custkey": "cpf_encrypted", "c_name": "rg_encrypted"}
 
 
 def pseudonymize_people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    people = privacy.pseudonymize(table(spark, sf_dir, "customer"), PEOPLE_TOKENS, SECRET)
+    people = privacy.pseudonymize(table(spark, sf_dir, "customer"), PEOPLE_TOKENS, KEY)
     _, public = privacy.split_vault(people, ["c_custkey", "c_name", "cpf_encrypted"],
                                     ["c_custkey", "c_name"])
     return public
 
 
 def vault_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    people = privacy.pseudonymize(table(spark, sf_dir, "customer"), PEOPLE_TOKENS, SECRET)
+    people = privacy.pseudonymize(table(spark, sf_dir, "customer"), PEOPLE_TOKENS, KEY)
     vault, public = privacy.split_vault(people, ["c_custkey", "c_name", "cpf_encrypted"],
                                         ["c_custkey", "c_name"])
     vault_path, public_path = scratch_path(spark, "vault"), scratch_path(spark, "public")
@@ -529,22 +530,23 @@ def stamped_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------- sources
 
-NATION_COLUMNS = ["n_nationkey", "n_name", "n_regionkey"]
 SUPPLIER_COLUMNS = ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]
 
 
 def header_split_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation")
-    sep = F.when(key_mod("n_nationkey", 3) == 0, F.lit("||")).otherwise(F.lit("|"))
-    lines = nation.select(F.concat(F.col("n_nationkey").cast("string"), sep, F.col("n_name"),
-                                   F.lit("|"), F.col("n_regionkey").cast("string"))
-                          .alias("value"))
-    header = spark.range(1).select(F.lit("\ufeff" + "|".join(NATION_COLUMNS)).alias("value"))
-    path = scratch_path(spark, "nation_text")
-    header.unionByName(lines).write.mode("overwrite").text(path)
-    # the header is a part file of its own
-    back = read_header_split(spark, path, "|", NATION_COLUMNS, header_in_each_file=False)
-    return shape.to_typed(back, {"n_nationkey": "int", "n_regionkey": "int"})
+    """Every customer as pipe text in part files whose headers order the columns in three ways."""
+    names = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
+    customer = table(spark, sf_dir, "customer")
+    paths = []
+    for i in range(3):
+        order = [*names[i:], *names[:i]]
+        doubled = F.when(key_mod("c_custkey", 2) == 0, F.lit("||")).otherwise(F.lit("|"))
+        line = F.concat(F.col(order[0]).cast("string"), doubled,
+                        F.concat_ws("|", *[F.col(c).cast("string") for c in order[1:]]))
+        paths.append(write_raw_lines(line, "|".join(order), customer.filter(key_mod("c_custkey", 3) == i),
+                                     scratch_path(spark, f"customer_text_{i}")))
+    back = read_header_split(spark, paths, "|", names)
+    return shape.to_typed(back, {"c_custkey": "bigint", "c_nationkey": "int"})
 
 
 def delimited_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -579,7 +581,7 @@ def _write_raw(rows: DataFrame, sep: str, path: str) -> str:
     return path
 
 
-def _write_raw_lines(lines: Column, header: str, rows: DataFrame, path: str) -> str:
+def write_raw_lines(lines: Column, header: str, rows: DataFrame, path: str) -> str:
     """Whole lines, under ``header`` in every part file, with no quoting of their cells."""
     rows.select(lines.alias(header)).write.option("sep", "\t").option("quote", "\u0001").option(
         "header", True).csv(path)
@@ -692,7 +694,7 @@ def employees_job(spark: SparkSession, sf_dir: str) -> DataFrame:
                      scratch_path(spark, "raw_employees"))
     bad, vault = scratch_path(spark, "quarantine_employees"), scratch_path(spark, "vault_employees")
     silver = jobs.silver_employees(spark, src, scratch_path(spark, "job_employees"), vault, AS_OF,
-                                   SECRET, quarantine=bad, strict=False).silver
+                                   KEY, quarantine=bad, strict=False).silver
     kept = privacy.reidentify(silver, read_table(spark, vault), "cpf_encrypted", ["cpf"])
     columns = ["hr_id", "position", "hire_date", "time_on_job"]
     return (kept.select(*columns, "cpf", F.lit("").alias("failed_rules"))
@@ -717,10 +719,10 @@ def partner_staff_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = [F.col("o_orderpriority") if i == 51 else values.get(c, F.lit(f"x{i}"))
              for i, c in enumerate(header)]
     extra = F.when(k % 23 == 0, F.lit("lost"))
-    src = _write_raw_lines(F.concat_ws(E.PQ_SEP, *cells, extra), E.PQ_SEP.join(header),
+    src = write_raw_lines(F.concat_ws(E.PQ_SEP, *cells, extra), E.PQ_SEP.join(header),
                            table(spark, sf_dir, "orders"), scratch_path(spark, "raw_partner_staff"))
     bad, vault = scratch_path(spark, "quarantine_partner_staff"), scratch_path(spark, "vault_partner_staff")
-    silver = jobs.silver_pq(spark, src, scratch_path(spark, "job_partner_staff"), vault, SECRET,
+    silver = jobs.silver_pq(spark, src, scratch_path(spark, "job_partner_staff"), vault, KEY,
                             quarantine=bad).silver
     columns = ["hr_id", "responsible_position", "level", "hire_date"]
     kept = privacy.reidentify(silver, read_table(spark, vault), "cpf_encrypted", ["cpf"])
@@ -738,7 +740,7 @@ def wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = F.when(k % 5 == 0, F.lit("more;cells")).when(k % 7 == 0, F.lit(";;"))
     name = F.when(k % 3 == 0, F.concat(F.lit('"'), "c_name", F.lit(';q"'))).otherwise(F.col("c_name"))
     names = ["c_custkey", "c_name", "c_mktsegment"]
-    src = _write_raw_lines(F.concat_ws(";", k.cast("string"), name, "c_mktsegment", extra),
+    src = write_raw_lines(F.concat_ws(";", k.cast("string"), name, "c_mktsegment", extra),
                            ";".join(names), table(spark, sf_dir, "customer"),
                            scratch_path(spark, "raw_wide"))
     rows = read_delimited(spark, src, ";", names, wide_lines=True)
@@ -806,7 +808,14 @@ QUERIES: dict[str, Query] = {
 
 # ------------------------------------------------------------- DuckDB oracle
 
-def _generation_sql(age: str) -> str:
+def token_sql(value: str, field: str, key: TokenKey = KEY) -> str:
+    """HMAC-SHA256 of ``field:value``, behind the key's version."""
+    inner, outer = (f"unhex('{pad.hex()}')" for pad in key.pads())
+    message = f"encode('{field}:' || CAST({value} AS VARCHAR))"
+    return f"('{key.key_id}.' || sha256({outer} || unhex(sha256({inner} || {message}))))"
+
+
+def generation_sql(age: str) -> str:
     arms = " ".join(f"WHEN {age} BETWEEN {lo} AND {hi} THEN '{name}'"
                     for name, lo, hi in GENERATION_BANDS)
     return f"CASE {arms} ELSE '{UNKNOWN}' END"
@@ -821,7 +830,7 @@ _FACT = f"""fact AS (
                    COALESCE(CAST(CASE WHEN l.l_linestatus = 'O' THEN NULL ELSE l.l_shipdate END
                                  AS DATE), DATE '{AS_OF}')) AS time_on_job,
          p.p_size AS person_age,
-         {_generation_sql('p.p_size')} AS generation
+         {generation_sql('p.p_size')} AS generation
   FROM lineitem l
   LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
   LEFT JOIN part p ON l.l_partkey = p.p_partkey)"""
@@ -904,7 +913,7 @@ SELECT p_partkey, brand, part_type, size_text, key_text,
 ORACLE_SQL: dict[str, str] = {
     "region_headcount": f"""
 SELECT d.region AS region,
-       count(DISTINCT sha256('{SECRET}' || CAST(c.c_custkey AS VARCHAR))) AS total_employees
+       count(DISTINCT {token_sql('c.c_custkey', 'c_custkey')}) AS total_employees
 FROM customer c LEFT JOIN {_REGION_DIM} d ON c.c_nationkey = d.n_nationkey
 GROUP BY d.region""",
     "tenure_by_level": f"""WITH {_FACT}
@@ -915,7 +924,7 @@ SELECT generation, level_description, {_MEAN} FROM fact GROUP BY generation, lev
 SELECT generation, area, {_MEAN} FROM fact GROUP BY generation, area""",
     "generation_region": f"""WITH {_FACT}
 SELECT d.region AS region, f.generation AS generation,
-       count(DISTINCT sha256('{SECRET}' || CAST(f.o_custkey AS VARCHAR))) AS total_employees
+       count(DISTINCT {token_sql('f.o_custkey', 'o_custkey')}) AS total_employees
 FROM fact f
 LEFT JOIN customer c ON f.o_custkey = c.c_custkey
 LEFT JOIN {_REGION_DIM} d ON c.c_nationkey = d.n_nationkey
@@ -923,7 +932,7 @@ GROUP BY d.region, f.generation""",
     "generation_bands": f"""WITH a AS (
   SELECT p_partkey, CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_partkey % 105 - 2 END AS person_age
   FROM part)
-SELECT p_partkey, person_age, {_generation_sql('person_age')} AS generation FROM a""",
+SELECT p_partkey, person_age, {generation_sql('person_age')} AS generation FROM a""",
     "age_full_years": f"""
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS birth_date,
        date_sub('year', CAST(o_orderdate AS DATE), DATE '{AS_OF}') AS person_age
@@ -956,7 +965,7 @@ FROM customer""",
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
     "clean_labels": "SELECT c_custkey, c_mktsegment FROM customer",
     "fill_if_null_chain": _chain_sql(),
-    "header_split_source": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    "header_split_source": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer",
     "delimited_source": """
 SELECT '%' AS sep, s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier
 UNION ALL
@@ -986,8 +995,8 @@ FROM orders""",
     "quality_report": _quality_sql(),
     "quarantine_rows": _quarantine_sql(),
     "pseudonymize": f"""
-SELECT sha256('{SECRET}' || CAST(c_custkey AS VARCHAR)) AS cpf_encrypted,
-       sha256('{SECRET}' || c_name) AS rg_encrypted,
+SELECT {token_sql('c_custkey', 'c_custkey')} AS cpf_encrypted,
+       {token_sql('c_name', 'c_name')} AS rg_encrypted,
        c_nationkey, c_acctbal, c_mktsegment
 FROM customer""",
     "vault_join": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
@@ -1018,7 +1027,7 @@ def _gold_job_sql() -> str:
                 f"GROUP BY {', '.join(keys)}")
     parts = [mart(n, by, measure) for n, (measure, by) in MART_SPECS.items()]
     return f"""WITH emp AS (
-  SELECT sha256('{SECRET}' || CAST(c.c_custkey AS VARCHAR)) AS cpf_encrypted,
+  SELECT {token_sql('c.c_custkey', 'c_custkey')} AS cpf_encrypted,
          CAST(c.c_nationkey AS VARCHAR) AS cep, CAST(l.l_partkey AS VARCHAR) AS position,
          date_diff('day', CAST(o.o_orderdate AS DATE),
                    COALESCE(CAST(CASE WHEN l.l_linestatus = 'O' THEN NULL ELSE l.l_shipdate END
@@ -1033,7 +1042,7 @@ pos AS (SELECT DISTINCT CAST(p_partkey AS VARCHAR) AS level, p_brand AS level_de
                p_type AS area FROM part),
 fact AS (
   SELECT e.cpf_encrypted, e.time_on_job, postal.region, pos.level_description, pos.area,
-         {_generation_sql('e.person_age')} AS generation
+         {generation_sql('e.person_age')} AS generation
   FROM emp e LEFT JOIN postal ON e.cep = postal.cep LEFT JOIN pos ON e.position = pos.level)
 """ + "\nUNION ALL\n".join(parts)
 

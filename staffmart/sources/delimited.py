@@ -25,6 +25,7 @@ from staffmart.sources.headers import (
     first_line,
     header_cells,
     input_files,
+    named_cells,
 )
 
 # The whole line of a row that has more cells than its reader has columns.
@@ -160,17 +161,21 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], sep: str = ";
     else:
         cells = list(columns)
     expected = column_names(cells)
-    odd = _odd_headers(spark, path, cells, sep)
-    for other, files in odd.items():
-        if columns is not None or set(column_names(other)) != set(expected):
+    named = len(named_cells(cells))
+    odd: dict[tuple[str, ...], list[str]] = {}
+    for other, files in _odd_headers(spark, path, cells, sep).items():
+        order = column_names(named_cells(other))
+        if columns is not None or set(order) != set(expected[:named]):
             raise HeaderError(f"{files[0]}: header {list(other)}, expected {cells}")
+        # cells behind the last name are those of the first header, so none is cut unseen
+        odd[order + expected[named:]] = files
     names = [*expected, *overflow_names(len(expected), overflow)]
     if not odd:
         return read(paths, names)
     moved = {f for files in odd.values() for f in files}
     rest = [f for f in input_files(spark, paths) if f not in moved]
     parts = [read(rest, names)] if rest else []
-    parts += [read(files, column_names(other)) for other, files in odd.items()]
+    parts += [read(files, order) for order, files in odd.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -178,7 +183,7 @@ def _odd_headers(spark: SparkSession, path: str | Sequence[str], cells: Sequence
                  sep: str) -> dict[tuple[str, ...], list[str]]:
     """Headers that order ``cells`` differently, with their files; quoted ones are the same by their cells."""
     others = files_by_header(spark, path, cells, is_header(cells, sep), lambda line: header_cells(line, sep))
-    return {other: files for other, files in others.items() if list(other) != list(cells)}
+    return {other: files for other, files in others.items() if named_cells(other) != named_cells(cells)}
 
 
 def require_header(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], sep: str) -> None:

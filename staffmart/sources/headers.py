@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 BOM = "\ufeff"
 LINE, FILE, BLOCK = "value", "_file", "_block"
+_UNNAMED = re.compile(r"_c\d+")
 
 
 class HeaderError(ValueError):
@@ -49,11 +50,16 @@ def with_origin(text: DataFrame) -> DataFrame:
 
 
 def header_cells(line: str, sep: str) -> list[str]:
-    """The cells of a header line, quotes taken off; those behind the last name are left out."""
-    cells = next(csv.reader([line.strip("\r\n")], delimiter=sep, quotechar='"', escapechar="\\"), [])
-    while cells and not cells[-1]:
-        cells.pop()
-    return cells
+    """The cells of a header line, quotes taken off."""
+    return next(csv.reader([line.strip("\r\n")], delimiter=sep, quotechar='"', escapechar="\\"), [])
+
+
+def named_cells(cells: Sequence[str]) -> list[str]:
+    """Without the cells behind the last name; writers may spell an empty name by its position."""
+    out = list(cells)
+    while out and (not out[-1] or _UNNAMED.fullmatch(out[-1])):
+        out.pop()
+    return out
 
 
 def column_names(cells: Sequence[str]) -> tuple[str, ...]:

@@ -9,16 +9,19 @@ from __future__ import annotations
 
 import os
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from staffmart.sources.publish import path_exists, publishing, recover, remove, swap
 
 STAMP_COLUMN = "created_at"
+# Partitions moved at a time; a move is a few calls of the file system.
+SWAPS_AT_ONCE = 16
 # Fixed: the folder name of a partition without a value.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 # Bounds the size of any one output file, whatever the skew of a partition.
@@ -113,12 +116,16 @@ def merge_partitions(spark: SparkSession, path: str, new: DataFrame, keys: Seque
     with publishing(spark) as stage:
         aside = stage(os.path.join(path, "merge"))  # a hidden folder inside the table
         _write_partitioned(merged, columns, aside)
-        for r in parts:
+
+        def replace(r: Row) -> None:
             folder = os.path.join(*[f"{c}={NO_VALUE if r[c] is None else r[c]}" for c in columns])
             if path_exists(spark, os.path.join(aside, folder)):
                 swap(spark, os.path.join(aside, folder), os.path.join(path, folder))
             else:
                 remove(spark, os.path.join(path, folder))
+
+        with ThreadPoolExecutor(SWAPS_AT_ONCE) as pool:
+            list(pool.map(replace, parts))
         remove(spark, aside)
     return len(parts)
 

@@ -11,7 +11,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as contract  # noqa: E402
-from staffmart.plans.queries import ORACLE_SQL, QUERIES  # noqa: E402
+from staffmart.plans.registry import ORACLE_SQL, QUERIES  # noqa: E402
 from tools.compare_oracle import TABLES, digest  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
