@@ -41,11 +41,17 @@ def parse(argv: list[str]) -> argparse.Namespace:
     s.add_argument("--vault")
     s.add_argument("--quarantine")
     s.add_argument("--as-of", default=None, help="reference date, default today")
+    s.add_argument("--merge", action="store_true", help="employees: merge a drop into the kept tables")
     s.add_argument("--stitch", action="store_true", help="customers: join lines that were broken in two")
     s.add_argument("--lenient", action="store_true", help="write passing rows when a rule fails")
     g = sub.add_parser("gold")
     for name in ("postal", "employees", "positions", "out"):
-        g.add_argument(f"--{name}", required=True)
+        g.add_argument(f"--{name}", required=name != "employees")
+    g.add_argument("--states", help="kept partial states: gold is made from them")
+    u = sub.add_parser("states", help="make the partial states of all or some months again")
+    u.add_argument("--employees", required=True)
+    u.add_argument("--states", required=True)
+    u.add_argument("--months", help="such as 2024-01,2024-02; default all")
     a = sub.add_parser("all", help="the silver job of each entity, then gold")
     a.add_argument("--entities", default=",".join(jobs.INPUT_FILES), help="comma-separated")
     a.add_argument("--no-gold", action="store_true")
@@ -60,7 +66,14 @@ def main(argv: list[str] | None = None) -> int:
     args = parse(sys.argv[1:] if argv is None else argv)
     spark = get_session("staffmart")
     if args.command == "gold":
-        jobs.gold(spark, args.postal, args.employees, args.positions, args.out)
+        if args.states:
+            jobs.gold_from_states(spark, args.postal, args.positions, args.states, args.out)
+        else:
+            jobs.gold(spark, args.postal, args.employees, args.positions, args.out)
+        return 0
+    if args.command == "states":
+        months = [tuple(map(int, m.split("-"))) for m in args.months.split(",")] if args.months else None
+        jobs.update_states(spark, args.employees, args.states, months)
         return 0
     as_of = args.as_of or date.today().isoformat()
     strict = not args.lenient
@@ -81,7 +94,7 @@ def main(argv: list[str] | None = None) -> int:
         jobs.silver_levels(spark, args.src, args.out, quarantine=args.quarantine)
     elif e == "employees":
         jobs.silver_employees(spark, args.src, args.out, args.vault, as_of, key_from_conf(spark),
-                              quarantine=args.quarantine, strict=strict)
+                              quarantine=args.quarantine, strict=strict, merge=args.merge)
     elif e == "pq":
         jobs.silver_pq(spark, args.src, args.out, args.vault, key_from_conf(spark),
                        quarantine=args.quarantine)

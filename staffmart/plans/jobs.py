@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -29,11 +30,13 @@ from staffmart.functions.temporal import (
 )
 from staffmart.functions.text import correct, is_code, strip_leading, title_case
 from staffmart.functions.tokens import TokenKey
-from staffmart.operators import filters, marts, privacy, quality, repair, shape
+from staffmart.operators import filters, marts, partials, privacy, quality, repair, shape
 from staffmart.plans import entities as E
+from staffmart.session import scratch_path
 from staffmart.sources import (
     WIDE_LINE,
     is_wide,
+    merge_partitions,
     path_exists,
     publishing,
     read_delimited,
@@ -45,6 +48,7 @@ from staffmart.sources import (
     write_table,
 )
 from staffmart.sources.publish import Stage
+from staffmart.sources.sinks import month_columns, replace_partitions
 
 
 @dataclass
@@ -291,7 +295,7 @@ def shape_employees(raw: DataFrame, as_of: date | str) -> DataFrame:
 
 
 def _write_people(passing: DataFrame, failing: DataFrame, key: TokenKey | str, path: str | None, out: str,
-                  vault_out: str, run_ts: str, stage: Stage) -> Observation:
+                  vault_out: str, run_ts: str, stage: Stage, silver: str, vault_path: str) -> Observation:
     """The four outputs of a gate on people, side by side.
 
     Public rows with tokens by hire month, and their clear values in the
@@ -306,18 +310,22 @@ def _write_people(passing: DataFrame, failing: DataFrame, key: TokenKey | str, p
     seen, *_ = _together(
         lambda: _write_quarantine(bad.drop(*E.CLEAR_COLUMNS, WIDE_LINE), path, out, run_ts, stage),
         lambda: write_table(bad.select(*E.VAULT_COLUMNS, WIDE_LINE), rejected_vault, run_ts),
-        lambda: write_table(vault, stage(vault_out), run_ts),
-        lambda: write_by_month(public, "hire_date", stage(out), run_ts))
+        lambda: write_table(vault, vault_path, run_ts),
+        lambda: write_by_month(public, "hire_date", silver, run_ts))
     return seen
 
 
 def silver_employees(spark: SparkSession, src: str, out: str, vault_out: str,
                      as_of: date | str, key: TokenKey | str, run_ts: str | None = None,
-                     quarantine: str | None = None, strict: bool = True) -> JobResult:
+                     quarantine: str | None = None, strict: bool = True, merge: bool = False) -> JobResult:
     """Shape, gate, replace identifiers by tokens, write by hire month.
 
     With ``strict`` a failed rule stops the job: the quarantine and the
     rejected people's vault appear, the old silver table and vault stay.
+    ``merge`` takes the file for a drop: people of the silver table and of the
+    vault that it doesn't name stay, and only the months that it concerns are
+    written anew. ``time_on_job`` and ``person_age`` then are as of each
+    person's last drop.
     """
     run_ts = run_ts or run_timestamp()
     raw = read_delimited(spark, src, E.EMPLOYEES_SEP, wide_lines=True)
@@ -329,10 +337,17 @@ def silver_employees(spark: SparkSession, src: str, out: str, vault_out: str,
         with publishing(spark) as stage:
             # the gate let no text pass that the type can't hold
             typed = passing.drop(quality.UNCAST_COLUMN, WIDE_LINE).withColumn("taxes", exact_decimal("taxes"))
-            bad = _write_people(typed, failing, key, quarantine, out, vault_out, run_ts, stage)
+            # a drop is written aside as well, for its gate and its merge to read
+            to, vault_to = ((scratch_path(spark, n) for n in ("drop", "drop-vault")) if merge else (out, vault_out))
+            bad = _write_people(typed, failing, key, quarantine, out, vault_out, run_ts, stage,
+                                stage(to), stage(vault_to))
             rows = seen.report()
             if strict:
                 quality.assert_quality(rows)
+        if merge:
+            # the gate found every hr_id and cpf once
+            merge_partitions(spark, out, spark.read.parquet(to), ["hr_id"], month_columns("hire_date"))
+            privacy.merge_vault(read_table(spark, vault_to, drop_stamp=True), vault_out, E.TOKENS["cpf"], run_ts)
     finally:
         staged.unpersist()
     return JobResult(read_table(spark, out), rows, bad.get["rows"])
@@ -356,7 +371,7 @@ def silver_pq(spark: SparkSession, src: str, out: str, vault_out: str, key: Toke
         passing, failing = quality.split_quarantine(df, rules)
         with publishing(spark) as stage:
             bad = _write_people(passing.drop(quality.UNCAST_COLUMN, WIDE_LINE), failing, key, quarantine, out,
-                                vault_out, run_ts, stage)
+                                vault_out, run_ts, stage, stage(out), stage(vault_out))
     finally:
         df.unpersist()
     return JobResult(read_table(spark, out), quarantined=bad.get["rows"])
@@ -426,6 +441,17 @@ def spells_with_position(spells: DataFrame, positions: DataFrame) -> DataFrame:
     return marts.lookup(spells, pos, "position", "level")
 
 
+def _write_marts(spark: SparkSession, out_root: str, mart: Callable[[str], DataFrame],
+                 run_ts: str) -> dict[str, DataFrame]:
+    """Write the marts, small results all of them, side by side; they appear together."""
+    paths = {name: os.path.join(out_root, name) for name in MART_SPECS}
+    with publishing(spark) as stage:
+        staged = {name: stage(path) for name, path in paths.items()}
+        schemas = _together(*[lambda n=name: write_table(mart(n), staged[n], run_ts) for name in MART_SPECS])
+    return {name: read_table(spark, paths[name], schema=schema)
+            for name, schema in zip(MART_SPECS, schemas, strict=True)}
+
+
 def gold(spark: SparkSession, postal_path: str, employees_path: str, positions_path: str,
          out_root: str, run_ts: str | None = None,
          approx_rsd: float | None = None) -> dict[str, DataFrame]:
@@ -448,20 +474,56 @@ def gold(spark: SparkSession, postal_path: str, employees_path: str, positions_p
         "level_description", "area", "generation", DAYS, SPELLS).persist(
             StorageLevel.MEMORY_AND_DISK)
     try:
-        with publishing(spark) as stage:
-            def write(name: str) -> T.StructType:
-                mart = build_mart(people, spells, name, approx_rsd=approx_rsd)
-                return write_table(mart, staged[name], run_ts)
-
-            paths = {name: os.path.join(out_root, name) for name in MART_SPECS}
-            staged = {name: stage(path) for name, path in paths.items()}
-            # small results of two cached frames: written side by side
-            with ThreadPoolExecutor(len(MART_SPECS)) as pool:
-                schemas = dict(zip(MART_SPECS, pool.map(write, MART_SPECS), strict=True))
+        return _write_marts(spark, out_root,
+                            lambda name: build_mart(people, spells, name, approx_rsd=approx_rsd), run_ts)
     finally:
         people.unpersist()
         spells.unpersist()
-    return {name: read_table(spark, paths[name], schema=schemas[name]) for name in MART_SPECS}
+
+
+STATES = {"spells": ["position", "generation"], "people": ["cep", "generation"]}
+
+
+def update_states(spark: SparkSession, employees_path: str, states_root: str,
+                  months: Sequence[tuple[int, int]] | None = None) -> None:
+    """Partial states of the marts per hire month, kept under ``states_root``.
+
+    ``months`` (year, month): only these are read and made again, as after a
+    drop; without it all are. A month that the silver table lost goes.
+    """
+    month = list(month_columns("hire_date"))
+    employees = read_table(spark, employees_path)
+    if months is not None:
+        employees = employees.filter(reduce(
+            lambda a, b: a | b, [(F.col(month[0]) == y) & (F.col(month[1]) == m) for y, m in months], F.lit(False)))
+    employees = employees.withColumn("generation", generation("person_age"))
+    states = {"spells": partials.spell_states(employees, month, STATES["spells"], "time_on_job"),
+              "people": partials.people_states(employees, month, STATES["people"], "cpf_encrypted")}
+    for name, state in states.items():
+        path = os.path.join(states_root, name)
+        if months is None:
+            with publishing(spark) as stage:
+                state.write.partitionBy(*month).parquet(stage(path))
+        else:
+            replace_partitions(spark, path, state, month, months)
+
+
+def gold_from_states(spark: SparkSession, postal_path: str, positions_path: str, states_root: str,
+                     out_root: str, run_ts: str | None = None) -> dict[str, DataFrame]:
+    """The five marts from kept states alone: means exact, headcounts within the sketches' error."""
+    run_ts = run_ts or run_timestamp()
+    people = people_with_region(read_table(spark, os.path.join(states_root, "people")),
+                                read_table(spark, postal_path))
+    spells = spells_with_position(read_table(spark, os.path.join(states_root, "spells")),
+                                  read_table(spark, positions_path))
+
+    def mart(name: str) -> DataFrame:
+        measure, by = MART_SPECS[name]
+        if measure == "headcount":
+            return marts.ranked(partials.headcounts_of(people, by), marts.HEADCOUNT)
+        return marts.ranked(partials.means_of(spells, by), marts.MEAN_YEARS)
+
+    return _write_marts(spark, out_root, mart, run_ts)
 
 
 # ------------------------------------------------------------------ full run

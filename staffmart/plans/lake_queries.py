@@ -10,19 +10,20 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from staffmart.functions.bands import UNKNOWN, generation
-from staffmart.functions.temporal import EXCEL_EPOCH, tenure_days
+from staffmart.functions.bands import UNKNOWN
+from staffmart.functions.temporal import EXCEL_EPOCH
 from staffmart.functions.tokens import key_id_of
 from staffmart.operators import banding, marts, partials, privacy, quality
 from staffmart.plans import entities as E
 from staffmart.plans import jobs
+from staffmart.plans.queries import ORACLE_SQL as GOLD_SQL
 from staffmart.plans.queries import (
     AS_OF,
     KEY,
     NEXT_KEY,
     Query,
-    generation_sql,
-    region_dimension,
+    derived_silver,
+    long_marts,
     table,
     token_sql,
     write_raw_lines,
@@ -30,13 +31,11 @@ from staffmart.plans.queries import (
 from staffmart.session import scratch_path
 from staffmart.sources import (
     merge_by_month,
-    merge_partitions,
     publishing,
     read_table,
-    write_by_month,
     write_table,
 )
-from staffmart.sources.sinks import month_columns, with_month_columns
+from staffmart.sources.sinks import month_columns
 
 FIRST_RUN, SECOND_RUN = "2024-01-01 00:00:00", "2024-02-01 00:00:00"
 
@@ -340,71 +339,29 @@ FROM customer WHERE (c_custkey % 3 <> 0 OR c_custkey % 2 = 0) AND c_custkey % 40
 
 
 def kept_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1, A2, A3, A5 from states per month, after one month was made again alone: means are exact,
-    headcounts within five standard errors of the sketch."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority",
-                                                    F.col("o_orderdate").cast("date").alias("hire_date"))
-    spells = marts.lookup(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linestatus",
-                                                                   "l_shipdate"), orders, "l_orderkey", "o_orderkey")
-    end = F.when(F.col("l_linestatus") != F.lit("O"), F.col("l_shipdate")).cast("date")
-    spells = with_month_columns(spells, "hire_date").select(
-        *month_columns("hire_date"), "hire_date", "l_partkey", "o_custkey",
-        F.col("o_orderpriority").alias("level_description"),
-        tenure_days("hire_date", end, AS_OF).alias("time_on_job"))
-    month = list(month_columns("hire_date"))
-    path, people_path = scratch_path(spark, "spell_states"), scratch_path(spark, "people_states")
-    by, of = ["level_description", "l_partkey"], ["o_custkey"]
-    states = partials.spell_states(spells, month, by, "time_on_job")
-    # a state per customer group would be no smaller than the rows; people are grouped by nation
-    nation = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    people = marts.lookup(spells.select(*month, *of).distinct(), nation, "o_custkey", "c_custkey")
-    sketches = partials.people_states(people, month, ["c_nationkey"], "o_custkey")
-    merge_partitions(spark, path, states, [*month, *by], month)
-    merge_partitions(spark, people_path, sketches, [*month, "c_nationkey"], month)
-    last = spells.agg(F.max("hire_date").alias("d")).select(
-        F.year("d").alias("y"), F.month("d").alias("m")).first()
-    one = (F.col(month[0]) == last["y"]) & (F.col(month[1]) == last["m"])
-    merge_partitions(spark, path, states.filter(one), [*month, *by], month)
-    merge_partitions(spark, people_path, sketches.filter(one), [*month, "c_nationkey"], month)
-
-    kept = read_table(spark, path)
-    part = table(spark, sf_dir, "part").select("p_partkey", generation("p_size").alias("generation"))
-    kept = marts.lookup(kept, part, "l_partkey", "p_partkey")
-    region = region_dimension(spark, sf_dir).select("n_nationkey", "region")
-    heads = partials.headcounts_of(marts.lookup(read_table(spark, people_path), region, "c_nationkey", "n_nationkey"),
-                                   ["region"])
-    exact = marts.headcount(marts.lookup(people, region, "c_nationkey", "n_nationkey"), ["region"], "o_custkey",
-                            "exact")
-    close = F.abs(F.col(marts.HEADCOUNT) - F.col("exact")) <= 5 * partials.STANDARD_ERROR * F.col("exact")
-    out = [heads.join(exact, heads["region"].eqNullSafe(exact["region"])).select(
-        F.lit("region").alias("mart"), heads["region"].alias("a"), F.lit(None).cast("string").alias("b"),
-        F.lit(None).cast("double").alias(marts.MEAN_YEARS), close.alias("close"))]
-    for name, groups in (("level", ["level_description"]), ("generation_level", ["generation", "level_description"])):
-        mean = partials.means_of(kept, groups)
-        cells = [F.col(g) for g in groups] + [F.lit(None).cast("string")]
-        out.append(mean.select(F.lit(name).alias("mart"), cells[0].alias("a"), cells[1].alias("b"),
-                               marts.MEAN_YEARS, F.lit(True).alias("close")))
-    return reduce(DataFrame.unionByName, out)
-
-
-KEPT_STATES_SQL = f"""WITH fact AS (
-  SELECT o.o_custkey, o.o_orderpriority AS level_description,
-         date_diff('day', CAST(o.o_orderdate AS DATE),
-                   COALESCE(CAST(CASE WHEN l.l_linestatus = 'O' THEN NULL ELSE l.l_shipdate END AS DATE),
-                            DATE '{AS_OF}')) AS time_on_job,
-         {generation_sql('p.p_size')} AS generation, r.r_name AS region
-  FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
-  LEFT JOIN part p ON l.l_partkey = p.p_partkey LEFT JOIN customer c ON o.o_custkey = c.c_custkey
-  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)
-SELECT DISTINCT 'region' AS mart, region AS a, CAST(NULL AS VARCHAR) AS b,
-       CAST(NULL AS DOUBLE) AS {marts.MEAN_YEARS}, true AS close FROM fact
-UNION ALL
-SELECT 'level', level_description, NULL, CAST(sum(time_on_job) AS DOUBLE) / (count(time_on_job) * CAST(365.25 AS DOUBLE)),
-       true FROM fact GROUP BY level_description
-UNION ALL
-SELECT 'generation_level', generation, level_description,
-       CAST(sum(time_on_job) AS DOUBLE) / (count(time_on_job) * CAST(365.25 AS DOUBLE)), true
-FROM fact GROUP BY generation, level_description"""
+    """A1-A5, E7 from states kept per month (``jobs.gold_from_states``), after the last month was made
+    again alone: means are exact, headcounts lie within five standard errors of the exact ones."""
+    paths = derived_silver(spark, sf_dir)
+    states = scratch_path(spark, "states")
+    jobs.update_states(spark, paths["employees"], states)
+    month = month_columns("hire_date")
+    last = read_table(spark, paths["employees"]).agg(F.max(F.struct(*month)).alias("at")).first()["at"]
+    jobs.update_states(spark, paths["employees"], states, months=[tuple(last)])
+    kept = long_marts(jobs.gold_from_states(spark, paths["postal"], paths["positions"], states,
+                                            scratch_path(spark, "state_marts")))
+    exact = long_marts(jobs.gold(spark, paths["postal"], paths["employees"], paths["positions"],
+                                 scratch_path(spark, "marts")))
+    by = [c for c in exact.columns if c not in (marts.HEADCOUNT, marts.MEAN_YEARS)]
+    same = reduce(lambda a, b: a & b, [kept[c].eqNullSafe(exact[c]) for c in by])
+    error = F.abs(kept[marts.HEADCOUNT] - exact[marts.HEADCOUNT])
+    close = F.coalesce(error <= 5 * partials.STANDARD_ERROR * exact[marts.HEADCOUNT], F.lit(True))
+    return kept.join(exact, same).select(*[kept[c] for c in by], kept[marts.MEAN_YEARS], close.alias("close"))
+
+
+# Groups and exact means of the gold job's marts.
+KEPT_STATES_SQL = f"""
+SELECT mart, region, level_description, generation, area, {marts.MEAN_YEARS}, true AS close
+FROM ({GOLD_SQL["gold_job"]})"""
 
 
 # -------------------------------------------------------------- marts, bands

@@ -185,9 +185,8 @@ GOLD_LONG = ["mart", "region", "level_description", "generation", "area",
              marts.HEADCOUNT, marts.MEAN_YEARS]
 
 
-def gold_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The gold job itself (``jobs.gold``) on silver tables derived from the
-    driver tables, its five written marts returned as one long table.
+def derived_silver(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Paths of written silver tables, derived from the driver tables.
 
     Silver employees: one row per line item (token of the ordering customer,
     the customer's nation as postal code, the part as position, part size as
@@ -225,8 +224,19 @@ def gold_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_by_month(employees, "hire_date", paths["employees"])
     write_table(postal, paths["postal"])
     write_table(positions, paths["positions"])
-    out = gold(spark, paths["postal"], paths["employees"], paths["positions"],
-               scratch_path(spark, "marts"))
+    return paths
+
+
+def gold_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold job itself (``jobs.gold``) on silver tables derived from the
+    driver tables; its five written marts as one long table."""
+    paths = derived_silver(spark, sf_dir)
+    return long_marts(gold(spark, paths["postal"], paths["employees"], paths["positions"],
+                           scratch_path(spark, "marts")))
+
+
+def long_marts(out: dict[str, DataFrame]) -> DataFrame:
+    """The marts as one table; columns that a mart lacks are NULL."""
     long = None
     for name, mart in out.items():
         cols = [F.lit(name).alias("mart")]

@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,25 +109,41 @@ def merge_partitions(spark: SparkSession, path: str, new: DataFrame, keys: Seque
     parts = touched.distinct().collect()
     if not parts:
         return 0
-    same = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(r[c])) for c in columns]) for r in parts]
-    merged = old.filter(reduce(lambda a, b: a | b, same)).join(own, list(keys), "left_anti")
+    merged = old.filter(_among(old, columns, [tuple(r) for r in parts])).join(own, list(keys), "left_anti")
     if not remove_keys:
         merged = merged.unionByName(new, allowMissingColumns=True)
+    replace_partitions(spark, path, merged, columns, [tuple(r) for r in parts])
+    return len(parts)
+
+
+def _among(df: DataFrame, columns: Sequence[str], values: Sequence[tuple]) -> Column:
+    """Whether a row lies in one of the partitions; literals, so that others are not read."""
+    same = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(columns, vs, strict=True)])
+            for vs in values]
+    return reduce(lambda a, b: a | b, same, F.lit(False))
+
+
+def replace_partitions(spark: SparkSession, path: str, rows: DataFrame, columns: Sequence[str],
+                       values: Sequence[tuple]) -> None:
+    """``rows`` take the place of the partitions of these ``values``; those without a row go.
+
+    ``rows`` may be read from the table itself: they are written aside first.
+    All other partitions keep their files.
+    """
     with publishing(spark) as stage:
         aside = stage(os.path.join(path, "merge"))  # a hidden folder inside the table
-        _write_partitioned(merged, columns, aside)
+        _write_partitioned(rows, columns, aside)
 
-        def replace(r: Row) -> None:
-            folder = os.path.join(*[f"{c}={NO_VALUE if r[c] is None else r[c]}" for c in columns])
+        def replace(vs: tuple) -> None:
+            folder = os.path.join(*[f"{c}={NO_VALUE if v is None else v}" for c, v in zip(columns, vs, strict=True)])
             if path_exists(spark, os.path.join(aside, folder)):
                 swap(spark, os.path.join(aside, folder), os.path.join(path, folder))
             else:
                 remove(spark, os.path.join(path, folder))
 
         with ThreadPoolExecutor(SWAPS_AT_ONCE) as pool:
-            list(pool.map(replace, parts))
+            list(pool.map(replace, values))
         remove(spark, aside)
-    return len(parts)
 
 
 def _write_partitioned(df: DataFrame, columns: Sequence[str], path: str) -> None:

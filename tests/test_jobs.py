@@ -432,3 +432,37 @@ def test_broken_lines_are_stitched(spark, tmp_path, block):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert len(names) == 401 and set(names) == expected | {"Outro Nome"}
     assert res.quarantined == 2
+
+
+def test_a_drop_of_employees_is_merged(spark, tmp_path):
+    def drop(people, name, strict=True):
+        src = employee_file(tmp_path / name, people)
+        return jobs.silver_employees(spark, src, str(tmp_path / "silver"), str(tmp_path / "vault"), AS_OF, SECRET,
+                                     quarantine=str(tmp_path / "q"), strict=strict, merge=True)
+    drop(CLEAN_PEOPLE, "a")
+    files = os.listdir(tmp_path / "silver" / "year_hire_date=2010" / "month_hire_date=6")
+    second = [dict(CLEAN_PEOPLE[0], salary="6000.00"), dict(CLEAN_PEOPLE[1], hire=dt.date(2015, 1, 9)),
+              dict(CLEAN_PEOPLE[0], hr="9", cpf="99999999999")]
+    silver = drop(second, "b").silver
+    assert {r["hr_id"]: (str(r["base_salary"]), r["year_hire_date"]) for r in silver.collect()} == {
+        "1": ("6000.00", 2015), "2": ("5000.00", 2015), "3": ("5000.00", 2010), "4": ("5000.00", 2023),
+        "9": ("5000.00", 2015)}
+    assert os.listdir(tmp_path / "silver" / "year_hire_date=2010" / "month_hire_date=6") == files
+    assert not os.path.exists(tmp_path / "silver" / "year_hire_date=2020" / "month_hire_date=1")
+    vault = read_table(spark, str(tmp_path / "vault"))
+    assert vault.count() == 5 and silver.join(vault, "cpf_encrypted").count() == 5
+    with pytest.raises(quality.QualityError):
+        drop([dict(CLEAN_PEOPLE[0], salary="-1")], "c")
+    assert read_table(spark, str(tmp_path / "silver")).filter("base_salary < 0").count() == 0
+    # states of the months that the second drop concerned, then gold from all of them
+    states, months = str(tmp_path / "states"), [(2015, 1), (2020, 1)]
+    jobs.update_states(spark, str(tmp_path / "silver"), states)
+    jobs.update_states(spark, str(tmp_path / "silver"), states, months)
+    jobs.silver_positions(spark, write_lines(tmp_path, "c.csv", POSITIONS), str(tmp_path / "positions"))
+    jobs.silver_postal(spark, write_lines(tmp_path, "p.csv", POSTAL), str(tmp_path / "postal"))
+    args = (str(tmp_path / "postal"), str(tmp_path / "positions"))
+    kept = jobs.gold_from_states(spark, *args, states, str(tmp_path / "gold"))
+    exact = jobs.gold(spark, args[0], str(tmp_path / "silver"), args[1], str(tmp_path / "gold2"))
+    for name, mart in exact.items():
+        assert sorted(map(str, mart.drop("created_at").collect())) == sorted(
+            map(str, kept[name].drop("created_at").collect()))
