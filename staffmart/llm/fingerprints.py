@@ -7,14 +7,16 @@ small table (count, exclusive or of digests, exclusive or of checks). Two
 tables are subtracted cell by cell; cells that hold one digest alone are
 peeled until the table is empty, which yields the digests that differ. If
 peeling gets stuck, both texts are sketched again with at least twice the
-cells, until it succeeds. The likeness of two texts is the share of their pieces that they
+cells, until it succeeds. The tables of a slice of texts lie side by side and
+are peeled together. The likeness of two texts is the share of their pieces that they
 have in common.
 
 Defined results: a null text is empty; two texts without pieces are equal
 (likeness 1); equal texts have equal fingerprints; rows are followed by the
 next larger doc_id, rows of one doc_id by a hash of their text, null ids come
 first, and the last row is followed by the first; a single row follows itself;
-an empty table gives an empty result; extra columns are ignored.
+an empty table gives an empty result; extra columns are ignored; a very long
+text is a slice of its own and has to fit one task.
 """
 
 from __future__ import annotations
@@ -22,7 +24,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -55,19 +58,48 @@ def pieces(text: str) -> list[str]:
     return out
 
 
-def digests(text: str) -> np.ndarray:
-    """A set of digests, one per piece; the second occurrence of a piece differs from the first."""
-    seen: dict[str, int] = {}
-    hashes, numbers = [], []
-    for piece in pieces(text):
-        n = seen.get(piece, 0)
-        seen[piece] = n + 1
-        hashes.append(xxhash.xxh3_64_intdigest(piece.encode("utf-8", "surrogatepass")))
-        numbers.append(n)
+@dataclass(frozen=True)
+class Digests:
+    """The digests of several texts: those of text i are ``keys[starts[i]:starts[i + 1]]``, in order, each once."""
+
+    keys: np.ndarray
+    starts: np.ndarray
+
+    def sizes(self) -> np.ndarray:
+        return np.diff(self.starts)
+
+    def take(self, which: np.ndarray) -> Digests:
+        parts = [self.keys[self.starts[i]:self.starts[i + 1]] for i in which.tolist()]
+        starts = np.concatenate([[0], np.cumsum(self.sizes()[which])]).astype(np.int64)
+        return Digests(np.concatenate([np.zeros(0, np.uint64), *parts]), starts)
+
+
+def digests_of(texts: Sequence[str]) -> Digests:
+    """A set of digests per text, one per piece; the second occurrence of a piece differs from the first."""
+    hashes, numbers, counts = [], [], []
+    for text in texts:
+        seen: dict[str, int] = {}
+        before = len(hashes)
+        for piece in pieces(text):
+            n = seen.get(piece, 0)
+            seen[piece] = n + 1
+            hashes.append(xxhash.xxh3_64_intdigest(piece.encode("utf-8", "surrogatepass")))
+            numbers.append(n)
+        counts.append(len(hashes) - before)
     with np.errstate(over="ignore"):
-        keys = np.array(hashes, dtype=np.uint64) + np.array(numbers, dtype=np.uint64) * _OCCURRENCE
+        keys = _mix(np.array(hashes, dtype=np.uint64) + np.array(numbers, dtype=np.uint64) * _OCCURRENCE)
     # a table can only be peeled if no key is in it twice
-    return np.unique(_mix(keys))
+    owner = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((keys, owner))
+    keys, owner = keys[order], owner[order]
+    first = np.ones(len(keys), bool)
+    first[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+    sizes = np.bincount(owner[first], minlength=len(counts))
+    return Digests(keys[first], np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64))
+
+
+def digests(text: str) -> np.ndarray:
+    return digests_of([text]).keys
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -76,9 +108,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(29))
 
 
-def places(keys: np.ndarray, cells: int) -> np.ndarray:
-    """HASHES cells of each key, one in each part of the table."""
-    part = np.uint64(cells // HASHES)
+def places(keys: np.ndarray, cells: np.ndarray | int) -> np.ndarray:
+    """HASHES cells of each key, one in each part of its table of ``cells``."""
+    part = (np.broadcast_to(cells, keys.shape) // HASHES).astype(np.uint64)[:, None]
     own = _mix(keys[:, None] ^ _SEEDS[None, :]) % part
     return (own + np.arange(HASHES, dtype=np.uint64)[None, :] * part).astype(np.int64)
 
@@ -87,65 +119,129 @@ def checks(keys: np.ndarray) -> np.ndarray:
     return _mix(keys ^ _CHECK) >> np.uint64(32)
 
 
-class Sketch:
-    """counts, key and check sums of ``cells`` cells, and the number of pieces."""
+class Sketches:
+    """Tables of several texts side by side: count, key and check sums of their cells."""
 
-    def __init__(self, keys: np.ndarray, cells: int = CELLS):
-        self.size, self.cells = len(keys), cells
-        at = places(keys, cells).ravel()
-        self.counts = np.bincount(at, minlength=cells).astype(np.int64)
-        self.keys, self.checks = np.zeros(cells, dtype=np.uint64), np.zeros(cells, dtype=np.uint64)
-        np.bitwise_xor.at(self.keys, at, np.repeat(keys, HASHES))
-        np.bitwise_xor.at(self.checks, at, np.repeat(checks(keys), HASHES))
+    def __init__(self, of: Digests, cells: np.ndarray):
+        self.sizes, self.cells = of.sizes(), cells
+        self.starts = np.concatenate([[0], np.cumsum(cells)]).astype(np.int64)
+        total = int(self.starts[-1])
+        owner = np.repeat(np.arange(len(cells)), self.sizes)
+        at = (places(of.keys, cells[owner]) + self.starts[owner][:, None]).ravel()
+        self.counts = np.bincount(at, minlength=total).astype(np.int64)
+        self.keys, self.checks = np.zeros(total, dtype=np.uint64), np.zeros(total, dtype=np.uint64)
+        np.bitwise_xor.at(self.keys, at, np.repeat(of.keys, HASHES))
+        np.bitwise_xor.at(self.checks, at, np.repeat(checks(of.keys), HASHES))
 
-    def text(self) -> str:
-        raw = b"".join([self.counts.astype("<i4").tobytes(), self.keys.astype("<u8").tobytes(),
-                        self.checks.astype("<u4").tobytes()])
-        return f"{self.size}:{self.cells}:{base64.b64encode(raw).decode()}"
+    def text(self, i: int = 0) -> str:
+        own = slice(self.starts[i], self.starts[i + 1])
+        raw = b"".join([self.counts[own].astype("<i4").tobytes(), self.keys[own].astype("<u8").tobytes(),
+                        self.checks[own].astype("<u4").tobytes()])
+        return f"{self.sizes[i]}:{self.cells[i]}:{base64.b64encode(raw).decode()}"
 
     @classmethod
-    def parse(cls, text: str) -> Sketch:
+    def parse(cls, text: str) -> Sketches:
         size, cells, raw = text.split(":")
         out, data, n = cls.__new__(cls), base64.b64decode(raw), int(cells)
-        out.size, out.cells = int(size), n
+        out.sizes, out.cells, out.starts = np.array([int(size)]), np.array([n]), np.array([0, n])
         out.counts = np.frombuffer(data, "<i4", n).astype(np.int64)
         out.keys = np.frombuffer(data, "<u8", n, 4 * n).astype(np.uint64)
         out.checks = np.frombuffer(data, "<u4", n, 12 * n).astype(np.uint64)
         return out
 
+    def take(self, which: np.ndarray) -> Sketches:
+        """Tables of equal size only."""
+        out, n = Sketches.__new__(Sketches), int(self.cells[0]) if len(self.cells) else 0
+        out.sizes, out.cells = self.sizes[which], self.cells[which]
+        out.starts = np.arange(len(which) + 1, dtype=np.int64) * n
+        for name in ("counts", "keys", "checks"):
+            setattr(out, name, getattr(self, name).reshape(-1, max(n, 1))[which].ravel())
+        return out
+
+
+def sketch(keys: np.ndarray, cells: int = CELLS) -> Sketches:
+    """The table of one text."""
+    return Sketches(Digests(keys, np.array([0, len(keys)])), np.array([cells]))
+
 
-def difference(a: Sketch, b: Sketch) -> tuple[set[int], set[int]] | None:
-    """Digests only in a, and only in b; None if peeling gets stuck."""
+def differences(a: Sketches, b: Sketches) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(recovered, only in a, only in b) per pair of tables, and all peeled (keys, pair * 2 + side).
+
+    All pairs are peeled at once. A cell is peeled if it holds one key alone:
+    its check agrees and the cell is one of the key's own, else the key is a
+    sum of others whose checks agree by chance. A pair that yields more keys
+    than both tables hold is such a case as well, and is given up; so every
+    round brings each pair nearer to its end.
+    """
     counts, keys, sums = a.counts - b.counts, a.keys ^ b.keys, a.checks ^ b.checks
-    sides: tuple[set[int], set[int]] = set(), set()
-    while True:
-        pure = np.flatnonzero(np.abs(counts) == 1)
-        pure = pure[checks(keys[pure]) == sums[pure]]
+    pair = np.repeat(np.arange(len(a.cells)), a.cells)
+    only = np.zeros((len(a.cells), 2), dtype=np.int64)
+    most = a.sizes + b.sizes
+    given_up = np.zeros(len(a.cells), bool)
+    all_keys, all_sides = [], []
+    live = np.flatnonzero(counts)
+    while len(live):
+        pure = live[np.abs(counts[live]) == 1]
+        pure = pure[(checks(keys[pure]) == sums[pure]) & ~given_up[pair[pure]]]
+        at = places(keys[pure], a.cells[pair[pure]]) + a.starts[pair[pure]][:, None]
+        own = (at == pure[:, None]).any(axis=1)
+        pure, at = pure[own], at[own]
         if not len(pure):
             break
-        found, first = np.unique(keys[pure], return_index=True)
-        signs = counts[pure[first]]
-        at = places(found, a.cells).ravel()
+        order = np.lexsort((keys[pure], pair[pure]))
+        pure, at = pure[order], at[order]
+        once = np.ones(len(pure), bool)
+        once[1:] = (keys[pure[1:]] != keys[pure[:-1]]) | (pair[pure[1:]] != pair[pure[:-1]])
+        pure, at = pure[once], at[once].ravel()
+        found, signs, of = keys[pure], counts[pure], pair[pure]
         np.subtract.at(counts, at, np.repeat(signs, HASHES))
         np.bitwise_xor.at(keys, at, np.repeat(found, HASHES))
         np.bitwise_xor.at(sums, at, np.repeat(checks(found), HASHES))
-        for k, s in zip(found.tolist(), signs.tolist(), strict=True):
-            sides[0 if s > 0 else 1].add(k)
-    if counts.any() or keys.any() or sums.any():
+        side = (signs < 0).astype(np.int64)
+        np.add.at(only, (of, side), 1)
+        all_keys.append(found)
+        all_sides.append(2 * of + side)
+        given_up = only.sum(axis=1) > most
+        live = np.unique(at)
+    rest = (counts != 0) | (keys != 0) | (sums != 0)
+    recovered = (np.bincount(pair[rest], minlength=len(a.cells)) == 0) & ~given_up
+    none = np.zeros(0, np.int64)
+    return (recovered, only[:, 0], only[:, 1], np.concatenate([none.astype(np.uint64), *all_keys]),
+            np.concatenate([none, *all_sides]))
+
+
+def difference(a: Sketches, b: Sketches) -> tuple[set[int], set[int]] | None:
+    """Digests only in a, and only in b, of one pair; None if peeling gets stuck."""
+    recovered, _, _, keys, sides = differences(a, b)
+    if not recovered[0]:
         return None
-    return sides
+    return set(keys[sides == 0].tolist()), set(keys[sides == 1].tolist())
+
+
+def likenesses(x: Digests, y: Digests, a: Sketches, b: Sketches) -> np.ndarray:
+    """Common share of the pieces per pair; a, b: the small sketches of the digests x, y."""
+    sizes = np.stack([x.sizes(), y.sizes()])
+    only = np.zeros((2, len(a.cells)), dtype=np.int64)
+    cells = a.cells.copy()
+    todo = np.arange(len(a.cells))
+    while len(todo):
+        recovered, left, right, *_ = differences(a, b)
+        done = todo[recovered]
+        only[0, done], only[1, done] = left[recovered], right[recovered]
+        todo = todo[~recovered]
+        # all pieces may differ: the first retry has room for that, later ones double
+        cells[todo] = np.maximum(2 * cells[todo], HASHES * sizes.sum(axis=0)[todo] // 2)
+        if len(todo):
+            a, b = Sketches(x.take(todo), cells[todo]), Sketches(y.take(todo), cells[todo])
+    common = sizes[0] - only[0]
+    whole = common + only[0] + only[1]
+    return np.where(whole > 0, common / np.maximum(whole, 1), 1.0)
 
 
-def likeness(x: np.ndarray, y: np.ndarray, a: Sketch, b: Sketch) -> float:
-    """Common share of the pieces; a, b: the small sketches of the digests x, y."""
-    cells = a.cells
-    while (sides := difference(a, b)) is None:
-        # all pieces may differ: the first retry has room for that, later ones double
-        cells = max(2 * cells, HASHES * (len(x) + len(y)) // 2)
-        a, b = Sketch(x, cells), Sketch(y, cells)
-    common = a.size - len(sides[0])
-    whole = common + len(sides[0]) + len(sides[1])
-    return common / whole if whole else 1.0
+def likeness(x: np.ndarray, y: np.ndarray, a: Sketches, b: Sketches) -> float:
+    """``likenesses`` of one pair."""
+    own = (Digests(k, np.array([0, len(k)])) for k in (x, y))
+    return float(likenesses(*own, a, b)[0])
 
 
 def edited_text(text: str, following: str) -> str:
@@ -154,22 +250,21 @@ def edited_text(text: str, following: str) -> str:
     return text[:len(text) - k] + following[:k]
 
 
-class Sketched:
-    """A text with its digests and its small sketch."""
-
-    def __init__(self, text: str | None):
-        self.body = text or ""
-        self.keys = digests(self.body)
-        self.sketch = Sketch(self.keys)
-
-
-def compared(doc_id: int | None, own: Sketched, following: Sketched) -> tuple:
-    edited = Sketched(edited_text(own.body, following.body))
-    return (doc_id, len(own.body),
-            hashlib.sha256(edited.body.encode("utf-8", "surrogatepass")).hexdigest(),
-            own.sketch.text(), edited.sketch.text(),
-            likeness(own.keys, edited.keys, own.sketch, edited.sketch),
-            likeness(own.keys, following.keys, own.sketch, following.sketch))
+def compared(rows: Sequence[tuple], own: np.ndarray) -> list[list]:
+    """Result columns of the rows at ``own``, each compared to the row behind it; rows are (guest, doc_id, text)."""
+    texts = [r[2] or "" for r in rows]
+    edited = [edited_text(texts[i], texts[i + 1]) for i in own.tolist()]
+    plain, changed = digests_of(texts), digests_of(edited)
+    small = Sketches(plain, np.full(len(texts), CELLS))
+    small_edited = Sketches(changed, np.full(len(edited), CELLS))
+    mine, next_to = plain.take(own), plain.take(own + 1)
+    mine_small = small.take(own)
+    return [
+        [rows[i][1] for i in own.tolist()], [len(texts[i]) for i in own.tolist()],
+        [hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest() for e in edited],
+        [small.text(i) for i in own.tolist()], [small_edited.text(i) for i in range(len(edited))],
+        likenesses(mine, changed, mine_small, small_edited).tolist(),
+        likenesses(mine, next_to, mine_small, small.take(own + 1)).tolist()]
 
 
 RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
@@ -177,7 +272,6 @@ RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string,
 _RESULT_TYPE = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
                           ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
                           ("near_edited", pa.float64()), ("near_next", pa.float64())])
-ROWS_AT_ONCE = 500
 RANGES = 1
 
 
@@ -230,27 +324,18 @@ def with_next(docs: DataFrame) -> DataFrame:
               .sortWithinPartitions("part", "guest", F.col("doc_id").asc_nulls_first(), F.xxhash64("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        previous: tuple | None = None  # (part, doc_id, Sketched), waiting for its successor
+        waiting: list[tuple] = []  # the last row, until its successor comes
         for batch in batches:
             for chunk in slices(batch, "text"):
-                for p, guest, doc_id, text in zip(*[chunk.column(c).to_pylist() for c in (
-                        "part", "guest", "doc_id", "text")], strict=True):
-                    if previous is None and guest:
-                        continue
-                    row = Sketched(text)
-                    if previous is not None:
-                        out.append(compared(previous[1], previous[2], row))
-                    previous = None if guest else (p, doc_id, row)
-                    if len(out) >= ROWS_AT_ONCE:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), _RESULT_TYPE, strict=True)],
-                            schema=_RESULT_TYPE)
-                        out = []
-        if out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), _RESULT_TYPE, strict=True)],
-                schema=_RESULT_TYPE)
+                rows = waiting + list(zip(*[chunk.column(c).to_pylist() for c in ("guest", "doc_id", "text")],
+                                          strict=True))
+                # a guest is only there for the row before it
+                waiting = [] if rows[-1][0] else rows[-1:]
+                own = np.flatnonzero([not r[0] for r in rows[:-1]])
+                if len(own):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t.type) for c, t in zip(compared(rows, own), _RESULT_TYPE, strict=True)],
+                        schema=_RESULT_TYPE)
 
     return placed.mapInArrow(run, RESULT)
 

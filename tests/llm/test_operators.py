@@ -548,11 +548,46 @@ def test_sketches_recover_differences():
         a = "\n".join(common + [prose(rng, 6) for _ in range(n // 4)] + ["same"] * 3)
         b = "\n".join(common + [prose(rng, 6) for _ in range(n // 3)] + ["same"] * 5)
         x, y = fingerprints.digests(a), fingerprints.digests(b)
-        s, t = fingerprints.Sketch(x), fingerprints.Sketch(y)
+        s, t = fingerprints.sketch(x), fingerprints.sketch(y)
         exact = len(set(x.tolist()) & set(y.tolist())) / max(1, len(set(x.tolist()) | set(y.tolist())))
         assert fingerprints.likeness(x, y, s, t) == pytest.approx(exact)
-        back = fingerprints.Sketch.parse(s.text())
+        back = fingerprints.Sketches.parse(s.text())
         assert back.text() == s.text()
+        wide = [fingerprints.sketch(k, 3 * (len(x) + len(y)) + 30) for k in (x, y)]
+        assert fingerprints.difference(*wide) == (set(x.tolist()) - set(y.tolist()), set(y.tolist()) - set(x.tolist()))
+
+
+def test_peeling_ends_whatever_the_checks_say(monkeypatch):
+    """With checks that always agree, sums of keys look like keys; peeling gives up and the retry succeeds."""
+    monkeypatch.setattr(fingerprints, "checks", lambda keys: np.zeros(len(keys), dtype=np.uint64))
+    rng = random.Random(11)
+    for n in (3, 30, 200):
+        x, y = (np.unique(np.array([rng.getrandbits(64) for _ in range(n)], dtype=np.uint64)) for _ in "ab")
+        x = np.unique(np.concatenate([x, y[:n // 3]]))
+        exact = len(set(x.tolist()) & set(y.tolist())) / len(set(x.tolist()) | set(y.tolist()))
+        assert fingerprints.likeness(x, y, fingerprints.sketch(x), fingerprints.sketch(y)) == pytest.approx(exact, abs=0.1)
+
+
+def test_fingerprints_equal_a_comparison_by_hand(spark):
+    """near_edited and near_next of a whole table against sets of numbered pieces."""
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet")
+    rows = sorted((r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect())
+    def numbered(text):
+        seen = Counter()
+        out = set()
+        for piece in fingerprints.pieces(text):
+            out.add((piece, seen[piece]))
+            seen[piece] += 1
+        return out
+    def near(a, b):
+        a, b = numbered(a), numbered(b)
+        return len(a & b) / len(a | b) if a | b else 1.0
+    got = {r["doc_id"]: (r["near_edited"], r["near_next"]) for r in fingerprints.op9_fingerprints(docs).collect()}
+    for i, (doc_id, text) in enumerate(rows):
+        following = rows[(i + 1) % len(rows)][1]
+        k = len(text) // 4
+        expected = (near(text, text[:len(text) - k] + following[:k]), near(text, following))
+        assert got[doc_id] == pytest.approx(expected)
 
 
 # ----------------------------------------------------------------------- 10
