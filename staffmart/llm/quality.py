@@ -1,8 +1,9 @@
 """Quality rules with risk-controlled cutoffs (operator 3).
 
 Each rule scores a text; a document is rejected when a score lies above the
-rule's cutoff in the document's stratum (its language). The labelled documents
-are split in two by a hash of their id. One half proposes, per stratum, a
+rule's cutoff in the document's stratum (its language). Copies of a text are
+one draw: labelled texts count once, and are split in two by a hash of the
+text, so that no text is in both halves. One half proposes, per stratum, a
 ladder of cutoff vectors: rung 0 rejects beyond the worst score that any good
 document has, the next ones beyond fixed upper quantiles of the good
 documents' scores. The other half, the holdout, decides: a rung is certified
@@ -15,11 +16,13 @@ bad, less ``prudence`` times the good ones lost. A stratum with too few
 labelled documents, or without gain, is left to the base rule.
 
 With probability ``1 - error``, in no stratum the rules together reject more
-than ``risk`` of the good documents.
+than ``risk`` of the good texts.
 
 Defined results: a null or empty text has no words and fails the base rule; a
-null language is a stratum of its own; labels repeated for an id count once
-and as bad if any says so, null labels are left out; documents of strata
+null language is a stratum of its own; labels repeated for an id, and those of
+copies of one text, count once and as bad if any says so, null labels are left
+out; a very long text is measured whole, in a slice of its own; scores equal to
+a cutoff pass, equal gains go to the more lenient rung; documents of strata
 without labels are judged by the base rule only; an empty table gives an empty
 result; extra columns of any name are kept by ``good_documents``.
 """
@@ -163,6 +166,10 @@ def stratum(lang: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), lang.cast("string")), F.lit(""))
 
 
+def text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def binomial_tail(k: int, n: int, p: float) -> float:
     """P(X <= k) of a binomial(n, p): the exact p-value of "the rate is above p"."""
     if k >= n:
@@ -212,16 +219,18 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: f
             prudence: float = PRUDENCE) -> DataFrame:
     """One row per stratum with labels: the cutoff of each rule.
 
-    ``measured``: doc_id, stratum, measures. All labelled documents count. A
+    ``measured``: doc_id, text_key, stratum, measures. All labelled texts count. A
     task of the pandas steps gets a histogram of rules x 1001 rows at most, or
     one row of counts.
     """
     verdicts = (labels.filter(F.col("quality").isNotNull()).groupBy("doc_id")
                 .agg(F.min("quality").alias("quality")))
+    texts = (measured.join(verdicts, "doc_id").filter(~base_failed(F.col("measures")))
+             .groupBy("stratum", "text_key").agg(F.min("quality").alias("quality"),
+                                                 F.any_value("measures").alias("measures")))
     labelled = materialise(
-        measured.join(verdicts, "doc_id").filter(~base_failed(F.col("measures")))
-        .select("stratum", (F.col("quality") > 0).alias("good"), "measures",
-                (F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(2)) == 0).alias("holdout")),
+        texts.select("stratum", (F.col("quality") > 0).alias("good"), "measures",
+                     (F.pmod(F.xxhash64(F.lit(3), "text_key"), F.lit(2)) == 0).alias("holdout")),
         "quality-labelled")
     scores = F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"measures.{r}").alias("score"))
                        for r in RULES])
@@ -269,7 +278,7 @@ def judged(docs: DataFrame, labels: DataFrame, **options) -> tuple[DataFrame, st
     """
     m, v, s, c = (fresh(docs, x) for x in ("measures_", "verdict_", "stratum_", "cutoffs_"))
     rows = with_measures(docs, m).withColumn(s, stratum(F.col("lang")))
-    narrow = materialise(rows.select("doc_id", F.col(s).alias("stratum"),
+    narrow = materialise(rows.select("doc_id", text_key(F.col("text")).alias("text_key"), F.col(s).alias("stratum"),
                                      F.col(m).alias("measures")), "quality-measures")
     chosen = materialise(cutoffs(narrow, labels, **options), "quality-cutoffs")
     chosen = chosen.select(F.col("stratum").alias(s), F.struct(*RULES).alias(c))
@@ -294,7 +303,8 @@ def op3_quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The texts are measured once; the verdicts follow from the narrow table."""
     measured = materialise(
         with_measures(docs.select("doc_id", "lang", "text"), "measures")
-        .select("doc_id", stratum(F.col("lang")).alias("stratum"), "measures"), "quality-measures")
+        .select("doc_id", text_key(F.col("text")).alias("text_key"), stratum(F.col("lang")).alias("stratum"),
+                "measures"), "quality-measures")
     chosen = materialise(cutoffs(measured, labels), "quality-cutoffs")
     out = measured.join(chosen.select("stratum", F.struct(*RULES).alias("cutoffs")), "stratum", "left")
     m = F.col("measures")
