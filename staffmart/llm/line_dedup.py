@@ -4,17 +4,21 @@ A line's key is the line without blanks at its ends and with A-Z lowered. A
 key of at least ``min_chars`` code points that ``min_docs`` documents hold
 loses all its lines, but for those of the largest doc_id that holds it.
 
-Hashes of the keys (128 bits) are dealt out by ranges of (hash, document) and
-sorted by document, largest first, and position: the first document of a hash
-is the one that keeps it, and a hash that a third of all documents hold is
-spread over many ranges. What comes back is one bitmap per document, written
-as run lengths (kept, dropped, kept, ...), not text.
+Texts are split and hashed once: the hashes of the keys (128 bits), with their
+document and position, are a narrow table of their own. It is dealt out by
+ranges of (hash, document), so that a hash that a third of all documents hold
+is spread over many ranges, and sorted inside them by document, largest first,
+and position; so a document's positions of a hash come out in order and once.
+Which document holds a hash first is then the maximum over the ranges, from
+one partial row per hash and task. What comes back is one bitmap per document,
+written as run lengths (kept, dropped, kept, ...), not text.
 
 Defined results: a null or empty text is one empty line; rows with a null
 doc_id are one document smaller than all others; repeated rows (same doc_id
 and text) count once and are treated alike; rows that share only their doc_id
-count as documents of their own; an empty table gives an empty result; extra
-columns of any name are kept by ``without_shared_lines``.
+count as documents of their own; very long texts are split whole, and each
+line is a row; an empty table gives an empty result; extra columns of any name
+are kept by ``without_shared_lines``.
 """
 
 from __future__ import annotations
@@ -50,11 +54,13 @@ def shared_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
             .filter(F.char_length("line") >= min_chars)
             .select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"),
                     "doc_id", "text_key", "position"))
+    # written first: dealing out by ranges reads its rows twice, once for the quantiles
+    keys = materialise(keys, "line-keys")
     order = [F.col("h1"), F.col("h2"), F.col("doc_id").desc_nulls_last(), F.col("text_key")]
     ranged = keys.repartitionByRange(*order).sortWithinPartitions(*order, "position")
     # the ranges already hold each (hash, document) whole: no shuffle here
     held = ranged.groupBy("h1", "h2", "doc_id", "text_key").agg(
-        F.collect_set("position").alias("positions"))
+        F.array_distinct(F.collect_list("position")).alias("positions"))
     held = materialise(held, "line-hashes")
     first = held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("holders"),
                                          F.max("doc_id").alias("keeper"))
@@ -129,19 +135,20 @@ def op5_line_dedup(docs: DataFrame) -> DataFrame:
 
 OP5_SQL = f"""
 WITH split AS (
-  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+  SELECT row_number() OVER () AS row_id, doc_id, coalesce(text, '') AS t,
+         string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 lines AS (
-  SELECT doc_id, ls[CAST(p AS INT)] AS line, p,
+  SELECT row_id, doc_id, t, ls[CAST(p AS INT)] AS line, p,
          translate(trim(ls[CAST(p AS INT)], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                    '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS key
-  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS p FROM split)),
+  FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS p FROM split)),
 shared AS (
-  SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= {MIN_CHARS}
-  GROUP BY key HAVING count(DISTINCT doc_id) >= {MIN_DOCS}),
+  SELECT key, max(doc_id) AS keeper FROM (SELECT DISTINCT key, doc_id, t FROM lines WHERE length(key) >= {MIN_CHARS})
+  GROUP BY key HAVING count(*) >= {MIN_DOCS}),
 judged AS (
   SELECT l.*, s.key IS NOT NULL AND l.doc_id IS DISTINCT FROM s.keeper AS dropped
   FROM lines l LEFT JOIN shared s ON l.key = s.key)
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT dropped), '')) AS kept_sha256
-FROM judged GROUP BY doc_id
+FROM judged GROUP BY row_id
 """

@@ -226,6 +226,112 @@ def test_certified_rungs_keep_the_risk():
     assert quality.choose_rung([0], 20, [9], 10, 0.02, 0.0125, 10.0) is None  # too few
 
 
+def cutoffs_by_hand(rows):
+    """rows: (stratum, text hash, good, holdout, scores) of labelled texts, each text once."""
+    from math import comb
+    strata = sorted({r[0] for r in rows if r[3]} & {r[0] for r in rows if r[2] and not r[3]})
+    out = {}
+    for s in strata:
+        own = [r for r in rows if r[0] == s]
+        proposing, held = [r for r in own if r[2] and not r[3]], [r for r in own if r[3]]
+        rungs = []
+        for q in quality.QUANTILES:
+            cut = []
+            for i in range(len(quality.RULES)):
+                scores = sorted(r[4][i] for r in proposing)
+                # the smallest score with at most a share q above it
+                cut.append(next(x for x in scores if sum(y > x for y in scores) <= q * len(scores)))
+            rungs.append(cut)
+        good, bad = [r for r in held if r[2]], [r for r in held if not r[2]]
+        best, gain = None, 0.0
+        for cut in rungs:
+            hit = [sum(any(x > c for x, c in zip(r[4], cut, strict=True)) for r in part) for part in (good, bad)]
+            tail = sum(comb(len(good), i) * quality.RISK**i * (1 - quality.RISK)**(len(good) - i)
+                       for i in range(hit[0] + 1))
+            if not good or not bad or (tail if hit[0] < len(good) else 1) > quality.ERROR / len(strata):
+                break
+            value = hit[1] / len(bad) - quality.PRUDENCE * hit[0] / len(good)
+            if value > gain:
+                best, gain = cut, value
+        out[s] = best
+    return out
+
+
+@pytest.fixture(scope="module")
+def labelled_corpus():
+    """Two languages; junk of three kinds; one good text 700 times, and some bad ones often."""
+    rng = random.Random(21)
+    data, labels = [], []
+    hot = prose(rng, 50)
+    for i in range(3600):
+        kind = rng.random()
+        text = prose(rng, rng.randint(25, 60))
+        good = kind < 0.75
+        if not good:
+            text = {0: lambda t: " ".join(w + "#*" for w in t.split()), 1: str.upper,
+                    2: lambda t: t + " 123 4567 89" * 12}[i % 3](text)
+        if i % 5 == 0:
+            text, good = hot, True
+        if rng.random() < 0.01:
+            good = not good
+        data.append((i, text, "en" if i % 4 else "de"))
+        labels.append((i, int(good), 0))
+    return data, labels
+
+
+def test_quality_verdicts_equal_a_version_by_hand(spark, labelled_corpus):
+    data, labels = labelled_corpus
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(3)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = quality.op3_quality_rules(docs, table).collect()
+    keys = {r["doc_id"]: (r["k"], r["half"]) for r in docs.select(
+        "doc_id", quality.text_key(F.col("text")).alias("k"),
+        F.pmod(F.xxhash64(F.lit(3), quality.text_key(F.col("text"))), F.lit(2)).alias("half")).collect()}
+    measured = quality.measures([t for _, t, _ in data])
+    scores = [tuple(int(measured[r][i]) for r in quality.RULES) for i in range(len(data))]
+    failed = {r["doc_id"]: r["base_failed"] for r in found}
+    texts = {}
+    for (i, _, lang), (_, good, _) in zip(data, labels, strict=True):
+        if not failed[i]:
+            key, half = keys[i]
+            before = texts.get((lang, key))
+            texts[(lang, key)] = (lang, key, bool(good) and (before is None or before[2]), half == 0, scores[i])
+    cuts = cutoffs_by_hand(list(texts.values()))
+    assert any(cuts.values())
+    for (i, _, lang), r in zip(data, sorted(found, key=lambda r: r["doc_id"]), strict=True):
+        cut = cuts[lang]
+        passes = cut is None or all(x <= c for x, c in zip(scores[i], cut, strict=True))
+        assert r["kept"] == (not failed[i] and passes), i
+
+
+def test_copies_are_one_draw(spark):
+    """A text with 2,000 copies certifies nothing; with copies counted it would."""
+    rng = random.Random(4)
+    hot = prose(rng, 40)
+    rows = [(i, hot if i < 2000 else prose(rng, 40), "en") for i in range(2040)]
+    rows += [(5000 + i, " ".join(w + "***" for w in prose(rng, 40).split()), "en") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], int(r[0] < 5000), 0) for r in rows], "doc_id long, quality int, toxic int")
+    got = quality.op3_quality_rules(docs, labels)
+    assert got.filter("kept").count() == len(rows)  # some 20 good texts in the holdout are too few
+
+
+def test_the_promise_holds_in_simulations():
+    """Over many draws the chosen rung rejects more than the risk in at most the promised share of runs."""
+    rng = np.random.default_rng(8)
+    runs, broken = 600, 0
+    for _ in range(runs):
+        n = int(rng.integers(250, 900))
+        # each rung's true loss of good texts, rising; some strata are hopeless
+        truth = np.sort(rng.uniform(0, rng.choice([0.01, 0.03, 0.2]), len(quality.QUANTILES)))
+        draws = rng.random((n, 1)) < truth[None, :]
+        caught = np.sort(rng.integers(0, 100, len(truth)))
+        rung = quality.choose_rung(draws.sum(axis=0).tolist(), n, caught.tolist(), 100, quality.RISK,
+                                   quality.ERROR, quality.PRUDENCE)
+        broken += rung is not None and truth[rung] > quality.RISK
+    assert broken <= quality.ERROR * runs
+
+
 def test_quality_rejects_junk_and_keeps_good(spark):
     rng = random.Random(2)
     data = [(i, prose(rng, 60) if i % 4 else " ".join(w + "***" for w in prose(rng, 60).split()), "en")
@@ -375,6 +481,17 @@ def test_line_dedup(docs, rows):
     assert sum(r[2] for r in got) > 0
 
 
+def test_line_dedup_sql_means_the_same_documents(docs):
+    """Null and repeated ids, and repeated rows: SQL and Spark agree row by row."""
+    con = duckdb.connect()
+    con.register("rows", docs.select("doc_id", "text").toArrow())
+    con.execute("CREATE VIEW documents AS SELECT * FROM rows")
+    expected = con.execute(
+        f"SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM ({line_dedup.OP5_SQL})").fetchall()
+    got = [tuple(r) for r in line_dedup.op5_line_dedup(docs).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, expected))
+
+
 def test_line_dedup_keeps_columns_and_bitmaps(docs, spark):
     wide = docs.withColumn("runs_", F.lit(1)).withColumn("kept_", F.lit("k"))
     out = line_dedup.without_shared_lines(wide)
@@ -447,6 +564,29 @@ def test_packing_batches(docs, rows):
         assert len(members) == 1 or len(members) * members[0]["bucket_length"] <= 500
 
 
+def exact_padding(lengths, buckets):
+    """Least padding over all choices of bounds among the lengths themselves."""
+    values, counts = np.unique(np.array(lengths), return_counts=True)
+    bounds = packing.best_bounds(values.astype(float), counts.astype(float), (values * counts).astype(float), buckets)
+    return packing.padding(values.astype(float), counts.astype(float), (values * counts).astype(float), bounds)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_packing_bounds_above_the_fine_lengths(spark, seed):
+    rng = np.random.default_rng(seed)
+    lengths = np.concatenate([rng.lognormal(7.5, 1.2, 3000), rng.integers(3000, 3100, 500),
+                              rng.integers(40_000, 90_000, 200)]).astype(int).tolist()
+    table = spark.createDataFrame([(x,) for x in lengths], "n_tokens long").cache()
+    bounds, rows = packing.bucket_bounds(table, 8)
+    chosen = np.array(bounds)
+    cost = sum(int(chosen[np.searchsorted(chosen, x)]) - x for x in lengths)
+    best = exact_padding(lengths, 8)
+    assert rows == len(lengths) and bounds[-1] == max(lengths)
+    assert best <= cost <= 1.0005 * best
+    for w in packing.windows_around([700, 5000, 5010], []):
+        assert w.start < w.stop and w.step >= 1
+
+
 def test_packing_classes_rise(spark):
     lengths = spark.range(0, 6000).select(F.col("id").alias("n"), packing.length_class(F.col("id")).alias("c"))
     classes = [r["c"] for r in lengths.orderBy("n").collect()]
