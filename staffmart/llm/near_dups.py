@@ -7,7 +7,12 @@ Two documents are linked when the Jaccard similarity of their sets of
    node from here on, with a number of copies.
 2. Signatures are cut into bands. Bands that two nodes share are candidates;
    at the threshold a pair shares none of the 40 bands with probability 1e-7.
-3. The connected components of shared bands are clumps: every link lies inside
+   Nodes of one bucket (equal band) are compared there by the first
+   ``SKETCH`` values of their signatures, a byte each, with the pruning of step
+   4; only pairs that it leaves are joined, as a forest. So texts that share
+   some passage, and a band here and there, don't hang together. The members
+   of a bucket of more than ``BUCKET_ROWS`` rows are all joined to one of them.
+3. The connected components of these joins are clumps: every link lies inside
    one. A clump is cut into blocks of bounded size, and each pair of blocks is
    one group of rows, so no task holds a large clump and no pair is a row.
 4. Inside a group, pairs are compared a few MinHash values at a time. With
@@ -51,6 +56,8 @@ HASHES = BANDS * ROWS
 STEP = 20
 TOLERANCE = 1e-7
 SEED = 5
+# Values of a signature that buckets see, and the rows up to which a bucket is compared.
+SKETCH, BUCKET_ROWS = 100, 1500
 # Bounds of a block: nodes, and words of their texts.
 BLOCK_NODES = 1500
 BLOCK_WORDS = 1_500_000
@@ -135,8 +142,8 @@ def _sets(values: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, node, n_words, buckets) of every document."""
-    schema = "doc_id long, text_key long, node long, n_words long, buckets array<long>"
+    """(doc_id, text_key, node, n_words, buckets, sketch) of every document."""
+    schema = "doc_id long, text_key long, node long, n_words long, buckets array<long>, sketch binary"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,14 +152,17 @@ def signed(docs: DataFrame) -> DataFrame:
                 sets = _sets(values, counts)
                 nodes = np.array([xxhash.xxh3_64_intdigest(s.tobytes()) if len(s) else 0 for s in sets],
                                  dtype=np.uint64).view(np.int64)
-                buckets = band_values(signatures(values, counts))
+                signature = signatures(values, counts)
+                buckets = band_values(signature)
+                sketches = signature[:, :SKETCH].astype(np.uint8)
                 flat = pa.array(buckets.ravel(), pa.int64())
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.arange(len(sets) + 1) * BANDS, pa.int32()), flat)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("text_key"),
-                     pa.array(nodes, pa.int64(), mask=counts == 0), pa.array(counts, pa.int64()), lists],
-                    names=["doc_id", "text_key", "node", "n_words", "buckets"])
+                     pa.array(nodes, pa.int64(), mask=counts == 0), pa.array(counts, pa.int64()), lists,
+                     pa.array([row.tobytes() for row in sketches], pa.binary())],
+                    names=["doc_id", "text_key", "node", "n_words", "buckets", "sketch"])
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
@@ -226,7 +236,7 @@ def surviving(a: np.ndarray, b: np.ndarray, alive: np.ndarray) -> tuple[np.ndarr
     """Pairs (rows of a, rows of b) among ``alive`` that the pruning leaves."""
     matches = np.zeros(alive.shape, dtype=np.uint16)
     dense, i, j = True, None, None
-    for step, least in enumerate(NEEDED):
+    for step, least in enumerate(NEEDED[:a.shape[1] // STEP]):
         lo = step * STEP
         if dense:
             for k in range(lo, lo + STEP):
@@ -353,18 +363,99 @@ def compare(groups: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, schema)
 
 
+# --------------------------------------------------------- joins inside buckets
+
+
+def _surviving_pairs(rows: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of sketches that the pruning leaves."""
+    matches = np.zeros(len(i), dtype=np.uint16)
+    for step, least in enumerate(NEEDED[:SKETCH // STEP]):
+        part = slice(step * STEP, (step + 1) * STEP)
+        matches = matches + (rows[i, part] == rows[j, part]).sum(axis=1, dtype=np.uint16)
+        on = matches >= least
+        i, j, matches = i[on], j[on], matches[on]
+    return i, j
+
+
+def forest(nodes: np.ndarray, sketches: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(u, v): a forest per bucket over the pairs that its members' sketches leave.
+
+    Bucket k holds the rows from ``starts[k]`` to before ``starts[k + 1]``.
+    Pairs of many small buckets are compared at once.
+    """
+    n = np.diff(starts)
+    parent = list(range(len(nodes)))
+
+    def join(i: np.ndarray, j: np.ndarray) -> None:
+        for x, y in zip(i.tolist(), j.tolist(), strict=True):
+            rx, ry = find_root(parent, x), find_root(parent, y)
+            if rx != ry:
+                parent[max(rx, ry)] = min(rx, ry)
+
+    for shift in range(1, int(n.max(initial=1))):
+        # every pair of rows of a bucket that lie ``shift`` apart; none is left once a bucket hangs together
+        big = np.flatnonzero(n > shift)
+        first = np.concatenate([np.arange(starts[k], starts[k + 1] - shift) for k in big.tolist()])
+        roots = np.array(parent)
+        apart = roots[first] != roots[first + shift]
+        first = first[apart]
+        for lo in range(0, len(first), PAIRS_AT_ONCE // 10):
+            part = first[lo:lo + PAIRS_AT_ONCE // 10]
+            join(*_surviving_pairs(sketches, part, part + shift))
+    root = np.array([find_root(parent, x) for x in range(len(nodes))], dtype=np.int64)
+    own = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[own], nodes[root[own]]
+
+
+def bucket_joins(members: DataFrame) -> DataFrame:
+    """(u, v) of (bucket, node, sketch): what the members of each bucket are joined by."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None  # the last bucket, which the next batch may go on with
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if rest is None else pa.concat_tables([rest, rows])
+            buckets = rows.column("bucket").to_numpy()
+            last = int(np.searchsorted(buckets, buckets[-1])) if len(buckets) else 0
+            yield from joined(rows.slice(0, last), buckets[:last])
+            rest = rows.slice(last)
+        if rest is not None and len(rest):
+            yield from joined(rest, rest.column("bucket").to_numpy())
+
+    def joined(rows: pa.Table, buckets: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(buckets):
+            return
+        sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+        starts = np.append(np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])), len(buckets))
+        u, v = forest(rows.column("node").to_numpy(), sketches, starts)
+        if len(u):
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+
+    return members.repartition("bucket").sortWithinPartitions("bucket", "node").mapInArrow(run, "u long, v long")
+
+
 # -------------------------------------------------------------------- the join
 
 
+def clumps_of(worded: DataFrame) -> DataFrame:
+    """(node, clump) of the nodes that a bucket joins to another one."""
+    member = worded.select("node", F.explode("buckets").alias("bucket"))
+    shared = member.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("far"),
+                                          F.count(F.lit(1)).alias("n"))
+    shared = materialise(shared.filter("hub <> far").select("bucket", "hub", (F.col("n") > BUCKET_ROWS).alias("hot")),
+                         "near-buckets")
+    held = materialise(member.join(shared, "bucket").select("bucket", "node", "hub", "hot"), "near-members")
+    spokes = held.filter("hot AND node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v"))
+    # a sketch per node, sent to the buckets that it shares with others
+    sketches = worded.groupBy("node").agg(F.any_value("sketch").alias("sketch"))
+    members = held.filter("NOT hot").select("node", "bucket").distinct().join(sketches, "node")
+    joins = spokes.union(bucket_joins(members.select("bucket", "node", "sketch")))
+    return materialise(components(joins).withColumnRenamed("label", "clump"), "near-clumps")
+
+
 def near_links(docs: DataFrame, signed_docs: DataFrame) -> DataFrame:
     """(node, links, root): verified links of nodes with different shingle sets."""
     worded = signed_docs.filter(F.col("node").isNotNull())
-    member = worded.select("node", F.explode("buckets").alias("bucket"))
-    shared = member.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("far"))
-    shared = materialise(shared.filter("hub <> far").select("bucket", "hub"), "near-buckets")
-    spokes = member.join(shared, "bucket").filter("node <> hub").select(
-        F.col("node").alias("u"), F.col("hub").alias("v"))
-    clumps = materialise(components(spokes).withColumnRenamed("label", "clump"), "near-clumps")
+    clumps = clumps_of(worded)
     nodes = worded.join(clumps, "node").groupBy("node", "clump").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "text_key")).alias("at"),
         F.first("n_words").alias("n_words"))

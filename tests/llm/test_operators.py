@@ -636,6 +636,49 @@ def test_near_duplicates(spark, rows, block_nodes, monkeypatch):
     assert got == near_by_hand(data)
 
 
+def test_forests_hang_together_as_all_pairs_do():
+    rng = np.random.default_rng(3)
+    nodes, sketches, starts = [], [], [0]
+    for size in (1, 2, 2, 7, 40, 3):
+        base = rng.integers(0, 256, (3, near_dups.SKETCH), dtype=np.uint8)
+        rows = base[rng.integers(0, 3, size)].copy()
+        noise = rng.random(rows.shape) < rng.choice([0.05, 0.3, 0.45])
+        rows[noise] = rng.integers(0, 256, int(noise.sum()), dtype=np.uint8)
+        sketches.append(rows)
+        nodes += range(len(nodes), len(nodes) + size)
+        starts.append(len(nodes))
+    rows, starts = np.concatenate(sketches), np.array(starts)
+    u, v = near_dups.forest(np.array(nodes), rows, starts)
+    def components(pairs):
+        parent = list(range(len(nodes)))
+        for x, y in pairs:
+            parent[max(near_dups.find_root(parent, x), near_dups.find_root(parent, y))] = min(
+                near_dups.find_root(parent, x), near_dups.find_root(parent, y))
+        return [near_dups.find_root(parent, x) for x in range(len(nodes))]
+    expected = []
+    for lo, hi in itertools.pairwise(starts.tolist()):
+        i, j = np.array(list(itertools.combinations(range(lo, hi), 2)), dtype=int).reshape(-1, 2).T
+        expected += zip(*(x.tolist() for x in near_dups._surviving_pairs(rows, i, j)), strict=True)
+    assert components(zip(u.tolist(), v.tolist(), strict=True)) == components(expected)
+    assert len(u) == len(set(u.tolist())) < len(nodes)
+
+
+@pytest.mark.parametrize("bucket_rows", [1500, 3])
+def test_texts_that_share_half_their_words_do_not_clump(spark, monkeypatch, bucket_rows):
+    """Similarity 0.3 gives shared bands here and there; by bands alone nearly all would be one clump."""
+    monkeypatch.setattr(near_dups, "BUCKET_ROWS", bucket_rows)
+    rng = random.Random(9)
+    common = prose(rng, 60)
+    texts = [f"{common} {prose(rng, 60)}" for _ in range(400)]
+    texts += [t + " more" for t in texts[:20]]  # and 20 real pairs
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    worded = near_dups.signed(docs).filter("node IS NOT NULL")
+    largest = max(r["count"] for r in near_dups.clumps_of(worded).groupBy("clump").count().collect())
+    assert largest == 2 if bucket_rows == 1500 else largest > 100
+    found = near_dups.op8_near_duplicates(docs).filter("n_links > 0").collect()
+    assert {r["doc_id"] for r in found} == {*range(20), *range(400, 420)}
+
+
 def test_pruning_loses_no_likely_pair():
     assert near_dups.posterior(0, 20) < 1e-9 and near_dups.posterior(20, 20) > 0.9
     assert all(near_dups.posterior(m, n) >= near_dups.TOLERANCE and (m == 0 or near_dups.posterior(m - 1, n)
