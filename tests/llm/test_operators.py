@@ -837,3 +837,77 @@ def test_pipeline_stages_work_on_what_is_left(spark):
             assert docs.columns == columns
     assert counts[1] <= counts[0] and counts[2] == counts[1] and counts[3] <= counts[2]
     assert counts[5] == counts[4] == corpus_pipeline.run(spark, SMOKE).count()
+
+
+def stages_by_hand(rows):
+    """(doc_id, text) left by the first three stages, without labels: base rule, shared lines, near duplicates."""
+    left = []
+    for r in rows:
+        w = words(r[1])
+        grams = [tuple(w[i:i + 8]) for i in range(len(w) - 7)]
+        n, cover = Counter(grams), set()
+        for i, g in enumerate(grams):
+            if n[g] > 1:
+                cover |= set(range(i, i + 8))
+        if len(w) >= 20 and 100 * len(cover) <= 30 * len(w):
+            left.append(r)
+    key = lambda line: line.strip(" \t\n\x0b\x0c\r").translate(
+        str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)}))
+    holders = {}
+    for r in left:
+        for line in r[1].split("\n"):
+            if len(key(line)) >= 20:
+                holders.setdefault(key(line), set()).add((r[0], r[1]))
+    keeper = {k: max((d for d, _ in ds if d is not None), default=None) for k, ds in holders.items() if len(ds) >= 3}
+    cut = [(r[0], "\n".join(x for x in r[1].split("\n") if key(x) not in keeper or keeper[key(x)] == r[0]), *r[2:])
+           for r in left]
+    kept = {c for _, c, _ in near_by_hand(cut)}
+    # of rows without words all stay, of repeated rows with words one
+    return sorted([(r[0], r[1]) for r in cut if not words(r[1])]
+                  + [(d, t) for d, t in {(r[0], r[1]) for r in cut if words(r[1])} if d in kept], key=str)
+
+
+@pytest.fixture(scope="module")
+def pipeline_dir(spark, tmp_path_factory, rows):
+    """The fixture's rows, all with ids, as a folder of tables with an extra column of a clashing name."""
+    folder = tmp_path_factory.mktemp("tables")
+    whole = [(100 + i if r[0] is None else r[0], *r[1:], "x") for i, r in enumerate(rows)]
+    whole = [r for r in whole if r[1] != "other text under a used id"]
+    spark.createDataFrame(whole, f"{SCHEMA}, bucket string").write.parquet(str(folder / "documents.parquet"))
+    spark.createDataFrame([(1, None, 0), (None, 1, 1), (1, 1, 0), (1, 0, 0)],
+                          "doc_id long, quality int, toxic int").write.parquet(str(folder / "labels.parquet"))
+    return str(folder), whole
+
+
+def test_pipeline_stages_equal_a_version_by_hand(spark, pipeline_dir):
+    folder, whole = pipeline_dir
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = docs.columns
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:3]):
+        docs = corpus_pipeline.materialise(stage(spark, docs, folder), f"hand-{i}")
+        assert docs.columns == columns
+    got = sorted(((r["doc_id"], r["text"]) for r in docs.collect()), key=str)
+    assert got == stages_by_hand(whole) and len(got) > 5
+
+
+def test_pipeline_mixes_and_packs_what_is_left(spark, pipeline_dir):
+    folder, whole = pipeline_dir
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES[:3]):
+        docs = corpus_pipeline.materialise(stage(spark, docs, folder), f"left-{i}")
+    taken = {}
+    for r in mix.shares(docs).collect():
+        for _ in range(r["copies"]):
+            taken[(r["doc_id"], r["size"])] = taken.get((r["doc_id"], r["size"]), 0) + 1
+    packed = Counter((r["doc_id"], r["n_tokens"]) for r in corpus_pipeline.run(spark, folder).collect())
+    assert packed == Counter(taken) and packed
+
+
+@pytest.mark.parametrize("case", ["empty", "null texts", "no labels"])
+def test_pipeline_edge_cases(spark, tmp_path, pipeline_dir, case):
+    _, whole = pipeline_dir
+    rows = [] if case == "empty" else [(*r[:1], None, *r[2:]) for r in whole] if case == "null texts" else whole
+    spark.createDataFrame(rows, f"{SCHEMA}, bucket string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    n = corpus_pipeline.run(spark, str(tmp_path)).count()
+    assert (n > 0) == (case == "no labels")
