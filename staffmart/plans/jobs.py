@@ -48,7 +48,7 @@ from staffmart.sources import (
     write_table,
 )
 from staffmart.sources.publish import Stage
-from staffmart.sources.sinks import month_columns, replace_partitions
+from staffmart.sources.sinks import month_columns, replace_partitions, write_partitioned
 
 
 @dataclass
@@ -145,6 +145,7 @@ CUSTOMER_VALIDATORS = {
     "Nivel de Importancia": lambda c: c.rlike(r"^\d+$"),
 }
 
+# The checks of the gate (the castable ones are ours).
 CUSTOMER_RULES = [
     *[quality.castable(c) for c in ("annual_contract_value", "number_of_services", "cep",
                                     "contract_start_date", "importance_level")],
@@ -256,6 +257,7 @@ DATE_TYPES = {c: T.DateType() for c in ("birth_date", "hire_date", "termination_
 
 
 def employee_rules(as_of: date | str) -> list[quality.Rule]:
+    # fixed values: the checks of the gate (is_null and castable are ours)
     return [
         quality.is_null(WIDE_LINE),
         *[quality.castable(c) for c in (*DATE_TYPES, *E.EMPLOYEE_DECIMALS)],
@@ -503,7 +505,7 @@ def update_states(spark: SparkSession, employees_path: str, states_root: str,
         path = os.path.join(states_root, name)
         if months is None:
             with publishing(spark) as stage:
-                state.write.partitionBy(*month).parquet(stage(path))
+                write_partitioned(state, month, stage(path))
         else:
             replace_partitions(spark, path, state, month, months)
 

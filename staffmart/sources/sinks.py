@@ -99,7 +99,7 @@ def merge_partitions(spark: SparkSession, path: str, new: DataFrame, keys: Seque
         if remove_keys:
             return 0
         with publishing(spark) as stage:
-            _write_partitioned(new, columns, stage(path))
+            write_partitioned(new, columns, stage(path))
         return -1
     old = spark.read.parquet(path)
     own = new.select(*keys).distinct()
@@ -132,7 +132,7 @@ def replace_partitions(spark: SparkSession, path: str, rows: DataFrame, columns:
     """
     with publishing(spark) as stage:
         aside = stage(os.path.join(path, "merge"))  # a hidden folder inside the table
-        _write_partitioned(rows, columns, aside)
+        write_partitioned(rows, columns, aside)
 
         def replace(vs: tuple) -> None:
             folder = os.path.join(*[f"{c}={NO_VALUE if v is None else v}" for c, v in zip(columns, vs, strict=True)])
@@ -146,7 +146,8 @@ def replace_partitions(spark: SparkSession, path: str, rows: DataFrame, columns:
         remove(spark, aside)
 
 
-def _write_partitioned(df: DataFrame, columns: Sequence[str], path: str) -> None:
+def write_partitioned(df: DataFrame, columns: Sequence[str], path: str) -> None:
+    """Few files per partition; adaptive execution splits a large one."""
     (df.hint("rebalance", *columns).write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .partitionBy(*columns).parquet(path))
 
