@@ -1,7 +1,7 @@
 """staffmart — a Spark-native medallion pipeline for HR, postal and customer data.
 
 Raw delimited files are read with explicit string schemas, repaired and typed
-with built-in column expressions, gated by one-pass quality rules,
+with built-in column expressions, gated by quality rules counted in the write,
 pseudonymised with keyed hashes and written as Parquet ("silver"). Five
 analytics marts ("gold") are built from three silver tables.
 
