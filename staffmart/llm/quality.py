@@ -273,13 +273,17 @@ def rejecting_rules(m: Column, cut: str) -> Column:
 def judged(docs: DataFrame, labels: DataFrame, **options) -> tuple[DataFrame, str, str]:
     """``docs`` with measures and verdict columns; their names come along.
 
-    The verdict is a struct (base_failed, kept, rules). Texts are not
-    shuffled: the cutoffs, a row per stratum, are what is joined.
+    The verdict is a struct (base_failed, kept, rules). The texts go through
+    Python once and are written beside their measures; the cutoffs read the
+    narrow columns of that table only. Texts are not shuffled: the cutoffs, a
+    row per stratum, are what is joined.
     """
     m, v, s, c = (fresh(docs, x) for x in ("measures_", "verdict_", "stratum_", "cutoffs_"))
-    rows = with_measures(docs, m).withColumn(s, stratum(F.col("lang")))
-    narrow = materialise(rows.select("doc_id", text_key(F.col("text")).alias("text_key"), F.col(s).alias("stratum"),
-                                     F.col(m).alias("measures")), "quality-measures")
+    key = fresh(docs, "text_key_")
+    rows = materialise(with_measures(docs, m).withColumn(s, stratum(F.col("lang")))
+                       .withColumn(key, text_key(F.col("text"))), "quality-measures")
+    narrow = rows.select("doc_id", F.col(key).alias("text_key"), F.col(s).alias("stratum"), F.col(m).alias("measures"))
+    rows = rows.drop(key)
     chosen = materialise(cutoffs(narrow, labels, **options), "quality-cutoffs")
     chosen = chosen.select(F.col("stratum").alias(s), F.struct(*RULES).alias(c))
     out = rows.join(chosen, s, "left")
