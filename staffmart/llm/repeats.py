@@ -492,3 +492,31 @@ def without_repeats(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
 def op6_repeated_strings(docs: DataFrame) -> DataFrame:
     return without_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans",
                                         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# Every window by itself: the whole text's 200-byte strings, grouped by their digests.
+OP6_SQL = """
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS raw FROM documents),
+windows AS (
+  SELECT r, unnest(range(octet_length(raw) - 199)) AS i, raw FROM texts WHERE octet_length(raw) >= 200),
+keyed AS (SELECT r, i, md5_number(raw[i + 1:i + 200]) AS k FROM windows),
+matched AS (
+  SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS previous
+  FROM keyed SEMI JOIN (SELECT k FROM keyed GROUP BY k HAVING count(*) > 1) USING (k)),
+numbered AS (
+  SELECT r, i, count(*) FILTER (WHERE previous IS NULL OR i > previous + 200)
+    OVER (PARTITION BY r ORDER BY i) AS span FROM matched),
+spans AS (SELECT r, span, min(i) AS a, max(i) + 200 AS b FROM numbered GROUP BY r, span),
+gaps AS (
+  SELECT r, span, b - a AS n, coalesce(lag(b) OVER (PARTITION BY r ORDER BY span), 0) AS kept_from, a AS kept_to FROM spans),
+cut AS (
+  SELECT g.r, sum(g.n) AS n_removed, count(*) AS n_spans, max(s.b) AS last,
+    string_agg(hex(t.raw[g.kept_from + 1:g.kept_to]), '' ORDER BY g.span) AS kept
+  FROM gaps g JOIN spans s USING (r, span) JOIN texts t ON t.r = g.r GROUP BY g.r)
+SELECT doc_id, octet_length(raw)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(n_spans, 0)::BIGINT AS n_spans,
+  CASE WHEN kept IS NULL THEN sha256(raw)
+    ELSE sha256(unhex(kept || hex(raw[last + 1:octet_length(raw)]))) END AS kept_sha256
+FROM texts LEFT JOIN cut USING (r)
+"""
