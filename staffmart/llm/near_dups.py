@@ -532,3 +532,26 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
 def op8_near_duplicates(docs: DataFrame) -> DataFrame:
     return classes(docs.select("doc_id", "text")).select("doc_id", "class_id", "n_links")
+
+
+# Whole sets of shingles compared by what they have in common, and classes as closures of the links.
+OP8_SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT r, md5_number(array_to_string(words[i:i + 4], ' ')) AS s
+  FROM (SELECT r, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM texts WHERE len(words) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+common AS (
+  SELECT a.r AS a, b.r AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.r <> b.r GROUP BY a.r, b.r),
+links AS (
+  SELECT c.a, c.b FROM common c JOIN sizes x ON x.r = c.a JOIN sizes y ON y.r = c.b
+  WHERE 5 * c.n >= 4 * (x.n + y.n - c.n)),
+reached(r, other) AS (
+  SELECT r, r FROM texts UNION SELECT reached.r, links.b FROM reached JOIN links ON links.a = reached.other),
+classes AS (SELECT reached.r, min(t.doc_id) AS class_id FROM reached JOIN texts t ON t.r = reached.other GROUP BY reached.r),
+counted AS (SELECT a AS r, count(*) AS n_links FROM links GROUP BY a)
+SELECT doc_id::BIGINT AS doc_id, class_id::BIGINT AS class_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM texts JOIN classes USING (r) LEFT JOIN counted USING (r)
+"""

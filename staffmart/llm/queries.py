@@ -52,6 +52,7 @@ ORACLE_SQL: dict[str, str] = {
     "op1_mix_sources": mix.OP1_SQL,
     "op5_line_dedup": line_dedup.OP5_SQL,
     "op6_repeated_strings": repeats.OP6_SQL,
+    "op8_near_duplicates": near_dups.OP8_SQL,
     "op10_url_lists": url_lists.OP10_SQL,
     "op11_prefix_trie": prefix_trie.OP11_SQL,
     "op12_exact_dedup": block_names.OP12_SQL,
