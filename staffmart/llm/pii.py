@@ -52,7 +52,7 @@ SAMPLE = 1000
 MAX_TOKENS = 24
 SURE = 0.9
 STEPS = 2000
-BATCH = 32
+BATCH = 64
 RATE = 2.0
 SEEDS = 25
 SEED = 3
