@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -99,11 +100,18 @@ def cast_noting_losses(df: DataFrame, casts: Mapping[str, Column],
     ``UNCAST_COLUMN`` therefore maps, per row, the columns whose raw cell was
     filled and whose cast is NULL to that cell (blanks only count as empty).
     """
-    lost = [F.when((F.trim(F.col(c).cast("string")) != "") & cast.isNull(),
-                   F.struct(F.lit(c), F.col(c).cast("string"))) for c, cast in casts.items()]
+    # Casts are columns before they are looked at, so that each is worked out once.
+    held = {c: f"__cast_{c}" for c in casts}
+    raw = {c: F.col(c).cast("string") for c in casts}
+    is_lost = {c: (F.trim(raw[c]) != "") & F.col(held[c]).isNull() for c in casts}
+    lost = [F.when(is_lost[c], F.struct(F.lit(c), raw[c])) for c in casts]
     uncast = F.map_from_entries(F.array_compact(F.array(*lost)))
-    return df.withColumn(UNCAST_COLUMN, uncast).withColumns(
-        {c: cast for c, cast in casts.items() if c not in later})
+    nothing = F.create_map().cast("map<string,string>")
+    any_lost = reduce(lambda a, b: a | b, is_lost.values(), F.lit(False))
+    return (df.withColumns({held[c]: cast for c, cast in casts.items()})
+            .withColumn(UNCAST_COLUMN, F.when(any_lost, uncast).otherwise(nothing))
+            .withColumns({c: F.col(held[c]) for c in casts if c not in later})
+            .drop(*held.values()))
 
 
 def unique(column: str) -> Rule:

@@ -5,6 +5,7 @@ Like ``plans.queries`` over the driver's tables, with DuckDB SQL for each.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -122,7 +123,9 @@ def row_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every raw row comes out once, in silver or in quarantine, there with the text that was wrong:
     numbers too large or with too many decimals, dates and codes that are none, lines with a long
     quoted cell and one more behind the last column, levels that are not allowed."""
-    parts = [f(spark, sf_dir) for f in (_employees_balance, _customers_balance, _levels_balance)]
+    jobs_of = (_employees_balance, _customers_balance, _levels_balance)  # independent: side by side
+    with ThreadPoolExecutor(len(jobs_of)) as pool:
+        parts = list(pool.map(lambda f: f(spark, sf_dir), jobs_of))
     return reduce(DataFrame.unionByName, parts)
 
 

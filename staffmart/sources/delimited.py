@@ -50,31 +50,33 @@ def keep_malformed(reader, names: Sequence[str]):
             .schema(string_schema([*names, _MALFORMED])))
 
 
-def _quotes(piece: Column) -> Column:
-    """Quotes in ``piece`` that no backslash escapes."""
-    bare = F.replace(F.replace(piece, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
-    return F.char_length(bare) - F.char_length(F.replace(bare, F.lit('"'), F.lit("")))
+def _wide_pattern(sep: str, width: int) -> str:
+    """A pattern of lines with a filled cell past the first ``width``.
+
+    A cell that begins with a quote ends at the first separator with an even
+    number of quotes before it in the cell (or with the line), any other at the
+    next separator. A backslash takes the next character's meaning, but for a
+    separator's. Every repetition is possessive: nothing is tried twice and no
+    cell, however long, is a recursion.
+    """
+    at = re.escape(sep)
+    inside = f"[^{at}]" if len(sep) == 1 else rf"(?:(?!{at})[\s\S])"
+    bare = rf'[^"\\{at}]' if len(sep) == 1 else rf'(?:(?!{at})[^"\\])'
+    escaped = rf"\\{inside}?+"
+    quoted = rf'(?:"(?:[^"\\]++|{escaped})*+(?:"(?:{bare}++|{escaped})*+|\z))++'
+    return rf"\A(?:(?>{quoted}|{inside}*+){at}){{{width}}}+(?:{at})*+[\s\S]"
 
 
 def wide_line(line: Column, sep: str, width: int) -> Column:
     """``line`` if a cell past the first ``width`` is filled, else NULL.
 
-    Lines with as many separators as ``width`` are folded piece by piece: a
-    piece that begins with a quote opens a cell, which ends with the piece that
-    holds the closing quote, so separators inside quoted cells don't count.
-    One pass over the line, however long a cell is.
+    Lines with as many separators as ``width`` are matched by one pattern
+    (``_wide_pattern``), so separators inside quoted cells don't count. One pass
+    over the first ``width`` cells, however long; what is behind them is read up
+    to its first character that is no separator.
     """
-    def step(state: Column, piece: Column) -> Column:
-        odd = _quotes(piece) % 2 == 1
-        cells = state["cells"] + F.when(state["open"], 0).otherwise(1)
-        still_open = F.when(state["open"], ~odd).otherwise(F.startswith(piece, F.lit('"')) & odd)
-        wide = state["wide"] | ((cells > width) & (piece != ""))
-        return F.struct(still_open.alias("open"), cells.alias("cells"), wide.alias("wide"))
-
-    start = F.struct(F.lit(False).alias("open"), F.lit(0).alias("cells"), F.lit(False).alias("wide"))
     seps = F.char_length(line) - F.char_length(F.replace(line, F.lit(sep), F.lit("")))
-    folded = F.aggregate(F.split(line, re.escape(sep), -1), start, step, lambda state: state["wide"])
-    return F.when(F.when(seps >= width * len(sep), folded).otherwise(F.lit(False)), line)
+    return F.when((seps >= width * len(sep)) & line.rlike(_wide_pattern(sep, width)), line)
 
 
 def with_wide_line(df: DataFrame, sep: str) -> DataFrame:

@@ -126,3 +126,12 @@ def test_a_full_bitmap_changes_nothing(spark, monkeypatch, bits):
     df = spark.range(60_000).selectExpr("id", "id % 50000 AS k")
     _, failing = quality.split_quarantine(df, [quality.unique("k")])
     assert failing.count() == 20_000
+
+
+def test_a_cast_is_worked_out_once(spark):
+    df = spark.createDataFrame([(1, "5", "x"), (2, "junk", " "), (3, None, "7")], "id int, a string, b string")
+    out = quality.cast_noting_losses(df, {c: F.col(c).try_cast("int") + F.floor(F.rand()) for c in "ab"}, later=["b"])
+    assert out.columns == ["id", "a", "b", quality.UNCAST_COLUMN]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("rand(") == 2
+    assert [(r["a"], r["b"], r[quality.UNCAST_COLUMN]) for r in out.orderBy("id").collect()] == [
+        (5, "x", {"b": "x"}), (None, " ", {"a": "junk"}), (None, "7", {})]

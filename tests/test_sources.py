@@ -10,6 +10,7 @@ import pytest
 
 from staffmart.sources import HeaderError, WIDE_LINE, is_wide
 from staffmart.sources import read_delimited, read_header_split, read_table, write_by_month, write_table
+from staffmart.sources.delimited import wide_line
 from staffmart.sources.sinks import STAMP_COLUMN
 
 
@@ -204,3 +205,15 @@ def test_wide_lines_with_long_quoted_cells(spark, tmp_path, cell):
         assert found == {"0": None, "1": wide, "2": None, "3": None}
     assert found["1"] == wide
     assert df.filter(is_wide()).count() == sum(v is not None for v in found.values())
+
+
+def test_wide_lines_are_told_by_one_pattern(spark):
+    lines = ['a|b', 'a|b|', 'a|b||', 'a|b|c', 'a|"b|c"', 'a|"b|c"|d', 'a|"b|c', 'a|b"|c', '"a\\"|b"|c|"d|', 'a|"b\\|c|"|', None]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, value string")
+    found = df.select("i", wide_line(df["value"], "|", 2).alias("wide"))
+    assert [r["i"] for r in found.orderBy("i").collect() if r["wide"] is not None] == [3, 5, 7, 8]
+    # no fold over the pieces of a line, and no recursion over those of a cell
+    assert "aggregate(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    long = ['"' + "x|" * 200_000 + '"|b|lost', 'a|"' + '""|' * 200_000, "a|b|" + '"' * 200_001]
+    df = spark.createDataFrame([(x,) for x in long], "value string")
+    assert [r[0] for r in df.select(wide_line(df["value"], "|", 2).isNotNull()).collect()] == [True, False, True]
