@@ -33,6 +33,16 @@ def people_states(people: DataFrame, month: Sequence[str], by: Sequence[str], to
     return people.groupBy(*month, *by).agg(sketch.alias(PEOPLE))
 
 
+def merged_spells(states: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The sums per group over all months; ``by`` are columns of the states."""
+    return states.groupBy(*by).agg(F.sum(DAYS).alias(DAYS), F.sum(SPELLS).alias(SPELLS))
+
+
+def merged_people(states: DataFrame, by: Sequence[str]) -> DataFrame:
+    """A sketch per group of the people of all months; ``by`` are columns of the states."""
+    return states.groupBy(*by).agg(F.hll_union_agg(PEOPLE).alias(PEOPLE))
+
+
 def means_of(states: DataFrame, by: Sequence[str]) -> DataFrame:
     """Exact means over all months of the states."""
     return marts.mean_years_from_sums(states, by, DAYS, SPELLS)

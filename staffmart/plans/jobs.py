@@ -501,23 +501,33 @@ def update_states(spark: SparkSession, employees_path: str, states_root: str,
     employees = employees.withColumn("generation", generation("person_age"))
     states = {"spells": partials.spell_states(employees, month, STATES["spells"], "time_on_job"),
               "people": partials.people_states(employees, month, STATES["people"], "cpf_encrypted")}
-    for name, state in states.items():
+
+    def keep(name: str) -> None:
         path = os.path.join(states_root, name)
         if months is None:
             with publishing(spark) as stage:
-                write_partitioned(state, month, stage(path))
+                write_partitioned(states[name], month, stage(path))
         else:
-            replace_partitions(spark, path, state, month, months)
+            replace_partitions(spark, path, states[name], month, months)
+
+    _together(*[lambda n=name: keep(n) for name in states])
 
 
 def gold_from_states(spark: SparkSession, postal_path: str, positions_path: str, states_root: str,
                      out_root: str, run_ts: str | None = None) -> dict[str, DataFrame]:
-    """The five marts from kept states alone: means exact, headcounts within the sketches' error."""
+    """The five marts from kept states alone: means exact, headcounts within the sketches' error.
+
+    As in ``gold``, the states of all months are merged, once for all marts,
+    before they are joined to the dimensions.
+    """
     run_ts = run_ts or run_timestamp()
-    people = people_with_region(read_table(spark, os.path.join(states_root, "people")),
-                                read_table(spark, postal_path))
-    spells = spells_with_position(read_table(spark, os.path.join(states_root, "spells")),
-                                  read_table(spark, positions_path))
+    people = partials.merged_people(read_table(spark, os.path.join(states_root, "people")), STATES["people"])
+    people = people_with_region(people, read_table(spark, postal_path)).select(
+        "region", "generation", partials.PEOPLE).persist(StorageLevel.MEMORY_AND_DISK)
+    spells = partials.merged_spells(read_table(spark, os.path.join(states_root, "spells")), STATES["spells"])
+    spells = spells_with_position(spells, read_table(spark, positions_path)).select(
+        "level_description", "area", "generation", partials.DAYS, partials.SPELLS).persist(
+            StorageLevel.MEMORY_AND_DISK)
 
     def mart(name: str) -> DataFrame:
         measure, by = MART_SPECS[name]
@@ -525,7 +535,11 @@ def gold_from_states(spark: SparkSession, postal_path: str, positions_path: str,
             return marts.ranked(partials.headcounts_of(people, by), marts.HEADCOUNT)
         return marts.ranked(partials.means_of(spells, by), marts.MEAN_YEARS)
 
-    return _write_marts(spark, out_root, mart, run_ts)
+    try:
+        return _write_marts(spark, out_root, mart, run_ts)
+    finally:
+        people.unpersist()
+        spells.unpersist()
 
 
 # ------------------------------------------------------------------ full run

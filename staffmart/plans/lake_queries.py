@@ -348,8 +348,11 @@ def kept_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     states = scratch_path(spark, "states")
     jobs.update_states(spark, paths["employees"], states)
     month = month_columns("hire_date")
-    last = read_table(spark, paths["employees"]).agg(F.max(F.struct(*month)).alias("at")).first()["at"]
-    jobs.update_states(spark, paths["employees"], states, months=[tuple(last)])
+    # one number per month: the largest struct would be sought row by row, without generated code
+    year, of_year = (F.col(c) for c in month)
+    last = read_table(spark, paths["employees"]).agg(F.max(year * 100 + of_year).alias("at")).first()["at"]
+    jobs.update_states(spark, paths["employees"], states,
+                       months=[(None, None) if last is None else divmod(last, 100)])
     kept = long_marts(jobs.gold_from_states(spark, paths["postal"], paths["positions"], states,
                                             scratch_path(spark, "state_marts")))
     exact = long_marts(jobs.gold(spark, paths["postal"], paths["employees"], paths["positions"],

@@ -193,18 +193,19 @@ def derived_silver(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     age, spell from order date to ship date), written month-partitioned by
     hire date. Silver postal: nation ⟕ region. Silver positions: part.
     """
-    spells = marts.lookup(
-        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linestatus",
-                                                "l_shipdate"),
-        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"),
-        "l_orderkey", "o_orderkey")
-    spells = marts.lookup(spells, table(spark, sf_dir, "part").select("p_partkey", "p_size"),
-                          "l_partkey", "p_partkey")
     # People are tokenised on their own table (one hash per person, not per
-    # spell) and the token joins the spells with the person's postal code.
+    # spell) and meet the orders, of which there are fewer than spells; the
+    # tokens, which make rows wide, join the spells last.
     people = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     people = privacy.pseudonymize(people, {"c_custkey": "cpf_encrypted"}, KEY)
-    spells = marts.lookup(spells, people, "o_custkey", "c_custkey")
+    orders = marts.lookup(
+        table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"),
+        people, "o_custkey", "c_custkey").drop("o_custkey", "c_custkey")
+    spells = marts.lookup(
+        table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linestatus",
+                                                "l_shipdate"),
+        table(spark, sf_dir, "part").select("p_partkey", "p_size"), "l_partkey", "p_partkey")
+    spells = marts.lookup(spells, orders, "l_orderkey", "o_orderkey")
     end = F.when(F.col("l_linestatus") == F.lit("O"), F.lit(None)).otherwise(F.col("l_shipdate"))
     hire = F.col("o_orderdate").cast("date")
     employees = spells.select(

@@ -7,11 +7,12 @@ import os
 
 import pytest
 from conftest import write_lines
+from pyspark.sql import functions as F
 
 from staffmart.operators import quality
 from staffmart.plans import entities as E
 from staffmart.plans import jobs
-from staffmart.sources import merge_by_month, publishing, read_table
+from staffmart.sources import merge_by_month, publishing, read_table, write_by_month
 
 AS_OF = "2024-01-01"
 SECRET = "test-secret"
@@ -466,3 +467,29 @@ def test_a_drop_of_employees_is_merged(spark, tmp_path):
     for name, mart in exact.items():
         assert sorted(map(str, mart.drop("created_at").collect())) == sorted(
             map(str, kept[name].drop("created_at").collect()))
+
+
+def test_states_are_merged_before_they_are_joined(spark, tmp_path, monkeypatch):
+    silver = spark.createDataFrame([
+        ("t1", "1", "P", d, days, 30) for d, days in (("2020-01-05", 100), ("2020-02-05", 300), ("2021-02-05", None))
+    ] + [("t2", "2", "Q", "2020-02-01", 50, 60)],
+        "cpf_encrypted string, cep string, position string, d string, time_on_job int, person_age int")
+    paths = {n: str(tmp_path / n) for n in ("silver", "postal", "positions")}
+    write_by_month(silver.withColumn("hire_date", F.col("d").cast("date")).drop("d"), "hire_date", paths["silver"])
+    spark.createDataFrame([("1", "SP", "Sul"), ("2", "SP", "Sul")], "cep string, state string, region string"
+                          ).write.parquet(paths["postal"])
+    rest = {c: F.lit(None).cast("string") for c in ("cod_area", "cod_level", "quadro", "bonus")}
+    spark.createDataFrame([("P", "L", "A"), ("Q", "L", "B")], "level string, level_description string, area string"
+                          ).withColumns(rest).write.parquet(paths["positions"])
+    joined = []
+    for name in ("spells_with_position", "people_with_region"):
+        f = getattr(jobs, name)
+        monkeypatch.setattr(jobs, name, lambda rows, dim, f=f: (joined.append(rows.count()), f(rows, dim))[1])
+    jobs.update_states(spark, paths["silver"], str(tmp_path / "states"))
+    kept = jobs.gold_from_states(spark, paths["postal"], paths["positions"], str(tmp_path / "states"),
+                                 str(tmp_path / "kept"))
+    assert joined == [2, 2]                     # one row per group, not one per month and group
+    exact = jobs.gold(spark, paths["postal"], paths["silver"], paths["positions"], str(tmp_path / "exact"))
+    for name, mart in exact.items():
+        assert sorted(map(str, mart.drop("created_at").collect())) == sorted(
+            map(str, kept[name].drop("created_at").collect()))
